@@ -47,21 +47,33 @@ def _block(interval: str) -> Column:
     return F.col("doc").getField(interval)
 
 
-def _cell(block: Column, spellings: tuple[str, ...]) -> Column:
-    cells = [F.get(block[s], F.col("_pos")) for s in spellings]
+def _arr(spelling: str) -> str:
+    return f"_arr_{spelling}"
+
+
+def _cell_at(spellings: tuple[str, ...], i: Column) -> Column:
+    cells = [F.get(F.col(_arr(s)), i) for s in spellings]
     return cells[0] if len(cells) == 1 else F.coalesce(*cells)
 
 
-def _row_errors(block: Column, variables: dict, typed: dict[str, Column]) -> Column:
-    checks = [F.when(F.col("_time_text").isNotNull() & F.col("_ts").isNull(), F.lit("bad_time"))]
-    for out, spellings in variables.items():
-        text = _cell(block, spellings)
-        bad = "bad_weather_code" if out in INTEGER_VARIABLES else f"bad_value:{out}"
-        checks.append(F.when(text.isNotNull() & typed[out].isNull(), F.lit(bad)))
-        for s in spellings:
-            checks.append(F.when(block[s].isNotNull() & (F.size(block[s]) <= F.col("_pos")),
-                                 F.lit(f"short_array:{s}")))
-    return F.array_compact(F.array(*checks))
+def _cells(variables: dict) -> Column:
+    """Per-index structs built in one pass over ``time``.
+
+    Exploding this array gives each row only its own cells; exploding
+    ``time`` and reading the document per row would copy the whole document
+    into every row (quadratic in the response length). The variable arrays
+    are looked up in the block once per response (``_arr_*`` columns).
+    """
+    def build(t: Column, i: Column) -> Column:
+        fields = [i.alias("_pos"), t.alias("_time_text")]
+        short = []
+        for out, spellings in variables.items():
+            fields.append(_cell_at(spellings, i).alias(f"_text_{out}"))
+            short += [F.when(F.col(f"_size_{s}") <= i, F.lit(f"short_array:{s}")) for s in spellings]
+        fields.append(F.array_compact(F.array(*short)).alias("_short"))
+        return F.struct(*fields)
+
+    return F.transform(F.col("_time_arr"), build)
 
 
 def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None = None,
@@ -77,21 +89,26 @@ def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None
     block = _block(interval)
     rid = F.col("run_id") if run_id is None else (
         F.lit(run_id) if isinstance(run_id, str) else run_id)
-    base = ok.select(
+    spellings = [s for sp in variables.values() for s in sp]
+    arrays = ok.select(
         F.col("location.name").alias("location_name"),
         F.col("location.latitude").alias("requested_latitude"),
         F.col("location.longitude").alias("requested_longitude"),
         "api_latitude", "api_longitude", "ingestion_timestamp_utc",
-        rid.alias("run_id"), "doc",
-        F.posexplode(block["time"]).alias("_pos", "_time_text"),
+        rid.alias("run_id"), block["time"].alias("_time_arr"),
+        *[block[s].alias(_arr(s)) for s in spellings])
+    arrays = arrays.select("*", *[F.size(_arr(s)).alias(f"_size_{s}") for s in spellings])
+    base = arrays.select(
+        "location_name", "requested_latitude", "requested_longitude", "api_latitude",
+        "api_longitude", "ingestion_timestamp_utc", "run_id", F.inline(_cells(variables)),
     ).withColumn("_ts", parse_time("_time_text"))
     typed = {}
-    for out, spellings in variables.items():
-        text = _cell(block, spellings)
+    for out in variables:
+        text = F.col(f"_text_{out}")
         typed[out] = as_int_strict(text) if out in INTEGER_VARIABLES else as_double(text)
-    cols = {f.name: None for f in INTERVAL_SCHEMA[interval].fields}
     exprs = []
-    for name in cols:
+    for f in INTERVAL_SCHEMA[interval].fields:
+        name = f.name
         if name == TIME_COLUMN[interval]:
             exprs.append(F.col("_ts").alias(name))
         elif name in typed:
@@ -101,7 +118,11 @@ def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None
         else:
             exprs.append(F.col(name))
     if with_errors:
-        exprs.append(_row_errors(block, variables, typed).alias(ERRORS))
+        checks = [F.when(F.col("_time_text").isNotNull() & F.col("_ts").isNull(), F.lit("bad_time"))]
+        for out in variables:
+            bad = "bad_weather_code" if out in INTEGER_VARIABLES else f"bad_value:{out}"
+            checks.append(F.when(F.col(f"_text_{out}").isNotNull() & typed[out].isNull(), F.lit(bad)))
+        exprs.append(F.concat(F.array_compact(F.array(*checks)), F.col("_short")).alias(ERRORS))
     return base.select(*exprs)
 
 
@@ -141,23 +162,29 @@ def flatten_dynamic(ok: DataFrame, interval: str, variables: list[str] | None =
     loc = F.col("location")
     name = F.coalesce(loc["name"], F.concat_ws(",", loc["latitude"].cast("string"),
                                                loc["longitude"].cast("string")))
-    exploded = ok.select("*", F.posexplode(block["time"]).alias("_pos", "_time_text"))
+    cells = F.transform(block["time"], lambda t, i: F.struct(
+        t.alias("_time_text"), *[F.get(block[v], i).alias(f"_text_{v}") for v in variables]))
     if interval == "hourly":
         first = [parse_time("_time_text").alias("time")]
         elapsed = F.col("elapsed_ms").alias("ingest_elapsed_ms")
     else:
         first = [parse_date("_time_text").alias("date")]
         elapsed = F.col("elapsed_ms").alias("request_elapsed_ms")
-    values = [as_double(F.get(block[v], F.col("_pos"))).alias(v) for v in variables]
-    return exploded.select(
-        *first, *values,
+    exploded = ok.select(
         name.alias("location_name"),
         loc["latitude"].alias("requested_latitude"),
         loc["longitude"].alias("requested_longitude"),
         "api_latitude", "api_longitude", "api_elevation", "api_timezone",
         "api_generationtime_ms",
         iso_format("ingestion_timestamp_utc").alias("ingestion_timestamp_utc"),
-        elapsed, "request_url",
+        elapsed, "request_url", F.inline(cells))
+    values = [as_double(F.col(f"_text_{v}")).alias(v) for v in variables]
+    return exploded.select(
+        *first, *values, "location_name", "requested_latitude", "requested_longitude",
+        "api_latitude", "api_longitude", "api_elevation", "api_timezone",
+        "api_generationtime_ms", "ingestion_timestamp_utc",
+        "ingest_elapsed_ms" if interval == "hourly" else "request_elapsed_ms",
+        "request_url",
     )
 
 
@@ -177,11 +204,11 @@ def variable_profile(ok: DataFrame, interval: str, key_cols: list[str]) -> DataF
     """Per variable except ``time``: first value and unit, default 'N/A' (P14, J4)."""
     block = _block(interval)
     units = F.col("doc").getField(f"{interval}_units")
-    return (ok.select(*key_cols, "doc", F.explode(block).alias("variable", "_values"))
-            .filter(F.col("variable") != "time")
-            .select(*key_cols, "variable",
-                    as_double(F.get("_values", 0)).alias("first_value"),
-                    F.coalesce(units[F.col("variable")], F.lit("N/A")).alias("unit")))
+    firsts = F.map_filter(F.transform_values(block, lambda k, v: F.get(v, 0)),
+                          lambda k, v: k != "time")
+    return (ok.select(*key_cols, units.alias("_units"), F.explode(firsts).alias("variable", "_first"))
+            .select(*key_cols, "variable", as_double(F.col("_first")).alias("first_value"),
+                    F.coalesce(F.col("_units")[F.col("variable")], F.lit("N/A")).alias("unit")))
 
 
 def payload_shape(parsed: DataFrame, interval: str, key_cols: list[str]) -> DataFrame:

@@ -48,7 +48,11 @@ def parse_responses(responses: DataFrame, *, multi_location: bool = False,
     ``error`` is NULL for usable rows and the failure text otherwise.
     """
     docs = F.from_json(F.col("body"), BODY_LIST)
-    df = responses.withColumn("_docs", docs).withColumn("n_docs", F.size("_docs"))
+    # Parse behind a generator: the optimizer never inlines a generated column
+    # into later filters, so each body is parsed exactly once even though the
+    # usable and failed branches both test the parsed document.
+    df = (responses.select("*", F.inline_outer(F.array(F.struct(docs.alias("_docs")))))
+          .withColumn("n_docs", F.size("_docs")))
     if multi_location:
         df = df.select("*", F.posexplode_outer("_docs").alias("doc_index", "doc"))
         if locations_col in responses.columns:
