@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecastlake.schemas import INTERVAL_SCHEMA, require_interval
+from forecastlake.session import path_exists
 
 PARTITION_FIELDS = {
     "provider": T.StringType(),
@@ -39,7 +40,11 @@ def read_lake(spark: SparkSession, base_path: str, interval: str, *,
     schema = lake_schema(interval)
     reader = spark.read.schema(schema).option("basePath", base_path)
     if provider is not None:
-        df = reader.parquet(f"{base_path}/provider={provider}/interval={interval}")
+        root = f"{base_path}/provider={provider}/interval={interval}"
+        if path_exists(spark, root):
+            df = reader.parquet(root)
+        else:  # nothing written yet for this provider and interval
+            df = spark.createDataFrame([], schema)
     else:
         df = reader.parquet(base_path).filter(F.col("interval") == interval)
     cols = [f.name for f in INTERVAL_SCHEMA[interval].fields]
