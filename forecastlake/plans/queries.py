@@ -293,8 +293,9 @@ def _two_daily_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 def q_partitioned_write_daily(spark, sf_dir):
     base = scratch_path(spark, "lake-daily")
-    for run in _two_daily_runs(spark, sf_dir):
-        write_forecasts(run, base, interval="daily", provider=PROVIDER, compression="snappy")
+    for run in _two_daily_runs(spark, sf_dir):  # one run per write: no in-batch winner needed
+        write_forecasts(run, base, interval="daily", provider=PROVIDER, compression="snappy",
+                        latest_run_only=False)
     return read_lake(spark, base, "daily", provider=PROVIDER)
 
 

@@ -21,6 +21,11 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+LOCAL_CONF = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+}
+
 
 def get_spark(master: str | None = None, *, shuffle_partitions: int | None = None,
               app_name: str = "forecastlake", extra: dict | None = None) -> SparkSession:
@@ -29,6 +34,11 @@ def get_spark(master: str | None = None, *, shuffle_partitions: int | None = Non
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # One machine, tiny inputs: let AQE keep several tasks per shuffle
+        # instead of coalescing everything into one (clusters keep their own
+        # 128-256 MB advisory size).
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

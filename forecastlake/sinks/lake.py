@@ -37,7 +37,10 @@ def keep_latest_run(df: DataFrame, keys: list[str]) -> DataFrame:
     planned by Catalyst (broadcast only under the measured size threshold,
     otherwise sort-merge with AQE skew splitting).
     """
-    winner = (df.groupBy(*keys)
+    # Distinct runs first (hash aggregate on the keys, combined map-side), so
+    # the struct max only sees one row per (key, run), not one per data row.
+    runs = df.select(*keys, "ingestion_timestamp_utc", "run_id").distinct()
+    winner = (runs.groupBy(*keys)
               .agg(F.max(F.struct("ingestion_timestamp_utc", "run_id"))["run_id"].alias("run_id")))
     return df.join(winner, [*keys, "run_id"], "left_semi")
 
