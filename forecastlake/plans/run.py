@@ -1,4 +1,4 @@
-"""One ingestion run as Spark jobs (the whole reference lifecycle).
+"""One ingestion run as Spark jobs (the whole ingestion lifecycle).
 
 responses -> parse once -> (usable | failed) -> flatten -> validate ->
 partitioned lake write -> read-back report -> state upsert (after the

@@ -1,6 +1,6 @@
 """Incremental re-run (T1): process only responses landed since the last run.
 
-The scheduled "run every N hours" of the reference becomes a file-source
+A scheduled "run every N hours" job becomes a file-source
 stream with ``trigger(availableNow=True)``: each invocation processes every
 new file, then stops; the checkpoint records what was consumed, so a re-run
 with no new files writes nothing and a failed micro-batch is retried with the
