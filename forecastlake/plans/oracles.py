@@ -218,6 +218,11 @@ SELECT DISTINCT {_KEYS}, {LAT} AS requested_latitude, {LON} AS requested_longitu
   abs({LAT} - {GRID(LAT)}) AS lat_snap, abs({LON} - {GRID(LON)}) AS lon_snap
 FROM events WHERE event_type <> 'error'""",
 
+    "attach_location": f"""
+SELECT DISTINCT event_type AS location_name, {LAT} AS requested_latitude, {LON} AS requested_longitude,
+  {DAY} AS ingestion_timestamp_utc, {CHUNK} AS chunk, {GRID(LAT)} AS api_latitude, {GRID(LON)} AS api_longitude
+FROM events WHERE event_type <> 'error'""",
+
     "request_manifest": f"""
 SELECT location_name, latitude, longitude, CAST(7 AS INTEGER) AS forecast_days, 'GMT' AS timezone,
   'temperature_2m,precipitation,weather_code' AS hourly, CAST(NULL AS VARCHAR) AS daily,

@@ -24,7 +24,7 @@ from forecastlake.sinks.lake import write_forecasts
 from forecastlake.sinks.reports import prototype_paths, write_report
 from forecastlake.sources import tables as tb
 from forecastlake.sources.lake import lake_path_columns, read_lake
-from forecastlake.sources.responses import request_manifest
+from forecastlake.sources.responses import attach_locations, request_manifest
 from forecastlake.sources.state_store import empty_state, read_state, save_state
 from forecastlake.streaming.incremental import run_available_now
 
@@ -142,6 +142,16 @@ def q_coordinate_snap(spark, sf_dir):
     return fl.coordinate_snap(df)
 
 
+def q_attach_location(spark, sf_dir):
+    events = _t(spark, sf_dir, "events")
+    named = tb.events_responses(events).withColumn("location_name", F.col("location.name"))
+    ok, _ = split_ok_failed(parse_responses(attach_locations(named, tb.event_locations(events))))
+    return ok.select(F.col("location.name").alias("location_name"),
+                     F.col("location.latitude").alias("requested_latitude"),
+                     F.col("location.longitude").alias("requested_longitude"),
+                     "ingestion_timestamp_utc", "chunk", "api_latitude", "api_longitude")
+
+
 def q_request_manifest(spark, sf_dir):
     cust = _t(spark, sf_dir, "customer").select(
         F.col("c_name").alias("name"),
@@ -414,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_failed": q_split_failed,
     "metadata_record": q_metadata_record,
     "coordinate_snap": q_coordinate_snap,
+    "attach_location": q_attach_location,
     "request_manifest": q_request_manifest,
     "struct_prefix": q_struct_prefix,
     "completeness": q_completeness,

@@ -18,6 +18,11 @@ CODECS = ("snappy", "gzip", "zstd")
 LAYOUTS = ("by_location", "by_date")
 
 
+def infer_interval(df: DataFrame) -> str:
+    """Interval of a flattened frame: daily frames have a ``date`` column."""
+    return "daily" if "date" in df.columns else "hourly"
+
+
 def partition_columns(interval: str, layout: str = "by_location") -> list[str]:
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
@@ -51,7 +56,7 @@ def with_lake_columns(df: DataFrame, *, interval: str, provider: str) -> DataFra
                      F.to_date("ingestion_timestamp_utc").alias("ingest_date"))
 
 
-def write_forecasts(df: DataFrame, base_path: str, *, interval: str, provider: str,
+def write_forecasts(df: DataFrame, base_path: str, *, interval: str | None, provider: str,
                     compression: str = "zstd", layout: str = "by_location",
                     latest_run_only: bool | None = None) -> list[str]:
     """Write flattened rows into the lake in one job (K2-K6).
@@ -59,9 +64,11 @@ def write_forecasts(df: DataFrame, base_path: str, *, interval: str, provider: s
     One shuffle replaces the per-location filter loop: rows are rebalanced on
     the partition columns, and AQE splits a partition that holds a hot
     location (several files in that directory) and merges tiny ones.
-    Returns the partition columns used.
+    ``interval=None`` infers it from the columns. With ``layout="by_date"`` a
+    daily write replaces whole ingestion days, so use it when every run
+    covers every location. Returns the partition columns used.
     """
-    require_interval(interval)
+    interval = require_interval(interval or infer_interval(df))
     if compression not in CODECS:
         raise ValueError(f"compression must be one of {CODECS}")
     parts = partition_columns(interval, layout)

@@ -65,3 +65,18 @@ def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Schema of a frame as rows (name, type, ordinal) (S9: ``LIMIT 0`` → schema)."""
     rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "column_name string, data_type string, ordinal int")
+
+
+def attach_locations(responses: DataFrame, locations: DataFrame, *,
+                     name_col: str = "location_name") -> DataFrame:
+    """Attach the location dimension to responses that carry only a name.
+
+    An inner equi-join on the name. The dimension is one row per configured
+    location; Catalyst broadcasts it only when its measured size is under the
+    broadcast threshold and otherwise plans a sort-merge join, so no size is
+    assumed here.
+    """
+    dim = locations.select(
+        F.col("name").alias(name_col),
+        F.struct("name", "latitude", "longitude").alias("location"))
+    return responses.drop("location").join(dim, name_col, "inner")

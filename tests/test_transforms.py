@@ -185,3 +185,18 @@ def test_profile_shape_and_end(spark):
     assert fl.forecast_end(ok2, ["location_name"]).first()["forecast_end_date"] == "2025-01-16"
     pairs = fl.leading_pairs(ok2, "daily", "temperature_2m_max", 1, ["location_name"]).collect()
     assert [(p["time_text"], p["value"]) for p in pairs] == [("2025-01-15", 10.5)]
+
+
+def test_sources_dimension_schema_and_landed_json(spark, tmp_dir):
+    from forecastlake.sources.responses import (
+        attach_locations, locations_df, read_responses, schema_rows,
+    )
+    locs = locations_df(spark, [("London", 51.5074, -0.1278), ("Tokyo", 35.6895, 139.6917)])
+    rows = schema_rows(spark, locs).collect()
+    assert [(r["column_name"], r["data_type"], r["ordinal"]) for r in rows] == [
+        ("name", "string", 0), ("latitude", "double", 1), ("longitude", "double", 2)]
+    responses(spark, [response_row(SAMPLE_BODY, location=("Tokyo", 0.0, 0.0))]).write.json(tmp_dir)
+    landed = read_responses(spark, tmp_dir)
+    named = landed.withColumn("location_name", F.col("location.name"))
+    got = attach_locations(named, locs).select("location.latitude").first()[0]
+    assert got == 35.6895

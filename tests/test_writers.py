@@ -84,3 +84,11 @@ def test_by_date_layout(spark, tmp_dir):
                     interval="daily", provider="p", layout="by_date")
     df = spark.read.parquet(f"{tmp_dir}/provider=p/interval=daily")
     assert "location_name" in df.columns and df.count() == 2
+
+
+def test_interval_inferred_from_columns(spark, tmp_dir):
+    from forecastlake.sinks.lake import infer_interval
+    df = _daily_rows(spark, ["London"], "r1", datetime(2025, 1, 15))
+    assert infer_interval(df) == "daily"
+    write_forecasts(df, tmp_dir, interval=None, provider="p")
+    assert read_lake(spark, tmp_dir, "daily", provider="p").count() == 1
