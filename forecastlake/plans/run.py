@@ -73,7 +73,12 @@ def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_
     if quarantine_path:
         bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("run_id").parquet(quarantine_path)
-    report = write_report(spark, base_path, interval=interval, provider=provider, run_ids=[run_id])
+    # The run's ingestion dates come from the envelopes (one row per response,
+    # a handful of distinct days), so the report lists only those partitions.
+    dates = [r[0] for r in batch.select(F.to_date("ingestion_timestamp_utc")).distinct().collect()
+             if r[0] is not None]
+    report = write_report(spark, base_path, interval=interval, provider=provider,
+                          run_ids=[run_id], ingest_dates=dates, layout=layout)
 
     state_path = None
     if state_root:

@@ -13,15 +13,17 @@ ALL_FAILED = "All locations failed to fetch data."
 
 
 def write_report(spark: SparkSession, base_path: str, *, interval: str, provider: str,
-                 run_ids: list[str] | None = None) -> DataFrame:
+                 run_ids: list[str] | None = None, ingest_dates=None,
+                 layout: str = "by_location") -> DataFrame:
     """Per (location, run) file report from a read-back of the lake (K8, K3).
 
     Only partition columns, ``run_id`` and the ingestion time are read, and
-    for hourly lakes ``run_id`` is a partition, so the scan is pruned to the
-    run's directories. The path uses the ingestion time of the location's
+    only the run's directories are listed (its ingestion dates and, for
+    hourly lakes, its ``run_id`` partition). The path uses the ingestion time of the location's
     first row in the run (A14: its minimum, which is deterministic).
     """
-    lake = read_lake(spark, base_path, interval, provider=provider)
+    lake = read_lake(spark, base_path, interval, provider=provider, run_ids=run_ids,
+                     ingest_dates=ingest_dates, layout=layout)
     if run_ids is not None:
         lake = lake.filter(F.col("run_id").isin(*run_ids))
     g = (lake.groupBy("location_name", "run_id")

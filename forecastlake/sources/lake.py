@@ -30,18 +30,55 @@ def lake_schema(interval: str) -> T.StructType:
     return T.StructType(fields)
 
 
+def _glob_values(values) -> str:
+    vals = sorted({str(v) for v in values})
+    return vals[0] if len(vals) == 1 else "{" + ",".join(vals) + "}"
+
+
+def partition_glob(root: str, *, ingest_dates=None, run_ids=None, layout: str = "by_location") -> str:
+    """Glob of the partition directories holding the given dates / runs.
+
+    Path-based Parquet reads list every file under the path before pruning,
+    so a run-scoped read (write report, read-back) names its directories
+    instead of listing the whole lake.
+    """
+    p = root
+    if layout == "by_location":
+        p += "/location_name=*"
+    p += "/ingest_date=" + (_glob_values(ingest_dates) if ingest_dates else "*")
+    if run_ids:
+        p += "/run_id=" + _glob_values(run_ids)
+    return p
+
+
+def _glob_exists(spark: SparkSession, pattern: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def read_lake(spark: SparkSession, base_path: str, interval: str, *,
-              provider: str | None = None, with_partitions: bool = False) -> DataFrame:
+              provider: str | None = None, with_partitions: bool = False,
+              ingest_dates=None, run_ids=None, layout: str = "by_location") -> DataFrame:
     """Whole-tree read of one interval (S4); columns in the interval's order.
 
     With a provider the scan starts at that provider/interval directory, so
-    the file listing never walks other intervals or providers.
+    the file listing never walks other intervals or providers. With
+    ``ingest_dates`` (and, for hourly lakes, ``run_ids``) only those partition
+    directories are listed.
     """
     schema = lake_schema(interval)
     reader = spark.read.schema(schema).option("basePath", base_path)
     if provider is not None:
         root = f"{base_path}/provider={provider}/interval={interval}"
-        if path_exists(spark, root):
+        if ingest_dates or (run_ids and interval == "hourly"):
+            root = partition_glob(root, ingest_dates=ingest_dates,
+                                  run_ids=run_ids if interval == "hourly" else None, layout=layout)
+            present = _glob_exists(spark, root)
+        else:
+            present = path_exists(spark, root)
+        if present:
             df = reader.parquet(root)
         else:  # nothing written yet for this provider and interval
             df = spark.createDataFrame([], schema)

@@ -24,8 +24,7 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed version numbers under ``root``, ascending (metadata listing only)."""
+def _version_dirs(spark: SparkSession, root: str) -> list[tuple[int, object]]:
     fs, jvm = _fs(spark, root)
     base = jvm.org.apache.hadoop.fs.Path(root)
     if not fs.exists(base):
@@ -34,13 +33,27 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     for st in fs.listStatus(base):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("v="):
-            done = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-            if fs.exists(done):
-                try:
-                    out.append(int(name[2:]))
-                except ValueError:
-                    continue
-    return sorted(out)
+            try:
+                out.append((int(name[2:]), st.getPath()))
+            except ValueError:
+                continue
+    return sorted(out, key=lambda t: t[0])
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    """Highest committed version: one listing, then ``_SUCCESS`` probes from the top."""
+    fs, jvm = _fs(spark, root)
+    for v, path in reversed(_version_dirs(spark, root)):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+            return v
+    return None
+
+
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """All committed version numbers, ascending (for inspection and tests)."""
+    fs, jvm = _fs(spark, root)
+    return [v for v, p in _version_dirs(spark, root)
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
 
 
 def version_path(root: str, version: int) -> str:
@@ -54,10 +67,10 @@ def empty_state(spark: SparkSession) -> DataFrame:
 def read_state(spark: SparkSession, root: str) -> DataFrame:
     """Latest committed state; missing -> empty; unreadable -> warning + empty."""
     try:
-        versions = committed_versions(spark, root)
-        if not versions:
+        v = latest_version(spark, root)
+        if v is None:
             return empty_state(spark)
-        return spark.read.schema(STATE).parquet(version_path(root, versions[-1]))
+        return spark.read.schema(STATE).parquet(version_path(root, v))
     except Exception as exc:  # unreadable store: start from an empty state
         log.warning("could not read state at %s: %s", root, exc)
         return empty_state(spark)
@@ -66,8 +79,10 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
 def save_state(state: DataFrame, root: str, *, compression: str = "zstd") -> str:
     """Write ``state`` as the next version and return its path (K7)."""
     spark = state.sparkSession
-    versions = committed_versions(spark, root)
-    path = version_path(root, (versions[-1] + 1) if versions else 1)
+    # Next number after every existing directory, committed or not, so a
+    # half-written version left by a crashed save is never reused.
+    dirs = _version_dirs(spark, root)
+    path = version_path(root, (dirs[-1][0] + 1) if dirs else 1)
     (state.select(*[f.name for f in STATE.fields])
      .write.mode("errorifexists").option("compression", compression).parquet(path))
     return path

@@ -92,3 +92,17 @@ def test_interval_inferred_from_columns(spark, tmp_dir):
     assert infer_interval(df) == "daily"
     write_forecasts(df, tmp_dir, interval=None, provider="p")
     assert read_lake(spark, tmp_dir, "daily", provider="p").count() == 1
+
+
+def test_run_scoped_read_lists_only_its_partitions(spark, tmp_dir):
+    from forecastlake.sources.lake import partition_glob
+    for day, run in ((15, "r1"), (16, "r2")):
+        write_forecasts(_hourly_rows(spark, ["London", "Tokyo"], run, datetime(2025, 1, day, 3)), tmp_dir,
+                        interval="hourly", provider="p")
+    from datetime import date
+    df = read_lake(spark, tmp_dir, "hourly", provider="p", ingest_dates=[date(2025, 1, 16)], run_ids=["r2"])
+    assert {r["run_id"] for r in df.collect()} == {"r2"} and df.count() == 6
+    assert partition_glob("/x", ingest_dates=["2025-01-15", "2025-01-16"], run_ids=["r"]) == \
+        "/x/location_name=*/ingest_date={2025-01-15,2025-01-16}/run_id=r"
+    none = read_lake(spark, tmp_dir, "hourly", provider="p", ingest_dates=[date(2030, 1, 1)])
+    assert none.count() == 0
