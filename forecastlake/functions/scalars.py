@@ -116,3 +116,9 @@ def prototype_partition_path(interval: ColumnOrName, location_name: ColumnOrName
     """Prototype layout ``{interval}/location={name}/{YYYY-MM-DD}``."""
     return F.concat(_col(interval), F.lit("/location="), _col(location_name), F.lit("/"),
                     F.date_format(_col(ingestion_ts), "yyyy-MM-dd"))
+
+
+def size_or_null(c: ColumnOrName) -> Column:
+    """Array length, NULL for a NULL array whatever ``spark.sql.legacy.sizeOfNull`` says."""
+    a = _col(c)
+    return F.when(a.isNotNull(), F.size(a))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecastlake.functions.scalars import (
+    size_or_null,
     as_double,
     as_int_strict,
     iso_format,
@@ -97,7 +98,7 @@ def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None
         "api_latitude", "api_longitude", "ingestion_timestamp_utc",
         rid.alias("run_id"), block["time"].alias("_time_arr"),
         *[block[s].alias(_arr(s)) for s in spellings])
-    arrays = arrays.select("*", *[F.size(_arr(s)).alias(f"_size_{s}") for s in spellings])
+    arrays = arrays.select("*", *[size_or_null(_arr(s)).alias(f"_size_{s}") for s in spellings])
     base = arrays.select(
         "location_name", "requested_latitude", "requested_longitude", "api_latitude",
         "api_longitude", "ingestion_timestamp_utc", "run_id", F.inline(_cells(variables)),
@@ -218,10 +219,10 @@ def payload_shape(parsed: DataFrame, interval: str, key_cols: list[str]) -> Data
     return parsed.select(
         *key_cols,
         F.array_join(F.sort_array(top), ",").alias("top_keys"),
-        F.size(top).alias("n_top_keys"),
+        size_or_null(top).alias("n_top_keys"),
         F.array_join(F.sort_array(F.map_keys(block)), ",").alias("block_keys"),
-        (F.size(F.map_keys(block)) - 1).alias("n_variables"),
-        F.size(block["time"]).alias("n_points"),
+        (size_or_null(F.map_keys(block)) - 1).alias("n_variables"),
+        size_or_null(block["time"]).alias("n_points"),
         F.octet_length("body").alias("body_bytes"),
         F.col("n_docs").alias("n_locations"),
     )
@@ -249,9 +250,9 @@ def forecast_end(ok: DataFrame, key_cols: list[str]) -> DataFrame:
     """Last forecast time of a response (A15): daily wins whenever non-empty."""
     daily = F.col("doc")["daily"]
     hourly = F.col("doc")["hourly"]
-    last_daily = F.get(daily["time"], F.size(daily["time"]) - 1)
-    last_hourly = F.get(hourly["time"], F.size(hourly["time"]) - 1)
-    end = F.when(F.size(F.map_keys(daily)) > 0, last_daily).otherwise(last_hourly)
+    last_daily = F.get(daily["time"], size_or_null(daily["time"]) - 1)
+    last_hourly = F.get(hourly["time"], size_or_null(hourly["time"]) - 1)
+    end = F.when(size_or_null(F.map_keys(daily)) > 0, last_daily).otherwise(last_hourly)
     return ok.select(*key_cols, end.alias("forecast_end_date"))
 
 

@@ -11,6 +11,7 @@ from forecastlake.functions.scalars import (
     is_truthy_text,
     iso_format,
     normalise_tz,
+    size_or_null,
 )
 from forecastlake.schemas import BODY_LIST
 
@@ -52,7 +53,7 @@ def parse_responses(responses: DataFrame, *, multi_location: bool = False,
     # into later filters, so each body is parsed exactly once even though the
     # usable and failed branches both test the parsed document.
     df = (responses.select("*", F.inline_outer(F.array(F.struct(docs.alias("_docs")))))
-          .withColumn("n_docs", F.size("_docs")))
+          .withColumn("n_docs", size_or_null("_docs")))
     if multi_location:
         df = df.select("*", F.posexplode_outer("_docs").alias("doc_index", "doc"))
         if locations_col in responses.columns:

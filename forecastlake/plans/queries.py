@@ -18,6 +18,7 @@ from forecastlake.operators import quality as q
 from forecastlake.operators import state as st
 from forecastlake.operators.parse import metadata_record, parse_responses, split_ok_failed
 from forecastlake.operators.validate import check_rows
+from forecastlake.functions.scalars import size_or_null
 from forecastlake.plans.run import run_batch
 from forecastlake.session import scratch_path, table_path
 from forecastlake.sinks.lake import write_forecasts
@@ -119,7 +120,7 @@ def q_split_ok(spark, sf_dir):
     ok = _keyed(_ok_hourly(spark, sf_dir))
     return ok.select(*KEYS, "api_latitude", "api_longitude", "api_elevation",
                      "api_generationtime_ms", "api_timezone", "api_utc_offset_seconds",
-                     F.size(F.col("doc")["hourly"]["time"]).alias("n_points"))
+                     size_or_null(F.col("doc")["hourly"]["time"]).alias("n_points"))
 
 
 def q_split_failed(spark, sf_dir):

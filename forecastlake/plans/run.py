@@ -14,6 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecastlake.functions.scalars import size_or_null
 from forecastlake.operators.flatten import flatten_series, forecast_end
 from forecastlake.operators.parse import parse_responses, split_ok_failed
 from forecastlake.operators.state import apply_outcomes, outcomes
@@ -46,7 +47,7 @@ def response_outcomes(parsed: DataFrame, interval: str, at, order_col: str = "in
         provider=F.col("provider"), interval=F.col("interval"),
         location_name=F.col("location.name"),
         success=F.col("error").isNull(), error=F.col("error"),
-        records=F.coalesce(F.size(block["time"]), F.lit(0)),
+        records=F.coalesce(size_or_null(block["time"]), F.lit(0)),
         forecast_end_date=F.col("forecast_end_date"),
         at=F.lit(at) if at is not None else F.current_timestamp(),
         order=F.struct(F.col(order_col), F.col("attempt")),

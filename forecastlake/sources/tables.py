@@ -26,6 +26,11 @@ ERROR_TYPE = "error"
 PROVIDER = "open_meteo"
 
 
+def _day(ts: Column) -> Column:
+    """Midnight of a timestamp_ntz, computed without the session time zone."""
+    return F.to_date(ts).cast("timestamp_ntz")
+
+
 def _k(props: str = "props") -> Column:
     return F.get_json_object(F.col(props), "$.k").cast("int")
 
@@ -61,7 +66,7 @@ def _timezone(t: Column) -> Column:
 
 def events_points(events: DataFrame) -> DataFrame:
     """Events with the response key columns (no shuffle)."""
-    day = F.date_trunc("DAY", F.col("ts")).cast("timestamp_ntz")
+    day = _day(F.col("ts"))
     return events.select(
         "event_id", "ts", "event_type", "value", "user_id", _k().alias("k"),
         day.alias("day"), F.floor(F.col("event_id") / POINTS_PER_RESPONSE).alias("chunk"))
@@ -202,7 +207,7 @@ def events_hourly_frame(events: DataFrame) -> DataFrame:
     """``events`` read directly as an hourly lake frame (HOURLY columns)."""
     t = F.col("event_type")
     k = _k()
-    day = F.date_trunc("DAY", F.col("ts")).cast("timestamp_ntz")
+    day = _day(F.col("ts"))
     lat, lon = event_latitude(t), event_longitude(t)
     return events.select(
         t.alias("location_name"), lat.alias("requested_latitude"), lon.alias("requested_longitude"),
@@ -230,11 +235,11 @@ def lineitem_daily_frame(lineitem: DataFrame, *, by_flag: bool = False) -> DataF
     lon = (s % 360).cast("double") - F.lit(180.0)
     if by_flag:
         name = F.concat(F.lit("F"), F.col("l_returnflag"))
-        ingest = F.date_trunc("YEAR", F.col("l_shipdate")).cast("timestamp_ntz")
+        ingest = F.trunc(F.to_date("l_shipdate"), "year").cast("timestamp_ntz")
         run = F.concat(F.lit("run-"), F.date_format(ingest, "yyyy"))
     else:
         name = F.concat(F.lit("S"), s.cast("string"))
-        ingest = F.date_trunc("MONTH", F.col("l_shipdate")).cast("timestamp_ntz")
+        ingest = F.trunc(F.to_date("l_shipdate"), "month").cast("timestamp_ntz")
         run = F.concat(F.lit("run-"), F.date_format(ingest, "yyyyMM"))
     return lineitem.select(
         name.alias("location_name"),
