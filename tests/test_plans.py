@@ -34,3 +34,35 @@ def test_body_parsed_once(spark):
 def test_attempt_resolution_is_one_aggregation(spark):
     p = _plan(QUERIES["attempt_resolution"](spark, SF_SMALL))
     assert "Window" not in p and "SortMergeJoin" not in p
+
+
+def test_quality_aggregations_are_partial_before_the_shuffle(spark):
+    for name in ("completeness", "ranges_daily", "duplicates", "attempt_resolution"):
+        p = _plan(QUERIES[name](spark, SF_SMALL))
+        first_exchange = p.index("Exchange")
+        assert "partial_" in p[first_exchange:], name   # map-side partial aggregate below the shuffle
+
+
+def test_hot_location_is_split_across_writers(spark, tmp_dir):
+    """One location with ~90% of the rows is written by several tasks (AQE rebalance)."""
+    import os
+    from pyspark.sql import functions as F
+    from forecastlake.sinks.lake import write_forecasts
+    from forecastlake.schemas import DAILY
+
+    n = 400_000
+    df = (spark.range(n).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("L"), (F.col("id") % 7).cast("string")))
+         .otherwise(F.lit("HOT")).alias("location_name"),
+        F.lit(1.0).alias("requested_latitude"), F.lit(2.0).alias("requested_longitude"),
+        F.lit(1.0).alias("api_latitude"), F.lit(2.0).alias("api_longitude"),
+        F.lit("2025-01-15").cast("timestamp_ntz").alias("date"),
+        F.rand(1).alias("temperature_2m_max"), F.rand(2).alias("temperature_2m_min"),
+        F.rand(3).alias("precipitation_sum"), F.lit("open-meteo").alias("source_api"),
+        F.lit("2025-01-15 06:00:00").cast("timestamp_ntz").alias("ingestion_timestamp_utc"),
+        F.lit("r1").alias("run_id")))
+    assert df.columns == DAILY.fieldNames()
+    write_forecasts(df, tmp_dir, interval="daily", provider="p", compression="snappy", latest_run_only=False)
+    hot = f"{tmp_dir.replace('file:', '')}/provider=p/interval=daily/location_name=HOT/ingest_date=2025-01-15"
+    files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
+    assert len(files) > 1
