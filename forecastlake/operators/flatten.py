@@ -246,14 +246,18 @@ def leading_pairs(ok: DataFrame, interval: str, variable: str, k: int,
                     as_double(F.col("pair.v")).alias("value")))
 
 
-def forecast_end(ok: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Last forecast time of a response (A15): daily wins whenever non-empty."""
+def forecast_end_expr() -> Column:
+    """Last forecast time of a parsed document: daily wins whenever non-empty."""
     daily = F.col("doc")["daily"]
     hourly = F.col("doc")["hourly"]
     last_daily = F.get(daily["time"], size_or_null(daily["time"]) - 1)
     last_hourly = F.get(hourly["time"], size_or_null(hourly["time"]) - 1)
-    end = F.when(size_or_null(F.map_keys(daily)) > 0, last_daily).otherwise(last_hourly)
-    return ok.select(*key_cols, end.alias("forecast_end_date"))
+    return F.when(size_or_null(F.map_keys(daily)) > 0, last_daily).otherwise(last_hourly)
+
+
+def forecast_end(ok: DataFrame, key_cols: list[str]) -> DataFrame:
+    """Last forecast time of each response."""
+    return ok.select(*key_cols, forecast_end_expr().alias("forecast_end_date"))
 
 
 def coordinate_snap(df: DataFrame) -> DataFrame:

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecastlake.functions.scalars import size_or_null
-from forecastlake.operators.flatten import flatten_series, forecast_end
+from forecastlake.operators.flatten import flatten_series, forecast_end_expr
 from forecastlake.operators.parse import parse_responses, split_ok_failed
 from forecastlake.operators.state import apply_outcomes, outcomes
 from forecastlake.operators.validate import check_rows
 from forecastlake.schemas import require_interval
 from forecastlake.sinks.lake import write_forecasts
+from forecastlake.session import checkpoint_root
 from forecastlake.sinks.reports import run_report, write_report
 from forecastlake.sources.state_store import read_state, save_state
 
@@ -37,20 +38,31 @@ class RunResult:
     state_path: str | None
 
 
-def response_outcomes(parsed: DataFrame, interval: str, at, order_col: str = "ingestion_timestamp_utc") -> DataFrame:
-    """State updates from parsed responses: one per response."""
+def response_summary(parsed: DataFrame, interval: str) -> DataFrame:
+    """One small row per response: who, when, outcome, points, forecast end.
+
+    This is all that the state update, the failure list and the run report
+    need, so the bodies are parsed for it once and never again.
+    """
     block = F.col("doc").getField(interval)
-    ends = forecast_end(parsed, ["location", "provider", "interval", "error", "attempt",
-                                 "ingestion_timestamp_utc", "doc"])
+    return parsed.select(
+        "location", "provider", "interval", "attempt", "error_class",
+        "ingestion_timestamp_utc", "error",
+        F.coalesce(size_or_null(block["time"]), F.lit(0)).alias("n_points"),
+        forecast_end_expr().alias("forecast_end_date"),
+    )
+
+
+def response_outcomes(summary: DataFrame, at) -> DataFrame:
+    """State updates from the response summary: one per response."""
     return outcomes(
-        ends,
+        summary,
         provider=F.col("provider"), interval=F.col("interval"),
         location_name=F.col("location.name"),
         success=F.col("error").isNull(), error=F.col("error"),
-        records=F.coalesce(size_or_null(block["time"]), F.lit(0)),
-        forecast_end_date=F.col("forecast_end_date"),
+        records=F.col("n_points"), forecast_end_date=F.col("forecast_end_date"),
         at=F.lit(at) if at is not None else F.current_timestamp(),
-        order=F.struct(F.col(order_col), F.col("attempt")),
+        order=F.struct(F.col("ingestion_timestamp_utc"), F.col("attempt")),
     )
 
 
@@ -59,24 +71,35 @@ def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_
               compression: str = "zstd", run_id: str | None = None,
               layout: str = "by_location", quarantine_path: str | None = None,
               now=None) -> RunResult:
-    """Run one ingestion over a responses DataFrame (any size, any source)."""
+    """Run one ingestion over a responses DataFrame (any size, any source).
+
+    Jobs: (1) response summary, checkpointed to the shared checkpoint folder
+    (one row per response; cuts lineage so later steps survive executor loss
+    without re-reading the landing zone); (2) flatten + lake write;
+    (3) run-scoped read-back report; (4) state version; (5) run report.
+    Bodies are parsed twice in total: for the summary and for the write.
+    """
     require_interval(interval)
+    checkpoint_root(spark)
     run_id = run_id or str(uuid.uuid4())
     run_start = now or datetime.now(timezone.utc)
     batch = responses.filter(F.col("interval") == interval).withColumn("provider", F.lit(provider))
     parsed = parse_responses(batch)
-    ok, failed = split_ok_failed(parsed)
-    rows = flatten_series(ok, interval, run_id=run_id)
-    good, bad = check_rows(rows)
+    summary = response_summary(parsed, interval).checkpoint(eager=True)
+    failed = summary.filter(F.col("error").isNotNull()).select(
+        "location", "error", F.lit("failed").alias("status"), "provider", "interval", "attempt",
+        "error_class", "ingestion_timestamp_utc")
 
+    ok, _ = split_ok_failed(parsed)
+    good, bad = check_rows(flatten_series(ok, interval, run_id=run_id))
     write_forecasts(good, base_path, interval=interval, provider=provider,
                     compression=compression, layout=layout, latest_run_only=False)
     if quarantine_path:
         bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("run_id").parquet(quarantine_path)
-    # The run's ingestion dates come from the envelopes (one row per response,
-    # a handful of distinct days), so the report lists only those partitions.
-    dates = [r[0] for r in batch.select(F.to_date("ingestion_timestamp_utc")).distinct().collect()
+    # A handful of distinct days per run, read from the small summary, so the
+    # report lists only the partitions this run wrote.
+    dates = [r[0] for r in summary.select(F.to_date("ingestion_timestamp_utc")).distinct().collect()
              if r[0] is not None]
     report = write_report(spark, base_path, interval=interval, provider=provider,
                           run_ids=[run_id], ingest_dates=dates, layout=layout)
@@ -85,7 +108,7 @@ def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_
     if state_root:
         # State is updated after the lake write, so a crash between the two
         # leaves the state pointing at the previous run (never ahead of data).
-        updates = response_outcomes(parsed, interval, run_start)
+        updates = response_outcomes(summary, run_start)
         state_path = save_state(apply_outcomes(read_state(spark, state_root), updates), state_root)
     run_end = datetime.now(timezone.utc) if now is None else now
     rr = run_report(report, failed, run_id=run_id, run_start=run_start, run_end=run_end)
