@@ -335,6 +335,15 @@ SELECT location_name, run_id,
 FROM (SELECT location_name, run_id, COUNT(*) AS records_written, MIN(ingestion_timestamp_utc) AS d
       FROM (SELECT {_hourly_two_runs()} FROM events) GROUP BY 1, 2)""",
 
+    "write_totals": f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS records_processed,
+  COUNT(DISTINCT event_type || '|' || strftime(ts, '%Y%m%d') || CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END)
+    AS files_written
+FROM events""",
+
+    "single_write_report": """
+SELECT COUNT(*) AS records_written, 'parquet' AS format FROM lineitem""",
+
     "lake_path_columns": f"""
 SELECT 'open_meteo' AS path_provider, 'hourly' AS path_interval, event_type AS path_location,
   CAST({DAY} AS DATE) AS path_date, COUNT(*) AS records

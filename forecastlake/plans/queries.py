@@ -21,8 +21,8 @@ from forecastlake.operators.validate import check_rows
 from forecastlake.functions.scalars import size_or_null
 from forecastlake.plans.run import run_batch
 from forecastlake.session import scratch_path, table_path
-from forecastlake.sinks.lake import write_forecasts
-from forecastlake.sinks.reports import prototype_paths, write_report
+from forecastlake.sinks.lake import write_forecasts, write_single
+from forecastlake.sinks.reports import prototype_paths, report_totals, write_report
 from forecastlake.sources import tables as tb
 from forecastlake.sources.lake import lake_path_columns, read_lake
 from forecastlake.sources.responses import attach_locations, request_manifest
@@ -325,6 +325,19 @@ def q_write_report(spark, sf_dir):
     return write_report(spark, base, interval="hourly", provider=PROVIDER)
 
 
+def q_write_totals(spark, sf_dir):
+    base = scratch_path(spark, "lake-totals")
+    for run in _two_hourly_runs(spark, sf_dir):
+        write_forecasts(run, base, interval="hourly", provider=PROVIDER)
+    return report_totals(write_report(spark, base, interval="hourly", provider=PROVIDER))
+
+
+def q_single_write_report(spark, sf_dir):
+    path = scratch_path(spark, "single") + "/open_meteo/daily/forecast.parquet"
+    rep = write_single(_daily(spark, sf_dir).drop("l_orderkey", "l_linenumber"), path, compression="zstd")
+    return rep.select("records_written", "format")
+
+
 def q_lake_path_columns(spark, sf_dir):
     base = scratch_path(spark, "lake-paths")
     write_forecasts(_hourly(spark, sf_dir).drop("event_id"), base, interval="hourly", provider=PROVIDER)
@@ -450,6 +463,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_write_daily": q_partitioned_write_daily,
     "daily_replace_single_batch": q_daily_replace_single_batch,
     "write_report": q_write_report,
+    "write_totals": q_write_totals,
+    "single_write_report": q_single_write_report,
     "lake_path_columns": q_lake_path_columns,
     "lake_location_filter": q_lake_location_filter,
     "run_report": q_run_report,

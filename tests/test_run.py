@@ -55,3 +55,24 @@ def test_incremental_available_now(spark, tmp_dir):
     run_available_now(spark, f"{land}/drop=*", **kw)
     assert read_lake(spark, lake, "hourly", provider="open_meteo").count() == 4
     assert read_state(spark, f"{tmp_dir}/state").count() == 2
+
+
+def test_quarantine_sink_and_fail_mode(spark, tmp_dir):
+    import pytest
+    from forecastlake.operators import flatten as fl
+    from forecastlake.operators.parse import ingestion_metadata, parse_responses, split_ok_failed
+    from forecastlake.operators.validate import check_rows
+
+    body = copy.deepcopy(SAMPLE_BODY)
+    body["hourly"]["temperature_2m"] = [5.2, "oops"]
+    df = responses(spark, [response_row(body)])
+    res = run_batch(spark, df, interval="hourly", base_path=f"{tmp_dir}/lake",
+                    quarantine_path=f"{tmp_dir}/quarantine", run_id="run-q")
+    q = spark.read.parquet(f"{tmp_dir}/quarantine")
+    assert [r["errors"] for r in q.collect()] == [["bad_value:temperature_2m"]]
+    assert res.run_report.first()["records_processed"] == 1
+    ok, _ = split_ok_failed(parse_responses(df))
+    with pytest.raises(ValueError):
+        check_rows(fl.flatten_hourly(ok), on_bad="fail")
+    meta = ingestion_metadata(parse_responses(df)).first()
+    assert meta["response_size_bytes"] == len(df.first()["body"].encode()) and meta["status_code"] == 200
