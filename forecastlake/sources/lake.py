@@ -109,3 +109,41 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(path)
+
+
+def legacy_file_schema(interval: str) -> T.StructType:
+    """Column types as found in files of the older one-file-per-location tree.
+
+    Integer codes were written as 64-bit and all-NULL columns as a Null type;
+    reading with this schema maps both (a Null column reads as NULLs).
+    """
+    fields = []
+    for f in INTERVAL_SCHEMA[require_interval(interval)].fields:
+        t = T.LongType() if isinstance(f.dataType, T.IntegerType) else f.dataType
+        fields.append(T.StructField(f.name, t))
+    return T.StructType(fields)
+
+
+def read_legacy_tree(spark: SparkSession, root: str, interval: str, *,
+                     provider: str = "open_meteo") -> DataFrame:
+    """Read a lake in the older layout.
+
+    Layout: ``{root}/{provider}/{interval}/{location}/{YYYY}/{MM}/{DD}/forecast_*.parquet``
+    (no ``key=value`` directories). Recursive file lookup with an explicit
+    schema, so no partition inference and no per-file schema merge; columns come
+    back in the interval's order and types, plus ``path_location`` and
+    ``path_date`` recovered from the path.
+    """
+    base = f"{root.rstrip('/')}/{provider}/{interval}"
+    df = (spark.read.schema(legacy_file_schema(interval))
+          .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+          .parquet(base))
+    path = F.url_decode(F.col("_metadata.file_path"))
+    pattern = f"/{interval}/([^/]+)/([0-9]{{4}})/([0-9]{{2}})/([0-9]{{2}})/[^/]+$"
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in INTERVAL_SCHEMA[interval].fields]
+    return df.select(
+        *cols,
+        F.regexp_extract(path, pattern, 1).alias("path_location"),
+        F.concat_ws("-", F.regexp_extract(path, pattern, 2), F.regexp_extract(path, pattern, 3),
+                    F.regexp_extract(path, pattern, 4)).try_cast("date").alias("path_date"),
+    )

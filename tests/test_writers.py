@@ -106,3 +106,32 @@ def test_run_scoped_read_lists_only_its_partitions(spark, tmp_dir):
         "/x/location_name=*/ingest_date={2025-01-15,2025-01-16}/run_id=r"
     none = read_lake(spark, tmp_dir, "hourly", provider="p", ingest_dates=[date(2030, 1, 1)])
     assert none.count() == 0
+
+
+def test_read_legacy_tree(spark, tmp_dir):
+    import os
+    from datetime import date
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from forecastlake.sources.lake import read_legacy_tree
+
+    root = tmp_dir.replace("file:", "")
+    d = f"{root}/open_meteo/hourly/New York/2025/01/15"
+    os.makedirs(d)
+    t = pa.table({
+        "location_name": ["New York"] * 2, "requested_latitude": [40.7, 40.7],
+        "requested_longitude": [-74.0, -74.0], "api_latitude": [40.7, 40.7], "api_longitude": [-74.0, -74.0],
+        "timestamp": pa.array([1736899200000000, 1736902800000000], pa.timestamp("us")),
+        "temperature_2m": [1.5, 2.5], "precipitation": [0.0, 0.1], "relative_humidity_2m": pa.nulls(2),
+        "windspeed_10m": pa.nulls(2), "wind_direction_10m": pa.nulls(2), "cloud_cover": pa.nulls(2),
+        "weather_code": pa.array([61, None], pa.int64()), "source_api": ["open-meteo"] * 2,
+        "ingestion_timestamp_utc": pa.array([1736910000000000] * 2, pa.timestamp("us")), "run_id": ["r1"] * 2})
+    pq.write_table(t, f"{d}/forecast_20250115_03h_r1.parquet", compression="zstd")
+    df = read_legacy_tree(spark, root, "hourly")
+    rows = df.orderBy("timestamp").collect()
+    assert [r["weather_code"] for r in rows] == [61, None]
+    assert rows[0]["relative_humidity_2m"] is None and rows[1]["temperature_2m"] == 2.5
+    assert rows[0]["path_location"] == "New York" and rows[0]["path_date"] == date(2025, 1, 15)
+    assert dict(df.dtypes)["weather_code"] == "int"
