@@ -17,6 +17,9 @@ from forecastlake.schemas import STATE
 
 log = logging.getLogger(__name__)
 
+# Fixed value: format version of the state document.
+STATE_FORMAT_VERSION = "1.0"
+
 
 def _fs(spark: SparkSession, root: str):
     jvm = spark.sparkContext._jvm
@@ -86,3 +89,17 @@ def save_state(state: DataFrame, root: str, *, compression: str = "zstd") -> str
     (state.select(*[f.name for f in STATE.fields])
      .write.mode("errorifexists").option("compression", compression).parquet(path))
     return path
+
+
+def state_info(spark: SparkSession, root: str) -> DataFrame:
+    """Document-level metadata of the state: schema version, committed version,
+    path and ``last_updated`` (the commit time of that version)."""
+    v = latest_version(spark, root)
+    schema = "format_version string, version int, path string, last_updated timestamp"
+    if v is None:
+        return spark.createDataFrame([], schema)
+    fs, jvm = _fs(spark, root)
+    done = fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(version_path(root, v), "_SUCCESS"))
+    from datetime import datetime, timezone
+    updated = datetime.fromtimestamp(done.getModificationTime() / 1000.0, tz=timezone.utc)
+    return spark.createDataFrame([(STATE_FORMAT_VERSION, v, version_path(root, v), updated)], schema)

@@ -76,3 +76,20 @@ def test_quarantine_sink_and_fail_mode(spark, tmp_dir):
         check_rows(fl.flatten_hourly(ok), on_bad="fail")
     meta = ingestion_metadata(parse_responses(df)).first()
     assert meta["response_size_bytes"] == len(df.first()["body"].encode()) and meta["status_code"] == 200
+
+
+def test_job_entry_point_exit_codes(spark, tmp_dir):
+    from forecastlake.plans.job import main
+    from forecastlake.sources.state_store import state_info
+
+    land = f"{tmp_dir}/landing"
+    responses(spark, [response_row(SAMPLE_BODY, interval="daily")]).write.json(land)
+    args = ["--landing", land, "--interval", "daily", "--lake", f"{tmp_dir}/lake", "--state", f"{tmp_dir}/state"]
+    assert main(args, spark=spark) == 0
+    info = state_info(spark, f"{tmp_dir}/state").first()
+    assert info["version"] == 1 and info["format_version"] == "1.0" and info["last_updated"] is not None
+    bad = f"{tmp_dir}/bad"
+    responses(spark, [response_row("garbage", interval="daily")]).write.json(bad)
+    assert main(["--landing", bad, "--interval", "daily", "--lake", f"{tmp_dir}/lake2"], spark=spark) == 1
+    assert main(["--landing", f"{tmp_dir}/missing", "--interval", "daily", "--lake", f"{tmp_dir}/l3"],
+                spark=spark) == 1
