@@ -213,7 +213,8 @@ def variable_profile(ok: DataFrame, interval: str, key_cols: list[str]) -> DataF
 
 
 def payload_shape(parsed: DataFrame, interval: str, key_cols: list[str]) -> DataFrame:
-    """Shape of each body (P15): keys, variables, points, bytes, locations."""
+    """Shape of each body (P15, P18): keys, variables, points, bytes, locations,
+    present metadata keys."""
     block = _block(interval)
     top = F.json_object_keys("body")
     return parsed.select(
@@ -225,14 +226,19 @@ def payload_shape(parsed: DataFrame, interval: str, key_cols: list[str]) -> Data
         size_or_null(block["time"]).alias("n_points"),
         F.octet_length("body").alias("body_bytes"),
         F.col("n_docs").alias("n_locations"),
+        present_keys_expr().alias("present_keys"),
     )
 
 
-def present_keys(parsed: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Metadata keys present in each body, in metadata order."""
+def present_keys_expr() -> Column:
+    """Metadata keys present in the body, in metadata order, comma-joined."""
     wanted = F.array(*[F.lit(k) for k in METADATA_KEYS])
-    return parsed.select(*key_cols, F.array_join(
-        F.array_intersect(wanted, F.json_object_keys("body")), ",").alias("present_keys"))
+    return F.array_join(F.array_intersect(wanted, F.json_object_keys("body")), ",")
+
+
+def present_keys(parsed: DataFrame, key_cols: list[str]) -> DataFrame:
+    """Metadata keys present in each body."""
+    return parsed.select(*key_cols, present_keys_expr().alias("present_keys"))
 
 
 def leading_pairs(ok: DataFrame, interval: str, variable: str, k: int,

@@ -109,9 +109,9 @@ def q_forecast_end(spark, sf_dir):
 
 def q_payload_shape(spark, sf_dir):
     parsed = _keyed(parse_responses(tb.events_responses(_t(spark, sf_dir, "events"))))
-    shape = fl.payload_shape(parsed, "hourly", KEYS).drop("body_bytes")
-    keys = fl.present_keys(parsed, KEYS)
-    return shape.join(keys, KEYS)
+    # Body bytes depend on the JSON writer's formatting, so the oracle cannot
+    # reproduce them; the column is tested in the unit tests instead.
+    return fl.payload_shape(parsed, "hourly", KEYS).drop("body_bytes")
 
 
 # ---- classification and metadata ----------------------------------------
