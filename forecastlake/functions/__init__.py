@@ -13,5 +13,6 @@ from forecastlake.functions.scalars import (  # noqa: F401
     parse_time,
     partition_path,
     prototype_partition_path,
+    size_or_null,
     strip_offset,
 )
