@@ -78,8 +78,12 @@ def write_forecasts(df: DataFrame, base_path: str, *, interval: str | None, prov
     if latest_run_only:
         out = keep_latest_run(out, ["location_name", "ingest_date"])
     out = out.hint("rebalance", *parts)
-    if layout == "by_date":
-        out = out.sortWithinPartitions("location_name", INTERVAL_SCHEMA[interval].fields[5].name)
+    # The writer sorts each task's rows by the partition columns anyway; adding
+    # the time column to the same sort orders every file by time, so Parquet
+    # row-group min/max statistics let time-range filters skip data.
+    time_col = INTERVAL_SCHEMA[interval].fields[5].name
+    inner = ["location_name", time_col] if layout == "by_date" else [time_col]
+    out = out.sortWithinPartitions(*parts, *inner)
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", compression)

@@ -59,3 +59,36 @@ def test_sample_breaks_ties(spark):
     df = spark.createDataFrame(rows, HOURLY)
     got = [r["temperature_2m"] for r in q.sample(df, "hourly").collect()]
     assert got == [float(i) for i in range(10)]
+
+
+def test_location_summary_equals_separate_checks(spark):
+    from forecastlake.plans.queries import _daily
+    from tests.conftest import SF_SMALL
+
+    d = _daily(spark, SF_SMALL)
+    summary = {r["location_name"]: r for r in q.location_summary(d, "daily").collect()}
+    for r in q.ranges(d, "daily").collect():
+        s = summary[r["location_name"]]
+        assert (s["min_temp"], s["max_temp"], s["avg_temp"], s["min_temp_min"], s["max_precip_mm"],
+                s["null_count"]) == (r["min_temp"], r["max_temp"], r["avg_temp"], r["min_temp_min"],
+                                     r["max_precip_mm"], r["null_count"])
+    for r in q.completeness(d, date_col="date").collect():
+        assert (summary[r["location_name"]]["record_count"], summary[r["location_name"]]["unique_dates"]) == \
+            (r["record_count"], r["unique_dates"])
+    for r in q.comparison(d, "daily").collect():
+        assert summary[r["location_name"]]["total_precip_mm"] == r["total_precip_mm"]
+
+
+def test_lake_files_are_time_ordered(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from forecastlake.plans.queries import _hourly
+    from forecastlake.sinks.lake import write_forecasts
+    from tests.conftest import SF_SMALL
+
+    write_forecasts(_hourly(spark, SF_SMALL).drop("event_id"), tmp_dir, interval="hourly", provider="p")
+    df = spark.read.parquet(tmp_dir).select(F.input_file_name().alias("f"), "timestamp")
+    rows = df.collect()
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r["f"], []).append(r["timestamp"])
+    assert all(v == sorted(v) for v in by_file.values())
