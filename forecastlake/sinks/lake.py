@@ -8,11 +8,14 @@ a directory and a retry of the same run is idempotent.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecastlake.schemas import INTERVAL_SCHEMA, require_interval
 
+SAFE_NAME = re.compile(r"^[A-Za-z0-9_.-]+$")
 # Parquet codecs accepted by the writer.
 CODECS = ("snappy", "gzip", "zstd")
 LAYOUTS = ("by_location", "by_date")
@@ -24,17 +27,23 @@ def infer_interval(df: DataFrame) -> str:
 
 
 def partition_columns(interval: str, layout: str = "by_location") -> list[str]:
+    """Partition levels below ``{base}/provider=…/interval=…``."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    cols = ["provider", "interval"]
-    if layout == "by_location":
-        cols.append("location_name")
+    cols = ["location_name"] if layout == "by_location" else []
     cols.append("ingest_date")
     if interval == "hourly":
         cols.append("run_id")
     return cols
 
 
+def interval_root(base_path: str, provider: str, interval: str) -> str:
+    """Directory of one provider and interval: ``{base}/provider=…/interval=…``."""
+    if not SAFE_NAME.match(provider):
+        raise ValueError(f"provider must match {SAFE_NAME.pattern}: {provider!r}")
+    return f"{base_path.rstrip('/')}/provider={provider}/interval={require_interval(interval)}"
+
+
 def keep_latest_run(df: DataFrame, keys: list[str]) -> DataFrame:
     """Within one batch, keep only the latest run of each key (daily replace).
 
@@ -50,10 +59,9 @@ def keep_latest_run(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(winner, [*keys, "run_id"], "left_semi")
 
 
-def with_lake_columns(df: DataFrame, *, interval: str, provider: str) -> DataFrame:
+def with_lake_columns(df: DataFrame, *, interval: str) -> DataFrame:
     cols = [f.name for f in INTERVAL_SCHEMA[interval].fields]
-    return df.select(*cols, F.lit(provider).alias("provider"), F.lit(interval).alias("interval"),
-                     F.to_date("ingestion_timestamp_utc").alias("ingest_date"))
+    return df.select(*cols, F.to_date("ingestion_timestamp_utc").alias("ingest_date"))
 
 
 def write_forecasts(df: DataFrame, base_path: str, *, interval: str | None, provider: str,
@@ -66,21 +74,25 @@ def write_forecasts(df: DataFrame, base_path: str, *, interval: str | None, prov
     location (several files in that directory) and merges tiny ones.
     ``interval=None`` infers it from the columns. With ``layout="by_date"`` a
     daily write replaces whole ingestion days, so use it when every run
-    covers every location. Returns the partition columns used.
+    covers every location. Returns the partition levels of the layout.
     """
     interval = require_interval(interval or infer_interval(df))
     if compression not in CODECS:
         raise ValueError(f"compression must be one of {CODECS}")
+    target = interval_root(base_path, provider, interval)
     parts = partition_columns(interval, layout)
-    out = with_lake_columns(df, interval=interval, provider=provider)
+    out = with_lake_columns(df, interval=interval)
     if latest_run_only is None:
         latest_run_only = interval == "daily"
     if latest_run_only:
         out = keep_latest_run(out, ["location_name", "ingest_date"])
+    # Provider and interval are fixed directory levels, not data columns: as
+    # constants they would drop out of the sort below, the writer would then
+    # re-sort by partition columns only and the time order would be lost.
     out = out.hint("rebalance", *parts)
-    # The writer sorts each task's rows by the partition columns anyway; adding
-    # the time column to the same sort orders every file by time, so Parquet
-    # row-group min/max statistics let time-range filters skip data.
+    # The writer's own sort (partition columns first) with time appended:
+    # every file is time-ordered, so row-group min/max statistics let
+    # time-range filters skip data, at no extra sort.
     time_col = INTERVAL_SCHEMA[interval].fields[5].name
     inner = ["location_name", time_col] if layout == "by_date" else [time_col]
     out = out.sortWithinPartitions(*parts, *inner)
@@ -88,8 +100,8 @@ def write_forecasts(df: DataFrame, base_path: str, *, interval: str | None, prov
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", compression)
      .partitionBy(*parts)
-     .parquet(base_path))
-    return parts
+     .parquet(target))
+    return ["provider", "interval", *parts]
 
 
 def write_single(df: DataFrame, path: str, *, compression: str = "snappy") -> DataFrame:

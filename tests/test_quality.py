@@ -85,7 +85,8 @@ def test_lake_files_are_time_ordered(spark, tmp_dir):
     from forecastlake.sinks.lake import write_forecasts
     from tests.conftest import SF_SMALL
 
-    write_forecasts(_hourly(spark, SF_SMALL).drop("event_id"), tmp_dir, interval="hourly", provider="p")
+    shuffled = _hourly(spark, SF_SMALL).drop("event_id").orderBy(F.rand(7)).repartition(4)
+    write_forecasts(shuffled, tmp_dir, interval="hourly", provider="p")
     df = spark.read.parquet(tmp_dir).select(F.input_file_name().alias("f"), "timestamp")
     rows = df.collect()
     by_file = {}
