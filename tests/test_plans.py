@@ -66,3 +66,23 @@ def test_hot_location_is_split_across_writers(spark, tmp_dir):
     hot = f"{tmp_dir.replace('file:', '')}/provider=p/interval=daily/location_name=HOT/ingest_date=2025-01-15"
     files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
     assert len(files) > 1
+
+
+def test_lake_write_sorts_once_with_time(spark, tmp_dir):
+    """The writer's sort already carries the time column: no second sort."""
+    from forecastlake.plans.queries import _hourly
+    from forecastlake.sinks.lake import partition_columns, with_lake_columns
+
+    h = with_lake_columns(_hourly(spark, SF_SMALL).drop("event_id"), interval="hourly")
+    parts = partition_columns("hourly")
+    h.hint("rebalance", *parts).sortWithinPartitions(*parts, "timestamp").createOrReplaceTempView("fl_src")
+    cols = ", ".join([c for c in h.columns if c not in parts] + parts)
+    spark.sql(f"CREATE TABLE fl_sorted USING parquet PARTITIONED BY ({', '.join(parts)}) "
+              f"LOCATION '{tmp_dir}' AS SELECT {cols} FROM fl_src WHERE false")
+    try:
+        plan = "\n".join(r[0] for r in spark.sql(
+            f"EXPLAIN INSERT OVERWRITE TABLE fl_sorted SELECT {cols} FROM fl_src").collect())
+    finally:
+        spark.sql("DROP TABLE IF EXISTS fl_sorted")
+    sorts = [ln for ln in plan.splitlines() if "Sort [" in ln]
+    assert len(sorts) == 1 and "timestamp" in sorts[0]
