@@ -140,8 +140,10 @@ def flatten_daily(ok: DataFrame, **kw) -> DataFrame:
 def discover_variables(ok: DataFrame, interval: str) -> list[str]:
     """Distinct variable names present in the interval's blocks (sorted).
 
-    The result is bounded by the API's variable catalogue (tens of names),
-    so collecting it is a small metadata read, not a data transfer.
+    The collected result is bounded by the API's variable catalogue (tens of
+    names), but finding it is a full pass over the responses (the map keys are
+    partially aggregated before the shuffle). On large inputs pass the
+    requested variables to ``flatten_dynamic`` instead.
     """
     keys = (ok.select(F.explode(F.map_keys(_block(interval))).alias("k"))
             .filter(F.col("k") != "time").distinct())
@@ -154,7 +156,7 @@ def flatten_dynamic(ok: DataFrame, interval: str, variables: list[str] | None =
     Missing location names fall back to ``"lat,lon"``; hourly time is ``time``
     (timestamp), daily time is ``date`` (date type); metadata columns carry the
     prototype names. Pass ``variables`` to fix the schema; otherwise they are
-    discovered from the data with one extra small job.
+    discovered from the data with one extra pass (``discover_variables``).
     """
     require_interval(interval)
     if variables is None:

@@ -80,7 +80,12 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
 
 
 def save_state(state: DataFrame, root: str, *, compression: str = "zstd") -> str:
-    """Write ``state`` as the next version and return its path (K7)."""
+    """Write ``state`` as the next version and return its path (K7).
+
+    Two runs saving at once pick the same next number; the second write fails
+    (``errorifexists``) instead of overwriting, and can be retried on top of
+    the new current version.
+    """
     spark = state.sparkSession
     # Next number after every existing directory, committed or not, so a
     # half-written version left by a crashed save is never reused.
