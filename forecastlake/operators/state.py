@@ -155,3 +155,40 @@ def records_gate(state: DataFrame, **kw) -> int:
     if total == 0:
         raise ValueError("No records fetched in any location")
     return total
+
+
+def get_locations(state: DataFrame, keys: DataFrame, *, as_of=None) -> DataFrame:
+    """Get-or-create (R6): the state row of each requested key.
+
+    ``keys`` has (provider, interval, location_name). Unknown keys come back
+    with the model defaults (status 'success', time ``as_of``, no error, 0
+    records) and ``is_new = true``; nothing is written.
+    """
+    s = state.withColumn("_known", F.lit(True))
+    j = keys.select(*STATE_KEY).dropDuplicates().join(s, STATE_KEY, "left")
+    new = F.col("_known").isNull()
+    return j.select(
+        *STATE_KEY,
+        F.when(new, _ts(as_of)).otherwise(F.col("last_fetch_timestamp")).alias("last_fetch_timestamp"),
+        F.when(new, F.lit("success")).otherwise(F.col("last_fetch_status")).alias("last_fetch_status"),
+        F.col("last_fetch_error"),
+        F.when(new, F.lit(0)).otherwise(F.col("records_fetched")).alias("records_fetched"),
+        F.col("forecast_end_date"),
+        new.alias("is_new"),
+    )
+
+
+def single_update(spark, *, provider: str, interval: str, location_name: str, success: bool,
+                  records: int = 0, error: str | None = None,
+                  forecast_end_date: str | None = None, at=None, ord: int = 0) -> DataFrame:
+    """One update row for one key: the per-location mark success / mark failure.
+
+    For many keys build the updates as a DataFrame with ``outcomes``; this is
+    for driver-side bookkeeping of a single location.
+    """
+    row = spark.createDataFrame(
+        [(provider, interval, location_name, success, error, records, forecast_end_date, ord)],
+        "p string, i string, l string, ok boolean, e string, r int, end string, o int")
+    return outcomes(row, provider=F.col("p"), interval=F.col("i"), location_name=F.col("l"),
+                    success=F.col("ok"), error=F.col("e"), records=F.col("r"),
+                    forecast_end_date=F.col("end"), at=_ts(at), order=F.col("o"))

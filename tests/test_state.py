@@ -85,3 +85,21 @@ def test_records_gate(spark):
     assert st.records_total(empty_state(spark)).first()["total_records"] == 0
     with pytest.raises(ValueError):
         st.records_gate(empty_state(spark))
+
+
+def test_get_or_create_and_single_marks(spark):
+    t = datetime(2025, 1, 15, 12)
+    state = st.apply_outcomes(empty_state(spark), st.single_update(
+        spark, provider="open_meteo", interval="daily", location_name="London", success=True,
+        records=42, forecast_end_date="2025-01-21", at=F.lit(t).cast("timestamp")))
+    state = st.apply_outcomes(state, st.single_update(
+        spark, provider="open_meteo", interval="daily", location_name="Tokyo", success=False,
+        error="Connection timeout"))
+    keys = spark.createDataFrame([("open_meteo", "daily", "London"), ("open_meteo", "daily", "Tokyo"),
+                                  ("open_meteo", "daily", "Cairo")], "provider string, interval string, "
+                                 "location_name string")
+    got = {r["location_name"]: r for r in st.get_locations(state, keys).collect()}
+    assert got["London"]["records_fetched"] == 42 and not got["London"]["is_new"]
+    assert got["Tokyo"]["last_fetch_status"] == "failure" and got["Tokyo"]["last_fetch_error"] == "Connection timeout"
+    assert got["Cairo"]["is_new"] and got["Cairo"]["last_fetch_status"] == "success"
+    assert got["Cairo"]["records_fetched"] == 0 and got["Cairo"]["last_fetch_timestamp"] is not None
