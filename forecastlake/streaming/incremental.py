@@ -18,9 +18,14 @@ from forecastlake.schemas import RESPONSE
 def run_available_now(spark: SparkSession, landing: str, *, checkpoint: str, interval: str,
                       base_path: str, provider: str = DEFAULT_PROVIDER,
                       state_root: str | None = None, compression: str = "zstd",
-                      run_prefix: str = "batch", max_files_per_trigger: int = 1000,
+                      run_prefix: str = "batch", max_files_per_trigger: int = 100_000,
                       fmt: str = "json") -> None:
-    """Consume all newly landed response files, then stop."""
+    """Consume all newly landed response files, then stop.
+
+    A backlog is split into micro-batches of ``max_files_per_trigger`` files
+    (landed responses are a few KB each, so the default is about 0.5 GB per
+    batch); each batch is kept for its two passes and then released.
+    """
     stream = (spark.readStream.schema(RESPONSE).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(landing))
 
