@@ -60,7 +60,14 @@ def keep_latest_run(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def with_lake_columns(df: DataFrame, *, interval: str) -> DataFrame:
-    cols = [f.name for f in INTERVAL_SCHEMA[interval].fields]
+    """Interval columns plus ``ingest_date``; ``run_id`` is required on write.
+
+    A NULL run id would silently land in Hive's default partition; the check
+    is a JVM-side expression that only fires for such a row.
+    """
+    cols = [F.coalesce(F.col("run_id"), F.raise_error(F.lit("run_id is required when writing the lake")))
+            .alias("run_id") if f.name == "run_id" else F.col(f.name)
+            for f in INTERVAL_SCHEMA[interval].fields]
     return df.select(*cols, F.to_date("ingestion_timestamp_utc").alias("ingest_date"))
 
 

@@ -135,3 +135,10 @@ def test_read_legacy_tree(spark, tmp_dir):
     assert rows[0]["relative_humidity_2m"] is None and rows[1]["temperature_2m"] == 2.5
     assert rows[0]["path_location"] == "New York" and rows[0]["path_date"] == date(2025, 1, 15)
     assert dict(df.dtypes)["weather_code"] == "int"
+
+
+def test_run_id_required_on_write(spark, tmp_dir):
+    import pytest
+    df = _hourly_rows(spark, ["London"], None, datetime(2025, 1, 15))
+    with pytest.raises(Exception, match="run_id is required"):
+        write_forecasts(df, tmp_dir, interval="hourly", provider="p")
