@@ -85,7 +85,8 @@ last AS (
 FRESH = "(ok AND ts > TIMESTAMP '2024-01-30 06:00:00')"
 
 _ATTEMPTS = f"""l AS (
-  SELECT 'user-' || CAST(user_id AS VARCHAR) AS location_name, CAST(ts AS DATE) AS request_date,
+  SELECT 'user-' || CAST(user_id AS VARCHAR) AS location_name,
+    CAST(CAST(ts AS DATE) AS TIMESTAMP) AS request_date,
     1 + {K} % 3 AS attempt, event_id,
     CASE event_type WHEN 'click' THEN 'timeout' WHEN 'error' THEN 'http_error'
                     WHEN 'view' THEN 'connect' END AS cls
@@ -346,7 +347,7 @@ SELECT COUNT(*) AS records_written, 'parquet' AS format FROM lineitem""",
 
     "lake_path_columns": f"""
 SELECT 'open_meteo' AS path_provider, 'hourly' AS path_interval, event_type AS path_location,
-  CAST({DAY} AS DATE) AS path_date, COUNT(*) AS records
+  {DAY} AS path_date, COUNT(*) AS records
 FROM events GROUP BY 3, 4""",
 
     "lake_location_filter": f"SELECT {hourly_cols()} FROM events WHERE event_type = 'click'",

@@ -344,8 +344,8 @@ def q_lake_path_columns(spark, sf_dir):
     lake = spark.read.schema(
         read_lake(spark, base, "hourly", provider=PROVIDER, with_partitions=True).schema
     ).option("basePath", base).parquet(base)
-    return (lake_path_columns(lake)
-            .groupBy("path_provider", "path_interval", "path_location", "path_date")
+    paths = lake_path_columns(lake).withColumn("path_date", F.col("path_date").cast("timestamp_ntz"))
+    return (paths.groupBy("path_provider", "path_interval", "path_location", "path_date")
             .agg(F.count(F.lit(1)).alias("records")))
 
 

@@ -256,7 +256,7 @@ def lineitem_daily_frame(lineitem: DataFrame, *, by_flag: bool = False) -> DataF
 def events_attempt_log(events: DataFrame) -> DataFrame:
     """``events`` as a fetch-attempt log.
 
-    Key = (user, day); attempt = 1 + k mod 3; class by event type:
+    Key = (user, day as a midnight timestamp); attempt = 1 + k mod 3; class by event type:
     click -> timeout (retryable), error -> http_error (not retryable),
     view -> connect (retryable), others -> success.
     """
@@ -265,7 +265,7 @@ def events_attempt_log(events: DataFrame) -> DataFrame:
            .when(t == "view", F.lit("connect")).otherwise(F.lit(None)))
     return events.select(
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("location_name"),
-        F.to_date("ts").alias("request_date"),
+        _day(F.col("ts")).alias("request_date"),
         (F.lit(1) + _k() % 3).alias("attempt"),
         cls.alias("error_class"), "event_id", "ts")
 
