@@ -302,6 +302,20 @@ FROM events ORDER BY event_type, ts, {DAY}, {RUN}, event_id LIMIT 10""",
 SELECT event_type AS location_name, ts AS "timestamp", value AS temperature_2m, event_id
 FROM events ORDER BY ts DESC, event_id DESC LIMIT 3""",
 
+    "head_rows": """
+SELECT event_type AS location_name, ts AS "timestamp", value AS temperature_2m, event_id
+FROM events ORDER BY ts, event_id LIMIT 1""",
+
+    "location_summary": f"""
+SELECT {L_LOC} AS location_name, COUNT(*) AS record_count, COUNT(DISTINCT l_shipdate) AS unique_dates,
+  ROUND(MIN(l_quantity), 1) AS min_temp, ROUND(MAX(l_quantity), 1) AS max_temp,
+  ROUND(AVG(l_quantity), 1) AS avg_temp, ROUND(MAX({L_PRECIP}), 2) AS max_precip_mm,
+  COUNT(CASE WHEN l_quantity IS NULL THEN 1 END) AS null_count,
+  ROUND(MIN(CAST(l_linenumber AS DOUBLE)), 1) AS min_temp_min,
+  ROUND(AVG(CAST(l_linenumber AS DOUBLE)), 1) AS avg_min_temp_c,
+  ROUND(SUM({L_PRECIP}), 1) AS total_precip_mm
+FROM lineitem GROUP BY 1""",
+
     "coordinates_distinct": f"""
 SELECT DISTINCT event_type AS location_name, {LAT} AS requested_latitude, {LON} AS requested_longitude,
   {GRID(LAT)} AS api_latitude, {GRID(LON)} AS api_longitude

@@ -236,6 +236,15 @@ def q_sample_rows(spark, sf_dir):
                     tie_breakers=("ingestion_timestamp_utc", "run_id", "event_id"))
 
 
+def q_location_summary(spark, sf_dir):
+    return q.location_summary(_daily(spark, sf_dir), "daily")
+
+
+def q_head_rows(spark, sf_dir):
+    return q.head(_hourly(spark, sf_dir), ["timestamp", "event_id"], 1).select(
+        "location_name", "timestamp", "temperature_2m", "event_id")
+
+
 def q_tail_rows(spark, sf_dir):
     return q.tail(_hourly(spark, sf_dir), ["timestamp", "event_id"], 3).select(
         "location_name", "timestamp", "temperature_2m", "event_id")
@@ -455,6 +464,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "null_total": q_null_total,
     "sample_rows": q_sample_rows,
     "tail_rows": q_tail_rows,
+    "head_rows": q_head_rows,
+    "location_summary": q_location_summary,
     "coordinates_distinct": q_coordinates_distinct,
     "distinct_pairs": q_distinct_pairs,
     "partition_paths": q_partition_paths,
