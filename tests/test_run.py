@@ -93,3 +93,26 @@ def test_job_entry_point_exit_codes(spark, tmp_dir):
     assert main(["--landing", bad, "--interval", "daily", "--lake", f"{tmp_dir}/lake2"], spark=spark) == 1
     assert main(["--landing", f"{tmp_dir}/missing", "--interval", "daily", "--lake", f"{tmp_dir}/l3"],
                 spark=spark) == 1
+
+
+def test_failed_micro_batch_is_retried_exactly_once(spark, tmp_dir, monkeypatch):
+    import pytest
+    import forecastlake.streaming.incremental as inc
+
+    land, lake, ck = f"{tmp_dir}/landing", f"{tmp_dir}/lake", f"{tmp_dir}/ckpt"
+    responses(spark, [response_row(SAMPLE_BODY)]).write.json(f"{land}/drop=0")
+    real = inc.run_batch
+    seen = []
+
+    def flaky(spark_, batch_df, **kw):
+        seen.append(kw["run_id"])
+        real(spark_, batch_df, **kw)            # the lake write happens ...
+        if len(seen) == 1:
+            raise RuntimeError("executor lost")  # ... then the batch fails before committing
+
+    monkeypatch.setattr(inc, "run_batch", flaky)
+    with pytest.raises(Exception):
+        inc.run_available_now(spark, f"{land}/drop=*", checkpoint=ck, interval="hourly", base_path=lake)
+    inc.run_available_now(spark, f"{land}/drop=*", checkpoint=ck, interval="hourly", base_path=lake)
+    assert seen[0] == seen[1]                   # same epoch, same run id
+    assert read_lake(spark, lake, "hourly", provider="open_meteo").count() == 2   # not 4
