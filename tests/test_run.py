@@ -116,3 +116,21 @@ def test_failed_micro_batch_is_retried_exactly_once(spark, tmp_dir, monkeypatch)
     inc.run_available_now(spark, f"{land}/drop=*", checkpoint=ck, interval="hourly", base_path=lake)
     assert seen[0] == seen[1]                   # same epoch, same run id
     assert read_lake(spark, lake, "hourly", provider="open_meteo").count() == 2   # not 4
+
+
+def test_rerun_after_failure_between_lake_and_state(spark, tmp_dir, monkeypatch):
+    import pytest
+    import forecastlake.plans.run as run_mod
+
+    df = _resp(spark)
+    kw = dict(interval="daily", base_path=f"{tmp_dir}/lake", state_root=f"{tmp_dir}/state", run_id="run-x")
+    real_save = run_mod.save_state
+    monkeypatch.setattr(run_mod, "save_state", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        run_batch(spark, df, **kw)
+    assert read_state(spark, f"{tmp_dir}/state").count() == 0          # state never ahead of the lake
+    monkeypatch.setattr(run_mod, "save_state", real_save)
+    res = run_batch(spark, df, **kw)
+    assert res.run_report.first()["records_processed"] == 4
+    assert read_lake(spark, f"{tmp_dir}/lake", "daily", provider="open_meteo").count() == 4
+    assert read_state(spark, f"{tmp_dir}/state").count() == 3
