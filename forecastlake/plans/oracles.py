@@ -366,6 +366,8 @@ FROM events GROUP BY 3, 4""",
 
     "lake_location_filter": f"SELECT {hourly_cols()} FROM events WHERE event_type = 'click'",
 
+    "catalog_lake_filter": f"SELECT {hourly_cols()} FROM events WHERE event_type = 'click'",
+
     "run_report": f"""
 SELECT true AS success, 'run-events' AS run_id,
   (SELECT COUNT(*) FROM events WHERE event_type <> 'error') AS records_processed,

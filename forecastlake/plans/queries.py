@@ -364,6 +364,22 @@ def q_lake_location_filter(spark, sf_dir):
     return read_lake(spark, base, "hourly", provider=PROVIDER).filter(F.col("location_name") == "click")
 
 
+def q_catalog_lake_filter(spark, sf_dir):
+    """Lake registered as a partitioned catalog table; the filter prunes by catalog."""
+    import uuid
+
+    from forecastlake.sinks.catalog import add_partitions, read_lake_table, register_lake_table
+
+    base = scratch_path(spark, "lake-catalog")
+    frame = _hourly(spark, sf_dir).drop("event_id")
+    write_forecasts(frame, base, interval="hourly", provider=PROVIDER)
+    name = f"lake_hourly_{uuid.uuid4().hex[:12]}"
+    register_lake_table(spark, name, base, interval="hourly", provider=PROVIDER, recover=False)
+    add_partitions(spark, name, frame.withColumn("ingest_date", F.to_date("ingestion_timestamp_utc")),
+                   interval="hourly")
+    return read_lake_table(spark, name, "hourly").filter(F.col("location_name") == "click")
+
+
 def q_run_report(spark, sf_dir):
     res = run_batch(spark, tb.events_responses(_t(spark, sf_dir, "events")), interval="hourly",
                     base_path=scratch_path(spark, "run-lake"),
@@ -478,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "single_write_report": q_single_write_report,
     "lake_path_columns": q_lake_path_columns,
     "lake_location_filter": q_lake_location_filter,
+    "catalog_lake_filter": q_catalog_lake_filter,
     "run_report": q_run_report,
     "incremental_ingest": q_incremental_ingest,
     "state_after_run": q_state_after_run,

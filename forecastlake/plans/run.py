@@ -22,7 +22,9 @@ from forecastlake.operators.validate import check_rows
 from forecastlake.schemas import require_interval
 from forecastlake.sinks.lake import write_forecasts
 from forecastlake.session import checkpoint_root
+from forecastlake.sinks.catalog import add_partitions, register_lake_table
 from forecastlake.sinks.reports import run_report, write_report
+from forecastlake.sources.lake import read_lake
 from forecastlake.sources.state_store import read_state, save_state
 
 DEFAULT_PROVIDER = "open_meteo"
@@ -70,7 +72,7 @@ def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_
               provider: str = DEFAULT_PROVIDER, state_root: str | None = None,
               compression: str = "zstd", run_id: str | None = None,
               layout: str = "by_location", quarantine_path: str | None = None,
-              now=None) -> RunResult:
+              table_name: str | None = None, now=None) -> RunResult:
     """Run one ingestion over a responses DataFrame (any size, any source).
 
     Jobs: (1) response summary, checkpointed to the shared checkpoint folder
@@ -103,6 +105,15 @@ def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_
              if r[0] is not None]
     report = write_report(spark, base_path, interval=interval, provider=provider,
                           run_ids=[run_id], ingest_dates=dates, layout=layout)
+    if table_name:
+        # Register this run's partitions by value in the catalog table.
+        written = read_lake(spark, base_path, interval, provider=provider, with_partitions=True,
+                            run_ids=[run_id], ingest_dates=dates, layout=layout)
+        if interval == "daily":
+            written = written.filter(F.col("run_id") == run_id)
+        register_lake_table(spark, table_name, base_path, interval=interval, provider=provider,
+                            layout=layout, recover=False)
+        add_partitions(spark, table_name, written, interval=interval, layout=layout)
 
     state_path = None
     if state_root:

@@ -142,3 +142,22 @@ def test_run_id_required_on_write(spark, tmp_dir):
     df = _hourly_rows(spark, ["London"], None, datetime(2025, 1, 15))
     with pytest.raises(Exception, match="run_id is required"):
         write_forecasts(df, tmp_dir, interval="hourly", provider="p")
+
+
+def test_catalog_table_registers_run_partitions_and_prunes(spark, tmp_dir):
+    import uuid
+
+    from forecastlake.plans.run import run_batch
+    from forecastlake.sinks.catalog import read_lake_table
+    from tests.conftest import SAMPLE_BODY, response_row, responses
+
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    df = responses(spark, [response_row(SAMPLE_BODY), response_row(SAMPLE_BODY, location=("Tokyo", 1.0, 2.0))])
+    run_batch(spark, df, interval="hourly", base_path=tmp_dir, run_id="r1", table_name=name)
+    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    assert parts == ["location_name=London/ingest_date=2025-01-15/run_id=r1",
+                     "location_name=Tokyo/ingest_date=2025-01-15/run_id=r1"]
+    q = read_lake_table(spark, name, "hourly").filter(F.col("location_name") == "Tokyo")
+    assert q.count() == 2
+    scan = [ln for ln in q._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in ln][0]
+    assert "(1 paths)" in scan
