@@ -251,6 +251,12 @@ SELECT event_type AS location_name, ROUND(MIN(value), 1) AS min_temp, ROUND(MAX(
   COUNT(CASE WHEN value IS NULL THEN 1 END) AS null_count
 FROM events GROUP BY event_type ORDER BY avg_temp DESC""",
 
+    "sql_ranges_hourly": f"""
+SELECT event_type AS location_name, ROUND(MIN(value), 1) AS min_temp, ROUND(MAX(value), 1) AS max_temp,
+  ROUND(AVG(value), 1) AS avg_temp, ROUND(MAX({K} / {D.format(10.0)}), 2) AS max_precip_mm,
+  COUNT(CASE WHEN value IS NULL THEN 1 END) AS null_count
+FROM events GROUP BY event_type""",
+
     "ranges_daily": f"""
 SELECT {L_LOC} AS location_name, ROUND(MIN(l_quantity), 1) AS min_temp, ROUND(MAX(l_quantity), 1) AS max_temp,
   ROUND(AVG(l_quantity), 1) AS avg_temp, ROUND(MIN(CAST(l_linenumber AS DOUBLE)), 1) AS min_temp_min,

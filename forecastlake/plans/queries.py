@@ -258,6 +258,23 @@ def q_distinct_pairs(spark, sf_dir):
     return q.distinct_pairs(_hourly(spark, sf_dir), ["location_name", "run_id"])
 
 
+def q_sql_ranges_hourly(spark, sf_dir):
+    """The hourly ranges check written as SQL over an ``hourly`` view."""
+    from forecastlake.plans.sql import register_frames
+
+    register_frames(spark, hourly=_hourly(spark, sf_dir))
+    return spark.sql("""
+        SELECT location_name,
+               duck_round(MIN(temperature_2m), 1) AS min_temp,
+               duck_round(MAX(temperature_2m), 1) AS max_temp,
+               duck_round(AVG(temperature_2m), 1) AS avg_temp,
+               duck_round(MAX(precipitation), 2) AS max_precip_mm,
+               COUNT(CASE WHEN temperature_2m IS NULL THEN 1 END) AS null_count
+        FROM hourly
+        GROUP BY location_name
+        ORDER BY avg_temp DESC NULLS LAST""")
+
+
 def q_ranges_from_responses(spark, sf_dir):
     """Flagship: landed responses -> parse -> flatten -> validate -> ranges."""
     good, _ = check_rows(fl.flatten_hourly(_ok_hourly(spark, sf_dir)))
@@ -469,6 +486,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "completeness": q_completeness,
     "completeness_daily": q_completeness_daily,
     "ranges_hourly": q_ranges_hourly,
+    "sql_ranges_hourly": q_sql_ranges_hourly,
     "ranges_daily": q_ranges_daily,
     "comparison_hourly": q_comparison_hourly,
     "comparison_daily": q_comparison_daily,

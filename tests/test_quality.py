@@ -93,3 +93,20 @@ def test_lake_files_are_time_ordered(spark, tmp_dir):
     for r in rows:
         by_file.setdefault(r["f"], []).append(r["timestamp"])
     assert all(v == sorted(v) for v in by_file.values())
+
+
+def test_sql_views_over_the_lake(spark, tmp_dir):
+    from forecastlake.plans.sql import register_lake_views
+    from forecastlake.sinks.lake import write_forecasts
+    from forecastlake.plans.queries import _hourly
+    from tests.conftest import SF_SMALL
+
+    frame = _hourly(spark, SF_SMALL).drop("event_id")
+    write_forecasts(frame, tmp_dir, interval="hourly", provider="open_meteo")
+    assert register_lake_views(spark, tmp_dir) == ["daily", "hourly"]
+    got = {r[0]: r[1] for r in spark.sql(
+        "SELECT location_name, COUNT(*) FROM hourly GROUP BY location_name").collect()}
+    want = {r["location_name"]: r["record_count"] for r in q.rows_per_location(frame).collect()}
+    assert got == want
+    assert spark.sql("SELECT COUNT(*) FROM daily").first()[0] == 0
+    assert spark.sql("SELECT duck_round(CAST(2.675 AS DOUBLE), 2)").first()[0] == 2.67
