@@ -109,4 +109,7 @@ def test_sql_views_over_the_lake(spark, tmp_dir):
     want = {r["location_name"]: r["record_count"] for r in q.rows_per_location(frame).collect()}
     assert got == want
     assert spark.sql("SELECT COUNT(*) FROM daily").first()[0] == 0
-    assert spark.sql("SELECT duck_round(CAST(2.675 AS DOUBLE), 2)").first()[0] == 2.67
+    for v in (2.675, 1.005, -0.125, 48.45):
+        want = duckdb.sql(f"SELECT ROUND(CAST({v} AS DOUBLE), 2), ROUND(CAST({v} AS DOUBLE), 1)").fetchone()
+        got = spark.sql(f"SELECT duck_round(CAST({v} AS DOUBLE), 2), duck_round(CAST({v} AS DOUBLE), 1)").first()
+        assert tuple(got) == tuple(want), v
