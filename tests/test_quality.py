@@ -110,6 +110,6 @@ def test_sql_views_over_the_lake(spark, tmp_dir):
     assert got == want
     assert spark.sql("SELECT COUNT(*) FROM daily").first()[0] == 0
     for v in (2.675, 1.005, -0.125, 48.45):
-        want = duckdb.sql(f"SELECT ROUND(CAST({v} AS DOUBLE), 2), ROUND(CAST({v} AS DOUBLE), 1)").fetchone()
+        want = duckdb.sql(f"SELECT ROUND(CAST({v} AS DOUBLE), 2), ROUND(CAST({v} AS DOUBLE), 1)").fetchall()[0]
         got = spark.sql(f"SELECT duck_round(CAST({v} AS DOUBLE), 2), duck_round(CAST({v} AS DOUBLE), 1)").first()
         assert tuple(got) == tuple(want), v
