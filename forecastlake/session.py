@@ -81,3 +81,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def empty_frame(spark: SparkSession, schema) -> "DataFrame":
+    """An empty DataFrame the optimizer can see is empty.
+
+    ``createDataFrame([], schema)`` plans as a scan of an RDD, so joins with it
+    still shuffle; a filtered-out literal row folds to an empty local relation,
+    and joins or unions with it are simplified away.
+    """
+    from pyspark.sql import functions as F
+
+    return (spark.range(1)
+            .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+            .filter(F.lit(False)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecastlake.schemas import INTERVAL_SCHEMA, require_interval
-from forecastlake.session import path_exists
+from forecastlake.session import empty_frame, path_exists
 
 PARTITION_FIELDS = {
     "provider": T.StringType(),
@@ -81,7 +81,7 @@ def read_lake(spark: SparkSession, base_path: str, interval: str, *,
         if present:
             df = reader.parquet(root)
         else:  # nothing written yet for this provider and interval
-            df = spark.createDataFrame([], schema)
+            df = empty_frame(spark, schema)
     else:
         df = reader.parquet(base_path).filter(F.col("interval") == interval)
     cols = [f.name for f in INTERVAL_SCHEMA[interval].fields]

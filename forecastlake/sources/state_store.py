@@ -14,6 +14,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from forecastlake.schemas import STATE
+from forecastlake.session import empty_frame
 
 log = logging.getLogger(__name__)
 
@@ -64,7 +65,7 @@ def version_path(root: str, version: int) -> str:
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], STATE)
+    return empty_frame(spark, STATE)
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
