@@ -83,7 +83,13 @@ def read_lake(spark: SparkSession, base_path: str, interval: str, *,
         else:  # nothing written yet for this provider and interval
             df = empty_frame(spark, schema)
     else:
-        df = reader.parquet(base_path).filter(F.col("interval") == interval)
+        # Every provider, one interval: the glob keeps the listing to this
+        # interval's subtrees instead of walking the whole lake.
+        root = f"{base_path}/provider=*/interval={interval}"
+        if ingest_dates or (run_ids and interval == "hourly"):
+            root = partition_glob(root, ingest_dates=ingest_dates,
+                                  run_ids=run_ids if interval == "hourly" else None, layout=layout)
+        df = reader.parquet(root) if _glob_exists(spark, root) else empty_frame(spark, schema)
     cols = [f.name for f in INTERVAL_SCHEMA[interval].fields]
     if with_partitions:
         cols += list(PARTITION_FIELDS)

@@ -161,3 +161,15 @@ def test_catalog_table_registers_run_partitions_and_prunes(spark, tmp_dir):
     assert q.count() == 2
     scan = [ln for ln in q._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in ln][0]
     assert "(1 paths)" in scan
+
+
+def test_read_all_providers_of_one_interval(spark, tmp_dir):
+    write_forecasts(_daily_rows(spark, ["London"], "r1", datetime(2025, 1, 15)), tmp_dir,
+                    interval="daily", provider="a")
+    write_forecasts(_daily_rows(spark, ["Tokyo"], "r1", datetime(2025, 1, 15)), tmp_dir,
+                    interval="daily", provider="b")
+    write_forecasts(_hourly_rows(spark, ["Cairo"], "r1", datetime(2025, 1, 15)), tmp_dir,
+                    interval="hourly", provider="a")
+    daily = read_lake(spark, tmp_dir, "daily", with_partitions=True)
+    assert sorted((r["provider"], r["location_name"]) for r in daily.collect()) == [("a", "London"), ("b", "Tokyo")]
+    assert read_lake(spark, tmp_dir + "/nothing", "daily").count() == 0
