@@ -122,5 +122,7 @@ def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_
         updates = response_outcomes(summary, run_start)
         state_path = save_state(apply_outcomes(read_state(spark, state_root), updates), state_root)
     run_end = datetime.now(timezone.utc) if now is None else now
-    rr = run_report(report, failed, run_id=run_id, run_start=run_start, run_end=run_end)
+    succeeded = summary.filter(F.col("error").isNull()).count()   # small checkpointed table
+    rr = run_report(report, failed, run_id=run_id, run_start=run_start, run_end=run_end,
+                    succeeded=succeeded)
     return RunResult(run_id, report, failed, bad, rr, state_path)

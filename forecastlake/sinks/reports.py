@@ -44,10 +44,12 @@ def report_totals(report: DataFrame) -> DataFrame:
 
 
 def run_report(report: DataFrame, failed: DataFrame, *, run_id: str, run_start, run_end,
-               include_lists: bool = True) -> DataFrame:
+               include_lists: bool = True, succeeded: int | None = None) -> DataFrame:
     """One-row run report (K9, G3) built with a single aggregation.
 
-    ``success`` is true iff at least one file was written; with no success the
+    ``success`` is true iff at least one location succeeded: ``succeeded``
+    usable responses when given (a location with an empty series succeeds
+    with 0 records), else at least one file written. With no success the
     record count is 0 and ``error`` carries the fixed text. The file and
     failure lists hold one entry per location of the run (the report itself);
     pass ``include_lists=False`` for counts only.
@@ -68,7 +70,7 @@ def run_report(report: DataFrame, failed: DataFrame, *, run_id: str, run_start,
     if include_lists:
         aggs += [F.collect_list("_file").alias("files"), F.collect_list("_failed").alias("failed")]
     agg = u.agg(*aggs)
-    success = F.col("files_written") > 0
+    success = F.lit(succeeded > 0) if succeeded is not None else F.col("files_written") > 0
     cols = [success.alias("success"), F.lit(run_id).alias("run_id"),
             F.lit(run_start).cast("timestamp").alias("run_start"),
             F.lit(run_end).cast("timestamp").alias("run_end"),

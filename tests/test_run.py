@@ -134,3 +134,11 @@ def test_rerun_after_failure_between_lake_and_state(spark, tmp_dir, monkeypatch)
     assert res.run_report.first()["records_processed"] == 4
     assert read_lake(spark, f"{tmp_dir}/lake", "daily", provider="open_meteo").count() == 4
     assert read_state(spark, f"{tmp_dir}/state").count() == 3
+
+
+def test_success_with_empty_series_writes_nothing(spark, tmp_dir):
+    body = copy.deepcopy(SAMPLE_BODY)
+    body["daily"] = {"time": []}
+    rr = run_batch(spark, responses(spark, [response_row(body, interval="daily")]), interval="daily",
+                   base_path=f"{tmp_dir}/lake").run_report.first()
+    assert rr["success"] and rr["records_processed"] == 0 and rr["files_written"] == 0 and rr["error"] is None
