@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 from forecastlake.functions.scalars import size_or_null
 from forecastlake.operators.flatten import flatten_series, forecast_end_expr
 from forecastlake.operators.parse import parse_responses, split_ok_failed
-from forecastlake.operators.state import apply_outcomes, outcomes
+from forecastlake.operators.state import (
+    DEFAULT_MAX_ATTEMPTS,
+    RETRYABLE_CLASSES,
+    apply_outcomes,
+    outcomes,
+    resolve_attempts,
+)
 from forecastlake.operators.validate import check_rows
 from forecastlake.schemas import require_interval
 from forecastlake.sinks.lake import write_forecasts
@@ -40,6 +46,31 @@ class RunResult:
     state_path: str | None
 
 
+def final_attempts(batch: DataFrame, *, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
+                   retryable: tuple[str, ...] = RETRYABLE_CLASSES) -> DataFrame:
+    """Keep each location's final attempt, as a retry loop would.
+
+    A landed body (no transport error) ends the attempts, as does a
+    non-retryable transport class or attempt number ``max_attempts``;
+    locations whose attempts are all retryable and below the limit are still
+    in flight and wait for a later run. The winners are found from envelope
+    columns only (one row per location) and kept with a left semi join, so
+    response bodies are never shuffled for this.
+    """
+    log = batch.select(
+        "provider", "interval", F.col("location.name").alias("_loc"), "attempt",
+        F.when(F.col("transport_error").isNull(), F.lit(None).cast("string"))
+         .otherwise(F.coalesce(F.col("error_class"), F.lit("unknown"))).alias("_class"),
+        "ingestion_timestamp_utc")
+    winners = (resolve_attempts(log, ["provider", "interval", "_loc"], attempt_col="attempt",
+                                class_col="_class", order_cols=("ingestion_timestamp_utc",),
+                                max_attempts=max_attempts, retryable=retryable)
+               .filter(F.col("final_status") != "pending")
+               .select("provider", "interval", "_loc", F.col("final_attempt").alias("attempt")))
+    keyed = batch.withColumn("_loc", F.col("location.name"))
+    return keyed.join(winners, ["provider", "interval", "_loc", "attempt"], "left_semi").drop("_loc")
+
+
 def response_summary(parsed: DataFrame, interval: str) -> DataFrame:
     """One small row per response: who, when, outcome, points, forecast end.
 
@@ -72,9 +103,11 @@ def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_
               provider: str = DEFAULT_PROVIDER, state_root: str | None = None,
               compression: str = "zstd", run_id: str | None = None,
               layout: str = "by_location", quarantine_path: str | None = None,
-              table_name: str | None = None, now=None) -> RunResult:
+              table_name: str | None = None, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
+              now=None) -> RunResult:
     """Run one ingestion over a responses DataFrame (any size, any source).
 
+    Only each location's final attempt is processed (``final_attempts``).
     Jobs: (1) response summary, checkpointed to the shared checkpoint folder
     (one row per response; cuts lineage so later steps survive executor loss
     without re-reading the landing zone); (2) flatten + lake write;
@@ -86,6 +119,8 @@ def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_
     run_id = run_id or str(uuid.uuid4())
     run_start = now or datetime.now(timezone.utc)
     batch = responses.filter(F.col("interval") == interval).withColumn("provider", F.lit(provider))
+    batch = final_attempts(batch.withColumn("attempt", F.coalesce(F.col("attempt"), F.lit(1))),
+                           max_attempts=max_attempts)
     parsed = parse_responses(batch)
     summary = response_summary(parsed, interval).checkpoint(eager=True)
     failed = summary.filter(F.col("error").isNotNull()).select(

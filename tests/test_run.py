@@ -142,3 +142,25 @@ def test_success_with_empty_series_writes_nothing(spark, tmp_dir):
     rr = run_batch(spark, responses(spark, [response_row(body, interval="daily")]), interval="daily",
                    base_path=f"{tmp_dir}/lake").run_report.first()
     assert rr["success"] and rr["records_processed"] == 0 and rr["files_written"] == 0 and rr["error"] is None
+
+
+def test_only_final_attempts_are_processed(spark, tmp_dir):
+    t = dict(interval="daily")
+    rows = [
+        response_row(None, location=("A", 1.0, 1.0), attempt=1, transport_error="ReadTimeout",
+                     error_class="timeout", **t),
+        response_row(SAMPLE_BODY, location=("A", 1.0, 1.0), attempt=2, **t),
+        response_row(None, location=("B", 1.0, 1.0), attempt=1, transport_error="TLS failure",
+                     error_class="ssl", **t),
+        response_row(None, location=("C", 1.0, 1.0), attempt=1, transport_error="t1", error_class="timeout", **t),
+        response_row(None, location=("C", 1.0, 1.0), attempt=2, transport_error="t2", error_class="connect", **t),
+        response_row(None, location=("C", 1.0, 1.0), attempt=3, transport_error="t3", error_class="timeout", **t),
+        response_row(None, location=("D", 1.0, 1.0), attempt=1, transport_error="t", error_class="timeout", **t),
+    ]
+    res = run_batch(spark, responses(spark, rows), interval="daily", base_path=f"{tmp_dir}/lake",
+                    state_root=f"{tmp_dir}/state", run_id="r")
+    rr = res.run_report.first()
+    assert rr["success"] and rr["records_processed"] == 2 and rr["files_written"] == 1
+    assert sorted((f["location"]["name"], f["error"]) for f in rr["failed"]) == [("B", "TLS failure"), ("C", "t3")]
+    st = {r["location_name"]: r["last_fetch_status"] for r in read_state(spark, f"{tmp_dir}/state").collect()}
+    assert st == {"A": "success", "B": "failure", "C": "failure"}      # D is still in flight
