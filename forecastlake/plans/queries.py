@@ -25,7 +25,7 @@ from forecastlake.sinks.lake import write_forecasts, write_single
 from forecastlake.sinks.reports import prototype_paths, report_totals, write_report
 from forecastlake.sources import tables as tb
 from forecastlake.sources.lake import lake_path_columns, read_lake
-from forecastlake.sources.responses import attach_locations, request_manifest
+from forecastlake.sources.responses import attach_locations, read_responses, request_manifest
 from forecastlake.sources.state_store import empty_state, read_state, save_state
 from forecastlake.streaming.incremental import run_available_now
 
@@ -398,7 +398,10 @@ def q_catalog_lake_filter(spark, sf_dir):
 
 
 def q_run_report(spark, sf_dir):
-    res = run_batch(spark, tb.events_responses(_t(spark, sf_dir, "events")), interval="hourly",
+    # Land the responses first, as a fetcher would, then run over the landing zone.
+    landing = scratch_path(spark, "run-landing")
+    tb.events_responses(_t(spark, sf_dir, "events")).drop("chunk").write.json(landing)
+    res = run_batch(spark, read_responses(spark, landing), interval="hourly",
                     base_path=scratch_path(spark, "run-lake"),
                     state_root=scratch_path(spark, "run-state"), run_id="run-events")
     return res.run_report.select("success", "run_id", "records_processed", "files_written",
