@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, packing, sharding, url_filter
+from . import ann, bpe, chat, language, near_vectors, packing, sharding, toxicity, url_filter
 
 QUERIES = {
     "op2_url_filters": url_filter.op2_url_filters,
     "op3_chat_formatting": chat.op3_chat_formatting,
+    "op4_language_id": language.op4_language_id,
     "op5_byte_bpe": bpe.op5_byte_bpe,
+    "op6_near_vectors": near_vectors.op6_near_vectors,
     "op7_packing": packing.op7_packing,
+    "op8_permutation_search": ann.op8_permutation_search,
     "op9_sharding": sharding.op9_sharding,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {"op2_url_filters": url_filter.ORACLE_SQL}
