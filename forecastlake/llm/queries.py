@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, language, near_vectors, packing, sharding, toxicity, url_filter
+from . import ann, bpe, chat, jaccard, language, near_vectors, packing, sharding, toxicity, url_filter
 
 QUERIES = {
+    "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
     "op2_url_filters": url_filter.op2_url_filters,
     "op3_chat_formatting": chat.op3_chat_formatting,
     "op4_language_id": language.op4_language_id,
