@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from forecastlake.llm.jaccard import jaccard_stage
+from forecastlake.llm.language import language_stage
+from forecastlake.llm.packing import packing_stage
+from forecastlake.llm.toxicity import toxicity_stage
 from forecastlake.session import scratch_path
 
-STAGES: list = []
+STAGES = [("toxicity", toxicity_stage), ("language_id", language_stage),
+          ("ngram_jaccard", jaccard_stage), ("packing", packing_stage)]
 #: Models and iterative joins aren't expressible in SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 

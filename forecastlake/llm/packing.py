@@ -139,3 +139,10 @@ def op7_packing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return pack(docs, public_tokenizers.path("word_bpe_49k.json")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def packing_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents as packed sequences, ids included."""
+    import public_tokenizers
+
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json")).withColumn("ids_crc32", F.crc32("ids"))

@@ -29,8 +29,9 @@ from .common import column, held_out, materialise, ship
 SAMPLE_ROWS = 40_000
 #: Words in the lexicon, at most: those of the highest scores.
 LEXICON_WORDS = 20_000
-#: Prior texts for each text, and standard deviations taken off a word's log-odds.
-PRIOR, DEVIATIONS = 0.05, 2.5
+#: Prior texts for each text; standard deviations taken off a word's log-odds, of
+#: which the rows kept apart choose: few labels need a bold lexicon, many a strict one.
+PRIOR, DEVIATIONS = 0.5, (2.0, 3.0, 4.0)
 SIGNIFICANT = 0.05
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -136,17 +137,24 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     scored = counts.withColumn("prior", PRIOR * (F.col("toxic") + F.col("clean")))
     a, b = F.col("toxic") + F.col("prior"), F.col("clean") + F.col("prior")
     odds = F.log(a / (n1 + PRIOR * n - a)) - F.log(b / (n0 + PRIOR * n - b))
-    scored = scored.withColumn("score", odds - DEVIATIONS * F.sqrt(1 / a + 1 / b)) \
-        .withColumn("share", b / (n0 + PRIOR * n)).filter("score > 0")
-    lexicon = scored.orderBy(F.desc("score"), "word").limit(lexicon_words).select("word", "score", "share").collect()
-    model = Model({r["word"]: r["score"] for r in lexicon})
-    if not lexicon:
-        return Model()
-    s, p = np.array([r["score"] for r in lexicon]), np.array([r["share"] for r in lexicon])
-    p = p * min(1.0, 0.5 / p.sum())
-    model.drift = max(1.0, 2 * float(s @ p) / (1 - float(p.sum())))
-    model.lam = _root(lambda x: float(p @ np.exp(x * s)) + (1 - p.sum()) * math.exp(-x * model.drift) - 1)
-    return _calibrate(model, texts.filter("apart"))
+    error = F.sqrt(1 / a + 1 / b)
+    scored = scored.select("word", odds.alias("odds"), error.alias("error"), (b / (n0 + PRIOR * n)).alias("share"),
+                           (odds - min(DEVIATIONS) * error).alias("score")).filter("score > 0")
+    lexicon = scored.orderBy(F.desc("score"), "word").limit(lexicon_words).collect()
+    models = [_model(lexicon, d) for d in DEVIATIONS]
+    return _calibrate([m for m in models if m.words], texts.filter("apart"))
+
+
+def _model(lexicon, deviations: float) -> Model:
+    kept = [(r["word"], r["odds"] - deviations * r["error"], r["share"]) for r in lexicon
+            if r["odds"] > deviations * r["error"]]
+    model = Model({w: s for w, s, _ in kept})
+    if kept:
+        s, p = np.array([x[1] for x in kept]), np.array([x[2] for x in kept])
+        p = p * min(1.0, 0.5 / p.sum())
+        model.drift = max(1.0, 2 * float(s @ p) / (1 - float(p.sum())))
+        model.lam = _root(lambda x: float(p @ np.exp(x * s)) + (1 - p.sum()) * math.exp(-x * model.drift) - 1)
+    return model
 
 
 def _root(f) -> float:
@@ -161,27 +169,39 @@ def _root(f) -> float:
     return hi
 
 
-def _calibrate(model: Model, texts: DataFrame) -> Model:
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+def _calibrate(models: list[Model], texts: DataFrame) -> Model:
+    """The model that fits the rows kept apart best, with its K and logistic curve."""
+    shared = texts.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
         for b in batches:
-            found = [shared.value.scan(t) for t in b.column("text").to_pylist()]
+            rows = []
+            for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
+                for k, m in enumerate(shared.value):
+                    n, found = m.scan(text)
+                    rows.append((k, y, n, [s for _, _, s in found]))
+            cols = list(zip(*rows)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [b.column("toxic"), pa.array([n for n, _ in found], pa.int64()),
-                 pa.array([[s for _, _, s in x] for _, x in found], pa.list_(pa.float64()))],
-                names=["toxic", "n", "scores"])
-
-    rows = texts.select("text", "toxic").mapInArrow(run, "toxic int, n long, scores array<double>").collect()
-    rows.sort(key=lambda r: (r["toxic"], r["n"], r["scores"]))
-    clean = [r for r in rows if not r["toxic"]]
-    # Maximum likelihood of K for exp(-K n e^(-lambda S)), S the highest score of a clean text.
-    mass = sum(max(1, r["n"]) * math.exp(-model.lam * max(r["scores"], default=0.0)) for r in clean)
-    model.log_k = math.log(max(1, len(clean)) / max(mass, 1e-9))
-    x = np.log1p([model.evidence(r["n"], [(0, 0, s) for s in r["scores"]]) for r in rows])
-    y = np.array([r["toxic"] for r in rows], dtype=float)
-    model.slope, model.level = _logistic(x, y)
-    return model
+                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64())))],
+                names=["model", "toxic", "n", "scores"])
+
+    rows = texts.select("text", "toxic").mapInArrow(run, "model int, toxic int, n long, scores array<double>").collect()
+    rows.sort(key=lambda r: (r["model"], r["toxic"], r["n"], r["scores"]))
+    best, lowest = Model(), math.inf
+    for k, model in enumerate(models):
+        own = [r for r in rows if r["model"] == k]
+        clean = [r for r in own if not r["toxic"]]
+        # Maximum likelihood of K for exp(-K n e^(-lambda S)), S the highest score of a clean text.
+        mass = sum(max(1, r["n"]) * math.exp(-model.lam * max(r["scores"], default=0.0)) for r in clean)
+        model.log_k = math.log(max(1, len(clean)) / max(mass, 1e-9))
+        x = np.log1p([model.evidence(r["n"], [(0, 0, s) for s in r["scores"]]) for r in own])
+        y = np.array([r["toxic"] for r in own], dtype=float)
+        model.slope, model.level = _logistic(x, y)
+        p = 1 / (1 + np.exp(-np.clip(model.slope * x + model.level, -30, 30)))
+        loss = -np.log(np.where(y > 0, p, 1 - p) + 1e-12).mean() if len(y) else 0.0
+        if loss < lowest:
+            best, lowest = model, loss
+    return best
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
