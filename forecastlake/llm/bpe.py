@@ -5,8 +5,9 @@ and pre-tokenised in parallel. Two neighbours are stitched at the first pre-toke
 boundary that both have in their overlap. A chunk may begin inside a pre-token, so
 its boundaries only count from its first sure one on: a place after which white
 space follows something else, which is a boundary whatever stands before. From a
-shared boundary on both sides continue alike, as the pattern never looks back. The
-pieces between stitches are encoded in parallel; where an overlap holds no shared
+shared boundary on both sides continue alike, as the pattern never looks back; it
+may look ahead past white space, so no stitch follows white space. The pieces
+between stitches are encoded in parallel; where an overlap holds no shared
 boundary, the piece goes on through the next chunk. Decoding concatenates the ids'
 raw bytes.
 """
@@ -27,7 +28,7 @@ from .common import column, ship
 CHUNK, OVERLAP = 32_768, 1_024
 #: Characters before a chunk's end whose boundaries may depend on what follows.
 MARGIN = 8
-_WHITE = r"\t-\r \x85\xa0  -     　"
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 @functools.lru_cache(2)
@@ -47,12 +48,13 @@ def splitter(pattern: str):
     import regex
 
     inside = pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\S", f"[^{_WHITE}]")
-    return regex.compile(inside.replace(r"\s", f"[{_WHITE}]")), regex.compile(f"(?<=[^{_WHITE}])[{_WHITE}]")
+    return (regex.compile(inside.replace(r"\s", f"[{_WHITE}]")), regex.compile(f"(?<=[^{_WHITE}])[{_WHITE}]"),
+            regex.compile(f"[{_WHITE}]"))
 
 
 def boundaries(text: str, pattern: str, final: bool) -> tuple[list[int], int | None]:
     """Starts of pre-tokens that don't depend on what follows, and the first sure one."""
-    split, sure = splitter(pattern)
+    split, sure, _ = splitter(pattern)
     starts = [m.start() for m in split.finditer(text)]
     if not final:
         starts = [s for s in starts if s <= len(text) - MARGIN]
@@ -111,6 +113,7 @@ def _chunks(rows: DataFrame, chunk: int, overlap: int) -> DataFrame:
 def _stitch(chunks: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFrame:
     """(row_id, chunk, begin, end): offsets into the chunk; null where no stitch was found."""
     def run(batches):
+        white = splitter(pattern)[2]
         for b in batches:
             heads, tails = [], []
             for k, final, text in zip(*(b.column(c).to_pylist() for c in ("chunk", "final", "text"))):
@@ -118,7 +121,7 @@ def _stitch(chunks: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFr
                 sure = 0 if k == 0 else sure
                 heads.append([k * chunk + s for s in starts if s <= overlap])
                 tails.append([] if final or sure is None else
-                             [k * chunk + s for s in starts if s >= max(chunk, sure)])
+                             [k * chunk + s for s in starts if s >= max(chunk, sure) and not white.match(text[s - 1])])
             yield pa.RecordBatch.from_arrays(
                 [b.column("row_id"), b.column("chunk"), pa.array(heads, pa.list_(pa.int64())),
                  pa.array(tails, pa.list_(pa.int64()))], names=["row_id", "chunk", "head", "tail"])
