@@ -78,12 +78,13 @@ def _cells(variables: dict) -> Column:
 
 
 def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None = None,
-                   with_errors: bool = True) -> DataFrame:
+                   with_errors: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per ``time[i]`` of each usable response, in the interval's schema.
 
     Columns follow ``HOURLY``/``DAILY`` exactly; with ``with_errors`` an
     ``_errors array<string>`` column lists cell-level problems (see
-    ``operators.validate.check_rows``). Narrow transformation: no shuffle.
+    ``operators.validate.check_rows``). ``keep`` columns of the response come last.
+    Narrow transformation: no shuffle.
     """
     require_interval(interval)
     variables = HOURLY_VARIABLES if interval == "hourly" else DAILY_VARIABLES
@@ -96,12 +97,12 @@ def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None
         F.col("location.latitude").alias("requested_latitude"),
         F.col("location.longitude").alias("requested_longitude"),
         "api_latitude", "api_longitude", "ingestion_timestamp_utc",
-        rid.alias("run_id"), block["time"].alias("_time_arr"),
+        rid.alias("run_id"), *keep, block["time"].alias("_time_arr"),
         *[block[s].alias(_arr(s)) for s in spellings])
     arrays = arrays.select("*", *[size_or_null(_arr(s)).alias(f"_size_{s}") for s in spellings])
     base = arrays.select(
         "location_name", "requested_latitude", "requested_longitude", "api_latitude",
-        "api_longitude", "ingestion_timestamp_utc", "run_id", F.inline(_cells(variables)),
+        "api_longitude", "ingestion_timestamp_utc", "run_id", *keep, F.inline(_cells(variables)),
     ).withColumn("_ts", parse_time("_time_text"))
     typed = {}
     for out in variables:
@@ -124,7 +125,7 @@ def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None
             bad = "bad_weather_code" if out in INTEGER_VARIABLES else f"bad_value:{out}"
             checks.append(F.when(F.col(f"_text_{out}").isNotNull() & typed[out].isNull(), F.lit(bad)))
         exprs.append(F.concat(F.array_compact(F.array(*checks)), F.col("_short")).alias(ERRORS))
-    return base.select(*exprs)
+    return base.select(*exprs, *keep)
 
 
 def flatten_hourly(ok: DataFrame, **kw) -> DataFrame:

@@ -22,6 +22,8 @@ METADATA_KEYS = ("latitude", "longitude", "elevation", "generationtime_ms",
 ERR_EMPTY_BODY = "Empty response body"
 ERR_INVALID_JSON = "Invalid JSON body"
 ERR_LIST_BODY = "'list' object has no attribute 'get'"
+ERR_EMPTY_LIST = "Empty list body"
+ERR_NO_LOCATION = "No location for list element"
 ERR_MISSING_OFFSET = "'utc_offset_seconds'"
 ERR_BAD_METADATA = "Invalid API metadata: "
 ERR_MISSING_BLOCK = "Missing block: "
@@ -45,10 +47,12 @@ def parse_responses(responses: DataFrame, *, multi_location: bool = False,
     Single-location mode (the default) treats a list body as a failure, like a
     client that expects an object. ``multi_location=True`` explodes a list body
     into one row per element and pairs element *i* with ``locations[i]`` when the
-    envelope carries a ``locations`` array (else with ``location``).
+    envelope carries a ``locations`` array (else with ``location``); an element past
+    that array's end fails, since nothing says which location it is.
     ``error`` is NULL for usable rows and the failure text otherwise.
     """
     docs = F.from_json(F.col("body"), BODY_LIST)
+    is_list = F.col("body").rlike(r"^\s*\[")
     # Parse behind a generator: the optimizer never inlines a generated column
     # into later filters, so each body is parsed exactly once even though the
     # usable and failed branches both test the parsed document.
@@ -56,13 +60,17 @@ def parse_responses(responses: DataFrame, *, multi_location: bool = False,
           .withColumn("n_docs", size_or_null("_docs")))
     if multi_location:
         df = df.select("*", F.posexplode_outer("_docs").alias("doc_index", "doc"))
+        unknown = F.lit(False)
         if locations_col in responses.columns:
-            df = df.withColumn("location", F.coalesce(
-                F.get(F.col(locations_col), F.col("doc_index")), F.col("location")))
+            listed = F.col(locations_col).isNotNull()
+            unknown = listed & (F.col("doc_index") >= F.size(locations_col))
+            df = df.withColumn("location", F.when(unknown, F.lit(None)).when(
+                listed, F.get(F.col(locations_col), F.col("doc_index"))).otherwise(F.col("location")))
         list_body = F.lit(False)
     else:
+        unknown = F.lit(False)
         df = df.withColumn("doc_index", F.lit(0)).withColumn("doc", F.get("_docs", 0))
-        list_body = F.col("n_docs") > 1
+        list_body = is_list
     doc = F.col("doc")
     df = df.withColumns(_api_columns(doc))
 
@@ -77,8 +85,11 @@ def parse_responses(responses: DataFrame, *, multi_location: bool = False,
     error = (
         F.when(F.col("transport_error").isNotNull(), F.col("transport_error"))
         .when(F.col("body").isNull(), F.lit(ERR_EMPTY_BODY))
-        .when(F.col("_docs").isNull() | (F.col("n_docs") == 0), F.lit(ERR_INVALID_JSON))
+        .when(F.col("_docs").isNull(), F.lit(ERR_INVALID_JSON))
         .when(list_body, F.lit(ERR_LIST_BODY))
+        .when((F.col("n_docs") == 0) & is_list, F.lit(ERR_EMPTY_LIST))
+        .when(F.col("n_docs") == 0, F.lit(ERR_INVALID_JSON))
+        .when(unknown, F.lit(ERR_NO_LOCATION))
         .when(is_truthy_text(doc["error"]),
               F.concat(F.lit("API Error: "), F.coalesce(doc["reason"], F.lit("None"))))
         .when(doc["utc_offset_seconds"].isNull(), F.lit(ERR_MISSING_OFFSET))

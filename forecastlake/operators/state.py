@@ -62,14 +62,18 @@ def apply_outcomes(state: DataFrame, updates: DataFrame) -> DataFrame:
     success: time, status 'success', error NULL, records n, end date replaced
     only by a non-empty value; failure: time, status 'failure', error text,
     records 0, end date kept. Keys without an update pass through unchanged;
-    keys seen for the first time are created.
+    keys seen for the first time are created. Keys are compared by value, so a
+    location without a name has one row too.
     """
     u = reduce_updates(updates).alias("u")
     s = state.alias("s")
-    joined = s.join(u, STATE_KEY, "full_outer")
+    same = F.lit(True)
+    for k in STATE_KEY:
+        same = same & F.col(f"s.{k}").eqNullSafe(F.col(f"u.{k}"))
+    joined = s.join(u, same, "full_outer")
     has_u = F.col("u.status").isNotNull()
     return joined.select(
-        *STATE_KEY,
+        *[F.coalesce(f"s.{k}", f"u.{k}").alias(k) for k in STATE_KEY],
         F.when(has_u, F.col("u.at")).otherwise(F.col("s.last_fetch_timestamp")).alias("last_fetch_timestamp"),
         F.when(has_u, F.col("u.status")).otherwise(F.col("s.last_fetch_status")).alias("last_fetch_status"),
         F.when(has_u, F.col("u.error")).otherwise(F.col("s.last_fetch_error")).alias("last_fetch_error"),
@@ -104,29 +108,36 @@ def stale_locations(locations: DataFrame, state: DataFrame, *, provider: str, in
 def resolve_attempts(log: DataFrame, key_cols: list[str], *, attempt_col: str = "attempt",
                      class_col: str = "error_class", order_cols: tuple[str, ...] = (),
                      max_attempts: int = DEFAULT_MAX_ATTEMPTS,
-                     retryable: tuple[str, ...] = RETRYABLE_CLASSES) -> DataFrame:
+                     retryable: tuple[str, ...] = RETRYABLE_CLASSES,
+                     carry: tuple[str, ...] = ()) -> DataFrame:
     """Final outcome per key from an attempt log.
 
     Terminal attempts: success (class NULL or 'success'), a non-retryable
     class, or attempt number ``max_attempts`` (attempts counted in total).
     The outcome is the earliest terminal attempt; keys without one are
-    'pending'. One aggregation with ``min_by``; no window, no sort per key.
+    'pending'. One aggregation with ``min_by``, no window; the structs hold
+    strings, so Spark plans it as a sort-based aggregation. ``carry`` columns are
+    those of the final attempt, or of the latest one of a pending key.
     """
     cls = F.col(class_col)
     ok = cls.isNull() | (cls == "success")
     terminal = ok | ~cls.isin(*retryable) | (F.col(attempt_col) >= F.lit(max_attempts))
     order = F.struct(F.col(attempt_col), *[F.col(c) for c in order_cols])
     pick = F.min_by(F.struct(F.col(attempt_col).alias("final_attempt"),
-                             F.col(class_col).alias("final_class")),
+                             F.col(class_col).alias("final_class"), *carry),
                     F.when(terminal, order))
-    res = log.groupBy(*key_cols).agg(pick.alias("_p"), F.count(F.lit(1)).alias("attempts_seen"))
+    aggs = [pick.alias("_p"), F.count(F.lit(1)).alias("attempts_seen")]
+    if carry:
+        aggs.append(F.max_by(F.struct(*carry), order).alias("_l"))
+    res = log.groupBy(*key_cols).agg(*aggs)
     fc = F.col("_p.final_class")
     status = (F.when(F.col("_p").isNull(), F.lit("pending"))
               .when(fc.isNull() | (fc == "success"), F.lit("success"))
               .otherwise(F.lit("failed")))
     return res.select(*key_cols, F.col("_p.final_attempt").alias("final_attempt"),
                       status.alias("final_status"),
-                      F.when(status == "failed", fc).alias("error_class"), "attempts_seen")
+                      F.when(status == "failed", fc).alias("error_class"), "attempts_seen",
+                      *[F.coalesce(F.col("_p")[c], F.col("_l")[c]).alias(c) for c in carry])
 
 
 def backoff_schedule(log: DataFrame, *, attempt_col: str = "attempt",

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecastlake.operators.flatten import ERRORS
 
 
+def row_errors(required: tuple[str, ...] = ("location_name",), errors_col: str = ERRORS) -> Column:
+    """All problems of a flattened row: its cells' and its missing required columns."""
+    checks = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in required]
+    return F.array_compact(F.concat(F.col(errors_col), F.array(*checks))) if checks else F.col(errors_col)
+
+
 def check_rows(df: DataFrame, *, required: tuple[str, ...] = ("location_name",),
                errors_col: str = ERRORS, on_bad: str = "quarantine") -> tuple[DataFrame, DataFrame]:
     """Split flattened rows into (good, quarantined).
@@ -18,9 +24,7 @@ def check_rows(df: DataFrame, *, required: tuple[str, ...] = ("location_name",),
     ``on_bad='fail'`` restores abort-on-first-bad-row behaviour: the caller
     gets an exception when any row is quarantined.
     """
-    checks = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in required]
-    errs = F.array_compact(F.concat(F.col(errors_col), F.array(*checks))) if checks else F.col(errors_col)
-    tagged = df.withColumn(errors_col, errs)
+    tagged = df.withColumn(errors_col, row_errors(required, errors_col))
     good = tagged.filter(F.size(errors_col) == 0).drop(errors_col)
     bad = tagged.filter(F.size(errors_col) > 0).withColumnRenamed(errors_col, "errors")
     if on_bad == "fail":

@@ -4,8 +4,9 @@
         --interval hourly --lake s3://…/lake --state s3://…/state
 
 Exit code 0 when at least one location succeeded, 1 otherwise (including any
-error). ``--stream`` consumes only responses landed since the last run
-(availableNow trigger; ``--checkpoint`` required).
+error, and attempts that are all still pending). ``--stream`` consumes only
+responses landed since the last run (availableNow trigger; ``--checkpoint``
+required); with nothing new it exits with 0.
 """
 
 from __future__ import annotations
@@ -25,8 +26,11 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--state", default=None, help="state root (versioned table)")
     p.add_argument("--provider", default="open_meteo")
     p.add_argument("--compression", default="zstd", choices=["snappy", "gzip", "zstd"])
-    p.add_argument("--layout", default="by_location", choices=["by_location", "by_date"])
-    p.add_argument("--quarantine", default=None, help="where rows that fail validation go")
+    p.add_argument("--layout", default="by_date", choices=["by_location", "by_date"])
+    p.add_argument("--quarantine", default=None, help="where rows that fail validation go (default: below the lake)")
+    p.add_argument("--table", default=None, help="write through this catalog table")
+    p.add_argument("--max-attempts", type=int, default=3)
+    p.add_argument("--close-cycles", action="store_true", help="count pending cycles as failed")
     p.add_argument("--stream", action="store_true", help="only newly landed files (availableNow)")
     p.add_argument("--checkpoint", default=None, help="stream checkpoint (with --stream)")
     return p.parse_args(argv)
@@ -41,25 +45,25 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from forecastlake.streaming.incremental import run_available_now
 
         spark = spark or get_spark()
+        options = dict(interval=args.interval, base_path=args.lake, provider=args.provider, state_root=args.state,
+                       compression=args.compression, layout=args.layout, quarantine_path=args.quarantine,
+                       table_name=args.table, max_attempts=args.max_attempts, close_cycles=args.close_cycles)
         if args.stream:
             if not args.checkpoint:
                 raise ValueError("--stream needs --checkpoint")
-            run_available_now(spark, args.landing, checkpoint=args.checkpoint, interval=args.interval,
-                              base_path=args.lake, provider=args.provider, state_root=args.state,
-                              compression=args.compression)
-            log.info("incremental run finished")
-            return 0
-        res = run_batch(spark, read_responses(spark, args.landing), interval=args.interval,
-                        base_path=args.lake, provider=args.provider, state_root=args.state,
-                        compression=args.compression, layout=args.layout,
-                        quarantine_path=args.quarantine)
-        rr = res.run_report.select("success", "records_processed", "files_written",
-                                   "failed_count", "error").first()
+            res = run_available_now(spark, args.landing, checkpoint=args.checkpoint, **options)
+            if res is None:
+                log.info("nothing new landed")
+                return 0
+        else:
+            res = run_batch(spark, read_responses(spark, args.landing), **options)
+        rr = res.run_report.first()
         if rr["success"]:
             print(f"[SUCCESS] run {res.run_id}: {rr['records_processed']} records in "
-                  f"{rr['files_written']} files, {rr['failed_count']} failed locations")
+                  f"{rr['files_written']} files, {rr['failed_count']} failed, {rr['pending_count']} pending, "
+                  f"{rr['rejected_count']} rows rejected")
             return 0
-        print(f"[FAILED] run {res.run_id}: {rr['error']}")
+        print(f"[FAILED] run {res.run_id}: {rr['error'] or 'no location has finished'}")
         return 1
     except Exception as exc:  # any failure is a failed run
         print(f"Pipeline error: {exc}")

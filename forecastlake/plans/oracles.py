@@ -289,13 +289,13 @@ SELECT {L_LOC} AS location_name, l_shipdate AS "date", COUNT(*) AS dup_count
 FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""",
 
     "null_counts": """
-SELECT COUNT(*) - COUNT(d.doc_id) AS doc_id, COUNT(*) - COUNT(d.lang) AS lang,
+SELECT COUNT(*) - COUNT(d.doc_id) AS doc_id, COUNT(*) - COUNT(d.text) AS text, COUNT(*) - COUNT(d.lang) AS lang,
   COUNT(*) - COUNT(d.source) AS source, COUNT(*) - COUNT(d.n_chars) AS n_chars,
   COUNT(*) - COUNT(l.quality) AS quality, COUNT(*) - COUNT(l.toxic) AS toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 
     "null_total": """
-SELECT CAST(6 * COUNT(*) - COUNT(d.doc_id) - COUNT(d.lang) - COUNT(d.source) - COUNT(d.n_chars)
+SELECT CAST(7 * COUNT(*) - COUNT(d.doc_id) - COUNT(d.text) - COUNT(d.lang) - COUNT(d.source) - COUNT(d.n_chars)
   - COUNT(l.quality) - COUNT(l.toxic) AS BIGINT) AS null_total
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 
@@ -363,7 +363,7 @@ SELECT CAST(COUNT(*) AS BIGINT) AS records_processed,
 FROM events""",
 
     "single_write_report": """
-SELECT COUNT(*) AS records_written, 'parquet' AS format FROM lineitem""",
+SELECT COUNT(*) AS records_written, 'parquet' AS format, 'zstd' AS compression, 'daily' AS interval FROM lineitem""",
 
     "lake_path_columns": f"""
 SELECT 'open_meteo' AS path_provider, 'hourly' AS path_interval, event_type AS path_location,
@@ -375,11 +375,96 @@ FROM events GROUP BY 3, 4""",
     "catalog_lake_filter": f"SELECT {hourly_cols()} FROM events WHERE event_type = 'click'",
 
     "run_report": f"""
+WITH g AS (SELECT event_type, {DAY} AS d, {CHUNK} AS c, count(*) AS n FROM events GROUP BY ALL)
 SELECT true AS success, 'run-events' AS run_id,
-  (SELECT COUNT(*) FROM events WHERE event_type <> 'error') AS records_processed,
-  (SELECT COUNT(DISTINCT event_type) FROM events WHERE event_type <> 'error') AS files_written,
-  (SELECT COUNT(*) FROM (SELECT DISTINCT {DAY}, {CHUNK} FROM events WHERE event_type = 'error')) AS failed_count,
-  CAST(NULL AS VARCHAR) AS error""",
+  CAST(sum(n) FILTER (event_type <> 'error') AS BIGINT) AS records_processed, CAST(0 AS BIGINT) AS rejected_count,
+  count(DISTINCT event_type) FILTER (event_type <> 'error') AS files_written, count(*) AS responses,
+  count(*) FILTER (event_type <> 'error') AS ok_count, count(*) FILTER (event_type = 'error') AS failed_count,
+  CAST(0 AS BIGINT) AS pending_count, CAST(0 AS BIGINT) AS superseded_count, CAST(NULL AS VARCHAR) AS error
+FROM g""",
+
+    "run_cycles": f"""
+WITH g AS (SELECT event_type, {DAY} AS d, {CHUNK} AS c, count(*) AS n, CAST({CHUNK} % 4 AS INTEGER) AS kind
+           FROM events GROUP BY event_type, {DAY}, {CHUNK}),
+f AS (SELECT *, CASE WHEN event_type = 'signup' THEN NULL ELSE event_type END AS name,
+        CASE WHEN kind = 2 THEN 'pending' WHEN kind = 3 OR event_type = 'error' THEN 'failed' ELSE 'ok' END AS outcome FROM g),
+r AS (SELECT name, outcome, n, event_type, d, c FROM f
+      UNION ALL SELECT name, 'superseded', 0, event_type, d, c FROM f WHERE kind IN (0, 3)
+      UNION ALL SELECT name, 'superseded', 0, event_type, d, c FROM f WHERE kind = 3),
+w AS (SELECT *, CASE WHEN outcome = 'ok' AND name IS NOT NULL THEN n ELSE 0 END AS good,
+        CASE WHEN outcome = 'ok' AND name IS NULL THEN n ELSE 0 END AS bad FROM r),
+last AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY d + to_seconds(c) DESC) AS rn
+         FROM w WHERE outcome IN ('ok', 'failed'))
+SELECT 'responses' AS part, name AS location_name, outcome, count(*) AS n, CAST(sum(good) AS BIGINT) AS good,
+  CAST(sum(bad) AS BIGINT) AS bad FROM w GROUP BY name, outcome
+UNION ALL SELECT 'lake', name, NULL, 1, CAST(sum(good) AS BIGINT), 0 FROM w GROUP BY name HAVING sum(good) > 0
+UNION ALL SELECT 'state', name, CASE outcome WHEN 'ok' THEN 'success' ELSE 'failure' END, 1, good, 0 FROM last WHERE rn = 1""",
+
+    "run_quarantine_report": f"""
+WITH x AS (SELECT event_type AS t, (value >= 300 OR {K} >= 98) AS bad FROM events WHERE event_type <> 'error')
+SELECT 'report' AS part, CAST(NULL AS VARCHAR) AS location_name, count(*) FILTER (coalesce(bad, false)) AS records,
+  count(*) FILTER (NOT coalesce(bad, false)) AS written FROM x
+UNION ALL SELECT 'rejected', t, count(*), 0 FROM x WHERE bad GROUP BY t""",
+
+    "payload_bytes": """
+SELECT doc_id, CASE WHEN text IS NULL THEN 'Empty response body'
+  WHEN regexp_matches(text, '^[ \\t\\n\\x0B\\f\\r]*\\[') THEN chr(39) || 'list' || chr(39) || ' object has no attribute ' || chr(39) || 'get' || chr(39)
+  ELSE 'Invalid JSON body' END AS error, CAST(strlen(text) AS INTEGER) AS body_bytes FROM documents""",
+
+    "list_bodies": """
+SELECT o_orderkey, 'single' AS mode, CASE WHEN o_orderkey % 3 < 2 THEN chr(39) || 'list' || chr(39) || ' object has no attribute ' || chr(39) || 'get' || chr(39)
+  ELSE 'API Error: r' END AS error FROM orders
+UNION ALL SELECT o_orderkey, 'multi', CASE WHEN o_orderkey % 3 = 0 THEN 'Empty list body'
+  ELSE 'No location for list element' END FROM orders""",
+
+    "ingestion_metadata": """
+SELECT source AS location_name, TIMESTAMP '2024-01-30 12:00:00' AS ingestion_timestamp_utc,
+  'docs://' || CAST(doc_id AS VARCHAR) AS request_url, CAST(n_chars AS DOUBLE) AS elapsed_ms,
+  CAST(200 AS INTEGER) AS status_code, CAST(strlen(text) AS INTEGER) AS response_size_bytes FROM documents""",
+
+    "partitioned_write_hourly_by_location": f"SELECT {_hourly_two_runs()} FROM events",
+
+    "partitioned_write_daily_by_location": _daily_flag_runs(),
+
+    "daily_replace_missing_location": _daily_flag_runs().replace(
+        "WHERE NOT early OR NOT EXISTS (",
+        "WHERE CASE WHEN location_name = 'FR' THEN early ELSE NOT early OR NOT EXISTS (") + " END",
+
+    "write_report_escaped_ids": f"""
+WITH r AS (SELECT event_type AS location_name, strftime({DAY}, '%Y-%m-%d') || CASE WHEN hour(ts) < 12 THEN 'T00:00' ELSE 'T12:00' END
+    || ' #{{a,b}}' AS run_id FROM events),
+g AS (SELECT location_name, run_id, count(*) AS records_written FROM r GROUP BY ALL)
+SELECT *, 'all' AS scope FROM g
+UNION ALL SELECT *, 'first two' FROM g WHERE run_id IN (SELECT DISTINCT run_id FROM r ORDER BY 1 LIMIT 2)""",
+
+    "inferred_interval_write": """
+SELECT 'hourly' AS interval, event_type AS location_name, count(*) AS records FROM events GROUP BY ALL
+UNION ALL SELECT 'daily', 'F' || l_returnflag, count(*) FROM lineitem WHERE dayofmonth(l_shipdate) <= 15 GROUP BY ALL""",
+
+    "get_or_create_state": """
+WITH u AS (SELECT 'user-' || CAST(user_id AS VARCHAR) AS name, event_type, value,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT name AS location_name, CASE WHEN event_type = 'error' THEN 'failure' ELSE 'success' END AS last_fetch_status,
+  CAST(CASE WHEN event_type = 'error' THEN 0 ELSE floor(value) END AS INTEGER) AS records_fetched, false AS is_new
+FROM u WHERE rn = 1
+UNION ALL SELECT name || '-new', 'success', 0, true FROM u WHERE rn = 1""",
+
+    "gates": """
+WITH u AS (SELECT user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events),
+t AS (SELECT CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE floor(value) END) AS BIGINT) AS n FROM u WHERE rn = 1)
+SELECT 'nulls' AS gate, CAST(2 * count(*) - count(event_type) - count(ts) + count(*) AS BIGINT) AS figure,
+  3 * count(*) - count(event_type) - count(ts) = 0 AS passed FROM events
+UNION ALL SELECT 'records', n, n > 0 FROM t""",
+
+    "flatten_dynamic_daily": f"""
+SELECT CAST(o_orderdate AS TIMESTAMP) AS "date", max(o_totalprice) / {D.format(1000.0)} AS temperature_2m_max,
+  min(o_totalprice) / {D.format(1000.0)} AS temperature_2m_min, CAST(count(*) AS DOUBLE) AS precipitation_sum,
+  o_orderpriority AS location_name
+FROM orders GROUP BY o_orderpriority, o_orderdate""",
+
+    "incremental_small_batches": f"SELECT {hourly_cols(with_run=False)} FROM events WHERE event_type <> 'error'",
+
+    "incremental_two_streams": f"SELECT {hourly_cols(with_run=False)} FROM events WHERE event_type <> 'error'",
 
     "incremental_ingest": f"SELECT {hourly_cols(with_run=False)} FROM events WHERE event_type <> 'error'",
 
@@ -428,3 +513,10 @@ SELECT location_name, event_id, attempt,
   CASE WHEN attempt < 3 THEN power({D.format(2.0)}, attempt - 1) END AS wait_seconds
 FROM l""",
 }
+
+ORACLES["run_daily_refetch"] = (
+    ORACLES["flatten_daily"]
+    .replace("make_timestamp(year(\"date\"), 1, 1, 0, 0, 0) AS ingestion_timestamp_utc",
+             "make_timestamp(year(\"date\"), 1, 1, CASE WHEN location_name = '1-URGENT' THEN 0 ELSE 6 END, 0, 0)"
+             " AS ingestion_timestamp_utc")
+    .replace(",\n  'run-' || CAST(year(\"date\") AS VARCHAR) AS run_id", ""))

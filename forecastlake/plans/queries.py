@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from forecastlake.operators import flatten as fl
 from forecastlake.operators import quality as q
 from forecastlake.operators import state as st
-from forecastlake.operators.parse import metadata_record, parse_responses, split_ok_failed
+from forecastlake.operators.parse import ingestion_metadata, metadata_record, parse_responses, split_ok_failed
 from forecastlake.operators.validate import check_rows
 from forecastlake.functions.scalars import size_or_null
 from forecastlake.plans.run import run_batch
 from forecastlake.session import scratch_path, table_path
-from forecastlake.sinks.lake import write_forecasts, write_single
+from forecastlake.sinks.lake import infer_interval, write_forecasts, write_single
 from forecastlake.sinks.reports import prototype_paths, report_totals, write_report
 from forecastlake.sources import tables as tb
 from forecastlake.sources.lake import lake_path_columns, read_lake
@@ -86,6 +86,46 @@ def q_multi_location_body(spark, sf_dir):
     return good
 
 
+def q_flatten_dynamic_daily(spark, sf_dir):
+    ok, _ = split_ok_failed(parse_responses(tb.orders_daily_responses(_t(spark, sf_dir, "orders"))))
+    rows = fl.flatten_dynamic(ok, "daily", ["temperature_2m_max", "temperature_2m_min", "precipitation_sum"])
+    return rows.select(F.col("date").cast("timestamp_ntz").alias("date"), "temperature_2m_max", "temperature_2m_min",
+                       "precipitation_sum", "location_name")
+
+
+def q_payload_bytes(spark, sf_dir):
+    """P15 bytes and F2 of bodies of known content: every document's text as a body."""
+    docs = _t(spark, sf_dir, "documents").select(
+        "doc_id", F.col("text").alias("body"), F.lit("hourly").alias("interval"), F.lit(None).cast("string").alias("transport_error"))
+    shape = fl.payload_shape(parse_responses(docs), "hourly", ["doc_id", "error"])
+    return shape.select("doc_id", "error", "body_bytes")
+
+
+def q_list_bodies(spark, sf_dir):
+    """Every order as a one-element, empty or plain body, in either mode."""
+    k = F.col("o_orderkey") % 3
+    empty = F.lit('  []')
+    one = F.lit('{"error": true, "reason": "r"}')
+    body = F.when(k == 0, empty).when(k == 1, F.concat(F.lit(" ["), one, F.lit("]"))).otherwise(one)
+    rows = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", body.alias("body"), F.lit("hourly").alias("interval"), F.lit(None).cast("string").alias("transport_error"),
+        F.struct(F.lit("X").alias("name")).alias("location"), F.array().cast("array<struct<name:string>>").alias("locations"))
+    single = parse_responses(rows).select("o_orderkey", F.lit("single").alias("mode"), "error")
+    multi = parse_responses(rows, multi_location=True).select("o_orderkey", F.lit("multi").alias("mode"), "error")
+    return single.unionByName(multi)
+
+
+def q_ingestion_metadata(spark, sf_dir):
+    """P9 over every document's text as a body."""
+    docs = _t(spark, sf_dir, "documents").select(
+        F.struct(F.col("source").alias("name")).alias("location"), F.col("text").alias("body"),
+        F.lit("hourly").alias("interval"), F.lit(None).cast("string").alias("transport_error"),
+        F.lit(AS_OF).cast("timestamp_ntz").alias("ingestion_timestamp_utc"),
+        F.concat(F.lit("docs://"), F.col("doc_id").cast("string")).alias("request_url"),
+        F.col("n_chars").cast("double").alias("elapsed_ms"), F.lit(200).alias("status_code"))
+    return ingestion_metadata(parse_responses(docs))
+
+
 def q_row_validation(spark, sf_dir):
     _, bad = check_rows(fl.flatten_hourly(_ok_hourly(spark, sf_dir, bad_cells=True)))
     return bad.select("location_name", "timestamp", F.array_join("errors", ",").alias("errors"))
@@ -109,8 +149,8 @@ def q_forecast_end(spark, sf_dir):
 
 def q_payload_shape(spark, sf_dir):
     parsed = _keyed(parse_responses(tb.events_responses(_t(spark, sf_dir, "events"))))
-    # Body bytes depend on the JSON writer's formatting, so the oracle cannot
-    # reproduce them; the column is tested in the unit tests instead.
+    # Body bytes depend on the JSON writer's formatting; ``payload_bytes`` checks them
+    # on bodies that the tables hold.
     return fl.payload_shape(parsed, "hourly", KEYS).drop("body_bytes")
 
 
@@ -219,8 +259,7 @@ def q_duplicates(spark, sf_dir):
 
 
 def _docs_labels(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return docs.join(_t(spark, sf_dir, "labels"), "doc_id", "left")
+    return _t(spark, sf_dir, "documents").join(_t(spark, sf_dir, "labels"), "doc_id", "left")
 
 
 def q_null_counts(spark, sf_dir):
@@ -308,13 +347,21 @@ def _two_hourly_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return run.filter(am), run.filter(~am)
 
 
-def q_partitioned_write_hourly(spark, sf_dir):
+def _write_hourly(spark, sf_dir, layout):
     base = scratch_path(spark, "lake-hourly")
     for run in _two_hourly_runs(spark, sf_dir):
-        write_forecasts(run, base, interval="hourly", provider=PROVIDER)
+        write_forecasts(run, base, interval="hourly", provider=PROVIDER, layout=layout)
     return read_lake(spark, base, "hourly", provider=PROVIDER)
 
 
+def q_partitioned_write_hourly(spark, sf_dir):
+    return _write_hourly(spark, sf_dir, "by_date")
+
+
+def q_partitioned_write_hourly_by_location(spark, sf_dir):
+    return _write_hourly(spark, sf_dir, "by_location")
+
+
 def _two_daily_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     d = tb.lineitem_daily_frame(_t(spark, sf_dir, "lineitem"), by_flag=True).drop(
         "l_orderkey", "l_linenumber")
@@ -328,14 +375,28 @@ def _two_daily_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return run.filter(early), run.filter(~early)
 
 
-def q_partitioned_write_daily(spark, sf_dir):
+def _write_daily(spark, runs, layout):
     base = scratch_path(spark, "lake-daily")
-    for run in _two_daily_runs(spark, sf_dir):  # one run per write: no in-batch winner needed
+    for run in runs:  # one run per write: no in-batch winner needed
         write_forecasts(run, base, interval="daily", provider=PROVIDER, compression="snappy",
-                        latest_run_only=False)
+                        layout=layout, latest_run_only=False)
     return read_lake(spark, base, "daily", provider=PROVIDER)
 
 
+def q_partitioned_write_daily(spark, sf_dir):
+    return _write_daily(spark, _two_daily_runs(spark, sf_dir), "by_date")
+
+
+def q_partitioned_write_daily_by_location(spark, sf_dir):
+    return _write_daily(spark, _two_daily_runs(spark, sf_dir), "by_location")
+
+
+def q_daily_replace_missing_location(spark, sf_dir):
+    """The later run lacks a location: that location keeps its earlier rows."""
+    early, late = _two_daily_runs(spark, sf_dir)
+    return _write_daily(spark, (early, late.filter("location_name <> 'FR'")), "by_date")
+
+
 def q_daily_replace_single_batch(spark, sf_dir):
     """Both daily runs in one batch: the later run of each location-day wins."""
     base = scratch_path(spark, "lake-daily-batch")
@@ -358,15 +419,43 @@ def q_write_totals(spark, sf_dir):
     return report_totals(write_report(spark, base, interval="hourly", provider=PROVIDER))
 
 
+def q_write_report_escaped_ids(spark, sf_dir):
+    """Run ids that need escaping in paths (an ISO time, and characters that globs read)."""
+    base = scratch_path(spark, "lake-escaped")
+    for run in _two_hourly_runs(spark, sf_dir):
+        odd = F.concat(F.date_format("ingestion_timestamp_utc", "yyyy-MM-dd'T'HH:mm"), F.lit(" #{a,b}"))
+        write_forecasts(run.withColumn("run_id", odd), base, interval="hourly", provider=PROVIDER)
+    ids = [r[0] for r in read_lake(spark, base, "hourly", provider=PROVIDER).select("run_id").distinct()
+           .orderBy("run_id").limit(2).collect()]
+    every = write_report(spark, base, interval="hourly", provider=PROVIDER)
+    some = write_report(spark, base, interval="hourly", provider=PROVIDER, run_ids=ids)
+    return every.select("location_name", "run_id", "records_written", F.lit("all").alias("scope")).unionByName(
+        some.select("location_name", "run_id", "records_written", F.lit("first two").alias("scope")))
+
+
 def q_single_write_report(spark, sf_dir):
-    path = scratch_path(spark, "single") + "/open_meteo/daily/forecast.parquet"
-    rep = write_single(_daily(spark, sf_dir).drop("l_orderkey", "l_linenumber"), path, compression="zstd")
-    return rep.select("records_written", "format")
+    """One file set, interval inferred from the columns, codec in the result."""
+    frame = _daily(spark, sf_dir).drop("l_orderkey", "l_linenumber")
+    path = scratch_path(spark, "single") + f"/open_meteo/{infer_interval(frame)}/forecast.parquet"
+    rep = write_single(frame, path, compression="zstd")
+    return rep.select("records_written", "format", "compression",
+                      F.regexp_extract("path", "/open_meteo/([^/]+)/", 1).alias("interval"))
+
+
+def q_inferred_interval_write(spark, sf_dir):
+    """The grouped write of either frame finds its own interval."""
+    base = scratch_path(spark, "lake-inferred")
+    write_forecasts(_hourly(spark, sf_dir).drop("event_id"), base, interval=None, provider=PROVIDER)
+    write_forecasts(_two_daily_runs(spark, sf_dir)[0], base, interval=None, provider=PROVIDER)
+    parts = [read_lake(spark, base, i, provider=PROVIDER, with_partitions=True).groupBy("interval", "location_name")
+             .agg(F.count(F.lit(1)).alias("records")) for i in ("hourly", "daily")]
+    return parts[0].unionByName(parts[1])
 
 
 def q_lake_path_columns(spark, sf_dir):
     base = scratch_path(spark, "lake-paths")
-    write_forecasts(_hourly(spark, sf_dir).drop("event_id"), base, interval="hourly", provider=PROVIDER)
+    write_forecasts(_hourly(spark, sf_dir).drop("event_id"), base, interval="hourly", provider=PROVIDER,
+                    layout="by_location")
     lake = spark.read.schema(
         read_lake(spark, base, "hourly", provider=PROVIDER, with_partitions=True).schema
     ).option("basePath", base).parquet(base)
@@ -377,51 +466,113 @@ def q_lake_path_columns(spark, sf_dir):
 
 def q_lake_location_filter(spark, sf_dir):
     base = scratch_path(spark, "lake-filter")
-    write_forecasts(_hourly(spark, sf_dir).drop("event_id"), base, interval="hourly", provider=PROVIDER)
+    write_forecasts(_hourly(spark, sf_dir).drop("event_id"), base, interval="hourly", provider=PROVIDER,
+                    layout="by_location")
     return read_lake(spark, base, "hourly", provider=PROVIDER).filter(F.col("location_name") == "click")
 
 
 def q_catalog_lake_filter(spark, sf_dir):
-    """Lake registered as a partitioned catalog table; the filter prunes by catalog."""
-    import uuid
-
-    from forecastlake.sinks.catalog import add_partitions, read_lake_table, register_lake_table
-
-    base = scratch_path(spark, "lake-catalog")
-    frame = _hourly(spark, sf_dir).drop("event_id")
-    write_forecasts(frame, base, interval="hourly", provider=PROVIDER)
-    name = f"lake_hourly_{uuid.uuid4().hex[:12]}"
-    register_lake_table(spark, name, base, interval="hourly", provider=PROVIDER, recover=False)
-    add_partitions(spark, name, frame.withColumn("ingest_date", F.to_date("ingestion_timestamp_utc")),
-                   interval="hourly")
+    """Lake written through a partitioned catalog table; the filter prunes by catalog."""
+    from forecastlake.sinks.catalog import read_lake_table, write_lake_table
+
+    name = "forecastlake_checked_lake"       # one table, replaced on each call; its files are external
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    write_lake_table(spark, name, _hourly(spark, sf_dir).drop("event_id"), scratch_path(spark, "lake-catalog"),
+                     interval="hourly", provider=PROVIDER, layout="by_location")
     return read_lake_table(spark, name, "hourly").filter(F.col("location_name") == "click")
 
 
-def q_run_report(spark, sf_dir):
-    # Land the responses first, as a fetcher would, then run over the landing zone.
+def _landed(spark, responses: DataFrame) -> DataFrame:
+    """Land the responses first, as a fetcher would, and read the landing zone."""
     landing = scratch_path(spark, "run-landing")
-    tb.events_responses(_t(spark, sf_dir, "events")).drop("chunk").write.json(landing)
-    res = run_batch(spark, read_responses(spark, landing), interval="hourly",
-                    base_path=scratch_path(spark, "run-lake"),
-                    state_root=scratch_path(spark, "run-state"), run_id="run-events")
-    return res.run_report.select("success", "run_id", "records_processed", "files_written",
-                                 "failed_count", "error")
+    responses.write.json(landing)
+    return read_responses(spark, landing)
 
 
-def q_incremental_ingest(spark, sf_dir):
+def _cycles(responses: DataFrame) -> DataFrame:
+    """Each packed response is a fetch cycle of its own."""
+    return responses.withColumn("run_id", F.concat_ws("-", "run_id", "chunk")).drop("chunk")
+
+
+def q_run_report(spark, sf_dir):
+    landed = _landed(spark, _cycles(tb.events_responses(_t(spark, sf_dir, "events"))))
+    res = run_batch(spark, landed, interval="hourly",
+                    base_path=scratch_path(spark, "run-lake"),
+                    state_root=scratch_path(spark, "run-state"), run_id="run-events")
+    return res.run_report.drop("run_start", "run_end")
+
+
+def q_run_cycles(spark, sf_dir):
+    """Many cycles with retries, pending ones and responses without a location name:
+    outcomes with their rows, the lake's rows and the state."""
+    landed = _landed(spark, tb.events_cycle_attempts(_t(spark, sf_dir, "events")))
+    base, root = scratch_path(spark, "run-lake"), scratch_path(spark, "run-state")
+    res = run_batch(spark, landed, interval="hourly", base_path=base, state_root=root, run_id="run-cycles")
+    by = res.resolved.groupBy(F.col("location.name").alias("location_name"), "outcome").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_good").alias("good"), F.sum("n_bad").alias("bad"))
+    lake = read_lake(spark, base, "hourly", provider=PROVIDER).groupBy("location_name").agg(
+        F.count(F.lit(1)).alias("good"))
+    state = read_state(spark, root)
+    zero = F.lit(0).cast("long")
+    return by.select(F.lit("responses").alias("part"), "location_name", "outcome", "n", "good", "bad").unionByName(
+        lake.select(F.lit("lake").alias("part"), "location_name", F.lit(None).cast("string").alias("outcome"),
+                    F.lit(1).cast("long").alias("n"), "good", zero.alias("bad"))).unionByName(
+        state.select(F.lit("state").alias("part"), "location_name", F.col("last_fetch_status").alias("outcome"),
+                     F.lit(1).cast("long").alias("n"), F.col("records_fetched").cast("long").alias("good"),
+                     zero.alias("bad")))
+
+
+def q_run_daily_refetch(spark, sf_dir):
+    """Two fetches of a location on one day in one run: the later one is the day's."""
+    first = tb.orders_daily_responses(_t(spark, sf_dir, "orders")).drop("chunk")
+    later = first.filter(F.col("location.name") != "1-URGENT").withColumns({
+        "run_id": F.concat("run_id", F.lit("-b")),
+        "ingestion_timestamp_utc": F.col("ingestion_timestamp_utc") + F.expr("INTERVAL 6 HOURS")})
+    base = scratch_path(spark, "run-lake")
+    run_batch(spark, _landed(spark, first.unionByName(later)), interval="daily", base_path=base, run_id="run-daily")
+    return read_lake(spark, base, "daily", provider=PROVIDER).drop("run_id")
+
+
+def q_run_quarantine_report(spark, sf_dir):
+    """Rejected rows of a run, written below the lake and counted in its report."""
+    landed = _landed(spark, _cycles(tb.events_responses(_t(spark, sf_dir, "events"), bad_cells=True)))
+    res = run_batch(spark, landed, interval="hourly", base_path=scratch_path(spark, "run-lake"), run_id="run-bad")
+    rows = res.quarantined.groupBy("location_name").agg(F.count(F.lit(1)).alias("records"))
+    report = res.run_report.select(F.lit("report").alias("part"), F.lit(None).cast("string").alias("location_name"),
+                                   F.col("rejected_count").alias("records"), F.col("records_processed").alias("written"))
+    return report.unionByName(rows.select(F.lit("rejected").alias("part"), "location_name", "records",
+                                          F.lit(0).cast("long").alias("written")))
+
+
+def _incremental(spark, sf_dir, streams: int = 1, max_files: int = 100_000):
     events = _t(spark, sf_dir, "events")
-    landing = scratch_path(spark, "landing")
     base = scratch_path(spark, "stream-lake")
-    ckpt = scratch_path(spark, "stream-ckpt")
-    resp = tb.events_responses(events).drop("chunk")
+    resp = _cycles(tb.events_responses(events))
     first = F.col("ingestion_timestamp_utc") < F.lit(SPLIT_AT).cast("timestamp_ntz")
+    zones = [(scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")) for _ in range(streams)]
     for i, part in enumerate((resp.filter(first), resp.filter(~first))):
-        part.write.mode("overwrite").json(f"{landing}/drop={i}")
-        run_available_now(spark, f"{landing}/drop=*", checkpoint=ckpt, interval="hourly",
-                          base_path=base, provider=PROVIDER)
+        for k, (landing, ckpt) in enumerate(zones):
+            own = part.filter(F.pmod(F.xxhash64("location"), F.lit(streams)) == k) if streams > 1 else part
+            own.repartition(3).write.mode("overwrite").json(f"{landing}/drop={i}")
+            run_available_now(spark, f"{landing}/drop=*", checkpoint=ckpt, interval="hourly",
+                              base_path=base, provider=PROVIDER, max_files_per_trigger=max_files)
     return read_lake(spark, base, "hourly", provider=PROVIDER).drop("run_id")
 
 
+def q_incremental_ingest(spark, sf_dir):
+    return _incremental(spark, sf_dir)
+
+
+def q_incremental_small_batches(spark, sf_dir):
+    """One file in each micro-batch: the same rows."""
+    return _incremental(spark, sf_dir, max_files=1)
+
+
+def q_incremental_two_streams(spark, sf_dir):
+    """Two landing zones into one lake: neither replaces the other's rows."""
+    return _incremental(spark, sf_dir, streams=2)
+
+
 # ---- state --------------------------------------------------------------
 
 def _outcomes(spark, sf_dir):
@@ -457,6 +608,24 @@ def q_records_gate_total(spark, sf_dir):
     return st.records_total(_full_state(spark, sf_dir))
 
 
+def q_get_or_create_state(spark, sf_dir):
+    """The state of known and unknown locations."""
+    users = _t(spark, sf_dir, "events").select(F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("location_name"))
+    wanted = users.union(users.select(F.concat("location_name", F.lit("-new")))).distinct().select(
+        F.lit(PROVIDER).alias("provider"), F.lit("hourly").alias("interval"), "location_name")
+    got = st.get_locations(_full_state(spark, sf_dir), wanted, as_of=_ts_lit(AS_OF))
+    return got.select("location_name", "last_fetch_status", "records_fetched", "is_new")
+
+
+def q_gates(spark, sf_dir):
+    """The gates' figures and whether they pass."""
+    nulls = q.null_total(q.null_counts_long(_hourly(spark, sf_dir).select("location_name", "timestamp", "relative_humidity_2m")))
+    total = st.records_total(_full_state(spark, sf_dir))
+    return nulls.select(F.lit("nulls").alias("gate"), F.col("null_total").alias("figure"), (F.col("null_total") == 0).alias("passed")) \
+        .unionByName(total.select(F.lit("records").alias("gate"), F.col("total_records").alias("figure"),
+                                  (F.col("total_records") > 0).alias("passed")))
+
+
 def q_attempt_resolution(spark, sf_dir):
     log = tb.events_attempt_log(_t(spark, sf_dir, "events"))
     return st.resolve_attempts(log, ["location_name", "request_date"], order_cols=("event_id",))
@@ -524,4 +693,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "records_gate_total": q_records_gate_total,
     "attempt_resolution": q_attempt_resolution,
     "backoff_schedule": q_backoff_schedule,
+    "partitioned_write_hourly_by_location": q_partitioned_write_hourly_by_location,
+    "partitioned_write_daily_by_location": q_partitioned_write_daily_by_location,
+    "daily_replace_missing_location": q_daily_replace_missing_location,
+    "write_report_escaped_ids": q_write_report_escaped_ids,
+    "inferred_interval_write": q_inferred_interval_write,
+    "run_cycles": q_run_cycles,
+    "run_daily_refetch": q_run_daily_refetch,
+    "run_quarantine_report": q_run_quarantine_report,
+    "incremental_small_batches": q_incremental_small_batches,
+    "incremental_two_streams": q_incremental_two_streams,
+    "get_or_create_state": q_get_or_create_state,
+    "gates": q_gates,
+    "flatten_dynamic_daily": q_flatten_dynamic_daily,
+    "payload_bytes": q_payload_bytes,
+    "list_bodies": q_list_bodies,
+    "ingestion_metadata": q_ingestion_metadata,
 }

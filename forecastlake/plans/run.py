@@ -1,8 +1,10 @@
 """One ingestion run as Spark jobs (the whole ingestion lifecycle).
 
-responses -> parse once -> (usable | failed) -> flatten -> validate ->
-partitioned lake write -> read-back report -> state upsert (after the
-write) -> one-row run report.
+landed responses -> parsed once into a staging table (envelope, outcome, typed
+series) -> final attempt of each fetch cycle, from the envelope columns -> flatten,
+validate, write lake and rejected rows -> state upsert (after the write) -> reports.
+Every staged response of the run's provider and interval ends in exactly one
+outcome: ok, failed, pending or superseded (another attempt of its cycle counts).
 """
 
 from __future__ import annotations
@@ -14,9 +16,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastlake.functions.scalars import size_or_null
+from forecastlake.functions.scalars import partition_path
 from forecastlake.operators.flatten import flatten_series, forecast_end_expr
-from forecastlake.operators.parse import parse_responses, split_ok_failed
+from forecastlake.operators.parse import parse_responses
 from forecastlake.operators.state import (
     DEFAULT_MAX_ATTEMPTS,
     RETRYABLE_CLASSES,
@@ -24,16 +26,17 @@ from forecastlake.operators.state import (
     outcomes,
     resolve_attempts,
 )
-from forecastlake.operators.validate import check_rows
+from forecastlake.operators.validate import check_rows, row_errors
 from forecastlake.schemas import require_interval
-from forecastlake.sinks.lake import write_forecasts
-from forecastlake.session import checkpoint_root
-from forecastlake.sinks.catalog import add_partitions, register_lake_table
-from forecastlake.sinks.reports import run_report, write_report
-from forecastlake.sources.lake import read_lake
+from forecastlake.session import scratch_path
+from forecastlake.sinks.catalog import write_lake_table
+from forecastlake.sinks.lake import DEFAULT_LAYOUT, rejected_root, write_forecasts
+from forecastlake.sinks.reports import run_report
 from forecastlake.sources.state_store import read_state, save_state
 
 DEFAULT_PROVIDER = "open_meteo"
+#: What makes attempts belong together: the fetch cycle is the envelope's run id.
+CYCLE_KEY = ["provider", "interval", "location", "cycle"]
 
 
 @dataclass
@@ -41,123 +44,181 @@ class RunResult:
     run_id: str
     report: DataFrame          # per (location, run) file report
     failed: DataFrame          # failed responses
-    quarantined: DataFrame     # rows that failed validation
+    pending: DataFrame         # cycles whose attempts are all retryable so far
+    quarantined: DataFrame     # rows that failed validation, as written
+    resolved: DataFrame        # one row per staged response: rid, cycle key, outcome
     run_report: DataFrame      # one row
     state_path: str | None
 
 
-def final_attempts(batch: DataFrame, *, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
-                   retryable: tuple[str, ...] = RETRYABLE_CLASSES) -> DataFrame:
-    """Keep each location's final attempt, as a retry loop would.
+def stage_responses(responses: DataFrame, *, interval: str, provider: str,
+                    max_attempts: int = DEFAULT_MAX_ATTEMPTS, epoch: int = 0) -> DataFrame:
+    """Parse each body once; one row per response without the raw body.
 
-    A landed body (no transport error) ends the attempts, as does a
-    non-retryable transport class or attempt number ``max_attempts``;
-    locations whose attempts are all retryable and below the limit are still
-    in flight and wait for a later run. The winners are found from envelope
-    columns only (one row per location) and kept with a left semi join, so
-    response bodies are never shuffled for this.
-    """
-    log = batch.select(
-        "provider", "interval", F.col("location.name").alias("_loc"), "attempt",
-        F.when(F.col("transport_error").isNull(), F.lit(None).cast("string"))
-         .otherwise(F.coalesce(F.col("error_class"), F.lit("unknown"))).alias("_class"),
-        "ingestion_timestamp_utc")
-    winners = (resolve_attempts(log, ["provider", "interval", "_loc"], attempt_col="attempt",
-                                class_col="_class", order_cols=("ingestion_timestamp_utc",),
-                                max_attempts=max_attempts, retryable=retryable)
-               .filter(F.col("final_status") != "pending")
-               .select("provider", "interval", "_loc", F.col("final_attempt").alias("attempt")))
-    keyed = batch.withColumn("_loc", F.col("location.name"))
-    return keyed.join(winners, ["provider", "interval", "_loc", "attempt"], "left_semi").drop("_loc")
-
-
-def response_summary(parsed: DataFrame, interval: str) -> DataFrame:
-    """One small row per response: who, when, outcome, points, forecast end.
-
-    This is all that the state update, the failure list and the run report
-    need, so the bodies are parsed for it once and never again.
+    Responses of other providers belong to their own runs; a response without a
+    provider counts as this one's. An attempt without a number is a fetch that isn't
+    retried. Only the interval's series of a usable response are kept.
     """
+    batch = (responses.filter(F.col("interval") == interval)
+             .withColumn("provider", F.coalesce("provider", F.lit(provider)))
+             .filter(F.col("provider") == provider)
+             .withColumn("attempt", F.coalesce("attempt", F.lit(max_attempts))))
     block = F.col("doc").getField(interval)
-    return parsed.select(
-        "location", "provider", "interval", "attempt", "error_class",
-        "ingestion_timestamp_utc", "error",
-        F.coalesce(size_or_null(block["time"]), F.lit(0)).alias("n_points"),
+    failed_fetch = F.col("transport_error").isNotNull()
+    return parse_responses(batch).select(
+        F.format_string("%010d-%020d", F.lit(epoch), F.monotonically_increasing_id()).alias("rid"),
+        "location", "provider", "interval", F.col("run_id").alias("cycle"), "attempt", "error_class",
+        F.when(failed_fetch, F.coalesce("error_class", F.lit("unknown"))).alias("attempt_class"),
+        "ingestion_timestamp_utc", "error", "api_latitude", "api_longitude",
         forecast_end_expr().alias("forecast_end_date"),
-    )
+        F.when(F.col("error").isNull(), F.struct(block.alias(interval))).alias("doc"))
 
 
-def response_outcomes(summary: DataFrame, at) -> DataFrame:
-    """State updates from the response summary: one per response."""
+def resolve_cycles(envelopes: DataFrame, *, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
+                   retryable: tuple[str, ...] = RETRYABLE_CLASSES, close: bool = False) -> DataFrame:
+    """One row per staged response with its outcome.
+
+    A cycle's final attempt is the earliest that is terminal; without one the cycle
+    is pending, or failed by its latest attempt when ``close`` is set. Cycles are
+    grouped by value, so responses without a location name count too. Daily: of the
+    usable responses of a location and ingestion day only the latest is written.
+    """
+    log = envelopes.select("rid", *CYCLE_KEY, "attempt", "attempt_class", "error_class",
+                           "ingestion_timestamp_utc", "error", "forecast_end_date")
+    picked = resolve_attempts(log, CYCLE_KEY, class_col="attempt_class",
+                              order_cols=("ingestion_timestamp_utc", "rid"), carry=("rid",),
+                              max_attempts=max_attempts, retryable=retryable)
+    picked = picked.select("rid", (F.col("final_status") == "pending").alias("_open"))
+    rows = log.join(picked, "rid", "left")
+    waiting = F.col("_open") & F.lit(not close)
+    rows = rows.withColumn("outcome", F.when(F.col("_open").isNull(), "superseded")
+                           .when(waiting, "pending").when(F.col("error").isNull(), "ok").otherwise("failed"))
+    ok = F.col("outcome") == "ok"
+    day = F.to_date("ingestion_timestamp_utc")
+    latest = (rows.filter(ok & (F.col("interval") == "daily"))
+              .groupBy("provider", F.col("location.name").alias("_name"), day.alias("_day"))
+              .agg(F.max(F.struct("ingestion_timestamp_utc", "attempt", "rid"))["rid"].alias("rid"))
+              .select("rid", F.lit(True).alias("_latest")))
+    rows = rows.join(latest, "rid", "left")
+    write = ok & ((F.col("interval") == "hourly") | F.coalesce("_latest", F.lit(False)))
+    return rows.withColumn("written", write).drop("_open", "_latest", "attempt_class")
+
+
+def response_outcomes(resolved: DataFrame, at) -> DataFrame:
+    """State updates: one per final response (R3, R4), records as written."""
     return outcomes(
-        summary,
+        resolved.filter(F.col("outcome").isin("ok", "failed")),
         provider=F.col("provider"), interval=F.col("interval"),
         location_name=F.col("location.name"),
-        success=F.col("error").isNull(), error=F.col("error"),
-        records=F.col("n_points"), forecast_end_date=F.col("forecast_end_date"),
+        success=F.col("outcome") == "ok", error=F.col("error"),
+        records=F.col("n_good"), forecast_end_date=F.col("forecast_end_date"),
         at=F.lit(at) if at is not None else F.current_timestamp(),
-        order=F.struct(F.col("ingestion_timestamp_utc"), F.col("attempt")),
+        order=F.struct("ingestion_timestamp_utc", "attempt", "rid"),
     )
 
 
 def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_path: str,
-              provider: str = DEFAULT_PROVIDER, state_root: str | None = None,
-              compression: str = "zstd", run_id: str | None = None,
-              layout: str = "by_location", quarantine_path: str | None = None,
-              table_name: str | None = None, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
-              now=None) -> RunResult:
+              provider: str = DEFAULT_PROVIDER, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
+              run_id: str | None = None, **options) -> RunResult:
     """Run one ingestion over a responses DataFrame (any size, any source).
 
-    Only each location's final attempt is processed (``final_attempts``).
-    Jobs: (1) response summary, checkpointed to the shared checkpoint folder
-    (one row per response; cuts lineage so later steps survive executor loss
-    without re-reading the landing zone); (2) flatten + lake write;
-    (3) run-scoped read-back report; (4) state version; (5) run report.
-    Bodies are parsed twice in total: for the summary and for the write.
+    The landing zone is read once, into a staging table in the shared scratch
+    folder. ``options`` are those of ``run_staged``.
     """
     require_interval(interval)
-    checkpoint_root(spark)
     run_id = run_id or str(uuid.uuid4())
+    path = scratch_path(spark, "staged")
+    stage_responses(responses, interval=interval, provider=provider, max_attempts=max_attempts).write.parquet(path)
+    return run_staged(spark, spark.read.parquet(path), interval=interval, base_path=base_path, provider=provider,
+                      max_attempts=max_attempts, run_id=run_id, **options)
+
+
+def run_staged(spark: SparkSession, staged: DataFrame, *, interval: str, base_path: str, provider: str,
+               run_id: str, done: DataFrame | None = None, state_root: str | None = None,
+               compression: str = "zstd", layout: str = DEFAULT_LAYOUT, quarantine_path: str | None = None,
+               table_name: str | None = None, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
+               close_cycles: bool = False, now=None) -> RunResult:
+    """Resolve, write and report staged responses.
+
+    ``done`` has the ``resolved`` rows of earlier runs over the same staging table:
+    their cycles stay as they were, and a daily fetch older than one that is written
+    isn't written over it. Rejected rows always go to ``quarantine_path`` (below the
+    lake unless given) and are counted. Only columns of the staging table that a
+    step needs are read; raw bodies are gone.
+    """
     run_start = now or datetime.now(timezone.utc)
-    batch = responses.filter(F.col("interval") == interval).withColumn("provider", F.lit(provider))
-    batch = final_attempts(batch.withColumn("attempt", F.coalesce(F.col("attempt"), F.lit(1))),
-                           max_attempts=max_attempts)
-    parsed = parse_responses(batch)
-    summary = response_summary(parsed, interval).checkpoint(eager=True)
-    failed = summary.filter(F.col("error").isNotNull()).select(
-        "location", "error", F.lit("failed").alias("status"), "provider", "interval", "attempt",
-        "error_class", "ingestion_timestamp_utc")
-
-    ok, _ = split_ok_failed(parsed)
-    good, bad = check_rows(flatten_series(ok, interval, run_id=run_id))
-    write_forecasts(good, base_path, interval=interval, provider=provider,
-                    compression=compression, layout=layout, latest_run_only=False)
-    if quarantine_path:
-        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("run_id").parquet(quarantine_path)
-    # A handful of distinct days per run, read from the small summary, so the
-    # report lists only the partitions this run wrote.
-    dates = [r[0] for r in summary.select(F.to_date("ingestion_timestamp_utc")).distinct().collect()
-             if r[0] is not None]
-    report = write_report(spark, base_path, interval=interval, provider=provider,
-                          run_ids=[run_id], ingest_dates=dates, layout=layout)
+    envelopes = staged.drop("doc")
+    if done is not None:
+        closed = done.filter("outcome <> 'pending'").select(*CYCLE_KEY).distinct()
+        envelopes = envelopes.join(closed, _same(envelopes, closed, CYCLE_KEY), "left_anti")
+    resolved = resolve_cycles(envelopes, max_attempts=max_attempts, close=close_cycles)
+    if done is not None and interval == "daily":
+        resolved = _not_older(resolved, done)
+    resolved = _staged(spark, resolved, "resolved")
+
+    # Usable responses that aren't written are few (superseded or replaced): the join's small side.
+    usable = staged.filter(F.col("error").isNull())
+    dropped = usable.select("rid").join(resolved.filter("written").select("rid"), "rid", "left_anti")
+    rows = flatten_series(usable.join(dropped, "rid", "left_anti"), interval, run_id=run_id, keep=("rid",))
+    good, bad = check_rows(rows)
     if table_name:
-        # Register this run's partitions by value in the catalog table.
-        written = read_lake(spark, base_path, interval, provider=provider, with_partitions=True,
-                            run_ids=[run_id], ingest_dates=dates, layout=layout)
-        if interval == "daily":
-            written = written.filter(F.col("run_id") == run_id)
-        register_lake_table(spark, table_name, base_path, interval=interval, provider=provider,
-                            layout=layout, recover=False)
-        add_partitions(spark, table_name, written, interval=interval, layout=layout)
+        write_lake_table(spark, table_name, good, base_path, interval=interval, provider=provider,
+                         compression=compression, layout=layout)
+    else:
+        write_forecasts(good, base_path, interval=interval, provider=provider,
+                        compression=compression, layout=layout, latest_run_only=False)
+    target = quarantine_path or rejected_root(base_path, provider, interval)
+    (bad.drop("rid").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(target))
+    rejected = spark.read.schema(bad.drop("rid").schema).parquet(target).filter(F.col("run_id") == run_id)
+
+    # Rows by response: from the staging table, without listing the lake.
+    wrong = F.size(row_errors()) > 0
+    counts = rows.groupBy("rid").agg(F.count_if(~wrong).alias("n_good"), F.count_if(wrong).alias("n_bad"))
+    counted = resolved.join(counts, "rid", "left").fillna(0, ["n_good", "n_bad"])
+    counted = _staged(spark, counted, "counted")
+    report = (counted.filter("n_good > 0").groupBy(F.col("location.name").alias("location_name"))
+              .agg(F.sum("n_good").alias("records_written"), F.min("ingestion_timestamp_utc").alias("first_ingest"))
+              .select("location_name", F.lit(run_id).alias("run_id"),
+                      partition_path(F.lit(provider), "location_name", F.lit(interval), F.lit(run_id),
+                                     "first_ingest").alias("path"),
+                      "records_written", F.lit("parquet").alias("format")).orderBy("location_name"))
+    failed = counted.filter("outcome = 'failed'").select(
+        "location", "error", F.lit("failed").alias("status"), "provider", "interval", "attempt",
+        "error_class", "ingestion_timestamp_utc", "cycle")
+    pending = counted.filter("outcome = 'pending'").select(*CYCLE_KEY, "attempt", "error", "error_class")
 
     state_path = None
     if state_root:
         # State is updated after the lake write, so a crash between the two
         # leaves the state pointing at the previous run (never ahead of data).
-        updates = response_outcomes(summary, run_start)
+        updates = response_outcomes(counted, run_start)
         state_path = save_state(apply_outcomes(read_state(spark, state_root), updates), state_root)
     run_end = datetime.now(timezone.utc) if now is None else now
-    succeeded = summary.filter(F.col("error").isNull()).count()   # small checkpointed table
-    rr = run_report(report, failed, run_id=run_id, run_start=run_start, run_end=run_end,
-                    succeeded=succeeded)
-    return RunResult(run_id, report, failed, bad, rr, state_path)
+    rr = run_report(counted, run_id=run_id, run_start=run_start, run_end=run_end)
+    return RunResult(run_id, report, failed, pending, rejected, counted, rr, state_path)
+
+
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _same(left: DataFrame, right: DataFrame, cols: list[str]):
+    """Equal by value, nulls included (an equi-join for Spark)."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[c])
+    return cond
+
+
+def _not_older(resolved: DataFrame, done: DataFrame) -> DataFrame:
+    """Daily: leave out what an earlier run has replaced already."""
+    day = F.to_date("ingestion_timestamp_utc")
+    before = (done.filter("written").groupBy(F.col("location.name").alias("_name"), day.alias("_day"))
+              .agg(F.max("ingestion_timestamp_utc").alias("_seen")))
+    cond = resolved["location.name"].eqNullSafe(before["_name"]) & F.to_date(resolved["ingestion_timestamp_utc"]).eqNullSafe(before["_day"])
+    joined = resolved.join(before, cond, "left")
+    newer = F.col("_seen").isNull() | (F.col("ingestion_timestamp_utc") >= F.col("_seen"))
+    return joined.withColumn("written", F.col("written") & newer).drop("_name", "_day", "_seen")

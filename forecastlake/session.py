@@ -20,12 +20,6 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-LOCAL_CONF = {
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-}
-
-
 def get_spark(master: str | None = None, *, shuffle_partitions: int | None = None,
               app_name: str = "forecastlake", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults."""
@@ -33,11 +27,6 @@ def get_spark(master: str | None = None, *, shuffle_partitions: int | None = Non
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    if master and master.startswith("local"):
-        # One machine, tiny inputs: let AQE keep several tasks per shuffle
-        # instead of coalescing everything into one (clusters keep their own
-        # 128-256 MB advisory size).
-        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -51,14 +40,17 @@ def get_spark(master: str | None = None, *, shuffle_partitions: int | None = Non
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a private
-    folder created and registered, so that lineage cuts and scratch tables
-    always live on storage every executor can reach.
+    Read from the session. Only on a local master (tests), where driver and
+    executors are one process, is a private folder made when it is unset; on a
+    cluster that is an error, as executors couldn't reach such a folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="forecastlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

@@ -4,8 +4,8 @@ A path-based read lists every file under the interval directory before it
 prunes partitions; on a lake with millions of partition directories that
 listing dominates every query. Registering the interval directory as a
 partitioned table lets queries prune from the catalog's partition list and
-list only the matching directories. New runs add their partitions by value
-(``ALTER TABLE … ADD PARTITION``), so no run lists the whole lake.
+list only the matching directories. Runs write through the table, whose commit
+registers the partitions they wrote, so nothing is collected or listed for it.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecastlake.schemas import INTERVAL_SCHEMA, require_interval
-from forecastlake.sinks.lake import interval_root, partition_columns
+from forecastlake.sources.lake import latest_runs
+from forecastlake.sinks.lake import DEFAULT_LAYOUT, arranged, interval_root, partition_columns
 
 _PART_TYPES = {"location_name": "string", "ingest_date": "date", "run_id": "string"}
 
@@ -24,11 +25,11 @@ def _quote(v) -> str:
 
 
 def register_lake_table(spark: SparkSession, name: str, base_path: str, *, interval: str,
-                        provider: str, layout: str = "by_location", recover: bool = True) -> str:
+                        provider: str, layout: str = DEFAULT_LAYOUT, recover: bool = True) -> str:
     """Create (if absent) a partitioned table over one provider/interval directory.
 
     ``recover`` runs one full partition discovery (use it once, when adopting
-    an existing lake); afterwards add partitions per run with ``add_partitions``.
+    an existing lake); afterwards write through the table (``write_lake_table``).
     """
     require_interval(interval)
     parts = partition_columns(interval, layout)
@@ -43,23 +44,26 @@ def register_lake_table(spark: SparkSession, name: str, base_path: str, *, inter
     return name
 
 
-def add_partitions(spark: SparkSession, name: str, keys: DataFrame, *, interval: str,
-                   layout: str = "by_location", batch: int = 500) -> int:
-    """Register the partitions listed in ``keys`` (one row per partition).
+def write_lake_table(spark: SparkSession, name: str, df: DataFrame, base_path: str, *, interval: str,
+                     provider: str, compression: str = "zstd", layout: str = DEFAULT_LAYOUT) -> str:
+    """Write a run's rows through the catalog table (created if absent).
 
-    ``keys`` holds the partition columns of a run (a handful of rows per
-    location), so collecting it is bounded by locations x days of one run.
+    A dynamic partition overwrite: the commit adds the partitions it wrote to the
+    catalog and replaces those that a retry writes again.
     """
-    parts = partition_columns(interval, layout)
-    rows = keys.select(*parts).distinct().collect()
-    specs = ["PARTITION (" + ", ".join(
-        f"{p} = DATE {_quote(r[p])}" if _PART_TYPES[p] == "date" else f"{p} = {_quote(r[p])}"
-        for p in parts) + ")" for r in rows]
-    for i in range(0, len(specs), batch):
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(specs[i:i + batch]))
-    return len(specs)
+    register_lake_table(spark, name, base_path, interval=interval, provider=provider, layout=layout, recover=False)
+    out = arranged(df, interval=interval, layout=layout, latest_run_only=False)
+    (out.select(*spark.table(name).columns).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("compression", compression).insertInto(name))
+    return name
 
 
 def read_lake_table(spark: SparkSession, name: str, interval: str) -> DataFrame:
-    """The table's rows in the interval's column order (partition-pruned by the catalog)."""
-    return spark.table(name).select(*[F.col(f.name) for f in INTERVAL_SCHEMA[interval].fields])
+    """The table's rows in the interval's column order (partition-pruned by the catalog).
+
+    Daily: the latest run of each location and day.
+    """
+    table = spark.table(name)
+    if interval == "daily":
+        table = latest_runs(table)
+    return table.select(*[F.col(f.name) for f in INTERVAL_SCHEMA[interval].fields])

@@ -1,9 +1,12 @@
 """Partitioned lake writes.
 
-Daily runs replace: a later run on the same ingestion day overwrites that
-location's day, other partitions stay (dynamic partition overwrite).
-Hourly runs append: ``run_id`` is an extra partition level, so a new run adds
-a directory and a retry of the same run is idempotent.
+The default layout partitions by ingestion date and run and sorts by location
+inside the files, so the number of files follows the data, not the number of
+locations. Runs only add directories, and a retry of a run is idempotent. Daily
+replace is resolved when the lake is read: the latest run of each location and
+day (``sources.lake.latest_runs``), so locations that a run lacks keep their rows.
+``by_location`` (few locations) has a directory for each location; there a later
+daily run overwrites the location's day (dynamic partition overwrite).
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ SAFE_NAME = re.compile(r"^[A-Za-z0-9_.-]+$")
 # Parquet codecs accepted by the writer.
 CODECS = ("snappy", "gzip", "zstd")
 LAYOUTS = ("by_location", "by_date")
+DEFAULT_LAYOUT = "by_date"
 
 
 def infer_interval(df: DataFrame) -> str:
@@ -26,13 +30,13 @@ def infer_interval(df: DataFrame) -> str:
     return "daily" if "date" in df.columns else "hourly"
 
 
-def partition_columns(interval: str, layout: str = "by_location") -> list[str]:
+def partition_columns(interval: str, layout: str = DEFAULT_LAYOUT) -> list[str]:
     """Partition levels below ``{base}/provider=…/interval=…``."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     cols = ["location_name"] if layout == "by_location" else []
     cols.append("ingest_date")
-    if interval == "hourly":
+    if interval == "hourly" or layout == "by_date":
         cols.append("run_id")
     return cols
 
@@ -44,6 +48,11 @@ def interval_root(base_path: str, provider: str, interval: str) -> str:
     return f"{base_path.rstrip('/')}/provider={provider}/interval={require_interval(interval)}"
 
 
+def rejected_root(base_path: str, provider: str, interval: str) -> str:
+    """Where a run's rejected rows go by default; lake reads skip the folder."""
+    return f"{base_path.rstrip('/')}/_rejected/provider={provider}/interval={require_interval(interval)}"
+
+
 def keep_latest_run(df: DataFrame, keys: list[str]) -> DataFrame:
     """Within one batch, keep only the latest run of each key (daily replace).
 
@@ -72,22 +81,33 @@ def with_lake_columns(df: DataFrame, *, interval: str) -> DataFrame:
 
 
 def write_forecasts(df: DataFrame, base_path: str, *, interval: str | None, provider: str,
-                    compression: str = "zstd", layout: str = "by_location",
+                    compression: str = "zstd", layout: str = DEFAULT_LAYOUT,
                     latest_run_only: bool | None = None) -> list[str]:
     """Write flattened rows into the lake in one job (K2-K6).
 
     One shuffle replaces the per-location filter loop: rows are rebalanced on
     the partition columns, and AQE splits a partition that holds a hot
     location (several files in that directory) and merges tiny ones.
-    ``interval=None`` infers it from the columns. With ``layout="by_date"`` a
-    daily write replaces whole ingestion days, so use it when every run
-    covers every location. Returns the partition levels of the layout.
+    ``interval=None`` infers it from the columns. Returns the partition levels
+    of the layout.
     """
     interval = require_interval(interval or infer_interval(df))
     if compression not in CODECS:
         raise ValueError(f"compression must be one of {CODECS}")
     target = interval_root(base_path, provider, interval)
     parts = partition_columns(interval, layout)
+    out = arranged(df, interval=interval, layout=layout, latest_run_only=latest_run_only)
+    (out.write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .option("compression", compression)
+     .partitionBy(*parts)
+     .parquet(target))
+    return ["provider", "interval", *parts]
+
+
+def arranged(df: DataFrame, *, interval: str, layout: str, latest_run_only: bool | None = None) -> DataFrame:
+    """Lake columns, dealt to writers by partition and sorted for them."""
+    parts = partition_columns(interval, layout)
     out = with_lake_columns(df, interval=interval)
     if latest_run_only is None:
         latest_run_only = interval == "daily"
@@ -102,13 +122,7 @@ def write_forecasts(df: DataFrame, base_path: str, *, interval: str | None, prov
     # time-range filters skip data, at no extra sort.
     time_col = INTERVAL_SCHEMA[interval].fields[5].name
     inner = ["location_name", time_col] if layout == "by_date" else [time_col]
-    out = out.sortWithinPartitions(*parts, *inner)
-    (out.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("compression", compression)
-     .partitionBy(*parts)
-     .parquet(target))
-    return ["provider", "interval", *parts]
+    return out.sortWithinPartitions(*parts, *inner)
 
 
 def write_single(df: DataFrame, path: str, *, compression: str = "snappy") -> DataFrame:
@@ -121,4 +135,5 @@ def write_single(df: DataFrame, path: str, *, compression: str = "snappy") -> Da
     df.write.mode("overwrite").option("compression", compression).parquet(path)
     back = df.sparkSession.read.parquet(path)
     return back.agg(F.count(F.lit(1)).alias("records_written")).select(
-        F.lit(path).alias("path"), "records_written", F.lit("parquet").alias("format"))
+        F.lit(path).alias("path"), "records_written", F.lit("parquet").alias("format"),
+        F.lit(compression).alias("compression"))

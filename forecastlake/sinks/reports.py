@@ -13,19 +13,16 @@ ALL_FAILED = "All locations failed to fetch data."
 
 
 def write_report(spark: SparkSession, base_path: str, *, interval: str, provider: str,
-                 run_ids: list[str] | None = None, ingest_dates=None,
-                 layout: str = "by_location") -> DataFrame:
+                 run_ids: list[str] | None = None, ingest_dates=None) -> DataFrame:
     """Per (location, run) file report from a read-back of the lake (K8, K3).
 
-    Only partition columns, ``run_id`` and the ingestion time are read, and
-    only the run's directories are listed (its ingestion dates and, for
-    hourly lakes, its ``run_id`` partition). The path uses the ingestion time of the location's
-    first row in the run (A14: its minimum, which is deterministic).
+    Only partition columns, ``run_id`` and the ingestion time are read; run ids and
+    dates are partition filters. The path uses the ingestion time of the location's
+    first row in the run (A14: its minimum, which is deterministic). A run itself
+    counts its rows from its staging table and needs no read-back.
     """
     lake = read_lake(spark, base_path, interval, provider=provider, run_ids=run_ids,
-                     ingest_dates=ingest_dates, layout=layout)
-    if run_ids is not None:
-        lake = lake.filter(F.col("run_id").isin(*run_ids))
+                     ingest_dates=ingest_dates)
     g = (lake.groupBy("location_name", "run_id")
          .agg(F.count(F.lit(1)).alias("records_written"),
               F.min("ingestion_timestamp_utc").alias("first_ingest")))
@@ -43,43 +40,31 @@ def report_totals(report: DataFrame) -> DataFrame:
                       F.count(F.lit(1)).alias("files_written"))
 
 
-def run_report(report: DataFrame, failed: DataFrame, *, run_id: str, run_start, run_end,
-               include_lists: bool = True, succeeded: int | None = None) -> DataFrame:
-    """One-row run report (K9, G3) built with a single aggregation.
+def run_report(resolved: DataFrame, *, run_id: str, run_start, run_end) -> DataFrame:
+    """One-row run report (K9, G3): counts by a single aggregation.
 
-    ``success`` is true iff at least one location succeeded: ``succeeded``
-    usable responses when given (a location with an empty series succeeds
-    with 0 records), else at least one file written. With no success the
-    record count is 0 and ``error`` carries the fixed text. The file and
-    failure lists hold one entry per location of the run (the report itself);
-    pass ``include_lists=False`` for counts only.
+    ``resolved`` has one row per response with its ``outcome`` and row counts
+    (``n_good`` written, ``n_bad`` rejected). ``success`` is true iff a response is
+    usable; one with an empty series succeeds with 0 records. The fixed error text
+    says that every location failed; cycles that are still pending have not failed.
+    responses = ok_count + failed_count + pending_count + superseded_count. Files and
+    failures are tables of the run's result, not lists in this row.
     """
-    files = report.select(F.lit(1).alias("_k"),
-                          F.struct("path", "records_written", "format").alias("_file"),
-                          F.lit(None).cast("struct<location:struct<name:string,latitude:double,"
-                                           "longitude:double>,error:string,status:string>").alias("_failed"),
-                          F.col("records_written").cast("long").alias("_n"))
-    fails = failed.select(F.lit(2).alias("_k"),
-                          F.lit(None).cast("struct<path:string,records_written:bigint,format:string>").alias("_file"),
-                          F.struct("location", "error", "status").alias("_failed"),
-                          F.lit(None).cast("long").alias("_n"))
-    u = files.unionByName(fails)
-    aggs = [F.count_if(F.col("_k") == 1).alias("files_written"),
-            F.count_if(F.col("_k") == 2).alias("failed_count"),
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_records")]
-    if include_lists:
-        aggs += [F.collect_list("_file").alias("files"), F.collect_list("_failed").alias("failed")]
-    agg = u.agg(*aggs)
-    success = F.lit(succeeded > 0) if succeeded is not None else F.col("files_written") > 0
-    cols = [success.alias("success"), F.lit(run_id).alias("run_id"),
-            F.lit(run_start).cast("timestamp").alias("run_start"),
-            F.lit(run_end).cast("timestamp").alias("run_end"),
-            F.when(success, F.col("_records")).otherwise(F.lit(0)).cast("long").alias("records_processed"),
-            "files_written", "failed_count"]
-    if include_lists:
-        cols += ["files", "failed"]
-    cols.append(F.when(~success, F.lit(ALL_FAILED)).alias("error"))
-    return agg.select(*cols)
+    def n(outcome):
+        return F.count_if(F.col("outcome") == outcome).alias(f"{outcome}_count")
+
+    written = F.when(F.col("n_good") > 0, F.col("location.name"))
+    sums = resolved.agg(F.count(F.lit(1)).alias("responses"), n("ok"), n("failed"), n("pending"), n("superseded"),
+                        F.coalesce(F.sum("n_good"), F.lit(0)).cast("long").alias("records_processed"),
+                        F.coalesce(F.sum("n_bad"), F.lit(0)).cast("long").alias("rejected_count"),
+                        F.count_distinct(written).alias("files_written"))
+    success = F.col("ok_count") > 0
+    return sums.select(
+        success.alias("success"), F.lit(run_id).alias("run_id"),
+        F.lit(run_start).cast("timestamp").alias("run_start"), F.lit(run_end).cast("timestamp").alias("run_end"),
+        "records_processed", "rejected_count", "files_written", "responses",
+        "ok_count", "failed_count", "pending_count", "superseded_count",
+        F.when(~success & (F.col("pending_count") == 0), F.lit(ALL_FAILED)).alias("error"))
 
 
 def prototype_paths(df: DataFrame, interval: str) -> DataFrame:

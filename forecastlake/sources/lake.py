@@ -1,6 +1,7 @@
 """Lake scans (S4, S5, S8) over the Hive-partitioned forecast lake.
 
 Layout written by ``sinks.lake.write_forecasts``:
+``{base}/provider=…/interval=…/ingest_date=…/run_id=…/part-*.parquet`` or, by location,
 ``{base}/provider=…/interval=…/location_name=…/ingest_date=…[/run_id=…]/part-*.parquet``.
 Reads always pass the full schema, so partition values are never re-inferred
 (a location called ``123`` stays a string) and Null-typed files cannot break
@@ -30,72 +31,51 @@ def lake_schema(interval: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def _glob_values(values) -> str:
-    vals = sorted({str(v) for v in values})
-    return vals[0] if len(vals) == 1 else "{" + ",".join(vals) + "}"
-
-
-def partition_glob(root: str, *, ingest_dates=None, run_ids=None, layout: str = "by_location") -> str:
-    """Glob of the partition directories holding the given dates / runs.
-
-    Path-based Parquet reads list every file under the path before pruning,
-    so a run-scoped read (write report, read-back) names its directories
-    instead of listing the whole lake.
-    """
-    p = root
-    if layout == "by_location":
-        p += "/location_name=*"
-    p += "/ingest_date=" + (_glob_values(ingest_dates) if ingest_dates else "*")
-    if run_ids:
-        p += "/run_id=" + _glob_values(run_ids)
-    return p
-
-
-def _glob_exists(spark: SparkSession, pattern: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
-    return found is not None and len(found) > 0
+def latest_runs(lake: DataFrame) -> DataFrame:
+    """Daily replace on read (K4): the latest run of each provider, location and ingestion day."""
+    keys = [c for c in ("provider", "location_name", "ingest_date") if c in lake.columns]
+    runs = lake.select(*keys, "ingestion_timestamp_utc", "run_id").distinct()
+    last = runs.groupBy(*keys).agg(F.max(F.struct("ingestion_timestamp_utc", "run_id"))["run_id"].alias("run_id"))
+    return lake.join(last, [*keys, "run_id"], "left_semi")
 
 
 def read_lake(spark: SparkSession, base_path: str, interval: str, *,
               provider: str | None = None, with_partitions: bool = False,
-              ingest_dates=None, run_ids=None, layout: str = "by_location") -> DataFrame:
+              ingest_dates=None, run_ids=None, latest_only: bool | None = None) -> DataFrame:
     """Whole-tree read of one interval (S4); columns in the interval's order.
 
-    With a provider the scan starts at that provider/interval directory, so
-    the file listing never walks other intervals or providers. With
-    ``ingest_dates`` (and, for hourly lakes, ``run_ids``) only those partition
-    directories are listed.
+    Works on either layout. With a provider the scan starts at that
+    provider/interval directory, so the file listing never walks other intervals or
+    providers. ``ingest_dates`` and ``run_ids`` are filters on partition values: they
+    prune, whatever characters the values hold. Daily reads return the latest run of
+    each location and day unless ``latest_only`` is false or runs are named.
     """
     schema = lake_schema(interval)
-    reader = spark.read.schema(schema).option("basePath", base_path)
-    if provider is not None:
-        root = f"{base_path}/provider={provider}/interval={interval}"
-        if ingest_dates or (run_ids and interval == "hourly"):
-            root = partition_glob(root, ingest_dates=ingest_dates,
-                                  run_ids=run_ids if interval == "hourly" else None, layout=layout)
-            present = _glob_exists(spark, root)
-        else:
-            present = path_exists(spark, root)
-        if present:
-            df = reader.parquet(root)
-        else:  # nothing written yet for this provider and interval
-            df = empty_frame(spark, schema)
+    root = f"{base_path}/provider={provider or '*'}/interval={interval}"
+    if provider is not None and not path_exists(spark, root) or provider is None and not _any_provider(spark, base_path):
+        df = empty_frame(spark, schema)      # nothing written yet
     else:
-        # Every provider, one interval: the glob keeps the listing to this
-        # interval's subtrees instead of walking the whole lake.
-        root = f"{base_path}/provider=*/interval={interval}"
-        if ingest_dates or (run_ids and interval == "hourly"):
-            root = partition_glob(root, ingest_dates=ingest_dates,
-                                  run_ids=run_ids if interval == "hourly" else None, layout=layout)
-        df = reader.parquet(root) if _glob_exists(spark, root) else empty_frame(spark, schema)
+        df = spark.read.schema(schema).option("basePath", base_path).parquet(root)
+    if ingest_dates is not None:
+        df = df.filter(F.col("ingest_date").isin([F.lit(str(d)).cast("date") for d in ingest_dates]))
+    if run_ids is not None:
+        df = df.filter(F.col("run_id").isin(list(run_ids)))
+    if latest_only if latest_only is not None else interval == "daily" and run_ids is None:
+        df = latest_runs(df)
     cols = [f.name for f in INTERVAL_SCHEMA[interval].fields]
     if with_partitions:
         cols += list(PARTITION_FIELDS)
     return df.select(*cols)
 
 
+def _any_provider(spark: SparkSession, base_path: str) -> bool:
+    """One listing of the lake's top folder, which has a folder for each provider."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base_path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(s.getPath().getName().startswith("provider=") for s in fs.listStatus(p))
+
+
 def lake_path_columns(df: DataFrame) -> DataFrame:
     """Partition values recovered from each row's file path."""
     path = F.col("_metadata.file_path")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from forecastlake.schemas import STATE
 from forecastlake.session import empty_frame
@@ -69,15 +70,36 @@ def empty_state(spark: SparkSession) -> DataFrame:
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """Latest committed state; missing -> empty; unreadable -> warning + empty."""
-    try:
-        v = latest_version(spark, root)
-        if v is None:
-            return empty_state(spark)
-        return spark.read.schema(STATE).parquet(version_path(root, v))
-    except Exception as exc:  # unreadable store: start from an empty state
-        log.warning("could not read state at %s: %s", root, exc)
-        return empty_state(spark)
+    """Latest committed state that can be read; a missing store is empty.
+
+    A version is read through once before it is returned, so damaged files show
+    here: they are warned about and the version before is taken, or an empty state
+    if none can be read. A store that can't be listed is an error: taking it for
+    empty would let the next save drop every key.
+    """
+    for v in reversed(committed_versions(spark, root)):
+        path = version_path(root, v)
+        try:
+            state = spark.read.schema(STATE).parquet(path)
+            state.agg(F.sum(F.hash(*state.columns).cast("long"))).collect()
+            return state
+        except Exception as exc:  # Spark reports damaged files in several classes
+            log.warning("could not read state version %s: %s", path, exc)
+    return empty_state(spark)
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 10) -> list[int]:
+    """Remove all but the newest ``keep`` committed versions; returns those removed.
+
+    For the owner to call when no reader still uses an old version.
+    """
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    fs, jvm = _fs(spark, root)
+    old = committed_versions(spark, root)[:-keep]
+    for v in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(root, v)), True)
+    return old
 
 
 def save_state(state: DataFrame, root: str, *, compression: str = "zstd") -> str:

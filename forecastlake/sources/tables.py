@@ -139,12 +139,37 @@ def events_responses(events: DataFrame, *, bad_cells: bool = False,
     return g.select(*cols)
 
 
+def events_cycle_attempts(events: DataFrame) -> DataFrame:
+    """``events`` as landed attempts of many fetch cycles (R1 in a run).
+
+    One cycle per (location, day, chunk), fetched ``chunk`` seconds into the day. By
+    chunk modulo 4: a timeout and then a body; a body at once; a timeout so far
+    (pending); three timeouts (failed). ``signup`` has no location name.
+    """
+    t = F.col("location.name")
+    loc = F.col("location")
+    base = events_responses(events).withColumns({
+        "run_id": F.concat_ws("-", "run_id", "chunk"),
+        "ingestion_timestamp_utc": F.col("ingestion_timestamp_utc") + F.make_dt_interval(secs=F.col("chunk")),
+        "location": F.when(t == "signup", F.struct(F.lit(None).cast("string").alias("name"), loc["latitude"].alias("latitude"),
+                                                   loc["longitude"].alias("longitude"))).otherwise(loc)})
+    kind = F.col("chunk") % 4
+    n = F.when(kind == 0, 2).when(kind == 3, 3).otherwise(1)
+    rows = base.withColumn("attempt", F.explode(F.sequence(F.lit(1), n)))
+    lands = (kind == 1) | ((kind == 0) & (F.col("attempt") == 2))
+    return rows.withColumns({
+        "body": F.when(lands, F.col("body")),
+        "transport_error": F.when(~lands, F.concat(F.lit("timeout "), F.col("attempt").cast("string"))),
+        "error_class": F.when(~lands, F.lit("timeout"))}).drop("chunk")
+
+
 def events_multi_location_responses(events: DataFrame) -> DataFrame:
     """One list body per (day, chunk) holding every location's object.
 
-    The envelope's ``locations`` array is in the same order as the body list.
+    The envelope's ``locations`` array is in the same order as the body list;
+    locations whose fetch failed have an error object as their element.
     """
-    single = events_responses(events).filter(F.col("location.name") != ERROR_TYPE)
+    single = events_responses(events)
     g = single.groupBy("ingestion_timestamp_utc", "chunk")
     packed = g.agg(F.sort_array(F.collect_list(F.struct(
         F.col("location.name").alias("_n"), "location", "body"))).alias("items"))

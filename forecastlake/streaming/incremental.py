@@ -1,48 +1,71 @@
 """Incremental re-run (T1): process only responses landed since the last run.
 
-A scheduled "run every N hours" job becomes a file-source
-stream with ``trigger(availableNow=True)``: each invocation processes every
-new file, then stops; the checkpoint records what was consumed, so a re-run
-with no new files writes nothing and a failed micro-batch is retried with the
-same run id (hourly run partitions make the retry idempotent).
+A scheduled "run every N hours" job becomes a file-source stream with
+``trigger(availableNow=True)``: micro-batches only parse new files into a staging
+table beside the checkpoint; then one run resolves everything staged that isn't
+done. Attempts of a cycle and daily fetches are thus compared across micro-batches
+and invocations, and results don't depend on how files fall into micro-batches.
+
+A run is known by the stream's own id and the last epoch it covers. It is marked
+begun before it writes and done by its table of resolved responses, so a run that
+failed is repeated over the same epochs under the same run id, which overwrites its
+own partitions, before newer epochs are looked at.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from forecastlake.plans.run import DEFAULT_PROVIDER, run_batch
-from forecastlake.schemas import RESPONSE
+from forecastlake.plans.run import DEFAULT_PROVIDER, RunResult, run_staged, stage_responses
+from forecastlake.operators.state import DEFAULT_MAX_ATTEMPTS
+from forecastlake.schemas import RESPONSE, require_interval
+
+
+def _epochs(spark: SparkSession, path: str) -> list[int]:
+    """Committed ``epoch=N`` folders, ascending: one listing."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[6:]) for n in names if n.startswith("epoch=")
+                  and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
 
 
 def run_available_now(spark: SparkSession, landing: str, *, checkpoint: str, interval: str,
-                      base_path: str, provider: str = DEFAULT_PROVIDER,
-                      state_root: str | None = None, compression: str = "zstd",
-                      run_prefix: str = "batch", max_files_per_trigger: int = 100_000,
-                      fmt: str = "json") -> None:
-    """Consume all newly landed response files, then stop.
-
-    A backlog is split into micro-batches of ``max_files_per_trigger`` files
-    (landed responses are a few KB each, so the default is about 0.5 GB per
-    batch); each batch is kept for its two passes and then released.
+                      base_path: str, provider: str = DEFAULT_PROVIDER, run_prefix: str = "batch",
+                      max_files_per_trigger: int = 100_000, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
+                      fmt: str = "json", **options) -> RunResult | None:
+    """Consume all newly landed response files, then stop; None if nothing is new.
+
+    ``options`` are those of ``run_staged`` (state, layout, quarantine, table, codec,
+    closing cycles). ``max_files_per_trigger`` bounds a micro-batch's size only.
     """
+    require_interval(interval)
+    staging = f"{checkpoint.rstrip('/')}-staged"
     stream = (spark.readStream.schema(RESPONSE).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(landing))
 
     def on_batch(batch_df, epoch_id: int) -> None:
-        # The micro-batch is read twice (lake write, state/report), so keep it
-        # for the duration of the batch; its size is bounded by maxFilesPerTrigger.
-        batch_df.persist()
-        try:
-            if batch_df.isEmpty():
-                return
-            run_batch(spark, batch_df, interval=interval, base_path=base_path,
-                      provider=provider, state_root=state_root, compression=compression,
-                      run_id=f"{run_prefix}-{epoch_id:08d}")
-        finally:
-            batch_df.unpersist()
+        (stage_responses(batch_df, interval=interval, provider=provider, max_attempts=max_attempts, epoch=epoch_id)
+         .write.mode("overwrite").parquet(f"{staging}/responses/epoch={epoch_id:010d}"))
 
     q = (stream.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    staged, done = _epochs(spark, f"{staging}/responses"), _epochs(spark, f"{staging}/resolved")
+    begun = _epochs(spark, f"{staging}/begun")
+    todo = sorted({e for e in [*begun, *staged[-1:]] if e not in done})
+    result = None
+    for last in todo:
+        spark.range(1).write.mode("overwrite").parquet(f"{staging}/begun/epoch={last:010d}")
+        rows = spark.read.parquet(f"{staging}/responses").filter(f"epoch <= {last}").drop("epoch")
+        before = [f"{staging}/resolved/epoch={e:010d}" for e in done if e < last]
+        result = run_staged(spark, rows, interval=interval, base_path=base_path, provider=provider,
+                            run_id=f"{run_prefix}-{str(q.id)[:8]}-{last:010d}", max_attempts=max_attempts,
+                            done=spark.read.parquet(*before) if before else None, **options)
+        result.resolved.write.mode("overwrite").parquet(f"{staging}/resolved/epoch={last:010d}")
+        done.append(last)
+    return result
