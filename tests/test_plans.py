@@ -56,14 +56,20 @@ def test_hot_location_is_split_across_writers(spark, tmp_dir):
          .otherwise(F.lit("HOT")).alias("location_name"),
         F.lit(1.0).alias("requested_latitude"), F.lit(2.0).alias("requested_longitude"),
         F.lit(1.0).alias("api_latitude"), F.lit(2.0).alias("api_longitude"),
-        F.lit("2025-01-15").cast("timestamp_ntz").alias("date"),
+        F.lit("2031-03-07").cast("timestamp_ntz").alias("date"),
         F.rand(1).alias("temperature_2m_max"), F.rand(2).alias("temperature_2m_min"),
         F.rand(3).alias("precipitation_sum"), F.lit("open-meteo").alias("source_api"),
-        F.lit("2025-01-15 06:00:00").cast("timestamp_ntz").alias("ingestion_timestamp_utc"),
+        F.lit("2031-03-07 06:00:00").cast("timestamp_ntz").alias("ingestion_timestamp_utc"),
         F.lit("r1").alias("run_id")))
     assert df.columns == DAILY.fieldNames()
-    write_forecasts(df, tmp_dir, interval="daily", provider="p", compression="snappy", latest_run_only=False)
-    hot = f"{tmp_dir.replace('file:', '')}/provider=p/interval=daily/location_name=HOT/ingest_date=2025-01-15"
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1m")        # in proportion to this small table
+    try:
+        write_forecasts(df, tmp_dir, interval="daily", provider="p", compression="snappy",
+                        layout="by_location", latest_run_only=False)
+    finally:
+        spark.conf.unset(size)
+    hot = f"{tmp_dir.replace('file:', '')}/provider=p/interval=daily/location_name=HOT/ingest_date=2031-03-07"
     files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
     assert len(files) > 1
 

@@ -43,17 +43,17 @@ def test_null_counts_long(spark):
 
 
 def test_formats(spark):
-    df = spark.createDataFrame([(datetime(2025, 1, 15, 9, 5, 0),), (datetime(2025, 1, 15, 9, 5, 0, 120),)],
+    df = spark.createDataFrame([(datetime(2031, 3, 7, 9, 5, 0),), (datetime(2031, 3, 7, 9, 5, 0, 120),)],
                                "t timestamp_ntz")
     assert [r[0] for r in df.select(iso_format("t")).collect()] == \
-        ["2025-01-15T09:05:00", "2025-01-15T09:05:00.000120"]
-    p = df.limit(1).select(partition_path(F.lit("open_meteo"), F.lit("London"), F.lit("daily"),
+        ["2031-03-07T09:05:00", "2031-03-07T09:05:00.000120"]
+    p = df.limit(1).select(partition_path(F.lit("open_meteo"), F.lit("Harbour"), F.lit("daily"),
                                           F.lit("r"), "t")).first()[0]
-    assert p == "open_meteo/daily/London/2025/01/15/forecast_20250115.parquet"
+    assert p == "open_meteo/daily/Harbour/2031/03/07/forecast_20310307.parquet"
 
 
 def test_sample_breaks_ties(spark):
-    t = datetime(2025, 1, 15)
+    t = datetime(2031, 3, 7)
     rows = [("L", 1.0, 2.0, 1.0, 2.0, t, float(i), 0.0, None, None, None, None, 1, "s", datetime(2025, 1, i + 1),
              f"r{i}") for i in range(12)]
     df = spark.createDataFrame(rows, HOURLY)
@@ -87,11 +87,11 @@ def test_lake_files_are_time_ordered(spark, tmp_dir):
 
     shuffled = _hourly(spark, SF_SMALL).drop("event_id").orderBy(F.rand(7)).repartition(4)
     write_forecasts(shuffled, tmp_dir, interval="hourly", provider="p")
-    df = spark.read.parquet(tmp_dir).select(F.input_file_name().alias("f"), "timestamp")
+    df = spark.read.parquet(tmp_dir).select(F.input_file_name().alias("f"), F.struct("location_name", "timestamp").alias("at"))
     rows = df.collect()
     by_file = {}
     for r in rows:
-        by_file.setdefault(r["f"], []).append(r["timestamp"])
+        by_file.setdefault(r["f"], []).append(tuple(r["at"]))
     assert all(v == sorted(v) for v in by_file.values())
 
 

@@ -28,9 +28,9 @@ def test_transform_daily(spark):
     assert _types(good.schema) == _types(DAILY)
     got = good.orderBy("date").collect()
     assert len(got) == 2
-    assert got[0]["date"] == datetime(2025, 1, 15) and got[1]["temperature_2m_max"] == 12.3
-    assert all(r["location_name"] == "London" and r["run_id"] == "test-1" for r in got)
-    assert got[0]["api_latitude"] == 51.5074 and got[0]["source_api"] == "open-meteo"
+    assert got[0]["date"] == datetime(2031, 3, 7) and got[1]["temperature_2m_max"] == 19.75
+    assert all(r["location_name"] == "Harbour" and r["run_id"] == "test-1" for r in got)
+    assert got[0]["api_latitude"] == 47.25 and got[0]["source_api"] == "open-meteo"
 
 
 def test_transform_hourly(spark):
@@ -38,7 +38,7 @@ def test_transform_hourly(spark):
     assert _types(good.schema) == _types(HOURLY)
     got = good.orderBy("timestamp").collect()
     assert len(got) == 2
-    assert got[1]["timestamp"] == datetime(2025, 1, 15, 1, 0) and got[1]["precipitation"] == 0.1
+    assert got[1]["timestamp"] == datetime(2031, 3, 7, 1, 0) and got[1]["precipitation"] == 0.1
     # absent variables are typed NULLs
     assert got[0]["relative_humidity_2m"] is None and got[0]["weather_code"] is None
 
@@ -46,7 +46,7 @@ def test_transform_hourly(spark):
 def _hourly_body(**series):
     b = copy.deepcopy(SAMPLE_BODY)
     b.pop("daily")
-    b["hourly"] = {"time": ["2025-01-15T00:00", "2025-01-15T01:00", "2025-01-15T02:00"], **series}
+    b["hourly"] = {"time": ["2031-03-07T00:00", "2031-03-07T01:00", "2031-03-07T02:00"], **series}
     return b
 
 
@@ -83,12 +83,12 @@ def test_weather_code_integrality_and_spellings(spark):
 
 def test_offsets_dropped_without_conversion(spark):
     b = copy.deepcopy(SAMPLE_BODY)
-    b["hourly"] = {"time": ["2025-01-15T01:00+02:00", "2025-01-15T02:00:30Z", "2025-01-15T03:00:00-0530",
-                            "20250115"],
+    b["hourly"] = {"time": ["2031-03-07T01:00+02:00", "2031-03-07T02:00:30Z", "2031-03-07T03:00:00-0530",
+                            "20310307"],
                    "temperature_2m": [1, 2, 3, 4]}
     good, bad = check_rows(_flat(spark, b)[0])
     ts = sorted(r["timestamp"] for r in good.collect())
-    assert ts == [datetime(2025, 1, 15, 1, 0), datetime(2025, 1, 15, 2, 0, 30), datetime(2025, 1, 15, 3, 0)]
+    assert ts == [datetime(2031, 3, 7, 1, 0), datetime(2031, 3, 7, 2, 0, 30), datetime(2031, 3, 7, 3, 0)]
     assert bad.collect()[0]["errors"] == ["bad_time"]
 
 
@@ -143,14 +143,14 @@ def test_multi_location_body(spark):
     b["latitude"] = 35.6
     row = list(response_row([a, b]))
     df = responses(spark, [tuple(row)]).withColumn("locations", F.array(
-        F.struct(F.lit("London").alias("name"), F.lit(51.5).alias("latitude"), F.lit(-0.1).alias("longitude")),
-        F.struct(F.lit("Tokyo").alias("name"), F.lit(35.7).alias("latitude"), F.lit(139.7).alias("longitude"))))
+        F.struct(F.lit("Harbour").alias("name"), F.lit(51.5).alias("latitude"), F.lit(-0.1).alias("longitude")),
+        F.struct(F.lit("Ridge").alias("name"), F.lit(35.7).alias("latitude"), F.lit(139.7).alias("longitude"))))
     ok, failed = split_ok_failed(parse_responses(df, multi_location=True))
     assert failed.count() == 0
     flat = fl.flatten_hourly(ok)
     counts = {r["location_name"]: r["count"] for r in flat.groupBy("location_name").count().collect()}
-    assert counts == {"London": 3, "Tokyo": 3}
-    tokyo = flat.filter("location_name = 'Tokyo'").select("api_latitude", "requested_latitude").first()
+    assert counts == {"Harbour": 3, "Ridge": 3}
+    tokyo = flat.filter("location_name = 'Ridge'").select("api_latitude", "requested_latitude").first()
     assert tokyo["api_latitude"] == 35.6 and tokyo["requested_latitude"] == 35.7
 
 
@@ -161,7 +161,7 @@ def test_dynamic_flatten_name_fallback(spark):
     out = fl.flatten_dynamic(ok, "hourly")
     assert out.columns[:3] == ["time", "temperature_2m", "uv_index"]
     r = out.first()
-    assert r["location_name"] == "51.5,-0.12" and r["ingestion_timestamp_utc"] == "2025-01-15T12:00:00"
+    assert r["location_name"] == "51.5,-0.12" and r["ingestion_timestamp_utc"] == "2031-03-07T12:00:00"
     daily = fl.flatten_dynamic(split_ok_failed(parse_responses(responses(
         spark, [response_row(SAMPLE_BODY, interval="daily")])))[0], "daily")
     assert "date" in daily.columns and "request_elapsed_ms" in daily.columns
@@ -182,21 +182,21 @@ def test_profile_shape_and_end(spark):
     # daily wins whenever it is non-empty, even in an hourly run
     both = responses(spark, [response_row(SAMPLE_BODY)])
     ok2, _ = split_ok_failed(parse_responses(both).withColumn("location_name", F.col("location.name")))
-    assert fl.forecast_end(ok2, ["location_name"]).first()["forecast_end_date"] == "2025-01-16"
+    assert fl.forecast_end(ok2, ["location_name"]).first()["forecast_end_date"] == "2031-03-08"
     pairs = fl.leading_pairs(ok2, "daily", "temperature_2m_max", 1, ["location_name"]).collect()
-    assert [(p["time_text"], p["value"]) for p in pairs] == [("2025-01-15", 10.5)]
+    assert [(p["time_text"], p["value"]) for p in pairs] == [("2031-03-07", 21.5)]
 
 
 def test_sources_dimension_schema_and_landed_json(spark, tmp_dir):
     from forecastlake.sources.responses import (
         attach_locations, locations_df, read_responses, schema_rows,
     )
-    locs = locations_df(spark, [("London", 51.5074, -0.1278), ("Tokyo", 35.6895, 139.6917)])
+    locs = locations_df(spark, [("Harbour", 47.25, 8.625), ("Ridge", -12.5, 130.875)])
     rows = schema_rows(spark, locs).collect()
     assert [(r["column_name"], r["data_type"], r["ordinal"]) for r in rows] == [
         ("name", "string", 0), ("latitude", "double", 1), ("longitude", "double", 2)]
-    responses(spark, [response_row(SAMPLE_BODY, location=("Tokyo", 0.0, 0.0))]).write.json(tmp_dir)
+    responses(spark, [response_row(SAMPLE_BODY, location=("Ridge", 0.0, 0.0))]).write.json(tmp_dir)
     landed = read_responses(spark, tmp_dir)
     named = landed.withColumn("location_name", F.col("location.name"))
     got = attach_locations(named, locs).select("location.latitude").first()[0]
-    assert got == 35.6895
+    assert got == -12.5
