@@ -138,36 +138,32 @@ def flatten_daily(ok: DataFrame, **kw) -> DataFrame:
     return flatten_series(ok, "daily", **kw)
 
 
-def discover_variables(ok: DataFrame, interval: str) -> list[str]:
-    """Distinct variable names present in the interval's blocks (sorted).
+def discover_variables(ok: DataFrame, interval: str) -> DataFrame:
+    """Distinct variable names in the interval's blocks (one column ``variable``).
 
-    The collected result is bounded by the API's variable catalogue (tens of
-    names), but finding it is a full pass over the responses (the map keys are
-    partially aggregated before the shuffle). On large inputs pass the
-    requested variables to ``flatten_dynamic`` instead.
+    A full pass over the responses, aggregated before the shuffle; names come from
+    the bodies, so nothing bounds them and they stay a table.
     """
-    keys = (ok.select(F.explode(F.map_keys(_block(interval))).alias("k"))
-            .filter(F.col("k") != "time").distinct())
-    return sorted(r["k"] for r in keys.collect())
+    return (ok.select(F.explode(F.map_keys(_block(interval))).alias("variable"))
+            .filter(F.col("variable") != "time").distinct())
 
 
-def flatten_dynamic(ok: DataFrame, interval: str, variables: list[str] | None = None) -> DataFrame:
-    """Prototype flatten (P4): every variable becomes a column.
+def flatten_dynamic(ok: DataFrame, interval: str, variables: list[str]) -> DataFrame:
+    """Prototype flatten (P4): every requested variable becomes a column.
 
     Missing location names fall back to ``"lat,lon"``; hourly time is ``time``
     (timestamp), daily time is ``date`` (date type); metadata columns carry the
-    prototype names. Pass ``variables`` to fix the schema; otherwise they are
-    discovered from the data with one extra pass (``discover_variables``).
+    prototype names. ``discover_variables`` lists the names that bodies hold.
     """
     require_interval(interval)
-    if variables is None:
-        variables = discover_variables(ok, interval)
     block = _block(interval)
     loc = F.col("location")
     name = F.coalesce(loc["name"], F.concat_ws(",", loc["latitude"].cast("string"),
                                                loc["longitude"].cast("string")))
+    # Arrays are looked up in the block once per response, not once per cell.
+    ok = ok.select("*", *[block[v].alias(_arr(v)) for v in variables])
     cells = F.transform(block["time"], lambda t, i: F.struct(
-        t.alias("_time_text"), *[F.get(block[v], i).alias(f"_text_{v}") for v in variables]))
+        t.alias("_time_text"), *[F.get(F.col(_arr(v)), i).alias(f"_text_{v}") for v in variables]))
     if interval == "hourly":
         first = [parse_time("_time_text").alias("time")]
         elapsed = F.col("elapsed_ms").alias("ingest_elapsed_ms")

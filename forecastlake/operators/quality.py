@@ -12,32 +12,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecastlake.functions.scalars import duck_round
+from forecastlake.operators.flatten import DAILY_VARIABLES, HOURLY_VARIABLES, INTEGER_VARIABLES, TIME_COLUMN
 from forecastlake.schemas import require_interval
 
-# Per-interval column roles used by the quality queries.
-SCHEMAS = {
-    "daily": {
-        "date_col": "date",
-        "temp_col": "temperature_2m_max",
-        "temp_col_min": "temperature_2m_min",
-        "precip_col": "precipitation_sum",
-        "sample_cols": ["date", "temperature_2m_max", "temperature_2m_min", "precipitation_sum"],
-    },
-    "hourly": {
-        "date_col": "timestamp",
-        "temp_col": "temperature_2m",
-        "temp_col_min": None,
-        "precip_col": "precipitation",
-        "sample_cols": ["timestamp", "temperature_2m", "precipitation", "weather_code"],
-    },
-}
-
-
 def roles(interval: str, **overrides) -> dict:
-    """Column roles of an interval, with any role overridden by keyword."""
-    r = dict(SCHEMAS[require_interval(interval)])
-    r.update(overrides)
-    return r
+    """Column roles of an interval, read off its schema and variable map.
+
+    Temperatures are the variables named so, the warmest first; rain is the
+    precipitation variable. Any role can be overridden by keyword.
+    """
+    variables = list(HOURLY_VARIABLES if require_interval(interval) == "hourly" else DAILY_VARIABLES)
+    temps = sorted(v for v in variables if v.startswith("temperature"))
+    rain = next(v for v in variables if v.startswith("precipitation"))
+    shown = [v for v in variables if v in (*temps, rain) or v in INTEGER_VARIABLES]
+    time = TIME_COLUMN[interval]
+    return {"date_col": time, "temp_col": temps[0], "temp_col_min": temps[1] if len(temps) > 1 else None,
+            "precip_col": rain, "sample_cols": [time, *shown], **overrides}
 
 
 def completeness(df: DataFrame, *, location_col: str = "location_name",

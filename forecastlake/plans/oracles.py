@@ -456,6 +456,15 @@ SELECT 'nulls' AS gate, CAST(2 * count(*) - count(event_type) - count(ts) + coun
   3 * count(*) - count(event_type) - count(ts) = 0 AS passed FROM events
 UNION ALL SELECT 'records', n, n > 0 FROM t""",
 
+    "discover_variables": """
+SELECT DISTINCT unnest(['precipitation', 'temperature_2m', 'weathercode',
+  CASE WHEN event_type = 'purchase' THEN 'cloud_cover' ELSE 'cloudcover' END]) AS variable
+FROM events WHERE event_type <> 'error'""",
+
+    "location_file": f"""
+WITH l AS (SELECT DISTINCT event_type AS name, {LAT} AS latitude, {LON} AS longitude FROM events)
+SELECT *, 'json' AS format FROM l UNION ALL SELECT *, 'csv' FROM l""",
+
     "flatten_dynamic_daily": f"""
 SELECT CAST(o_orderdate AS TIMESTAMP) AS "date", max(o_totalprice) / {D.format(1000.0)} AS temperature_2m_max,
   min(o_totalprice) / {D.format(1000.0)} AS temperature_2m_min, CAST(count(*) AS DOUBLE) AS precipitation_sum,

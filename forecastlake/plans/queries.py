@@ -25,7 +25,7 @@ from forecastlake.sinks.lake import infer_interval, write_forecasts, write_singl
 from forecastlake.sinks.reports import prototype_paths, report_totals, write_report
 from forecastlake.sources import tables as tb
 from forecastlake.sources.lake import lake_path_columns, read_lake
-from forecastlake.sources.responses import attach_locations, read_responses, request_manifest
+from forecastlake.sources.responses import attach_locations, read_locations, read_responses, request_manifest
 from forecastlake.sources.state_store import empty_state, read_state, save_state
 from forecastlake.streaming.incremental import run_available_now
 
@@ -76,7 +76,24 @@ def q_flatten_dynamic(spark, sf_dir):
         F.struct(F.lit(None).cast("string").alias("name"), loc["latitude"].alias("latitude"),
                  loc["longitude"].alias("longitude"))).otherwise(loc))
     ok, _ = split_ok_failed(parse_responses(resp))
-    return fl.flatten_dynamic(ok, "hourly")
+    return fl.flatten_dynamic(ok, "hourly", ["cloud_cover", "cloudcover", "precipitation", "temperature_2m", "weathercode"])
+
+
+def q_discover_variables(spark, sf_dir):
+    ok = _ok_hourly(spark, sf_dir)
+    return fl.discover_variables(ok, "hourly")
+
+
+def q_location_file(spark, sf_dir):
+    """The location dimension from a file, in either format."""
+    locations = tb.event_locations(_t(spark, sf_dir, "events"))
+    out = None
+    for fmt in ("json", "csv"):
+        path = scratch_path(spark, f"locations-{fmt}")
+        locations.write.format(fmt).option("header", "true").save(path)
+        rows = read_locations(spark, path, fmt=fmt).withColumn("format", F.lit(fmt))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_multi_location_body(spark, sf_dir):
@@ -362,7 +379,8 @@ def q_partitioned_write_hourly_by_location(spark, sf_dir):
     return _write_hourly(spark, sf_dir, "by_location")
 
 
-def _two_daily_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _daily_runs(spark, sf_dir) -> tuple[DataFrame, Column]:
+    """Daily rows of two runs, told apart by an expression (one scan)."""
     d = tb.lineitem_daily_frame(_t(spark, sf_dir, "lineitem"), by_flag=True).drop(
         "l_orderkey", "l_linenumber")
     month = F.date_format("ingestion_timestamp_utc", "yyyy")
@@ -372,6 +390,11 @@ def _two_daily_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         "ingestion_timestamp_utc": F.when(early, F.col("ingestion_timestamp_utc")).otherwise(
             F.col("ingestion_timestamp_utc") + F.expr("INTERVAL 6 HOURS")),
     })
+    return run, early
+
+
+def _two_daily_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    run, early = _daily_runs(spark, sf_dir)
     return run.filter(early), run.filter(~early)
 
 
@@ -400,8 +423,7 @@ def q_daily_replace_missing_location(spark, sf_dir):
 def q_daily_replace_single_batch(spark, sf_dir):
     """Both daily runs in one batch: the later run of each location-day wins."""
     base = scratch_path(spark, "lake-daily-batch")
-    early, late = _two_daily_runs(spark, sf_dir)
-    write_forecasts(early.unionByName(late), base, interval="daily", provider=PROVIDER)
+    write_forecasts(_daily_runs(spark, sf_dir)[0], base, interval="daily", provider=PROVIDER, layout="by_location")
     return read_lake(spark, base, "daily", provider=PROVIDER)
 
 
@@ -709,4 +731,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payload_bytes": q_payload_bytes,
     "list_bodies": q_list_bodies,
     "ingestion_metadata": q_ingestion_metadata,
+    "discover_variables": q_discover_variables,
+    "location_file": q_location_file,
 }

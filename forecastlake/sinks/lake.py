@@ -109,8 +109,8 @@ def arranged(df: DataFrame, *, interval: str, layout: str, latest_run_only: bool
     """Lake columns, dealt to writers by partition and sorted for them."""
     parts = partition_columns(interval, layout)
     out = with_lake_columns(df, interval=interval)
-    if latest_run_only is None:
-        latest_run_only = interval == "daily"
+    if latest_run_only is None:       # by date, reads resolve the latest run
+        latest_run_only = interval == "daily" and layout == "by_location"
     if latest_run_only:
         out = keep_latest_run(out, ["location_name", "ingest_date"])
     # Provider and interval are fixed directory levels, not data columns: as

@@ -25,6 +25,12 @@ def locations_df(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame([tuple(r) for r in rows], LOCATION)
 
 
+def read_locations(spark: SparkSession, path: str, *, fmt: str = "json") -> DataFrame:
+    """Location dimension from a JSON or CSV file (S6), with the LOCATION schema."""
+    reader = spark.read.schema(LOCATION)
+    return reader.option("header", "true").csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+
+
 def request_manifest(locations: DataFrame, *, interval: str, variables: list[str],
                      forecast_days: int = 7, timezone: str = "GMT",
                      base_url: str = "https://api.open-meteo.com/v1/forecast",

@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from bench import HEADLINE  # noqa: E402
+from bench import FROM_LANDING, FROM_TABLES  # noqa: E402
 from forecastlake.plans.queries import QUERIES  # noqa: E402
 from forecastlake.session import get_spark  # noqa: E402
 
@@ -34,7 +34,7 @@ def main() -> None:
     parts = ["# Physical plans of the headline queries", "",
              f"Generated by `scripts/explain_plans.py` on `{sf}`. Write queries show the plan of",
              "their read-back; the write plans themselves are covered by `tests/test_plans.py`.", ""]
-    for name in HEADLINE:
+    for name in [*FROM_LANDING, *FROM_TABLES]:
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         ex = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
         joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|"

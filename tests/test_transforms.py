@@ -158,12 +158,12 @@ def test_dynamic_flatten_name_fallback(spark):
     body = _hourly_body(temperature_2m=[1, 2, 3], uv_index=[0, 1, 2])
     df = responses(spark, [response_row(body, location=(None, 51.5, -0.12))])
     ok, _ = split_ok_failed(parse_responses(df))
-    out = fl.flatten_dynamic(ok, "hourly")
+    out = fl.flatten_dynamic(ok, "hourly", ["temperature_2m", "uv_index"])
     assert out.columns[:3] == ["time", "temperature_2m", "uv_index"]
     r = out.first()
     assert r["location_name"] == "51.5,-0.12" and r["ingestion_timestamp_utc"] == "2031-03-07T12:00:00"
     daily = fl.flatten_dynamic(split_ok_failed(parse_responses(responses(
-        spark, [response_row(SAMPLE_BODY, interval="daily")])))[0], "daily")
+        spark, [response_row(SAMPLE_BODY, interval="daily")])))[0], "daily", ["temperature_2m_max"])
     assert "date" in daily.columns and "request_elapsed_ms" in daily.columns
 
 
@@ -200,3 +200,21 @@ def test_sources_dimension_schema_and_landed_json(spark, tmp_dir):
     named = landed.withColumn("location_name", F.col("location.name"))
     got = attach_locations(named, locs).select("location.latitude").first()[0]
     assert got == -12.5
+
+
+def test_locations_from_files(spark, tmp_dir):
+    from forecastlake.sources.responses import locations_df, read_locations
+
+    rows = locations_df(spark, [("Harbour", 47.25, 8.625), ("Ridge", -12.5, 130.875)])
+    for fmt in ("json", "csv"):
+        rows.write.format(fmt).option("header", "true").save(f"{tmp_dir}/{fmt}")
+        assert sorted(map(tuple, read_locations(spark, f"{tmp_dir}/{fmt}", fmt=fmt).collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_list_bodies(spark):
+    one = '[{"error": true, "reason": "r"}]'
+    df = responses(spark, [response_row(one), response_row(" \n []"), response_row("[")])
+    assert sorted(str(r["error"]) for r in parse_responses(df).collect()) == [
+        "'list' object has no attribute 'get'", "'list' object has no attribute 'get'", "Invalid JSON body"]
+    multi = parse_responses(df, multi_location=True)
+    assert sorted(str(r["error"]) for r in multi.collect()) == ["API Error: r", "Empty list body", "Invalid JSON body"]
