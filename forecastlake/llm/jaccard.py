@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import column, materialise, ship
 from .components import connected_components
-from .shingles import U, sets_of
+from .shingles import U, mix, sets_of
 
 BLOCK_CHARS, BUCKET_CHARS = 4_000_000, 8_000_000
 BINS, UNIT = 256, 384
@@ -147,15 +147,22 @@ class Unit:
         return ok, far
 
     def forest(self) -> list[tuple[int, int]]:
-        """Edges of a spanning forest of the candidates, the nearest first."""
+        """Edges of the least spanning forest of the candidates (Prim).
+
+        Equal distances are told apart by a hash of the pair, so there is one least
+        forest, and units that hold the same sets name the same pairs.
+        """
         ok, far = self.candidates()
-        cost = np.where(ok, far, 1 << 30)
-        left, best, parent = np.ones(len(self.n), bool), np.full(len(self.n), 1 << 29), np.full(len(self.n), -1)
+        none = np.int64(2**62)
+        one, two = self.rep[:, None].astype(np.uint64), self.rep[None, :].astype(np.uint64)
+        tie = mix(np.minimum(one, two) * U(0x9FB21C651E98DF25) + np.maximum(one, two)) >> U(33)
+        cost = np.where(ok, (far << 31) + tie.astype(np.int64), none)
+        left, best, parent = np.ones(len(self.n), bool), np.full(len(self.n), none), np.full(len(self.n), -1)
         out = []
         while left.any():
-            i = int(np.where(left, best, 1 << 31).argmin())
+            i = int(np.where(left, best, np.int64(2**63 - 1)).argmin())
             left[i] = False
-            if best[i] < 1 << 29:
+            if best[i] < none:
                 out.append((self.rep[i], self.rep[parent[i]]))
             nearer = left & (cost[i] < best)
             best[nearer], parent[nearer] = cost[i][nearer], i
