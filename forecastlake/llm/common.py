@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -48,4 +48,14 @@ def held_out(doc_id: str):
     return F.coalesce(F.crc32(column(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-LONG = T.LongType()
+def bounded_sample(rows: DataFrame, key: str, n: int, *ties: str) -> DataFrame:
+    """The n rows of the smallest hash of ``key`` (all, if fewer), ties by ``ties``.
+
+    A threshold on the hash, a quarter above what n rows need, leaves about n rows
+    for the final top n, so what meets in one task doesn't grow with the table.
+    """
+    total = rows.count()
+    share = min(1.0, (1.25 * n + 100) / max(1, total))
+    mark = F.xxhash64(column(key))
+    small = rows.filter(F.pmod(mark, F.lit(1 << 30)) < F.lit(math.ceil(share * (1 << 30))))
+    return small.orderBy(F.pmod(mark, F.lit(1 << 30)), mark, *ties).limit(n)

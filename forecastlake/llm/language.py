@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, held_out, ship
+from .common import bounded_sample, column, held_out, ship
 from .shingles import U, mix
 
 BUCKETS, DIM, SIZES = 1 << 14, 16, (2, 3, 4)
@@ -127,7 +127,7 @@ def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     ship(labelled.sparkSession)
     rows = labelled.select(column(id_col).alias("id"), column(text_col).alias("text"), column(lang_col).alias("lang")) \
         .filter("text is not null and lang is not null")
-    sample = rows.orderBy(F.xxhash64("id"), "text", "lang").limit(sample_rows)
+    sample = bounded_sample(rows, "id", sample_rows, "text", "lang")
 
     def run(batches):
         for b in batches:
@@ -144,8 +144,9 @@ def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 def identify(df: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows with lang_pred, score and accepted.
 
-    ``und`` with score 0, not accepted: a null text, one without a letter, or no
-    model (nothing to learn from). ``accepted`` is false below the calibrated score.
+    ``und`` with score 0: a null text, one without a letter, or no model (nothing to
+    learn from). ``accepted`` is false for a text without a letter and below the
+    calibrated score; without a model nothing else is rejected.
     Repeated rows are predicted each; an empty table gives an empty result. Input
     columns of these names are replaced, others are kept.
     """
@@ -159,12 +160,13 @@ def identify(df: DataFrame, model: Model | None, *, id_col: str = "doc_id", text
 
         letter, m = regex.compile(r"\p{L}"), shared.value
         for b in batches:
-            found = [m.predict(t) if m and t and letter.search(t) else ("und", 0.0)
-                     for t in b.column(text_at).to_pylist()]
+            texts = b.column(text_at).to_pylist()
+            known = [bool(t and letter.search(t)) for t in texts]
+            found = [m.predict(t) if m and k else ("und", 0.0) for t, k in zip(texts, known)]
             langs, scores = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array([s > 0 and s >= m.reject_below for s in scores], pa.bool_())],
+                 pa.array([k and (not m or s >= m.reject_below) for k, s in zip(known, scores)], pa.bool_())],
                 names=[*b.schema.names, "lang_pred", "score", "accepted"])
 
     rows = df.select(*[column(c) for c in keep])
