@@ -62,6 +62,13 @@ def boundaries(text: str, pattern: str, final: bool) -> tuple[list[int], int | N
     return starts, first.start() if first else None
 
 
+def _small(batches, rows: int = 256):
+    """The same rows in small batches, so that few texts are Python objects at once."""
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
+
+
 def encode(df: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text",
            chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(row_id, doc_id, piece, last, ids): the pieces of each text, in order within one partition.
@@ -81,7 +88,7 @@ def encode(df: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id", t
 
     def whole(batches):
         enc, _ = encoding(ranks, pattern)
-        for b in batches:
+        for b in _small(batches):
             ids = [np.array(enc.encode_ordinary(t), dtype="<u4").tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("row_id"), b.column("doc_id"), pa.array([0] * len(b), pa.int32()),
@@ -97,7 +104,7 @@ def encode(df: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id", t
 def _chunks(rows: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """(row_id, doc_id, chunk, final, text): chunk k starts at character k * chunk."""
     def run(batches):
-        for b in batches:
+        for b in _small(batches, 16):
             for row, doc, text in zip(*(b.column(c).to_pylist() for c in ("row_id", "doc_id", "text"))):
                 n = max(1, -(-(len(text) - overlap) // chunk))
                 for k0 in range(0, n, 64):
@@ -114,7 +121,7 @@ def _stitch(chunks: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFr
     """(row_id, chunk, begin, end): offsets into the chunk; null where no stitch was found."""
     def run(batches):
         white = splitter(pattern)[2]
-        for b in batches:
+        for b in _small(batches, 64):
             heads, tails = [], []
             for k, final, text in zip(*(b.column(c).to_pylist() for c in ("chunk", "final", "text"))):
                 starts, sure = boundaries(text, pattern, final)
@@ -139,7 +146,7 @@ def _encode_pieces(chunks: DataFrame, ranks: str, pattern: str, chunk: int) -> D
     """Pieces stitched on both sides become ids; the others keep their text."""
     def run(batches):
         enc, _ = encoding(ranks, pattern)
-        for b in batches:
+        for b in _small(batches, 64):
             ids, texts, opened = [], [], []
             for text, begin, end, final in zip(*(b.column(c).to_pylist() for c in ("text", "begin", "end", "final"))):
                 closed = final or end is not None
@@ -187,7 +194,7 @@ def digests(pieces: DataFrame, ranks: str, pattern: str) -> DataFrame:
         _, table = encoding(ranks, pattern)
         names = {i: str(i) for i in table}
         n, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()
-        for b in batches:
+        for b in _small(batches):
             out = []
             for doc, last, raw in zip(*(b.column(c).to_pylist() for c in ("doc_id", "last", "ids"))):
                 ids = np.frombuffer(raw, dtype="<u4").tolist()
