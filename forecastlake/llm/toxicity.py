@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, held_out, materialise, ship
+from .common import bounded_sample, column, held_out, materialise, ship
 
 #: Labelled rows that are learned from, at most; taken by the smallest hash of the id.
 SAMPLE_ROWS = 40_000
@@ -124,7 +124,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     """
     ship(docs.sparkSession)
     ids = labels.select(column(id_col).alias("id"), F.col("toxic")).filter("id is not null and toxic is not null") \
-        .groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
+        .groupBy("id").agg(F.max("toxic").alias("toxic"))
+    ids = bounded_sample(ids, "id", sample_rows)
     rows = docs.select(column(id_col).alias("id"), column(text_col).alias("text")).filter("text is not null")
     # The sample is bounded by sample_rows, 16 bytes each.
     texts = rows.join(F.broadcast(ids), "id").groupBy("text").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
