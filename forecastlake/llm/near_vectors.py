@@ -1,13 +1,18 @@
 """Near-duplicate vectors by NN-descent on a neighbour graph.
 
-1. The graph starts from random hyperplanes: vectors with the same signs form
-   blocks, large blocks are split, and every vector takes the nearest of its block.
+Equal vectors are one vector with a weight first. Then, in rounds:
+
+1. Random hyperplanes, new ones each round: vectors with the same signs form blocks,
+   large blocks are split, and every vector takes the nearest of its block.
 2. Descent: the neighbours of a vector (both ways) are compared with one another,
    and lists keep the nearest found.
-3. Lists full of linked vectors are enlarged: everything that links connect is
-   compared pair by pair in blocks, so a group of any size gets all its links.
-4. Recall is audited on a bounded sample against all vectors; below the target,
-   descent goes on.
+3. Links give components. A list holds the nearest vectors and, past them, the
+   nearest of other components, so a list full of the vector's own group is enlarged
+   by what may link that group to others. Rounds go on until one adds no link.
+4. Everything that links connect is compared pair by pair in blocks, so a group of
+   any size gets all its links.
+5. Recall is audited on a bounded sample against all vectors; below the target,
+   rounds go on.
 Links below the threshold are never kept: every cosine is computed in doubles.
 """
 
@@ -27,31 +32,54 @@ from .vectors import matrix, unit, usable_vectors
 NEIGHBOURS, TABLES, BLOCK = 8, 4, 192
 #: Vectors that recall is audited on, at most (by the smallest hash of the id).
 AUDIT, TARGET, ROUNDS = 256, 0.99, 5
-_LIST = "array<struct<sim:double,id:bigint>>"
+_LISTS = "vec_id long, component long, near array<struct<sim:double,id:bigint,component:bigint>>"
+
+
+def _top(sims: np.ndarray, k: int) -> np.ndarray:
+    """Marks each row's k largest."""
+    marks = np.zeros(sims.shape, dtype=bool)
+    k = min(k, len(sims) - 1)
+    if k > 0:
+        np.put_along_axis(marks, np.argpartition(-sims, k - 1, axis=1)[:, :k], True, axis=1)
+    return marks
 
 
 def _nearest(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Each member's k nearest of its group that are nearer than ``floor``."""
-    x, ids = unit(matrix(pdf["vec"])), pdf["vec_id"].to_numpy()
+    """Each member's k nearest of its group that are nearer than ``floor``, and its k
+    nearest of other components that are nearer than ``apart``."""
+    x, ids, component = unit(matrix(pdf["vec"])), pdf["vec_id"].to_numpy(), pdf["component"].to_numpy()
     sims = x @ x.T
     np.fill_diagonal(sims, -2.0)
-    k = min(k, len(ids) - 1)
-    top = np.argpartition(-sims, k - 1, axis=1)[:, :k] if k > 0 else np.empty((len(ids), 0), int)
-    floor = pdf["floor"].to_numpy()
+    others = np.where(component[:, None] == component[None, :], -2.0, sims)
+    keep = _top(sims, k) & (sims > pdf["floor"].to_numpy()[:, None])
+    keep |= _top(others, k) & (others > pdf["apart"].to_numpy()[:, None])
     out = []
-    for i, row in enumerate(top):
-        found = [{"sim": float(sims[i, j]), "id": int(ids[j])} for j in row if sims[i, j] > floor[i]]
-        if found:
-            out.append((int(ids[i]), found))
-    return pd.DataFrame(out, columns=["vec_id", "near"])
+    for i in np.flatnonzero(keep.any(axis=1)):
+        found = [{"sim": float(sims[i, j]), "id": int(ids[j]), "component": int(component[j])} for j in np.flatnonzero(keep[i])]
+        out.append((int(ids[i]), int(component[i]), found))
+    return pd.DataFrame(out, columns=["vec_id", "component", "near"])
 
 
 def _merge(lists: DataFrame, k: int) -> DataFrame:
-    """(vec_id, near): the k nearest of all lists of a vector. A vector has a few lists at most."""
-    every = lists.select("vec_id", F.explode("near").alias("e")).select("vec_id", "e.id", "e.sim") \
-        .groupBy("vec_id", "id").agg(F.max("sim").alias("sim"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("sim", "id")), asc=False), 1, k)
-    return every.groupBy("vec_id").agg(best.alias("near"))
+    """(vec_id, component, near): of all lists of a vector the k nearest, then the k nearest of
+    other components that aren't among them. A vector has a few lists at most."""
+    every = lists.select("vec_id", "component", F.explode("near").alias("e")) \
+        .groupBy("vec_id", "component", "e.id").agg(F.max("e.sim").alias("sim"), F.first("e.component").alias("of"))
+    found = F.sort_array(F.collect_list(F.struct("sim", "id", F.col("of").alias("component"))), asc=False)
+    near = F.array_union(F.slice("found", 1, k), F.slice(_others("found"), 1, k))
+    return every.groupBy("vec_id", "component").agg(found.alias("found")).select("vec_id", "component", near.alias("near"))
+
+
+def _others(near: str):
+    """Entries of other components than the vector's."""
+    return F.filter(near, lambda e: e["component"] != F.col("component"))
+
+
+def _moved(graph: DataFrame, placed: DataFrame) -> DataFrame:
+    """The lists with the components of ``placed``."""
+    own, of = placed.select("vec_id", "component"), placed.select(F.col("vec_id").alias("id"), F.col("component").alias("of"))
+    entries = graph.select("vec_id", F.explode("near").alias("e")).select("vec_id", "e.sim", "e.id").join(of, "id").join(own, "vec_id")
+    return entries.select("vec_id", "component", F.array(F.struct("sim", "id", F.col("of").alias("component"))).alias("near"))
 
 
 def _start(rows: DataFrame, n: int, dim: int, k: int, seed: int) -> DataFrame:
@@ -67,15 +95,15 @@ def _start(rows: DataFrame, n: int, dim: int, k: int, seed: int) -> DataFrame:
     lists = []
     for t in range(TABLES):
         code = sum((sign(t, i) for i in range(bits)), F.lit(0)).alias("code")
-        coded = rows.select("vec_id", "vec", code, F.lit(-2.0).alias("floor"))
+        coded = rows.select("vec_id", "component", "vec", code, F.lit(-2.0).alias("floor"), F.lit(-2.0).alias("apart"))
         parts = coded.groupBy("code").agg(F.ceil(F.count("*") / (2.0 * BLOCK)).alias("parts"))
         dealt = coded.join(parts, "code").withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(t)), F.col("parts")))
         lists.append(dealt.groupBy("code", "part").applyInPandas(
-            lambda pdf: _nearest(pdf, k), f"vec_id long, near {_LIST}"))
+            lambda pdf: _nearest(pdf, k), _LISTS))
     out = lists[0]
     for x in lists[1:]:
         out = out.unionByName(x)
-    return _merge(out, k)
+    return out
 
 
 def _descend(rows: DataFrame, graph: DataFrame, k: int) -> DataFrame:
@@ -86,8 +114,11 @@ def _descend(rows: DataFrame, graph: DataFrame, k: int) -> DataFrame:
         .union(graph.select(F.col("vec_id").alias("centre"), "vec_id")).distinct()
     # A vector that many lists name has its surroundings split.
     parts = around.groupBy("centre").agg(F.ceil(F.count("*") / 96.0).alias("parts"))
-    floor = F.when(F.size("near") >= k, F.element_at("near", -1)["sim"]).otherwise(F.lit(-2.0))
-    members = rows.join(graph.select("vec_id", floor.alias("floor")), "vec_id")
+
+    def last(near):
+        return F.when(F.size(near) >= k, F.element_at(near, k)["sim"]).otherwise(F.lit(-2.0))
+
+    members = rows.join(graph.select("vec_id", last(F.col("near")).alias("floor"), last(_others("near")).alias("apart")), "vec_id")
     dealt = around.join(parts, "centre").join(members, "vec_id") \
         .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
     # Many centres go to a task at once; each is compared by itself inside it.
@@ -95,9 +126,9 @@ def _descend(rows: DataFrame, graph: DataFrame, k: int) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         found = [_nearest(g, k) for _, g in pdf.groupby(["centre", "part"], sort=False) if len(g) > 2]
-        return pd.concat(found) if found else pd.DataFrame({"vec_id": [], "near": []})
+        return pd.concat(found) if found else pd.DataFrame({"vec_id": [], "component": [], "near": []})
 
-    better = groups.groupBy("bundle", "part").applyInPandas(run, f"vec_id long, near {_LIST}")
+    better = groups.groupBy("bundle", "part").applyInPandas(run, _LISTS)
     return _merge(graph.unionByName(better), k)
 
 
@@ -105,17 +136,17 @@ def _bundles(rows: DataFrame) -> int:
     return max(1, math.ceil(rows.count() / 256))
 
 
-def _count_links(rows: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """(vec_id, n_links): exact, over all pairs of a component, block against block."""
-    members = rows.join(labels.withColumnRenamed("id", "vec_id"), "vec_id")
-    sizes = labels.groupBy("component").agg(F.ceil(F.count("*") / 512.0).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "component") \
+def _count_links(placed: DataFrame, threshold: float) -> DataFrame:
+    """(vec_id, n_links): exact, over all pairs of a component, block against block; copies not counted."""
+    sizes = placed.groupBy("component").agg(F.count("*").alias("n")).filter("n > 1") \
+        .select("component", F.ceil(F.col("n") / 512.0).cast("int").alias("blocks"))
+    dealt = placed.join(sizes, "component") \
         .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = dealt.withColumn("other", other) \
         .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
     # Small components share a group; a large one has a group for each pair of blocks.
-    bundle = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(_bundles(rows)))).otherwise(F.col("component"))
+    bundle = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(_bundles(placed)))).otherwise(F.col("component"))
     pairs = pairs.withColumn("bundle", bundle)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -127,7 +158,7 @@ def _count_links(rows: DataFrame, labels: DataFrame, threshold: float) -> DataFr
             np.fill_diagonal(linked, False)
             if lo != hi:
                 linked &= block[:, None] != block[None, :]
-            out.append(pd.DataFrame({"vec_id": ids, "n_links": linked.sum(axis=1)}))
+            out.append(pd.DataFrame({"vec_id": ids, "n_links": linked @ g["weight"].to_numpy()}))
         return pd.concat(out)
 
     return pairs.groupBy("bundle", "blocks", "lo", "hi").applyInPandas(run, "vec_id long, n_links long") \
@@ -145,7 +176,7 @@ def audit(rows: DataFrame, counted: DataFrame, threshold: float, sample: int = A
         for pdf in batches:
             if len(pdf):
                 linked = x @ unit(matrix(pdf["vec"])).T >= threshold
-                n += (linked & (ids[:, None] != pdf["vec_id"].to_numpy()[None, :])).sum(axis=1)
+                n += (linked & (ids[:, None] != pdf["vec_id"].to_numpy()[None, :])) @ pdf["weight"].to_numpy()
         yield pd.DataFrame({"vec_id": ids, "n": n})
 
     true = rows.mapInPandas(run, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
@@ -170,21 +201,40 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "em
     if dims is None:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                             F.lit(True).alias("kept"))
-    dim, n = dims["dim"], dims["count"]
+    dim = dims["dim"]
     rows = materialise(rows.filter(F.size("vec") == dim), "vectors")
-    graph = materialise(_start(rows, n, dim, neighbours, seed), "graph")
-    for _ in range(ROUNDS):
-        graph = materialise(_descend(rows, graph, neighbours), "graph")
-        links = graph.select("vec_id", F.explode("near").alias("e")).filter(F.col("e.sim") >= threshold)
-        labels = materialise(connected_components(links.select(F.col("vec_id").alias("a"), F.col("e.id").alias("b"))), "labels")
-        counted = materialise(_count_links(rows, labels, threshold), "links")
-        if audit(rows, counted, threshold) >= target:
+    distinct = materialise(rows.groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight")), "vectors")
+    copies = materialise(rows.join(distinct.filter("weight > 1").select("vec", F.col("vec_id").alias("first")), "vec")
+                         .select("vec_id", "first"), "copies")
+    n = distinct.count()
+    placed, graph = distinct.withColumn("component", F.col("vec_id")), None
+    for r in range(ROUNDS):
+        lists = _start(placed, n, dim, neighbours, seed + r)
+        if graph is not None:
+            lists = lists.unionByName(_moved(graph, placed))
+        graph = materialise(_merge(lists, neighbours), "graph")
+        graph = materialise(_descend(placed, graph, neighbours), "graph")
+        links = graph.select(F.col("component").alias("a"), F.explode("near").alias("e")).filter(F.col("e.sim") >= threshold)
+        bridges = materialise(links.select("a", F.col("e.component").alias("b")).filter("a <> b").distinct(), "bridges")
+        added = bridges.count()
+        placed = _joined(placed, bridges) if added else placed
+        counted = materialise(_count_links(placed, threshold), "links")
+        if not added and audit(placed, counted, threshold) >= target:
             break
-    joined = every.join(labels.withColumnRenamed("id", "vec_id"), "vec_id", "left").join(counted, "vec_id", "left")
+    found = placed.join(counted, "vec_id", "left").select(
+        F.col("vec_id").alias("first"), "component", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    joined = every.join(copies, "vec_id", "left").withColumn("first", F.coalesce("first", "vec_id")).join(found, "first", "left")
     comp = F.coalesce("component", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), comp.alias("component_id"),
                          F.coalesce(F.col("vec_id") == comp, F.lit(True)).alias("kept"))
 
 
+def _joined(placed: DataFrame, bridges: DataFrame) -> DataFrame:
+    """``placed`` with the components that ``bridges`` (a, b) connect made one."""
+    to = connected_components(bridges).select(F.col("id").alias("component"), F.col("component").alias("to"))
+    return materialise(placed.join(to, "component", "left").withColumn("component", F.coalesce("to", "component"))
+                       .select(*placed.columns), "placed")
+
+
 def op6_near_vectors(spark, sf_dir):
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

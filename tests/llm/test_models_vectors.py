@@ -143,6 +143,30 @@ def test_near_vectors_match_brute_force(spark, neighbours):
     assert near_vectors.near_duplicates(df.limit(0)).collect() == []
 
 
+def check_near_vectors(spark, x):
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in near_vectors.near_duplicates(df).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = u @ u.T >= 0.9
+    np.fill_diagonal(linked, False)
+    label = np.arange(len(x))
+    for _ in range(50):
+        label = np.array([min(label[i], *label[linked[i]]) if linked[i].any() else label[i] for i in range(len(x))])
+    assert [got[i]["n_links"] for i in range(len(x))] == linked.sum(axis=1).tolist()
+    assert [got[i]["component_id"] for i in range(len(x))] == label.tolist()
+
+
+@pytest.mark.parametrize("noise", [0.0, 0.001])
+def test_near_vectors_between_saturated_groups(spark, noise):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(150, 24))
+    a, b = x[0] / np.linalg.norm(x[0]), x[1] - x[1] @ x[0] / (x[0] @ x[0]) * x[0]
+    b = 0.93 * a + np.sqrt(1 - 0.93 ** 2) * b / np.linalg.norm(b)
+    x[20:34], x[40:54] = a, b                       # more near (or exact) copies than a list holds, cosine 0.93 across
+    x[20:54] += noise * rng.normal(size=(34, 24))
+    check_near_vectors(spark, x)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     left = docs
