@@ -3,7 +3,8 @@
 Equal vectors are one vector with a weight first. Then, in rounds:
 
 1. Random hyperplanes, new ones each round: vectors with the same signs form blocks,
-   large blocks are split, and every vector takes the nearest of its block.
+   large blocks are split, and every vector takes the nearest of its block. The more
+   signs, the more tables, so that a lone pair at the threshold still meets.
 2. Descent: the neighbours of a vector (both ways) are compared with one another,
    and lists keep the nearest found.
 3. Links give components. A list holds the nearest vectors and, past them, the
@@ -11,8 +12,10 @@ Equal vectors are one vector with a weight first. Then, in rounds:
    by what may link that group to others. Rounds go on until one adds no link.
 4. Everything that links connect is compared pair by pair in blocks, so a group of
    any size gets all its links.
-5. Recall is audited on a bounded sample against all vectors; below the target,
-   rounds go on.
+5. Recall is audited on a bounded sample against all vectors: the share of linked
+   groups, each counted once, that hold all links of a vector of theirs. Below the
+   target, rounds go on with more tables and longer lists; if the last round still
+   misses it, all blocks of vectors are compared and nothing is missed.
 Links below the threshold are never kept: every cosine is computed in doubles.
 """
 
@@ -30,8 +33,12 @@ from .components import connected_components
 from .vectors import matrix, unit, usable_vectors
 
 NEIGHBOURS, TABLES, BLOCK = 8, 4, 192
-#: Vectors that recall is audited on, at most (by the smallest hash of the id).
+#: Chance that a lone pair at the threshold meets in some table, as far as MOST_TABLES allow.
+MEET, MOST_TABLES = 0.9, 64
+#: Components of several vectors, and of one, that recall is audited on, at most (by the smallest hash).
 AUDIT, TARGET, ROUNDS = 256, 0.99, 5
+#: Vectors in a block of the exact pass.
+EXACT_BLOCK = 4_096
 _LISTS = "vec_id long, component long, near array<struct<sim:double,id:bigint,component:bigint>>"
 
 
@@ -82,28 +89,33 @@ def _moved(graph: DataFrame, placed: DataFrame) -> DataFrame:
     return entries.select("vec_id", "component", F.array(F.struct("sim", "id", F.col("of").alias("component"))).alias("near"))
 
 
-def _start(rows: DataFrame, n: int, dim: int, k: int, seed: int) -> DataFrame:
-    """Lists from ``TABLES`` sets of random hyperplanes."""
+def _tables(bits: int, threshold: float) -> int:
+    """Tables in which a pair at the threshold has the same signs at least once, with chance ``MEET``."""
+    same = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    if same <= 0 or same >= 1:
+        return TABLES
+    return max(TABLES, min(MOST_TABLES, math.ceil(math.log(1 - MEET) / math.log1p(-same))))
+
+
+def _start(rows: DataFrame, n: int, dim: int, k: int, seed: int, threshold: float, times: int = 1) -> DataFrame:
+    """Lists from sets of random hyperplanes, ``times`` as many as ``_tables`` says."""
     bits = max(0, math.ceil(math.log2(max(1, n / BLOCK))))
-    planes = np.random.default_rng(seed).normal(size=(TABLES, max(bits, 1), dim))
-
-    def sign(t, i):
-        w = F.array(*[F.lit(float(c)) for c in planes[t, i]])
-        dot = F.aggregate(F.zip_with("vec", w, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-        return F.when(dot > 0, F.lit(1 << i)).otherwise(F.lit(0))
-
-    lists = []
-    for t in range(TABLES):
-        code = sum((sign(t, i) for i in range(bits)), F.lit(0)).alias("code")
-        coded = rows.select("vec_id", "component", "vec", code, F.lit(-2.0).alias("floor"), F.lit(-2.0).alias("apart"))
-        parts = coded.groupBy("code").agg(F.ceil(F.count("*") / (2.0 * BLOCK)).alias("parts"))
-        dealt = coded.join(parts, "code").withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(t)), F.col("parts")))
-        lists.append(dealt.groupBy("code", "part").applyInPandas(
-            lambda pdf: _nearest(pdf, k), _LISTS))
-    out = lists[0]
-    for x in lists[1:]:
-        out = out.unionByName(x)
-    return out
+    tables = times * _tables(bits, threshold)
+    planes = np.random.default_rng(seed).normal(size=(dim, tables * max(bits, 1)))
+
+    def code(batches):
+        for pdf in batches:
+            if len(pdf):
+                signs = (unit(matrix(pdf["vec"])) @ planes > 0).reshape(len(pdf), tables, -1)[:, :, :bits]
+                yield pd.DataFrame({"vec_id": pdf["vec_id"], "codes": list((signs << np.arange(bits)).sum(axis=2))})
+
+    codes = rows.select("vec_id", "vec").mapInPandas(code, "vec_id long, codes array<long>") \
+        .select("vec_id", F.posexplode("codes").alias("table", "code"))
+    codes = materialise(codes, "codes")
+    parts = codes.groupBy("table", "code").agg(F.ceil(F.count("*") / (2.0 * BLOCK)).alias("parts"))
+    dealt = codes.join(parts, ["table", "code"]).withColumn("part", F.pmod(F.xxhash64("vec_id", "table"), F.col("parts"))) \
+        .join(rows.select("vec_id", "component", "vec", F.lit(-2.0).alias("floor"), F.lit(-2.0).alias("apart")), "vec_id")
+    return dealt.groupBy("table", "code", "part").applyInPandas(lambda pdf: _nearest(pdf, k), _LISTS)
 
 
 def _descend(rows: DataFrame, graph: DataFrame, k: int) -> DataFrame:
@@ -165,23 +177,74 @@ def _count_links(placed: DataFrame, threshold: float) -> DataFrame:
         .groupBy("vec_id").agg(F.sum("n_links").alias("n_links"))
 
 
-def audit(rows: DataFrame, counted: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the links of a bounded sample of vectors that were found."""
-    picked = rows.orderBy(F.xxhash64("vec_id", F.lit(9)), "vec_id").limit(sample).collect()
-    ids = np.array([r["vec_id"] for r in picked])
+def audit(placed: DataFrame, threshold: float, sample: int = AUDIT) -> float:
+    """Macro recall: the share of groups with links that hold all of a vector's, each group counted once.
+
+    Links inside a component are all found, so a vector misses those to other
+    components. One vector is taken of each of ``sample`` components of several
+    vectors and of ``sample`` components of one; a vector alone that has a link
+    stands for as many lost groups as it is a sample of.
+    """
+    mark = F.xxhash64("vec_id", F.lit(9))
+    groups = materialise(placed.groupBy("component").agg(
+        F.count("*").alias("n"), F.min(F.struct(mark.alias("mark"), "vec_id")).alias("one")), "groups")
+    picked, totals = [], []
+    for kind in ("n > 1", "n = 1"):
+        of = groups.filter(kind)
+        totals.append(of.count())
+        chosen = of.orderBy("one.mark", "one.vec_id").limit(sample).select("one.vec_id", F.lit(kind == "n = 1").alias("alone"))
+        picked += placed.join(F.broadcast(chosen), "vec_id").select("vec", "component", "alone").collect()
+    component, alone = np.array([r["component"] for r in picked]), np.array([r["alone"] for r in picked], dtype=bool)
     x = unit(np.array([r["vec"] for r in picked], dtype=np.float64))
 
     def run(batches):
-        n = np.zeros(len(ids), dtype=np.int64)
+        lost = np.zeros(len(x), dtype=np.int64)
         for pdf in batches:
             if len(pdf):
                 linked = x @ unit(matrix(pdf["vec"])).T >= threshold
-                n += (linked & (ids[:, None] != pdf["vec_id"].to_numpy()[None, :])) @ pdf["weight"].to_numpy()
-        yield pd.DataFrame({"vec_id": ids, "n": n})
+                lost += (linked & (component[:, None] != pdf["component"].to_numpy()[None, :])).sum(axis=1)
+        yield pd.DataFrame({"i": np.arange(len(x)), "lost": lost})
+
+    lost = np.zeros(len(x), dtype=np.int64)
+    for r in placed.select("vec", "component").mapInPandas(run, "i long, lost long").groupBy("i").agg(F.sum("lost").alias("lost")).collect():
+        lost[r["i"]] = r["lost"]
+    whole = totals[0] * float((lost[~alone] == 0).mean()) if totals[0] else 0.0
+    missed = totals[1] * float((lost[alone] > 0).mean()) if totals[1] else 0.0
+    every = totals[0] + missed
+    return whole / every if every else 1.0
+
+
+def _all_bridges(placed: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): components with a link between them, by comparing all blocks of vectors.
+
+    A pair of blocks names a spanning forest of the components that it links.
+    """
+    n = max(1, math.ceil(placed.count() / EXACT_BLOCK))
+    dealt = placed.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(n)).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))) \
+        .select("vec", "component", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = pdf[pdf["block"] == pdf["lo"]], pdf[pdf["block"] == pdf["hi"]]
+        out, root = [], {}
+
+        def find(c):
+            while root.get(c, c) != c:
+                root[c] = c = root.get(root[c], root[c])
+            return c
+
+        if len(lo) and len(hi):
+            right, of = unit(matrix(hi["vec"])), hi["component"].to_numpy()
+            for at in range(0, len(lo), 512):
+                own = lo["component"].to_numpy()[at:at + 512]
+                i, j = np.nonzero((unit(matrix(lo["vec"].iloc[at:at + 512])) @ right.T >= threshold) & (own[:, None] != of[None, :]))
+                for a, b in np.unique(np.stack([own[i], of[j]], axis=1), axis=0).tolist():
+                    if find(a) != find(b):
+                        root[find(a)] = find(b)
+                        out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"])
 
-    true = rows.mapInPandas(run, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
-    r = true.join(counted, "vec_id", "left").agg(F.sum("n"), F.sum(F.coalesce("n_links", F.lit(0)))).first()
-    return 1.0 if not r[0] else r[1] / r[0]
+    return dealt.groupBy("lo", "hi").applyInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9,
@@ -208,19 +271,25 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "em
                          .select("vec_id", "first"), "copies")
     n = distinct.count()
     placed, graph = distinct.withColumn("component", F.col("vec_id")), None
+    times = 1
     for r in range(ROUNDS):
-        lists = _start(placed, n, dim, neighbours, seed + r)
+        lists = _start(placed, n, dim, neighbours, seed + r, threshold, times)
         if graph is not None:
             lists = lists.unionByName(_moved(graph, placed))
         graph = materialise(_merge(lists, neighbours), "graph")
         graph = materialise(_descend(placed, graph, neighbours), "graph")
         links = graph.select(F.col("component").alias("a"), F.explode("near").alias("e")).filter(F.col("e.sim") >= threshold)
         bridges = materialise(links.select("a", F.col("e.component").alias("b")).filter("a <> b").distinct(), "bridges")
-        added = bridges.count()
-        placed = _joined(placed, bridges) if added else placed
-        counted = materialise(_count_links(placed, threshold), "links")
-        if not added and audit(placed, counted, threshold) >= target:
+        if bridges.count():
+            placed = _joined(placed, bridges)
+        elif audit(placed, threshold) >= target:
             break
+        else:
+            times, neighbours = 2 * times, 2 * neighbours
+    else:
+        if audit(placed, threshold) < target:
+            placed = _joined(placed, materialise(_all_bridges(placed, threshold), "bridges"))
+    counted = _count_links(placed, threshold)
     found = placed.join(counted, "vec_id", "left").select(
         F.col("vec_id").alias("first"), "component", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
     joined = every.join(copies, "vec_id", "left").withColumn("first", F.coalesce("first", "vec_id")).join(found, "first", "left")

@@ -167,6 +167,30 @@ def test_near_vectors_between_saturated_groups(spark, noise):
     check_near_vectors(spark, x)
 
 
+def test_near_vectors_audit_counts_groups_once(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(240, 24))
+    x[:80] = x[0] + 0.05 * rng.normal(size=(80, 24))   # a third in one group, found; then lone pairs, all lost
+    x[80::2] = x[81::2] + 0.03 * rng.normal(size=(80, 24))
+    rows = [(i, 1, 0 if i < 80 else i, [float(c) for c in v]) for i, v in enumerate(x)]
+    placed = spark.createDataFrame(rows, "vec_id long, weight long, component long, vec array<double>")
+    assert near_vectors.audit(placed, 0.9) < 0.05
+    whole = placed.selectExpr("vec_id", "weight", "vec", "if(vec_id < 80, 0, vec_id - vec_id % 2) as component")
+    assert near_vectors.audit(whole, 0.9) == 1.0
+    found = {(min(r), max(r)) for r in near_vectors._all_bridges(placed, 0.9).collect()}
+    assert found == {(i, i + 1) for i in range(80, 240, 2)}
+
+
+def test_near_vectors_below_the_target_are_compared_all(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(300, 24))
+    x[::2] = x[1::2] + 0.08 * rng.normal(size=(150, 24))
+    monkeypatch.setattr(near_vectors, "ROUNDS", 1)
+    monkeypatch.setattr(near_vectors, "BLOCK", 2)       # a start that loses pairs
+    monkeypatch.setattr(near_vectors, "EXACT_BLOCK", 128)
+    check_near_vectors(spark, x)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     left = docs
