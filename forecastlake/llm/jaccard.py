@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, materialise, ship
+from .common import column, hashable, materialise, ship
 from .components import connected_components
 from .shingles import U, mix, sets_of
 
@@ -261,11 +261,32 @@ def op1_ngram_jaccard(spark, sf_dir):
     return similar_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=90)
 
 
+def _row_key(docs: DataFrame):
+    """A hash of the whole row; nulls count, so equal keys mean equal rows."""
+    cols = hashable(docs)
+    return F.xxhash64(*[column(c) for c in cols], *[column(c).isNull() for c in cols])
+
+
 def jaccard_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id. The columns of ``docs``.
+    """One row of each group stays: the one with the smallest id (null ids last), ties by a
+    hash of the row; of identical rows one. The columns of ``docs``.
 
-    Five-word shingles, similarity of 0.8 or more. Rows with a null id stay.
+    Five-word shingles, similarity of 0.8 or more. Groups are of rows, whatever their
+    ids: a row without an id or with another row's id stays if its text is like no other's.
     """
-    kept = similar_groups(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left")
-    return rows.filter("doc_id is null or kept_id is not null").select(*[column(c) for c in docs.columns])
+    key = _row_key(docs)
+    groups = similar_groups(docs.select(key.alias("doc_id"), column("text").alias("text"))) \
+        .select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    rows = docs.select(key.alias("row_key"), "doc_id").groupBy("row_key") \
+        .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key", "copies")).alias("first")
+    kept = materialise(groups.join(rows, "row_key").groupBy("component_id").agg(first)
+                       .select(F.col("first.row_key").alias("kept_key"), F.col("first.copies").alias("kept_copies")), "kept")
+
+    def joined(which: str) -> DataFrame:
+        return docs.join(kept.filter(which), key == F.col("kept_key"))
+
+    out = joined("kept_copies = 1")
+    if not kept.filter("kept_copies > 1").isEmpty():
+        out = out.unionByName(joined("kept_copies > 1").dropDuplicates(["kept_key"]))
+    return out.select(*[column(c) for c in docs.columns])

@@ -107,6 +107,16 @@ def test_join_edge_tables(spark):
     assert got == [(-1, -1), (-1, -1), (2, 2), (2, 2), (4, 2)]
 
 
+def test_stage_keeps_one_row_of_repeated_rows_and_ids(spark):
+    a, b, c = ("one two three four five six seven", "red green blue black white grey pink", "cat dog cow hen pig fox owl")
+    rows = [(1, a, "en"), (1, a, "en"), (1, a, "en"), (1, a, "fr"),     # repeated rows of the smallest id
+            (2, a, "en"), (3, b, "en"), (3, a, "en"),                   # 3 is kept because of b, not with a
+            (None, c, "en"), (None, c, "en"), (None, c, None), (None, b, "en"), (None, None, "en"), (5, None, "en"), (6, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(((r["doc_id"], r["text"]) for r in jaccard.jaccard_stage(spark, df, "").collect()), key=str)
+    assert got == sorted([(1, a), (3, b), (None, c), (None, None), (5, None), (6, None)], key=str)
+
+
 def test_stage_keeps_one_of_each_group(spark):
     rows = corpus(9, 25)
     sets = [brute_set(t, 5) for _, t in rows]
