@@ -73,21 +73,22 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
     """(query_id, rank, vec_id, score): each query's k nearest by Euclidean distance, its own id left out.
 
     ``queries`` has the same columns. Vectors that are null, zero, hold null or
-    non-finite components, or differ in length from the pivots take no part.
+    non-finite components, or differ in length from the most common one take no part.
     Repeated vectors are ranked each, ties go to the smaller id; fewer than k
     candidates give all of them; an empty table gives no rows. Other input columns
     are left out.
     """
     ship(vectors.sparkSession)
     rows, asked = usable_vectors(vectors, id_col, vec_col), usable_vectors(queries, id_col, vec_col)
-    chosen = rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(pivots).collect()
+    dims = rows.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     out = "query_id long, vec_id long, score double"
-    if not chosen:
+    if dims is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim = max(len(r["vec"]) for r in chosen)
-    base = np.array([r["vec"] for r in chosen if len(r["vec"]) == dim], dtype=np.float64)
-    kept = min(kept, len(base))
+    dim = dims["dim"]
     rows, asked = rows.filter(F.size("vec") == dim), asked.filter(F.size("vec") == dim)
+    chosen = rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(pivots).collect()
+    base = np.array([r["vec"] for r in chosen], dtype=np.float64)
+    kept = min(kept, len(base))
     nv, nq = max(1, math.ceil(rows.count() / block)), max(1, math.ceil(asked.count() / query_block))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = rows.withColumn("vb", F.pmod(F.xxhash64("vec_id"), F.lit(nv)).cast("int")).withColumn("qb", every(nq))

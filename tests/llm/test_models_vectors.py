@@ -122,6 +122,17 @@ def test_permutation_search_recall(spark):
     assert ann.search(df.limit(0), df).collect() == []
 
 
+def test_permutation_search_takes_the_most_common_length(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 8))
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(60 + i, [1.0] * 12) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, df.filter("vec_id in (0, 60)"), k=5).collect()
+    d = np.sqrt(((x - x[0]) ** 2).sum(axis=1))
+    d[0] = np.inf
+    assert [(r["query_id"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"])] == [(0, i) for i in np.argsort(d)[:5].tolist()]
+
+
 @pytest.mark.parametrize("neighbours", [8, 3])
 def test_near_vectors_match_brute_force(spark, neighbours):
     x, rows = vectors(5)
