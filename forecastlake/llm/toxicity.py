@@ -1,8 +1,8 @@
 """Toxic passages: maximum-scoring segments over word log-odds.
 
 A word's score is the lower confidence bound of its log-odds between toxic and
-clean texts under a Dirichlet prior proportional to the corpus; every other word
-costs ``drift``. One linear scan finds all maximal scoring segments of a text. For
+clean texts under a Dirichlet prior proportional to the counts of the labelled sample
+(not of all documents); every word with a score is kept, every other word costs ``drift``. One linear scan finds all maximal scoring segments of a text. For
 segments of independent words of a clean text, the highest score follows an extreme
 value law, P(S >= x) = 1 - exp(-K n e^(-lambda x)): lambda solves
 sum p e^(lambda s) = 1, K is fitted on clean texts kept apart. A text's evidence is
@@ -27,8 +27,6 @@ from .common import bounded_sample, column, held_out, materialise, ship
 
 #: Labelled rows that are learned from, at most; taken by the smallest hash of the id.
 SAMPLE_ROWS = 40_000
-#: Words in the lexicon, at most: those of the highest scores.
-LEXICON_WORDS = 20_000
 #: Prior texts for each text; standard deviations taken off a word's log-odds, of
 #: which the rows kept apart choose: few labels need a bold lexicon, many a strict one.
 PRIOR, DEVIATIONS = 0.5, (2.0, 3.0, 4.0)
@@ -117,7 +115,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          sample_rows: int = SAMPLE_ROWS, lexicon_words: int = LEXICON_WORDS) -> Model:
+          sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from at most ``sample_rows`` labelled documents; equal texts count once.
 
     Without labelled rows of both classes nothing is toxic: the lexicon is empty.
@@ -141,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     error = F.sqrt(1 / a + 1 / b)
     scored = scored.select("word", odds.alias("odds"), error.alias("error"), (b / (n0 + PRIOR * n)).alias("share"),
                            (odds - min(DEVIATIONS) * error).alias("score")).filter("score > 0")
-    lexicon = scored.orderBy(F.desc("score"), "word").limit(lexicon_words).collect()
+    lexicon = scored.orderBy(F.desc("score"), "word").collect()
     models = [_model(lexicon, d) for d in DEVIATIONS]
     return _calibrate([m for m in models if m.words], texts.filter("apart"))
 

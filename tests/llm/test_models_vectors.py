@@ -89,6 +89,17 @@ def test_toxicity_edges(spark):
     assert r["score"] > 0.7 and [(p["first"], p["last"]) for p in r["toxic_passages"]] == [(50_000, 50_002)]
 
 
+def test_toxicity_keeps_every_word_with_a_score(spark):
+    def words(first, n=20_050):
+        return " ".join(first + "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(n))
+
+    bad, good = words("x"), words("y")
+    docs = spark.createDataFrame([(i, f"{good if i % 2 else bad} z{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(100)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(100)], "doc_id long, toxic int")
+    assert len(toxicity.train(docs, labels).words) >= 20_050
+
+
 def vectors(seed, n=700, dim=24):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, dim))
