@@ -12,7 +12,9 @@ from forecastlake.session import scratch_path
 
 STAGES = [("toxicity", toxicity_stage), ("language_id", language_stage),
           ("ngram_jaccard", jaccard_stage), ("packing", packing_stage)]
-#: Models and iterative joins aren't expressible in SQL; tests hold each stage against brute force.
+#: Models and iterative joins aren't expressible in SQL; tests hold run()'s ids against each
+#: stage's decisions taken one by one on its own input, the Jaccard groups by brute force; the two models'
+#: scores are held against held-out labels, packing by round trips.
 ORACLE_SQL = None
 
 

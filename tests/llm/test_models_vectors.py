@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline
 from forecastlake.llm import ann, language, near_vectors, toxicity
 from forecastlake.llm.queries import QUERIES
+from tests.llm.test_shingles_jaccard import brute_components, brute_set
 
 SF = "/root/testdata/sf0.01"
 
@@ -213,6 +214,34 @@ def test_near_vectors_below_the_target_are_compared_all(spark, monkeypatch):
     check_near_vectors(spark, x)
 
 
+def test_permutation_search_recall_at_its_defaults(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], dtype=np.float64)
+    found = {}
+    for r in QUERIES["op8_permutation_search"](spark, "/root/testdata/sf0.1").collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = []
+    for q in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        recall.append(len(set(ids[np.lexsort((ids, d))[:10]].tolist()) & found[int(ids[q])]) / 10)
+    assert len(found) == len(recall) and np.mean(recall) >= 0.99
+
+
+def test_pipeline_run_matches_plain_decisions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert len(texts) == docs.count()
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_texts(docs, toxicity.learn(spark, docs, SF)).collect()}
+    clean = {i for i in texts if scores[i] < 0.7}
+    left = docs.filter(docs["doc_id"].isin(sorted(clean)))
+    accepted = {r["doc_id"]: r["accepted"] for r in language.identify(left, language.learn(left)).collect()}
+    ids = sorted(i for i in clean if accepted[i])
+    component = brute_components(ids, [brute_set(texts[i], 5) for i in ids], 80)
+    got = {r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()}
+    assert got == set(component)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     left = docs
