@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, jaccard, language, near_vectors, packing, sharding, toxicity, url_filter
+from . import ann, bpe, chat, jaccard, language, near_vectors, packing, sharding, spelling, toxicity, url_filter
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_permutation_search": ann.op8_permutation_search,
     "op9_sharding": sharding.op9_sharding,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
 }
-ORACLES = {"op2_url_filters": url_filter.ORACLE_SQL}
+ORACLES = {"op2_url_filters": url_filter.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL}
