@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, jaccard, language, near_vectors, packing, sharding, spelling, toxicity, url_filter
+from . import ann, bpe, chat, collocations, jaccard, language, licenses, near_vectors, packing, sharding, spelling, toxicity, url_filter
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -16,5 +16,9 @@ QUERIES = {
     "op9_sharding": sharding.op9_sharding,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_license_scans": licenses.op12_license_scans,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
-ORACLES = {"op2_url_filters": url_filter.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL}
+ORACLES = {"op2_url_filters": url_filter.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL,
+           "op12_license_scans": licenses.op12_license_scans,
+    "op13_phrase_collocations": collocations.ORACLE_SQL}
