@@ -25,16 +25,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column, materialise, ship
-from .double_array import build
+from .double_array import DoubleArray, build
 from .shingles import _powers, mix
 
 U = np.uint64
 #: Bytes of text that are in numpy arrays at once; candidates of a trie; bytes of tries broadcast at once.
-CHUNK, TRIE_PHRASES, TRIE_BYTES = 1 << 22, 200_000, 96 << 20
+CHUNK, TRIE_PHRASES, TRIE_BYTES = 1 << 21, 200_000, 48 << 20
 #: A Bloom filter: bits of a segment, segments at most (64 MB), bits wanted for a key, probes.
 SEGMENT_BITS, SEGMENTS, KEY_BITS, PROBES = 1 << 20, 512, 16, 4
-#: Fingerprints that a task remembers, so as not to emit a candidate twice.
-SEEN = 4_000_000
+#: Fingerprints that a task remembers, so as not to emit a candidate twice; fingerprints that it
+#: counts, and words, before it emits them.
+SEEN, HELD, WORDS = 1_000_000, 2_000_000, 400_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -43,10 +44,10 @@ _KIND[[0x20, 0x09]] = 1
 _KIND[[*b".,;:!?\n\x0b\x0c\r"]] = 2
 
 
-@functools.lru_cache(4)
-def _tables(seed: int, n: int):
+@functools.lru_cache(2)
+def _powers_of(seed: int, n: int) -> np.ndarray:
     base = int.from_bytes(hashlib.blake2b(b"%d" % seed, digest_size=8).digest(), "little") | 1
-    return _powers(base, n), _powers(pow(base, -1, 2**64), n)
+    return _powers(base, n)
 
 
 def _lang_hash(lang: str) -> int:
@@ -61,13 +62,17 @@ class Text:
         kind = _KIND[data]
         edge = np.flatnonzero(np.diff(kind == 0, prepend=False, append=False))
         self.start, self.end = edge[0::2], edge[1::2]
-        size = 1 << max(16, int(len(data)).bit_length())
-        power, inverse = _tables(seed, size)
-        total = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((self.low.astype(np.uint64) + U(1)) * power[:len(data)], out=total[1:])
-        length = (self.end - self.start).astype(np.uint64)
-        self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start] + length * U(0xD6E8FEB86659FD93))
-        del total
+        length = self.end - self.start
+        longest = int(length.max(initial=1))
+        power = _powers_of(seed, 1 << max(8, longest.bit_length()))
+        # Each byte times a power of its place in the word, summed by word.
+        inside = np.flatnonzero(kind == 0)
+        first = np.cumsum(length) - length
+        place = np.arange(len(inside), dtype=np.int64) - np.repeat(first, length)
+        total = np.add.reduceat((self.low[inside].astype(np.uint64) + U(1)) * power[place], first) \
+            if len(first) else np.empty(0, np.uint64)
+        del inside, place
+        self.hash = mix(total + length.astype(np.uint64) * U(0xD6E8FEB86659FD93))
         breaks = np.flatnonzero(kind == 2)
         piece = np.searchsorted(breaks, self.start)
         same = piece[1:] == piece[:-1]
@@ -188,17 +193,49 @@ def bloom_of(keys: DataFrame, key_col: str = "key") -> Bloom:
     return Bloom([found.get(s, bytes(SEGMENT_BITS // 8)) for s in range(segments)], segments)
 
 
+class _Held:
+    """Words and counts that a task adds up before it emits them."""
+
+    def __init__(self):
+        self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.counts, self.hashes = np.empty(0, np.int64), np.empty(0, np.uint64)
+        self.words, self.langs = [], []
+
+    def add(self, t: Text):
+        key, first, count = np.unique(t.key, return_index=True, return_counts=True)
+        at = np.searchsorted(self.keys, key)
+        known = np.zeros(len(key), dtype=bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == key[inside]
+        self.counts[self.slots[at[known]]] += count[known]
+        new = ~known
+        low, first = t.low.tobytes(), first[new]
+        self.words += [low[a:z] for a, z in zip(t.start[first].tolist(), t.end[first].tolist())]
+        self.langs += [t.langs[k] for k in t.lang[first].tolist()]
+        self.slots = np.insert(self.slots, at[new], len(self.counts) + np.arange(len(first)))
+        self.keys = np.insert(self.keys, at[new], key[new])
+        self.counts = np.concatenate([self.counts, count[new]])
+        self.hashes = np.concatenate([self.hashes, t.hash[first]])
+
+    def batches(self):
+        for k in range(0, len(self.words), 50_000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.langs[k:k + 50_000], pa.string()),
+                 pa.array(self.words[k:k + 50_000], pa.binary()).cast(pa.string()),
+                 _unsigned(self.hashes[k:k + 50_000]), pa.array(self.counts[k:k + 50_000], pa.int64())],
+                names=["lang", "word", "h", "f"])
+
+
 def _words(rows: DataFrame, seed: int) -> DataFrame:
     """(lang, word, h, f): all words with their counts."""
     def run(batches):
+        held = _Held()
         for t in texts_of(batches, seed):
-            _, first, count = np.unique(t.key, return_index=True, return_counts=True)
-            low = t.low.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(t.langs, pa.string()).take(pa.array(t.lang[first])),
-                 pa.array([low[a:z] for a, z in zip(t.start[first].tolist(), t.end[first].tolist())],
-                          pa.binary()).cast(pa.string()),
-                 _unsigned(t.hash[first]), pa.array(count, pa.int64())], names=["lang", "word", "h", "f"])
+            held.add(t)
+            if len(held.words) > WORDS:
+                yield from held.batches()
+                held = _Held()
+        yield from held.batches()
 
     return rows.mapInArrow(run, "lang string, word string, h long, f long") \
         .groupBy("lang", "word", "h").agg(F.sum("f").alias("f"))
@@ -206,7 +243,12 @@ def _words(rows: DataFrame, seed: int) -> DataFrame:
 
 def _fingerprints(rows: DataFrame, seed: int, shared, words: int) -> DataFrame:
     """(key, f): counts of fingerprints of phrases whose parts may all be frequent."""
+    def counted(held):
+        key, count = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([_unsigned(key), pa.array(count, pa.int64())], names=["key", "f"])
+
     def run(batches):
+        held, size = [], 0
         for t in texts_of(batches, seed):
             single, double, _ = shared.value
             key = t.longer(t.key, 2)
@@ -219,8 +261,13 @@ def _fingerprints(rows: DataFrame, seed: int, shared, words: int) -> DataFrame:
                 # The second pair's fingerprint stands one word on.
                 good = t.triple & may & np.append(may[1:], False)[:len(may)]
                 key = t.longer(key, 3)
-            key, count = np.unique(key[good], return_counts=True)
-            yield pa.RecordBatch.from_arrays([_unsigned(key), pa.array(count, pa.int64())], names=["key", "f"])
+            held.append(key[good])
+            size += len(held[-1])
+            if size > HELD:
+                yield counted(held)
+                held, size = [], 0
+        if held:
+            yield counted(held)
 
     return rows.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
 
@@ -279,12 +326,12 @@ def _tries(candidates: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
     return numbered, materialise(built, "phrase-tries")
 
 
-def _count(rows: DataFrame, seed: int, slices: int, tries: dict[int, bytes]) -> DataFrame:
+def _count(rows: DataFrame, seed: int, slices: int, tries: dict[int, DoubleArray]) -> DataFrame:
     """(slice, number, a): places of the candidates of some slices, summed over all shards."""
     shared = rows.sparkSession.sparkContext.broadcast(tries)
 
     def run(batches):
-        loaded = {k: pickle.loads(v) for k, v in shared.value.items()}
+        loaded = shared.value
         held = np.zeros(slices, dtype=bool)
         held[list(loaded)] = True
         counts = {k: np.zeros(t.sequences, dtype=np.int64) for k, t in loaded.items()}
@@ -342,7 +389,8 @@ def phrase_counts(docs: DataFrame, *, least: int = 10, text_col: str = "text", l
                        F.coalesce(column(text_col), F.lit("")).alias("text"))
     for seed in range(16):
         words = materialise(_words(rows, seed), "phrase-words")
-        if words.groupBy("h").agg(F.min("word").alias("a"), F.max("word").alias("b")).filter("a <> b").isEmpty():
+        other = words.select("h", F.xxhash64("word").alias("x"))       # another hash of the same words
+        if other.groupBy("h").agg(F.min("x").alias("a"), F.max("x").alias("b")).filter("a <> b").isEmpty():
             break
     share = spark.sparkContext.broadcast
     frequent = words.filter(F.col("f") >= least).select("lang", "h")
@@ -361,7 +409,7 @@ def phrase_counts(docs: DataFrame, *, least: int = 10, text_col: str = "text", l
     counted = None
     for part in _batches(sizes, trie_bytes):
         # At most trie_bytes of tries, or one trie of about trie_phrases phrases, are collected at once.
-        held = {r["slice"]: bytes(r["trie"]) for r in tries.filter(F.col("slice").isin(part)).collect()}
+        held = {r["slice"]: pickle.loads(r["trie"]) for r in tries.filter(F.col("slice").isin(part)).collect()}
         now = materialise(_count(rows, seed, slices, held), "phrase-counts")
         counted = now if counted is None else counted.unionByName(now)
     phrases = numbered.drop("slice", "number").withColumn("a", F.lit(0).cast("long")) if counted is None else \
@@ -442,10 +490,10 @@ f AS (SELECT lang, k, p, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL)
 n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
 c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
 cuts AS (
-  SELECT c.lang, c.k, c.p, c.f AS a, cut.k AS at, l.f AS l, r.f AS r, 1000000 * c.f * c.f // (l.f * r.f) AS score
+  SELECT c.lang, c.k, c.p, c.f AS a, cut.k AS cut_at, l.f AS l, r.f AS r, 1000000 * c.f * c.f // (l.f * r.f) AS score
   FROM c, unnest(range(1, c.k)) cut(k)
   JOIN f l ON l.lang = c.lang AND l.p = c.p[1:cut.k] JOIN f r ON r.lang = c.lang AND r.p = c.p[cut.k + 1:c.k]),
-lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, at) = 1),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut_at) = 1),
 inner2 AS (
   SELECT lang, p, max(f) AS longest FROM (
     SELECT lang, p[1:2] AS p, f FROM c WHERE k = 3 UNION ALL SELECT lang, p[2:3], f FROM c WHERE k = 3) GROUP BY ALL),
