@@ -77,6 +77,60 @@ def _cells(variables: dict) -> Column:
     return F.transform(F.col("_time_arr"), build)
 
 
+def _series_arrays(ok: DataFrame, interval: str, variables: dict, *columns) -> DataFrame:
+    """``columns`` and the block's arrays with their sizes, looked up once per response."""
+    block = _block(interval)
+    spellings = [s for sp in variables.values() for s in sp]
+    arrays = ok.select(*columns, block["time"].alias("_time_arr"), *[block[s].alias(_arr(s)) for s in spellings])
+    return arrays.select("*", *[size_or_null(_arr(s)).alias(f"_size_{s}") for s in spellings])
+
+
+def _variables(interval: str) -> dict:
+    return HOURLY_VARIABLES if require_interval(interval) == "hourly" else DAILY_VARIABLES
+
+
+def _typed(name: str, text: Column) -> Column:
+    return as_int_strict(text) if name in INTEGER_VARIABLES else as_double(text)
+
+
+def _cell_errors(variables: dict, get, ts: Column, typed: dict) -> Column:
+    """Problems of one index; ``get`` gives a field of its struct."""
+    checks = [F.when(get("_time_text").isNotNull() & ts.isNull(), F.lit("bad_time"))]
+    for out in variables:
+        bad = "bad_weather_code" if out in INTEGER_VARIABLES else f"bad_value:{out}"
+        checks.append(F.when(get(f"_text_{out}").isNotNull() & typed[out].isNull(), F.lit(bad)))
+    return F.concat(F.array_compact(F.array(*checks)), get("_short"))
+
+
+def series_counts(parsed: DataFrame, interval: str, *, required: Column | None = None) -> DataFrame:
+    """Each response with n_good, n_bad, first_time and last_time of its series, counted inside its row.
+
+    The same rules as ``flatten_series`` and ``check_rows``, by higher-order functions over
+    the arrays: no explode, no shuffle. Where ``required`` (the location's name) is null all
+    points are bad. Without a series all counts are 0; times are those of good points.
+    """
+    variables = _variables(interval)
+    required = F.col("location.name") if required is None else required
+    arrays = _series_arrays(parsed, interval, variables, *[F.col(c) for c in parsed.columns], required.alias("_required"))
+
+    def judge(c: Column) -> Column:
+        ts = parse_time(c["_time_text"])
+        typed = {out: _typed(out, c[f"_text_{out}"]) for out in variables}
+        return F.when(F.size(_cell_errors(variables, lambda f: c[f], ts, typed)) == 0, F.struct(ts.alias("t")))
+
+    points = arrays.select("*", F.transform(_cells(variables), judge).alias("_points"))
+    # A good point is a struct (its time may be null), a bad one is null.
+    good = F.filter("_points", lambda p: p.isNotNull())
+    good = F.when(F.col("_required").isNotNull(), good)
+    counted = points.select(*parsed.columns, F.coalesce(F.size("_time_arr"), F.lit(0)).alias("_n"), good.alias("_good"))
+    n_good = F.coalesce(size_or_null("_good"), F.lit(0))
+    times = F.transform("_good", lambda p: p["t"])
+    return counted.select(
+        *parsed.columns, n_good.cast("long").alias("n_good"),
+        (F.greatest(F.col("_n"), F.lit(0)) - n_good).cast("long").alias("n_bad"),
+        F.array_min(times).alias("first_time"), F.array_max(times).alias("last_time"))
+
+
 def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None = None,
                    with_errors: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per ``time[i]`` of each usable response, in the interval's schema.
@@ -86,28 +140,21 @@ def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None
     ``operators.validate.check_rows``). ``keep`` columns of the response come last.
     Narrow transformation: no shuffle.
     """
-    require_interval(interval)
-    variables = HOURLY_VARIABLES if interval == "hourly" else DAILY_VARIABLES
-    block = _block(interval)
+    variables = _variables(interval)
     rid = F.col("run_id") if run_id is None else (
         F.lit(run_id) if isinstance(run_id, str) else run_id)
-    spellings = [s for sp in variables.values() for s in sp]
-    arrays = ok.select(
+    arrays = _series_arrays(
+        ok, interval, variables,
         F.col("location.name").alias("location_name"),
         F.col("location.latitude").alias("requested_latitude"),
         F.col("location.longitude").alias("requested_longitude"),
         "api_latitude", "api_longitude", "ingestion_timestamp_utc",
-        rid.alias("run_id"), *keep, block["time"].alias("_time_arr"),
-        *[block[s].alias(_arr(s)) for s in spellings])
-    arrays = arrays.select("*", *[size_or_null(_arr(s)).alias(f"_size_{s}") for s in spellings])
+        rid.alias("run_id"), *keep)
     base = arrays.select(
         "location_name", "requested_latitude", "requested_longitude", "api_latitude",
         "api_longitude", "ingestion_timestamp_utc", "run_id", *keep, F.inline(_cells(variables)),
     ).withColumn("_ts", parse_time("_time_text"))
-    typed = {}
-    for out in variables:
-        text = F.col(f"_text_{out}")
-        typed[out] = as_int_strict(text) if out in INTEGER_VARIABLES else as_double(text)
+    typed = {out: _typed(out, F.col(f"_text_{out}")) for out in variables}
     exprs = []
     for f in INTERVAL_SCHEMA[interval].fields:
         name = f.name
@@ -120,11 +167,7 @@ def flatten_series(ok: DataFrame, interval: str, *, run_id: Column | str | None
         else:
             exprs.append(F.col(name))
     if with_errors:
-        checks = [F.when(F.col("_time_text").isNotNull() & F.col("_ts").isNull(), F.lit("bad_time"))]
-        for out in variables:
-            bad = "bad_weather_code" if out in INTEGER_VARIABLES else f"bad_value:{out}"
-            checks.append(F.when(F.col(f"_text_{out}").isNotNull() & typed[out].isNull(), F.lit(bad)))
-        exprs.append(F.concat(F.array_compact(F.array(*checks)), F.col("_short")).alias(ERRORS))
+        exprs.append(_cell_errors(variables, F.col, F.col("_ts"), typed).alias(ERRORS))
     return base.select(*exprs, *keep)
 
 

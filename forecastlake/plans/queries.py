@@ -468,8 +468,9 @@ def q_inferred_interval_write(spark, sf_dir):
     """The grouped write of either frame finds its own interval."""
     base = scratch_path(spark, "lake-inferred")
     write_forecasts(_hourly(spark, sf_dir).drop("event_id"), base, interval=None, provider=PROVIDER)
-    write_forecasts(_two_daily_runs(spark, sf_dir)[0], base, interval=None, provider=PROVIDER)
-    parts = [read_lake(spark, base, i, provider=PROVIDER, with_partitions=True).groupBy("interval", "location_name")
+    for run in _two_daily_runs(spark, sf_dir):
+        write_forecasts(run, base, interval=None, provider=PROVIDER)
+    parts = [read_lake(spark, base, i, provider=PROVIDER, with_partitions=True, latest_only=False).groupBy("interval", "location_name")
              .agg(F.count(F.lit(1)).alias("records")) for i in ("hourly", "daily")]
     return parts[0].unionByName(parts[1])
 
@@ -595,6 +596,26 @@ def q_incremental_two_streams(spark, sf_dir):
     return _incremental(spark, sf_dir, streams=2)
 
 
+def q_incremental_cycles(spark, sf_dir):
+    """Attempts that land run by run: pending cycles are carried, settled ones stay as they are.
+
+    Run k sees the k-th attempts; run 4 sees late attempts of cycles that are settled.
+    """
+    rows = tb.events_cycle_attempts(_t(spark, sf_dir, "events"))
+    attempt = F.col("attempt")
+    late = rows.filter((attempt == 2) & F.col("transport_error").isNull()).withColumn("attempt", F.lit(3))
+    landing, ckpt, base = (scratch_path(spark, x) for x in ("landing", "stream-ckpt", "stream-lake"))
+    out = None
+    for k, part in enumerate((rows.filter(attempt == 1), rows.filter(attempt == 2), rows.filter(attempt == 3), late), 1):
+        part.write.json(f"{landing}/drop={k}")
+        res = run_available_now(spark, f"{landing}/drop=*", checkpoint=ckpt, interval="hourly", base_path=base,
+                                provider=PROVIDER)
+        now = res.resolved.groupBy(F.col("location.name").alias("location_name"), "outcome").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("n_good").alias("good")).withColumn("run", F.lit(k))
+        out = now if out is None else out.unionByName(now)
+    return out
+
+
 # ---- state --------------------------------------------------------------
 
 def _outcomes(spark, sf_dir):
@@ -725,6 +746,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_quarantine_report": q_run_quarantine_report,
     "incremental_small_batches": q_incremental_small_batches,
     "incremental_two_streams": q_incremental_two_streams,
+    "incremental_cycles": q_incremental_cycles,
     "get_or_create_state": q_get_or_create_state,
     "gates": q_gates,
     "flatten_dynamic_daily": q_flatten_dynamic_daily,

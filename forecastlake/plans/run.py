@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecastlake.functions.scalars import partition_path
-from forecastlake.operators.flatten import flatten_series, forecast_end_expr
+from forecastlake.operators.flatten import flatten_series, forecast_end_expr, series_counts
 from forecastlake.operators.parse import parse_responses
 from forecastlake.operators.state import (
     DEFAULT_MAX_ATTEMPTS,
@@ -26,7 +26,7 @@ from forecastlake.operators.state import (
     outcomes,
     resolve_attempts,
 )
-from forecastlake.operators.validate import check_rows, row_errors
+from forecastlake.operators.validate import check_rows
 from forecastlake.schemas import require_interval
 from forecastlake.session import scratch_path
 from forecastlake.sinks.catalog import write_lake_table
@@ -37,6 +37,9 @@ from forecastlake.sources.state_store import read_state, save_state
 DEFAULT_PROVIDER = "open_meteo"
 #: What makes attempts belong together: the fetch cycle is the envelope's run id.
 CYCLE_KEY = ["provider", "interval", "location", "cycle"]
+#: Columns of a staged response that resolving needs: all but its series.
+ENVELOPE = ["rid", *CYCLE_KEY, "attempt", "attempt_class", "error_class", "ingestion_timestamp_utc", "error",
+            "forecast_end_date", "n_good", "n_bad", "first_time", "last_time"]
 
 
 @dataclass
@@ -57,7 +60,8 @@ def stage_responses(responses: DataFrame, *, interval: str, provider: str,
 
     Responses of other providers belong to their own runs; a response without a
     provider counts as this one's. An attempt without a number is a fetch that isn't
-    retried. Only the interval's series of a usable response are kept.
+    retried. Only the interval's series of a usable response are kept; its good and bad
+    points are counted inside the row, so that no later step counts exploded rows.
     """
     batch = (responses.filter(F.col("interval") == interval)
              .withColumn("provider", F.coalesce("provider", F.lit(provider)))
@@ -65,13 +69,14 @@ def stage_responses(responses: DataFrame, *, interval: str, provider: str,
              .withColumn("attempt", F.coalesce("attempt", F.lit(max_attempts))))
     block = F.col("doc").getField(interval)
     failed_fetch = F.col("transport_error").isNotNull()
-    return parse_responses(batch).select(
+    staged = parse_responses(batch).select(
         F.format_string("%010d-%020d", F.lit(epoch), F.monotonically_increasing_id()).alias("rid"),
         "location", "provider", "interval", F.col("run_id").alias("cycle"), "attempt", "error_class",
         F.when(failed_fetch, F.coalesce("error_class", F.lit("unknown"))).alias("attempt_class"),
         "ingestion_timestamp_utc", "error", "api_latitude", "api_longitude",
         forecast_end_expr().alias("forecast_end_date"),
         F.when(F.col("error").isNull(), F.struct(block.alias(interval))).alias("doc"))
+    return series_counts(staged, interval)
 
 
 def resolve_cycles(envelopes: DataFrame, *, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
@@ -83,8 +88,7 @@ def resolve_cycles(envelopes: DataFrame, *, max_attempts: int = DEFAULT_MAX_ATTE
     grouped by value, so responses without a location name count too. Daily: of the
     usable responses of a location and ingestion day only the latest is written.
     """
-    log = envelopes.select("rid", *CYCLE_KEY, "attempt", "attempt_class", "error_class",
-                           "ingestion_timestamp_utc", "error", "forecast_end_date")
+    log = envelopes.select(*ENVELOPE)
     picked = resolve_attempts(log, CYCLE_KEY, class_col="attempt_class",
                               order_cols=("ingestion_timestamp_utc", "rid"), carry=("rid",),
                               max_attempts=max_attempts, retryable=retryable)
@@ -101,7 +105,10 @@ def resolve_cycles(envelopes: DataFrame, *, max_attempts: int = DEFAULT_MAX_ATTE
               .select("rid", F.lit(True).alias("_latest")))
     rows = rows.join(latest, "rid", "left")
     write = ok & ((F.col("interval") == "hourly") | F.coalesce("_latest", F.lit(False)))
-    return rows.withColumn("written", write).drop("_open", "_latest", "attempt_class")
+    # Points of responses that aren't written are neither good nor bad rows of the run.
+    rows = rows.withColumn("written", write).drop("_open", "_latest")
+    return rows.withColumns({c: F.when(F.col("written"), F.col(c)).otherwise(F.lit(0).cast("long"))
+                             for c in ("n_good", "n_bad")})
 
 
 def response_outcomes(resolved: DataFrame, at) -> DataFrame:
@@ -134,32 +141,36 @@ def run_batch(spark: SparkSession, responses: DataFrame, *, interval: str, base_
 
 
 def run_staged(spark: SparkSession, staged: DataFrame, *, interval: str, base_path: str, provider: str,
-               run_id: str, done: DataFrame | None = None, state_root: str | None = None,
+               run_id: str, carried: DataFrame | None = None, closed: DataFrame | None = None,
+               seen: DataFrame | None = None, state_root: str | None = None,
                compression: str = "zstd", layout: str = DEFAULT_LAYOUT, quarantine_path: str | None = None,
                table_name: str | None = None, max_attempts: int = DEFAULT_MAX_ATTEMPTS,
                close_cycles: bool = False, now=None) -> RunResult:
     """Resolve, write and report staged responses.
 
-    ``done`` has the ``resolved`` rows of earlier runs over the same staging table:
-    their cycles stay as they were, and a daily fetch older than one that is written
-    isn't written over it. Rejected rows always go to ``quarantine_path`` (below the
-    lake unless given) and are counted. Only columns of the staging table that a
-    step needs are read; raw bodies are gone.
+    Work that earlier runs left: ``carried`` has the envelopes of cycles that are still
+    pending, ``closed`` the keys of cycles whose outcome is settled (their late attempts
+    change nothing), ``seen`` the latest daily fetch written for a location and day
+    (``_name``, ``_day``, ``_seen``; an older one isn't written over it). Rejected rows
+    always go to ``quarantine_path`` (below the lake unless given) and are counted. The
+    series are read twice, for the lake and for the rejected rows; raw bodies are gone.
     """
     run_start = now or datetime.now(timezone.utc)
-    envelopes = staged.drop("doc")
-    if done is not None:
-        closed = done.filter("outcome <> 'pending'").select(*CYCLE_KEY).distinct()
-        envelopes = envelopes.join(closed, _same(envelopes, closed, CYCLE_KEY), "left_anti")
+    envelopes = staged.select(*ENVELOPE)
+    if closed is not None:
+        keys = closed.select(*CYCLE_KEY)
+        envelopes = envelopes.join(keys, _same(envelopes, keys, CYCLE_KEY), "left_anti")
+    if carried is not None:
+        envelopes = envelopes.unionByName(carried.select(*ENVELOPE))
     resolved = resolve_cycles(envelopes, max_attempts=max_attempts, close=close_cycles)
-    if done is not None and interval == "daily":
-        resolved = _not_older(resolved, done)
+    if seen is not None and interval == "daily":
+        resolved = _not_older(resolved, seen)
     resolved = _staged(spark, resolved, "resolved")
 
     # Usable responses that aren't written are few (superseded or replaced): the join's small side.
     usable = staged.filter(F.col("error").isNull())
     dropped = usable.select("rid").join(resolved.filter("written").select("rid"), "rid", "left_anti")
-    rows = flatten_series(usable.join(dropped, "rid", "left_anti"), interval, run_id=run_id, keep=("rid",))
+    rows = flatten_series(usable.join(dropped, "rid", "left_anti"), interval, run_id=run_id)
     good, bad = check_rows(rows)
     if table_name:
         write_lake_table(spark, table_name, good, base_path, interval=interval, provider=provider,
@@ -168,35 +179,30 @@ def run_staged(spark: SparkSession, staged: DataFrame, *, interval: str, base_pa
         write_forecasts(good, base_path, interval=interval, provider=provider,
                         compression=compression, layout=layout, latest_run_only=False)
     target = quarantine_path or rejected_root(base_path, provider, interval)
-    (bad.drop("rid").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_id").parquet(target))
-    rejected = spark.read.schema(bad.drop("rid").schema).parquet(target).filter(F.col("run_id") == run_id)
-
-    # Rows by response: from the staging table, without listing the lake.
-    wrong = F.size(row_errors()) > 0
-    counts = rows.groupBy("rid").agg(F.count_if(~wrong).alias("n_good"), F.count_if(wrong).alias("n_bad"))
-    counted = resolved.join(counts, "rid", "left").fillna(0, ["n_good", "n_bad"])
-    counted = _staged(spark, counted, "counted")
-    report = (counted.filter("n_good > 0").groupBy(F.col("location.name").alias("location_name"))
+    rejected = spark.read.schema(bad.schema).parquet(target).filter(F.col("run_id") == run_id)
+
+    report = (resolved.filter("n_good > 0").groupBy(F.col("location.name").alias("location_name"))
               .agg(F.sum("n_good").alias("records_written"), F.min("ingestion_timestamp_utc").alias("first_ingest"))
               .select("location_name", F.lit(run_id).alias("run_id"),
                       partition_path(F.lit(provider), "location_name", F.lit(interval), F.lit(run_id),
                                      "first_ingest").alias("path"),
                       "records_written", F.lit("parquet").alias("format")).orderBy("location_name"))
-    failed = counted.filter("outcome = 'failed'").select(
+    failed = resolved.filter("outcome = 'failed'").select(
         "location", "error", F.lit("failed").alias("status"), "provider", "interval", "attempt",
         "error_class", "ingestion_timestamp_utc", "cycle")
-    pending = counted.filter("outcome = 'pending'").select(*CYCLE_KEY, "attempt", "error", "error_class")
+    pending = resolved.filter("outcome = 'pending'").select(*CYCLE_KEY, "attempt", "error", "error_class")
 
     state_path = None
     if state_root:
         # State is updated after the lake write, so a crash between the two
         # leaves the state pointing at the previous run (never ahead of data).
-        updates = response_outcomes(counted, run_start)
+        updates = response_outcomes(resolved, run_start)
         state_path = save_state(apply_outcomes(read_state(spark, state_root), updates), state_root)
     run_end = datetime.now(timezone.utc) if now is None else now
-    rr = run_report(counted, run_id=run_id, run_start=run_start, run_end=run_end)
-    return RunResult(run_id, report, failed, pending, rejected, counted, rr, state_path)
+    rr = run_report(resolved, run_id=run_id, run_start=run_start, run_end=run_end)
+    return RunResult(run_id, report, failed, pending, rejected, resolved, rr, state_path)
 
 
 def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -213,12 +219,12 @@ def _same(left: DataFrame, right: DataFrame, cols: list[str]):
     return cond
 
 
-def _not_older(resolved: DataFrame, done: DataFrame) -> DataFrame:
+def _not_older(resolved: DataFrame, seen: DataFrame) -> DataFrame:
     """Daily: leave out what an earlier run has replaced already."""
-    day = F.to_date("ingestion_timestamp_utc")
-    before = (done.filter("written").groupBy(F.col("location.name").alias("_name"), day.alias("_day"))
-              .agg(F.max("ingestion_timestamp_utc").alias("_seen")))
+    before = seen.groupBy("_name", "_day").agg(F.max("_seen").alias("_seen"))
     cond = resolved["location.name"].eqNullSafe(before["_name"]) & F.to_date(resolved["ingestion_timestamp_utc"]).eqNullSafe(before["_day"])
     joined = resolved.join(before, cond, "left")
     newer = F.col("_seen").isNull() | (F.col("ingestion_timestamp_utc") >= F.col("_seen"))
-    return joined.withColumn("written", F.col("written") & newer).drop("_name", "_day", "_seen")
+    rows = joined.withColumn("written", F.col("written") & newer).drop("_name", "_day", "_seen")
+    return rows.withColumns({c: F.when(F.col("written"), F.col(c)).otherwise(F.lit(0).cast("long"))
+                             for c in ("n_good", "n_bad")})

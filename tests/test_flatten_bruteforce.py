@@ -128,3 +128,36 @@ def test_flatten_matches_model(spark):
             assert sorted(gerr) == sorted(eerr), (name, gerr, eerr)
             checked += 1
     assert checked > 300
+
+
+def test_counts_inside_the_row_match_the_rows(spark):
+    """``series_counts`` against flattened, checked rows: random bodies, failed ones, no location name."""
+    rnd = random.Random(77)
+    rows = []
+    for k in range(120):
+        body, _ = _body(rnd, rnd.randint(0, 8))
+        rows.append(response_row(json.dumps(body), location=(None if k % 17 == 0 else f"loc{k:03d}", 1.0, float(k))))
+    rows += [response_row("garbage", location=("bad", 1.0, 500.0)), response_row(None, location=("none", 1.0, 501.0))]
+    parsed = parse_responses(responses(spark, rows))
+    ok, _ = split_ok_failed(parsed)
+    want = {}
+    good, bad = check_rows(fl.flatten_hourly(ok))
+    for r in good.collect():
+        n = want.setdefault(r["requested_longitude"], [0, 0, []])
+        n[0] += 1
+        n[2].append(r["timestamp"])
+    for r in bad.collect():
+        want.setdefault(r["requested_longitude"], [0, 0, []])[1] += 1
+    counted = fl.series_counts(ok, "hourly")
+    assert counted.columns == [*ok.columns, "n_good", "n_bad", "first_time", "last_time"]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("from_json(") == 1
+    got = {r["location"]["longitude"]: r for r in counted.collect()}
+    assert len(got) == 120
+    for key, r in got.items():
+        g, b, times = want.get(key, [0, 0, []])
+        assert (r["n_good"], r["n_bad"]) == (g, b), key
+        times = [t for t in times if t is not None]
+        assert (r["first_time"], r["last_time"]) == (min(times, default=None), max(times, default=None))
+    failed = fl.series_counts(parsed.filter("error is not null"), "hourly").collect()
+    assert [(r["n_good"], r["n_bad"], r["first_time"]) for r in failed] == [(0, 0, None)] * 2
