@@ -30,12 +30,12 @@ from .shingles import _powers, mix
 
 U = np.uint64
 #: Bytes of text that are in numpy arrays at once; candidates of a trie; bytes of tries broadcast at once.
-CHUNK, TRIE_PHRASES, TRIE_BYTES = 1 << 21, 200_000, 48 << 20
+CHUNK, TRIE_PHRASES, TRIE_BYTES = 1 << 19, 200_000, 48 << 20
 #: A Bloom filter: bits of a segment, segments at most (64 MB), bits wanted for a key, probes.
 SEGMENT_BITS, SEGMENTS, KEY_BITS, PROBES = 1 << 20, 512, 16, 4
 #: Fingerprints that a task remembers, so as not to emit a candidate twice; fingerprints that it
 #: counts, and words, before it emits them.
-SEEN, HELD, WORDS = 1_000_000, 2_000_000, 400_000
+SEEN, HELD, WORDS = 500_000, 500_000, 150_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -45,9 +45,9 @@ _KIND[[*b".,;:!?\n\x0b\x0c\r"]] = 2
 
 
 @functools.lru_cache(2)
-def _powers_of(seed: int, n: int) -> np.ndarray:
+def _tables(seed: int, n: int):
     base = int.from_bytes(hashlib.blake2b(b"%d" % seed, digest_size=8).digest(), "little") | 1
-    return _powers(base, n)
+    return _powers(base, n), _powers(pow(base, -1, 2**64), n)
 
 
 def _lang_hash(lang: str) -> int:
@@ -62,26 +62,19 @@ class Text:
         kind = _KIND[data]
         edge = np.flatnonzero(np.diff(kind == 0, prepend=False, append=False))
         self.start, self.end = edge[0::2], edge[1::2]
-        length = self.end - self.start
-        longest = int(length.max(initial=1))
-        power = _powers_of(seed, 1 << max(8, longest.bit_length()))
-        # Each byte times a power of its place in the word, summed by word.
-        inside = np.flatnonzero(kind == 0)
-        first = np.cumsum(length) - length
-        place = np.arange(len(inside), dtype=np.int64) - np.repeat(first, length)
-        total = np.add.reduceat((self.low[inside].astype(np.uint64) + U(1)) * power[place], first) \
-            if len(first) else np.empty(0, np.uint64)
-        del inside, place
-        self.hash = mix(total + length.astype(np.uint64) * U(0xD6E8FEB86659FD93))
-        breaks = np.flatnonzero(kind == 2)
-        piece = np.searchsorted(breaks, self.start)
+        length = (self.end - self.start).astype(np.uint64)
+        power, inverse = _tables(seed, 1 << max(20, len(data).bit_length()))
+        total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((self.low.astype(np.uint64) + U(1)) * power[:len(data)], out=total[1:])
+        self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start] + length * U(0xD6E8FEB86659FD93))
+        piece = np.cumsum(kind == 2, dtype=np.int32)[self.start]
         same = piece[1:] == piece[:-1]
         self.pair = np.append(same, False) if len(piece) else np.zeros(0, bool)       # a next word in the piece
         self.triple = np.zeros(len(piece), dtype=bool)
         if len(piece) > 2:
             self.triple[:-2] = same[:-1] & same[1:]
         self.langs = langs
-        self.lang = np.searchsorted(np.array(lang_ends), self.start, side="right")
+        self.lang = np.repeat(np.arange(len(langs)), np.diff(np.searchsorted(self.start, lang_ends), prepend=0))
         self.lang_hash = np.array([_lang_hash(x) for x in langs], dtype=np.uint64)
         self.key = mix(self.lang_hash[self.lang] * U(0x9FB21C651E98DF25) + self.hash) if len(piece) else self.hash
 
