@@ -111,6 +111,15 @@ def resolve_cycles(envelopes: DataFrame, *, max_attempts: int = DEFAULT_MAX_ATTE
                              for c in ("n_good", "n_bad")})
 
 
+def run_manifest(resolved: DataFrame, run_id: str) -> DataFrame:
+    """The run's manifest rows from its responses' counts; the series aren't read for it."""
+    return (resolved.filter("n_good > 0")
+            .groupBy(F.col("location.name").alias("location_name"), F.to_date("ingestion_timestamp_utc").alias("ingest_date"))
+            .agg(F.max("ingestion_timestamp_utc").alias("ingestion_timestamp_utc"), F.sum("n_good").alias("n_rows"),
+                 F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
+            .withColumn("run_id", F.lit(run_id)))
+
+
 def response_outcomes(resolved: DataFrame, at) -> DataFrame:
     """State updates: one per final response (R3, R4), records as written."""
     return outcomes(
@@ -172,12 +181,12 @@ def run_staged(spark: SparkSession, staged: DataFrame, *, interval: str, base_pa
     dropped = usable.select("rid").join(resolved.filter("written").select("rid"), "rid", "left_anti")
     rows = flatten_series(usable.join(dropped, "rid", "left_anti"), interval, run_id=run_id)
     good, bad = check_rows(rows)
+    options = dict(interval=interval, provider=provider, compression=compression, layout=layout,
+                   manifest=run_manifest(resolved, run_id))
     if table_name:
-        write_lake_table(spark, table_name, good, base_path, interval=interval, provider=provider,
-                         compression=compression, layout=layout)
+        write_lake_table(spark, table_name, good, base_path, **options)
     else:
-        write_forecasts(good, base_path, interval=interval, provider=provider,
-                        compression=compression, layout=layout, latest_run_only=False)
+        write_forecasts(good, base_path, latest_run_only=False, **options)
     target = quarantine_path or rejected_root(base_path, provider, interval)
     (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_id").parquet(target))

@@ -3,8 +3,8 @@
 The default layout partitions by ingestion date and run and sorts by location
 inside the files, so the number of files follows the data, not the number of
 locations. Runs only add directories, and a retry of a run is idempotent. Daily
-replace is resolved when the lake is read: the latest run of each location and
-day (``sources.lake.latest_runs``), so locations that a run lacks keep their rows.
+replace is resolved when the lake is read, from the run manifest (``sources.manifest``):
+the latest run of each location and day, so locations that a run lacks keep their rows.
 ``by_location`` (few locations) has a directory for each location; there a later
 daily run overwrites the location's day (dynamic partition overwrite).
 """
@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecastlake.schemas import INTERVAL_SCHEMA, require_interval
+from forecastlake.session import path_exists
+from forecastlake.sources.manifest import has_manifest, manifest_rows, write_manifest
 
 SAFE_NAME = re.compile(r"^[A-Za-z0-9_.-]+$")
 # Parquet codecs accepted by the writer.
@@ -82,14 +84,15 @@ def with_lake_columns(df: DataFrame, *, interval: str) -> DataFrame:
 
 def write_forecasts(df: DataFrame, base_path: str, *, interval: str | None, provider: str,
                     compression: str = "zstd", layout: str = DEFAULT_LAYOUT,
-                    latest_run_only: bool | None = None) -> list[str]:
+                    latest_run_only: bool | None = None, manifest: DataFrame | None = None) -> list[str]:
     """Write flattened rows into the lake in one job (K2-K6).
 
     One shuffle replaces the per-location filter loop: rows are rebalanced on
     the partition columns, and AQE splits a partition that holds a hot
     location (several files in that directory) and merges tiny ones.
-    ``interval=None`` infers it from the columns. Returns the partition levels
-    of the layout.
+    ``interval=None`` infers it from the columns. Daily writes by date add the run's
+    manifest rows after the data: ``manifest``, or counted from ``df`` by one narrow
+    aggregation. Returns the partition levels of the layout.
     """
     interval = require_interval(interval or infer_interval(df))
     if compression not in CODECS:
@@ -97,14 +100,36 @@ def write_forecasts(df: DataFrame, base_path: str, *, interval: str | None, prov
     target = interval_root(base_path, provider, interval)
     parts = partition_columns(interval, layout)
     out = arranged(df, interval=interval, layout=layout, latest_run_only=latest_run_only)
+    adopt = _manifest_state(df.sparkSession, base_path, provider, interval, layout)
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", compression)
      .partitionBy(*parts)
      .parquet(target))
+    if layout == "by_date" and interval == "daily":
+        add_manifest(df, base_path, provider=provider, interval=interval, manifest=manifest, adopt=adopt)
     return ["provider", "interval", *parts]
 
 
+def _manifest_state(spark, base_path: str, provider: str, interval: str, layout: str) -> bool:
+    """True where the lake has data but no manifest, which the write must then make for all of it."""
+    known = has_manifest(spark, base_path, provider, interval)
+    if known and layout == "by_location":
+        raise ValueError(f"the lake at {base_path} is laid out by date")
+    return not known and path_exists(spark, interval_root(base_path, provider, interval))
+
+
+def add_manifest(df: DataFrame, base_path: str, *, provider: str, interval: str, manifest: DataFrame | None = None,
+                 adopt: bool = False) -> None:
+    """Manifest rows of a write; with ``adopt`` of all that the lake holds."""
+    time_col = INTERVAL_SCHEMA[interval].fields[5].name
+    if adopt:
+        from forecastlake.sources.lake import read_lake
+
+        manifest = manifest_rows(read_lake(df.sparkSession, base_path, interval, provider=provider, latest_only=False), time_col)
+    write_manifest(manifest_rows(df, time_col) if manifest is None else manifest, base_path, provider, interval)
+
+
 def arranged(df: DataFrame, *, interval: str, layout: str, latest_run_only: bool | None = None) -> DataFrame:
     """Lake columns, dealt to writers by partition and sorted for them."""
     parts = partition_columns(interval, layout)

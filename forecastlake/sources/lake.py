@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from forecastlake.schemas import INTERVAL_SCHEMA, require_interval
 from forecastlake.session import empty_frame, path_exists
+from forecastlake.sources.manifest import has_manifest, latest_by_manifest, read_manifest
 
 PARTITION_FIELDS = {
     "provider": T.StringType(),
@@ -32,7 +33,10 @@ def lake_schema(interval: str) -> T.StructType:
 
 
 def latest_runs(lake: DataFrame) -> DataFrame:
-    """Daily replace on read (K4): the latest run of each provider, location and ingestion day."""
+    """The latest run of each provider, location and ingestion day, from the rows themselves.
+
+    For lakes without a manifest (by location, or written elsewhere): aggregates all rows.
+    """
     keys = [c for c in ("provider", "location_name", "ingest_date") if c in lake.columns]
     runs = lake.select(*keys, "ingestion_timestamp_utc", "run_id").distinct()
     last = runs.groupBy(*keys).agg(F.max(F.struct("ingestion_timestamp_utc", "run_id"))["run_id"].alias("run_id"))
@@ -48,7 +52,8 @@ def read_lake(spark: SparkSession, base_path: str, interval: str, *,
     provider/interval directory, so the file listing never walks other intervals or
     providers. ``ingest_dates`` and ``run_ids`` are filters on partition values: they
     prune, whatever characters the values hold. Daily reads return the latest run of
-    each location and day unless ``latest_only`` is false or runs are named.
+    each location and day unless ``latest_only`` is false or runs are named; the run
+    manifest says which that is (K4).
     """
     schema = lake_schema(interval)
     root = f"{base_path}/provider={provider or '*'}/interval={interval}"
@@ -56,24 +61,41 @@ def read_lake(spark: SparkSession, base_path: str, interval: str, *,
         df = empty_frame(spark, schema)      # nothing written yet
     else:
         df = spark.read.schema(schema).option("basePath", base_path).parquet(root)
-    if ingest_dates is not None:
-        df = df.filter(F.col("ingest_date").isin([F.lit(str(d)).cast("date") for d in ingest_dates]))
-    if run_ids is not None:
-        df = df.filter(F.col("run_id").isin(list(run_ids)))
+    def chosen(rows):
+        if ingest_dates is not None:
+            rows = rows.filter(F.col("ingest_date").isin([F.lit(str(d)).cast("date") for d in ingest_dates]))
+        return rows if run_ids is None else rows.filter(F.col("run_id").isin(list(run_ids)))
+
+    df = chosen(df)
     if latest_only if latest_only is not None else interval == "daily" and run_ids is None:
-        df = latest_runs(df)
+        if _all_have_manifests(spark, base_path, interval, provider):
+            df = latest_by_manifest(df, chosen(read_manifest(spark, base_path, interval, provider)))
+        else:
+            df = latest_runs(df)
     cols = [f.name for f in INTERVAL_SCHEMA[interval].fields]
     if with_partitions:
         cols += list(PARTITION_FIELDS)
     return df.select(*cols)
 
 
-def _any_provider(spark: SparkSession, base_path: str) -> bool:
+def _providers(spark: SparkSession, base_path: str) -> list[str]:
     """One listing of the lake's top folder, which has a folder for each provider."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(base_path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and any(s.getPath().getName().startswith("provider=") for s in fs.listStatus(p))
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return [n.removeprefix("provider=") for n in names if n.startswith("provider=")]
+
+
+def _any_provider(spark: SparkSession, base_path: str) -> bool:
+    return bool(_providers(spark, base_path))
+
+
+def _all_have_manifests(spark: SparkSession, base_path: str, interval: str, provider: str | None) -> bool:
+    """Whether the manifest covers what is read: every provider that has the interval."""
+    wanted = [provider] if provider is not None else [
+        p for p in _providers(spark, base_path) if path_exists(spark, f"{base_path}/provider={p}/interval={interval}")]
+    return bool(wanted) and all(has_manifest(spark, base_path, p, interval) for p in wanted)
 
 
 def lake_path_columns(df: DataFrame) -> DataFrame:
