@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from forecastlake.functions.scalars import backoff_seconds, hours_between
 from forecastlake.schemas import STATE, STATE_KEY
+from forecastlake.session import empty_frame
 
 # Transport failure classes that are retried.
 RETRYABLE_CLASSES = ("timeout", "connect", "read", "write")
@@ -57,7 +58,7 @@ def reduce_updates(updates: DataFrame) -> DataFrame:
 
 
 def apply_outcomes(state: DataFrame, updates: DataFrame) -> DataFrame:
-    """Upsert reduced updates into the state.
+    """Upsert updates into the state.
 
     success: time, status 'success', error NULL, records n, end date replaced
     only by a non-empty value; failure: time, status 'failure', error text,
@@ -65,12 +66,33 @@ def apply_outcomes(state: DataFrame, updates: DataFrame) -> DataFrame:
     keys seen for the first time are created. Keys are compared by value, so a
     location without a name has one row too.
     """
-    u = reduce_updates(updates).alias("u")
-    s = state.alias("s")
+    return merge_reduced(state, reduce_updates(updates))
+
+
+def _same_key():
     same = F.lit(True)
     for k in STATE_KEY:
         same = same & F.col(f"s.{k}").eqNullSafe(F.col(f"u.{k}"))
-    joined = s.join(u, same, "full_outer")
+    return same
+
+
+def merge_reduced(state: DataFrame, reduced: DataFrame, *, small: bool = False) -> DataFrame:
+    """Upsert of one update a key (``reduce_updates``).
+
+    One full outer join; with ``small`` (the caller has counted the updates) they are
+    broadcast to the state's rows, which then aren't shuffled: a left join gives the
+    known keys, and the updates that match none are the new ones.
+    """
+    u, s = reduced.alias("u"), state.alias("s")
+    if not small:
+        return _merged(s.join(u, _same_key(), "full_outer"))
+    known = _merged(s.join(F.broadcast(u), _same_key(), "left"))
+    hit = s.join(F.broadcast(u), _same_key(), "left_semi").select(*[F.col(f"s.{k}") for k in STATE_KEY])
+    new = u.join(hit.alias("s"), _same_key(), "left_anti").select("u.*")
+    return known.unionByName(_merged(empty_frame(state.sparkSession, STATE).alias("s").join(new.alias("u"), _same_key(), "right")))
+
+
+def _merged(joined: DataFrame) -> DataFrame:
     has_u = F.col("u.status").isNotNull()
     return joined.select(
         *[F.coalesce(f"s.{k}", f"u.{k}").alias(k) for k in STATE_KEY],

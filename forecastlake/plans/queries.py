@@ -26,7 +26,7 @@ from forecastlake.sinks.reports import prototype_paths, report_totals, write_rep
 from forecastlake.sources import tables as tb
 from forecastlake.sources.lake import lake_path_columns, read_lake
 from forecastlake.sources.responses import attach_locations, read_locations, read_responses, request_manifest
-from forecastlake.sources.state_store import empty_state, read_state, save_state
+from forecastlake.sources.state_store import empty_state, read_state, save_state, update_buckets
 from forecastlake.streaming.incremental import run_available_now
 
 PROVIDER = tb.PROVIDER
@@ -630,9 +630,9 @@ def q_state_after_run(spark, sf_dir):
     root = scratch_path(spark, "state")
     upd = _outcomes(spark, sf_dir)
     before = F.col("at") < _ts_lit(SPLIT_AT)
-    save_state(st.apply_outcomes(read_state(spark, root), upd.filter(before)), root)
-    after = st.apply_outcomes(read_state(spark, root), upd.filter(~before))
-    return after.withColumn("last_fetch_timestamp", F.col("last_fetch_timestamp").cast("timestamp_ntz"))
+    save_state(st.apply_outcomes(read_state(spark, root), upd.filter(before)), root, buckets=16)
+    save_state(update_buckets(spark, root, upd.filter(~before)), root)
+    return read_state(spark, root).withColumn("last_fetch_timestamp", F.col("last_fetch_timestamp").cast("timestamp_ntz"))
 
 
 def q_state_freshness(spark, sf_dir):

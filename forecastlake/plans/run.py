@@ -22,7 +22,6 @@ from forecastlake.operators.parse import parse_responses
 from forecastlake.operators.state import (
     DEFAULT_MAX_ATTEMPTS,
     RETRYABLE_CLASSES,
-    apply_outcomes,
     outcomes,
     resolve_attempts,
 )
@@ -32,7 +31,7 @@ from forecastlake.session import scratch_path
 from forecastlake.sinks.catalog import write_lake_table
 from forecastlake.sinks.lake import DEFAULT_LAYOUT, rejected_root, write_forecasts
 from forecastlake.sinks.reports import run_report
-from forecastlake.sources.state_store import read_state, save_state
+from forecastlake.sources.state_store import save_state, update_buckets
 
 DEFAULT_PROVIDER = "open_meteo"
 #: What makes attempts belong together: the fetch cycle is the envelope's run id.
@@ -208,7 +207,7 @@ def run_staged(spark: SparkSession, staged: DataFrame, *, interval: str, base_pa
         # State is updated after the lake write, so a crash between the two
         # leaves the state pointing at the previous run (never ahead of data).
         updates = response_outcomes(resolved, run_start)
-        state_path = save_state(apply_outcomes(read_state(spark, state_root), updates), state_root)
+        state_path = save_state(update_buckets(spark, state_root, updates), state_root)
     run_end = datetime.now(timezone.utc) if now is None else now
     rr = run_report(resolved, run_id=run_id, run_start=run_start, run_end=run_end)
     return RunResult(run_id, report, failed, pending, rejected, resolved, rr, state_path)
