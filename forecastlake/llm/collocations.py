@@ -1,16 +1,17 @@
 """Phrase collocations: tries of Apriori-safe candidates count all places of whole texts.
 
 Phrases of two and three words are counted in passes over the texts, each vectorised
-over some megabytes of bytes in numpy. What can't be frequent is pruned first, with
-no frequent phrase lost: words below the threshold; then pairs of frequent words whose
-fingerprint is counted below it; then triples whose two pairs may be frequent and whose
-own fingerprint is counted high enough. The survivors of a pass are a Bloom filter of
-bounded size: past that size it lets more through, which costs time only. Survivors
-met in the text are the candidates. They are dealt into tries by their first pair;
+over some hundred kilobytes of bytes in numpy. What can't be frequent is pruned first, with
+no frequent phrase lost. Words are counted. Then pairs of frequent words are counted by
+their words' short hashes (32 bits each), and triples whose two pairs may be frequent.
+Short hashes that are alike only add counts up, so a frequent phrase always passes; the
+words behind them are looked up among the frequent words, and every combination is a
+candidate. What tasks prune by is a Bloom filter of bounded size: past that size it lets
+more through, which costs time only. Candidates are dealt into tries by their first pair;
 tries are broadcast, as many at once as a fixed budget of bytes holds, and each pass
 advances all text positions' states symbol by symbol, bincounts accepting states and
-sums the shards' counts. Words are told apart by 64-bit hashes, which are checked to
-differ for different words and drawn anew where they don't.
+sums the shards' counts. In tries words are told apart by 64-bit hashes, which are checked
+to differ for different words and drawn anew where they don't.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import pickle
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +35,8 @@ U = np.uint64
 CHUNK, TRIE_PHRASES, TRIE_BYTES = 1 << 19, 200_000, 48 << 20
 #: A Bloom filter: bits of a segment, segments at most (64 MB), bits wanted for a key, probes.
 SEGMENT_BITS, SEGMENTS, KEY_BITS, PROBES = 1 << 20, 512, 16, 4
-#: Fingerprints that a task remembers, so as not to emit a candidate twice; fingerprints that it
-#: counts, and words, before it emits them.
-SEEN, HELD, WORDS = 500_000, 500_000, 150_000
+#: Phrases that a task counts before it emits them, and words.
+HELD, WORDS = 400_000, 150_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -57,7 +58,7 @@ def _lang_hash(lang: str) -> int:
 class Text:
     """Words of some bytes of text: start, end, hash, piece, language."""
 
-    def __init__(self, data: np.ndarray, langs: list[str], lang_ends: list[int], seed: int):
+    def __init__(self, data: np.ndarray, langs: list[str], lang_ends: list[int], seed: int, bits: int = 32):
         self.low = _LOWER[data]
         kind = _KIND[data]
         edge = np.flatnonzero(np.diff(kind == 0, prepend=False, append=False))
@@ -76,13 +77,19 @@ class Text:
         self.langs = langs
         self.lang = np.repeat(np.arange(len(langs)), np.diff(np.searchsorted(self.start, lang_ends), prepend=0))
         self.lang_hash = np.array([_lang_hash(x) for x in langs], dtype=np.uint64)
+        self.lang_key = np.array([zlib.crc32(x.encode()) for x in langs], dtype=np.uint64)[self.lang]
         self.key = mix(self.lang_hash[self.lang] * U(0x9FB21C651E98DF25) + self.hash) if len(piece) else self.hash
+        self.short = self.hash >> U(64 - bits)
 
-    def longer(self, key: np.ndarray, words: int) -> np.ndarray:
-        """Fingerprints of phrases of ``words`` words from those of one word less; junk past the end."""
-        nxt = np.zeros(len(key), dtype=np.uint64)
-        nxt[:len(key) - words + 1] = self.hash[words - 1:]
-        return mix(key * U(0x9FB21C651E98DF25) + nxt)
+    def pairs(self) -> np.ndarray:
+        """Two short hashes at each word that has a next one in its piece, else junk."""
+        out = self.short << U(32)
+        out[:-1] |= self.short[1:]
+        return out
+
+
+def fingerprint(lang_key: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return mix(key * U(0x9FB21C651E98DF25) + mix(lang_key))
 
 
 def _cut(data: np.ndarray, at: int, end: int) -> int:
@@ -99,7 +106,7 @@ def _cut(data: np.ndarray, at: int, end: int) -> int:
     return end
 
 
-def texts_of(batches, seed: int):
+def texts_of(batches, seed: int, bits: int = 32):
     """``Text`` objects over all rows (lang, text), some megabytes each, cut between pieces only."""
     for b in batches:
         texts, langs = b.column("text"), b.column("lang")
@@ -114,7 +121,7 @@ def texts_of(batches, seed: int):
             while at < off[k + 1]:
                 to = _cut(data, at, int(off[k + 1]))
                 if parts and size + to - at > CHUNK:
-                    yield Text(np.concatenate(parts), names, ends, seed)
+                    yield Text(np.concatenate(parts), names, ends, seed, bits)
                     parts, names, ends, size = [], [], [], 0
                 parts += [data[at:to], np.array([10], np.uint8)]
                 size += to - at + 1
@@ -125,7 +132,7 @@ def texts_of(batches, seed: int):
                     ends.append(size)
                 at = to
         if parts:
-            yield Text(np.concatenate(parts), names, ends, seed)
+            yield Text(np.concatenate(parts), names, ends, seed, bits)
 
 
 def _unsigned(a: np.ndarray) -> pa.Array:
@@ -157,8 +164,8 @@ class Bloom:
         return ok
 
 
-def bloom_of(keys: DataFrame, key_col: str = "key") -> Bloom:
-    """A filter of all long ``key_col`` values, made a segment at a time, 64 MB at most."""
+def bloom_of(keys: DataFrame) -> Bloom:
+    """A filter of all (lang_key, key) rows, made a segment at a time, 64 MB at most."""
     total = keys.count()
     if not total:
         return Bloom([], 0)
@@ -166,14 +173,14 @@ def bloom_of(keys: DataFrame, key_col: str = "key") -> Bloom:
 
     def place(batches):
         for b in batches:
-            key = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            segment, probes = Bloom.probes(key, segments)
+            lang, key = (b.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in (0, 1))
+            segment, probes = Bloom.probes(fingerprint(lang, key), segments)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.tile(segment, PROBES), pa.int32()), pa.array(np.concatenate(probes) >> 6, pa.int32()),
                  pa.array((U(1) << (np.concatenate(probes) & 63).astype(np.uint64)).view(np.int64))],
                 names=["segment", "word", "bits"])
 
-    words = keys.select(key_col).mapInArrow(place, "segment int, word int, bits long") \
+    words = keys.select("lang_key", "key").mapInArrow(place, "segment int, word int, bits long") \
         .groupBy("segment", "word").agg(F.bit_or("bits").alias("bits"))
 
     def join(key, table):
@@ -234,67 +241,75 @@ def _words(rows: DataFrame, seed: int) -> DataFrame:
         .groupBy("lang", "word", "h").agg(F.sum("f").alias("f"))
 
 
-def _fingerprints(rows: DataFrame, seed: int, shared, words: int) -> DataFrame:
-    """(key, f): counts of fingerprints of phrases whose parts may all be frequent."""
-    def counted(held):
-        key, count = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([_unsigned(key), pa.array(count, pa.int64())], names=["key", "f"])
+def _counted(held: list, triple: bool):
+    """Batches of (lang_key, key, third, f) from lists of (lang_key, key, third) arrays, equal rows added up."""
+    lang, key = (np.concatenate([x[k] for x in held]) for k in (0, 1))
+    for one in np.unique(lang):
+        own = lang == one
+        pair, third = key[own], None
+        if triple:
+            # Exact: the pair's rank and the third short hash share 64 bits.
+            pairs, rank = np.unique(pair, return_inverse=True)
+            both, count = np.unique((rank.astype(np.uint64) << U(32)) | np.concatenate([x[2] for x in held])[own],
+                                    return_counts=True)
+            pair, third = pairs[(both >> U(32)).astype(np.int64)], both & U(0xFFFFFFFF)
+        else:
+            pair, count = np.unique(pair, return_counts=True)
+        columns = [pa.array(np.full(len(pair), one, dtype=np.int64)), _unsigned(pair), pa.array(count, pa.int64())]
+        names = ["lang_key", "key", "f"]
+        if triple:
+            columns.insert(2, pa.array(third.astype(np.int64)))
+            names.insert(2, "third")
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _phrases(rows: DataFrame, seed: int, bits: int, bloom: Bloom, words: int, least: int) -> DataFrame:
+    """(lang_key, key[, third]): short hashes of phrases that are counted often enough and whose parts may be frequent.
+
+    ``bloom`` holds frequent words for two words, and what came out for two words for three.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(bloom)
 
     def run(batches):
         held, size = [], 0
-        for t in texts_of(batches, seed):
-            single, double, _ = shared.value
-            key = t.longer(t.key, 2)
+        for t in texts_of(batches, seed, bits):
+            if not len(t.hash):
+                continue
             if words == 2:
-                one = single.holds(mix(t.lang_hash[t.lang] + t.hash)) if len(t.hash) else np.zeros(0, bool)
-                good = t.pair & one & np.append(one[1:], False)[:len(one)]
+                may = shared.value.holds(fingerprint(t.lang_key, t.short))
+                good = t.pair & may & np.append(may[1:], False)
             else:
-                may = np.zeros(len(key), dtype=bool)
-                may[t.pair] = double.holds(key[t.pair])
-                # The second pair's fingerprint stands one word on.
-                good = t.triple & may & np.append(may[1:], False)[:len(may)]
-                key = t.longer(key, 3)
-            held.append(key[good])
-            size += len(held[-1])
+                may, key = np.zeros(len(t.hash), dtype=bool), t.pairs()
+                may[t.pair] = shared.value.holds(fingerprint(t.lang_key[t.pair], key[t.pair]))
+                good = t.triple & may & np.append(may[1:], False)      # its second pair begins one word on
+            at = np.flatnonzero(good)
+            held.append((t.lang_key[at], t.pairs()[at], t.short[np.minimum(at + 2, len(t.short) - 1)]))
+            size += len(at)
             if size > HELD:
-                yield counted(held)
+                yield from _counted(held, words == 3)
                 held, size = [], 0
         if held:
-            yield counted(held)
+            yield from _counted(held, words == 3)
 
-    return rows.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    keys = ["lang_key", "key"] + ["third"] * (words == 3)
+    counts = rows.mapInArrow(run, ", ".join(f"{k} long" for k in [*keys, "f"])).groupBy(*keys).agg(F.sum("f").alias("f"))
+    return counts.filter(F.col("f") >= least).drop("f")
 
 
-def _candidates(rows: DataFrame, seed: int, shared) -> DataFrame:
-    """Distinct (lang, h1, h2, h3, pair) that pass the filters; h3 null for two words."""
-    def run(batches):
-        seen = np.empty(0, dtype=np.uint64)
-        for t in texts_of(batches, seed):
-            _, double, treble = shared.value
-            two = t.longer(t.key, 2)
-            three = t.longer(two, 3)
-            may = np.zeros(len(two), dtype=bool)
-            may[t.pair] = double.holds(two[t.pair])
-            good = t.triple & may & np.append(may[1:], False)[:len(may)]
-            good[good] = treble.holds(three[good])
-            for which, key, n in ((may, two, 2), (good, three, 3)):
-                at = np.flatnonzero(which)
-                fresh, first = np.unique(key[at], return_index=True)
-                if len(seen):
-                    near = np.minimum(np.searchsorted(seen, fresh), len(seen) - 1)
-                    new = seen[near] != fresh
-                    fresh, first = fresh[new], first[new]
-                if len(seen) + len(fresh) > SEEN:
-                    seen = np.empty(0, dtype=np.uint64)
-                seen = np.sort(np.concatenate([seen, fresh]))
-                at = at[first]
-                third = t.hash[np.minimum(at + 2, len(t.hash) - 1)].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(t.langs, pa.string()).take(pa.array(t.lang[at])), _unsigned(t.hash[at]),
-                     _unsigned(t.hash[at + 1]), pa.array(third, pa.int64(), mask=np.full(len(at), n == 2)),
-                     _unsigned(two[at])], names=["lang", "h1", "h2", "h3", "pair"])
-
-    return rows.mapInArrow(run, "lang string, h1 long, h2 long, h3 long, pair long").distinct()
+def _candidates(frequent: DataFrame, twos: DataFrame, threes: DataFrame) -> DataFrame:
+    """(lang, h1, h2, h3, pair): all frequent words behind the short hashes; h3 null for two words."""
+    def named(df, k):
+        word = frequent.select("lang", "lang_key", F.col("short").alias(f"s{k}"), F.col("h").alias(f"h{k}"))
+        return df.join(word if k == 1 else word.drop("lang_key"), ["lang_key", "s1"] if k == 1 else ["lang", f"s{k}"])
+
+    low = F.lit(0xFFFFFFFF)
+    first, second = F.shiftrightunsigned("key", 32), F.col("key").bitwiseAND(low)
+    # Sums of two short hashes deal candidates to tries; no product can overflow.
+    out = ["lang", "h1", "h2", "h3", (F.col("s1") + 7 * F.col("s2")).alias("pair")]
+    two = named(named(twos.select("lang_key", first.alias("s1"), second.alias("s2")), 1), 2)
+    three = named(named(named(threes.select("lang_key", first.alias("s1"), second.alias("s2"),
+                                            F.col("third").alias("s3")), 1), 2), 3)
+    return two.withColumn("h3", F.lit(None).cast("long")).select(*out).unionByName(three.select(*out))
 
 
 def _tries(candidates: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
@@ -302,7 +317,7 @@ def _tries(candidates: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
     order = Window.partitionBy("slice").orderBy(F.col("h3").isNotNull(), "lang", "h1", "h2", "h3")
     numbered = materialise(
         candidates.withColumn("slice", F.pmod("pair", F.lit(slices)).cast("int")).drop("pair")
-        .withColumn("number", F.row_number().over(order) - 1), "phrase-candidates")
+        .withColumn("number", F.row_number().over(order) - 1), "phrase-numbered")
 
     def make(key, table):
         table = table.sort_by("number")
@@ -319,7 +334,7 @@ def _tries(candidates: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
     return numbered, materialise(built, "phrase-tries")
 
 
-def _count(rows: DataFrame, seed: int, slices: int, tries: dict[int, DoubleArray]) -> DataFrame:
+def _count(rows: DataFrame, seed: int, bits: int, slices: int, tries: dict[int, DoubleArray]) -> DataFrame:
     """(slice, number, a): places of the candidates of some slices, summed over all shards."""
     shared = rows.sparkSession.sparkContext.broadcast(tries)
 
@@ -328,10 +343,9 @@ def _count(rows: DataFrame, seed: int, slices: int, tries: dict[int, DoubleArray
         held = np.zeros(slices, dtype=bool)
         held[list(loaded)] = True
         counts = {k: np.zeros(t.sequences, dtype=np.int64) for k, t in loaded.items()}
-        for t in texts_of(batches, seed):
+        for t in texts_of(batches, seed, bits):
             at = np.flatnonzero(t.pair)
-            # The same remainder as Spark's pmod of the signed fingerprint.
-            part = np.mod(t.longer(t.key, 2)[at].view(np.int64), slices)
+            part = ((t.short[at] + U(7) * t.short[at + 1]) % U(slices)).astype(np.int64)
             at, part = at[held[part]], part[held[part]]
             order = np.argsort(part, kind="stable")
             at, part = at[order], part[order]
@@ -369,12 +383,13 @@ def _batches(sizes: list[tuple[int, int]], budget: int) -> list[list[int]]:
 
 
 def phrase_counts(docs: DataFrame, *, least: int = 10, text_col: str = "text", lang_col: str = "lang",
-                  trie_phrases: int = TRIE_PHRASES, trie_bytes: int = TRIE_BYTES):
+                  trie_phrases: int = TRIE_PHRASES, trie_bytes: int = TRIE_BYTES, short_bits: int = 32):
     """(words, phrases): exact counts (lang, word, h, f) of all words and (lang, h1, h2, h3, a) of
     phrases of two words (h3 null) and three words with ``a >= least``.
 
     A null text is empty, a null language is ``und``; repeated rows count each; an empty
-    table gives empty results. Other columns are left out.
+    table gives empty results. Other columns are left out. Fewer ``short_bits`` (32 at
+    most) give more candidates and the same counts.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -385,17 +400,13 @@ def phrase_counts(docs: DataFrame, *, least: int = 10, text_col: str = "text", l
         other = words.select("h", F.xxhash64("word").alias("x"))       # another hash of the same words
         if other.groupBy("h").agg(F.min("x").alias("a"), F.max("x").alias("b")).filter("a <> b").isEmpty():
             break
-    share = spark.sparkContext.broadcast
-    frequent = words.filter(F.col("f") >= least).select("lang", "h")
-    none = Bloom([], 0)
-    single = bloom_of(_lang_keys(frequent))
-    twos = materialise(_fingerprints(rows, seed, share((single, none, none)), 2)
-                       .filter(F.col("f") >= least).select("key"), "phrase-pairs")
-    double = bloom_of(twos)
-    threes = materialise(_fingerprints(rows, seed, share((none, double, none)), 3)
-                         .filter(F.col("f") >= least).select("key"), "phrase-triples")
-    treble = bloom_of(threes)
-    candidates = materialise(_candidates(rows, seed, share((none, double, treble))), "phrase-met")
+    frequent = materialise(words.filter(F.col("f") >= least).select(
+        "lang", "h", F.crc32("lang").alias("lang_key"), F.shiftrightunsigned("h", 64 - short_bits).alias("short")),
+        "phrase-frequent")
+    single = bloom_of(frequent.select("lang_key", F.col("short").alias("key")))
+    twos = materialise(_phrases(rows, seed, short_bits, single, 2, least), "phrase-pairs")
+    threes = materialise(_phrases(rows, seed, short_bits, bloom_of(twos), 3, least), "phrase-triples")
+    candidates = materialise(_candidates(frequent, twos, threes), "phrase-candidates")
     slices = max(1, -(-candidates.count() // trie_phrases))
     numbered, tries = _tries(candidates, slices)
     sizes = sorted((r["slice"], r["size"]) for r in tries.select("slice", "size").collect())
@@ -403,24 +414,13 @@ def phrase_counts(docs: DataFrame, *, least: int = 10, text_col: str = "text", l
     for part in _batches(sizes, trie_bytes):
         # At most trie_bytes of tries, or one trie of about trie_phrases phrases, are collected at once.
         held = {r["slice"]: pickle.loads(r["trie"]) for r in tries.filter(F.col("slice").isin(part)).collect()}
-        now = materialise(_count(rows, seed, slices, held), "phrase-counts")
+        now = materialise(_count(rows, seed, short_bits, slices, held), "phrase-counts")
         counted = now if counted is None else counted.unionByName(now)
     phrases = numbered.drop("slice", "number").withColumn("a", F.lit(0).cast("long")) if counted is None else \
         numbered.join(counted, ["slice", "number"]).drop("slice", "number")
     return words, materialise(phrases.filter(F.col("a") >= least), "phrases")
 
 
-def _lang_keys(frequent: DataFrame) -> DataFrame:
-    """(key): one fingerprint for each (lang, h)."""
-    def run(batches):
-        for b in batches:
-            lang = np.array([_lang_hash(x) for x in b.column("lang").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [_unsigned(mix(lang + b.column("h").to_numpy(zero_copy_only=False).view(np.uint64)))], names=["key"])
-
-    return frequent.mapInArrow(run, "key long")
-
-
 def collocations(docs: DataFrame, *, least: int = 10, top: int = 2000, share: int = 50, **options) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases of two or three words.
 

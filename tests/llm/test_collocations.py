@@ -42,7 +42,7 @@ def texts(rng, docs, size):
 
 @pytest.mark.parametrize("options", [{}, {"trie_phrases": 20, "trie_bytes": 1 << 15}, {"top": 7, "least": 3, "share": 90}])
 def test_matches_brute_force(spark, options, monkeypatch):
-    monkeypatch.setattr(co, "SEEN", 50)
+    monkeypatch.setattr(co, "HELD", 50)
     rng = random.Random(len(options))
     rows = texts(rng, 25, 120) + [("en", None), (None, ""), ("en", " . , "), ("de", "alone")] + [("en", "new york city " * 40)] * 3
     df = spark.createDataFrame([(i, t, lang, "p", 1) for i, (lang, t) in enumerate(rows)],
@@ -123,8 +123,18 @@ def test_double_array():
 
 def test_bloom_filters_hold_their_keys(spark):
     rng = np.random.default_rng(5)
-    keys = rng.integers(-2**63, 2**63, 20_000)
-    bloom = co.bloom_of(spark.createDataFrame([(int(k),) for k in keys], "key long"))
-    assert bloom.holds(keys.view(np.uint64)).all()
-    assert bloom.holds(rng.integers(-2**63, 2**63, 20_000).view(np.uint64)).mean() < 0.02
-    assert not co.bloom_of(spark.createDataFrame([], "key long")).holds(keys.view(np.uint64)).any()
+    keys, other = rng.integers(-2**63, 2**63, 20_000), rng.integers(-2**63, 2**63, 20_000)
+    lang = np.arange(20_000, dtype=np.uint64) % 3
+    bloom = co.bloom_of(spark.createDataFrame(list(zip(lang.tolist(), keys.tolist())), "lang_key long, key long"))
+    assert bloom.holds(co.fingerprint(lang, keys.view(np.uint64))).all()
+    assert bloom.holds(co.fingerprint(lang, other.view(np.uint64))).mean() < 0.02
+    assert bloom.holds(co.fingerprint(lang + np.uint64(1), keys.view(np.uint64))).mean() < 0.02
+    assert not co.bloom_of(spark.createDataFrame([], "lang_key long, key long")).holds(keys.view(np.uint64)).any()
+
+
+@pytest.mark.parametrize("bits", [1, 4])
+def test_short_hashes_that_are_alike_lose_nothing(spark, bits):
+    """Words with two or 16 short hashes in all: every combination is a candidate, the counts stay exact."""
+    rows = texts(random.Random(11), 20, 100)
+    got = co.collocations(spark.createDataFrame(rows, "lang string, text string"), short_bits=bits)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
