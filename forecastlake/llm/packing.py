@@ -22,10 +22,14 @@ from .word_tokens import word_tokenizer
 END_ID = 2
 
 
+#: Windows that a task holds open; beyond them the fullest half is closed up by cutting.
+MAX_OPEN = 2048
+
+
 class Packer:
     """Windows of ``size`` ids. Closed windows are lists of (doc, start, ids) in order."""
 
-    def __init__(self, size: int, max_open: int = 2048):
+    def __init__(self, size: int, max_open: int = MAX_OPEN):
         self.size, self.max_open = size, max_open
         self.count = np.zeros(size + 1)
         self.count[size] = -0.5      # a full window leaves: it adds 1 - 2 count[h]
@@ -40,7 +44,7 @@ class Packer:
         if whole < len(ids):
             self._place((doc, whole, ids[whole:]))
             if self.n_open > self.max_open:
-                self.flush()
+                self.flush(self.max_open // 2)
 
     def _place(self, piece) -> None:
         s, n = len(piece[2]), self.count
@@ -62,9 +66,17 @@ class Packer:
             self.n_open += 1
             self.open.setdefault(level + s, []).append(window)
 
-    def flush(self) -> None:
-        """Close all open windows, leaving one that isn't full at most."""
-        windows = [w for level in sorted(self.open, reverse=True) for w in self.open[level]]
+    def flush(self, keep: int = 0) -> None:
+        """Close the fullest windows but ``keep`` by cutting the emptiest of them into the others.
+
+        One that isn't full is left at most: it stays open if others do, else it is closed.
+        """
+        windows = []
+        for level in sorted(self.open, reverse=True):
+            while self.open[level] and self.n_open > keep:
+                windows.append(self.open[level].pop(0))
+                self.count[level] -= 1
+                self.n_open -= 1
         room = [self.size - sum(len(p[2]) for p in w) for w in windows]
         a, b = 0, len(windows) - 1
         while a < b:
@@ -82,19 +94,26 @@ class Packer:
             if fit < len(ids):
                 windows[b].append((doc, start + fit, ids[fit:]))
                 room[b] -= len(ids) - fit
-        self.closed += [w for w in windows if w]
-        self.count[:self.size] = 0
-        self.open, self.n_open = {}, 0
+        for w in windows:
+            level = sum(len(p[2]) for p in w)
+            if keep and 0 < level < self.size:
+                self.open.setdefault(level, []).append(w)
+                self.count[level] += 1
+                self.n_open += 1
+            elif w:
+                self.closed.append(w)
 
 
 def pack(df: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
-         size: int = 4096) -> DataFrame:
+         size: int = 4096, max_open: int = MAX_OPEN) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset): one row for each piece.
 
     ``ids`` are little-endian unsigned 32-bit ids; every document ends with id 2, so
     a null or empty text is that id alone. Repeated rows are packed each; rows with a
     null id too; documents longer than a window are cut at its multiples; an empty
-    table gives no rows. Other input columns are left out.
+    table gives no rows. Other input columns are left out. A task holds ``max_open``
+    windows open at most; past that it closes the fullest half, cutting documents to fill
+    them, and goes on with the others.
     """
     ship(df.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
@@ -102,7 +121,7 @@ def pack(df: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str
                         ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches):
-        tok, packer = word_tokenizer(tokenizer), Packer(size)
+        tok, packer = word_tokenizer(tokenizer), Packer(size, max_open)
         next_id = TaskContext.get().partitionId() << 32
 
         def rows():
@@ -142,7 +161,11 @@ def op7_packing(spark, sf_dir):
 
 
 def packing_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents as packed sequences, ids included."""
+    """The kept documents as packed sequences, ids included; the columns of ``pack`` and ids_crc32.
+
+    Null and empty texts are the end id alone, repeated rows and rows without an id are
+    packed each, an empty table gives no rows.
+    """
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("word_bpe_49k.json")).withColumn("ids_crc32", F.crc32("ids"))

@@ -208,3 +208,51 @@ def test_queries_on_given_tables(spark):
     text = "<|im_end|><|im_start|>assistant ok"
     assert probe[0]["loss_chars"] == len(text) and probe[0]["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     assert probe[0]["turns_sha256"] == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
+def test_packing_beyond_the_open_windows(spark):
+    """Past ``max_open`` the fullest half is closed: every id lies in one piece, windows are full but for few."""
+    import numpy as np
+
+    from forecastlake.llm.packing import Packer
+
+    rng = np.random.default_rng(3)
+    for most in (1, 2, 8, 50):
+        packer, docs = Packer(64, most), {}
+        for doc in range(600):
+            docs[doc] = np.arange(rng.integers(1, 90), dtype=np.uint32) + 1000 * doc
+            packer.add(doc, docs[doc])
+            assert packer.n_open <= most == packer.max_open or packer.n_open <= most
+            assert packer.n_open == sum(map(len, packer.open.values())) == packer.count[1:64].sum()
+        packer.flush()
+        assert packer.n_open == 0 and not any(packer.count[1:64])
+        pieces = {}
+        for window in packer.closed:
+            assert 0 < sum(len(ids) for _, _, ids in window) <= 64
+            for doc, start, ids in window:
+                pieces.setdefault(doc, []).append((start, ids))
+        for doc, ids in docs.items():
+            assert np.concatenate([p for _, p in sorted(pieces[doc], key=lambda x: x[0])]).tolist() == ids.tolist()
+        total = sum(map(len, docs.values()))
+        assert len(packer.closed) <= -(-total // 64) + 1 + 600 // most
+
+
+def test_pack_takes_the_number_of_open_windows(spark):
+    import public_tokenizers
+
+    from forecastlake.llm.packing import pack
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(1)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    few = pack(docs, path, max_open=4).collect()
+    many = {r["doc_id"]: r["doc_tokens"] for r in pack(docs, path).collect()}
+    got = {}
+    for r in few:
+        got.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+    for doc, parts in got.items():
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at
+            at += length
+        assert at == many[doc]
+    assert set(got) == set(many)
