@@ -62,7 +62,10 @@ class Block:
         found = found[self.ids[found] != qid]
         diff = self.x[found] - q
         d = np.sqrt((diff * diff).sum(axis=1))
-        best = np.lexsort((self.ids[found], d))[:k]
+        best = np.lexsort((self.ids[found], d))
+        # Vectors of one id are one candidate, as near as the nearest of them.
+        _, first = np.unique(self.ids[found][best], return_index=True)
+        best = best[np.sort(first)[:k]]
         return self.ids[found][best], d[best]
 
 
@@ -74,9 +77,10 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
 
     ``queries`` has the same columns. Vectors that are null, zero, hold null or
     non-finite components, or differ in length from the most common one take no part.
-    Repeated vectors are ranked each, ties go to the smaller id; fewer than k
-    candidates give all of them; an empty table gives no rows. Other input columns
-    are left out.
+    Equal vectors under different ids are ranked each, ties go to the smaller id; rows of
+    one id are one candidate, and one query, at the least distance of its vectors, so
+    repeated rows change nothing. Fewer than k candidates give all of them; an empty
+    table gives no rows. Other input columns are left out.
     """
     ship(vectors.sparkSession)
     rows, asked = usable_vectors(vectors, id_col, vec_col), usable_vectors(queries, id_col, vec_col)
@@ -85,7 +89,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
     if dims is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim = dims["dim"]
-    rows, asked = rows.filter(F.size("vec") == dim), asked.filter(F.size("vec") == dim)
+    rows, asked = (x.filter(F.size("vec") == dim).dropDuplicates() for x in (rows, asked))
     chosen = rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(pivots).collect()
     base = np.array([r["vec"] for r in chosen], dtype=np.float64)
     kept = min(kept, len(base))
@@ -106,7 +110,8 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
         return pd.concat(found) if found else pd.DataFrame(
             {"query_id": np.empty(0, "i8"), "vec_id": np.empty(0, "i8"), "score": np.empty(0)})
 
-    near = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInPandas(run, out)
+    near = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInPandas(run, out) \
+        .groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
