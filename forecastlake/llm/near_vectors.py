@@ -12,10 +12,14 @@ Equal vectors are one vector with a weight first. Then, in rounds:
    by what may link that group to others. Rounds go on until one adds no link.
 4. Everything that links connect is compared pair by pair in blocks, so a group of
    any size gets all its links.
-5. Recall is audited on a bounded sample against all vectors: the share of linked
-   groups, each counted once, that hold all links of a vector of theirs. Below the
-   target, rounds go on with more tables and longer lists; if the last round still
-   misses it, all blocks of vectors are compared and nothing is missed.
+5. Recall is audited in two ways. A bounded sample is compared with all vectors: the share
+   of linked groups, each counted once, that hold all links of a vector of theirs. And
+   partners are planted: for a sample of vectors, copies at cosines from the threshold to
+   halfway to 1 go through the same tables and descent, and the share that is joined to
+   their vector's group is taken, which doesn't depend on how rare links are. Planted
+   vectors join no groups. Below the target of either, rounds go on with more tables
+   and longer lists; if the last round still misses it, all blocks of vectors are
+   compared and nothing is missed.
 Links below the threshold are never kept: every cosine is computed in doubles.
 """
 
@@ -35,8 +39,12 @@ from .vectors import matrix, unit, usable_vectors
 NEIGHBOURS, TABLES, BLOCK = 8, 4, 192
 #: Chance that a lone pair at the threshold meets in some table, as far as MOST_TABLES allow.
 MEET, MOST_TABLES = 0.9, 64
-#: Components of several vectors, and of one, that recall is audited on, at most (by the smallest hash).
-AUDIT, TARGET, ROUNDS = 256, 0.99, 5
+#: Components of several vectors, and of one, that recall is audited on, at most (by the smallest hash);
+#: vectors that a partner is planted for.
+AUDIT, AUDIT_ALONE, PLANTED = 256, 4096, 512
+#: Share of the groups that an audit must find whole, and of planted partners (the least that a round of
+#: tables is made for, one round after another).
+TARGET, ROUNDS = 0.99, 5
 #: Vectors in a block of the exact pass.
 EXACT_BLOCK = 4_096
 _LISTS = "vec_id long, component long, near array<struct<sim:double,id:bigint,component:bigint>>"
@@ -177,13 +185,13 @@ def _count_links(placed: DataFrame, threshold: float) -> DataFrame:
         .groupBy("vec_id").agg(F.sum("n_links").alias("n_links"))
 
 
-def audit(placed: DataFrame, threshold: float, sample: int = AUDIT) -> float:
+def audit(placed: DataFrame, threshold: float, sample: int = AUDIT, alone_sample: int = AUDIT_ALONE) -> float:
     """Macro recall: the share of groups with links that hold all of a vector's, each group counted once.
 
     Links inside a component are all found, so a vector misses those to other
     components. One vector is taken of each of ``sample`` components of several
-    vectors and of ``sample`` components of one; a vector alone that has a link
-    stands for as many lost groups as it is a sample of.
+    vectors and of ``alone_sample`` components of one (lost links are rare among them);
+    a vector alone that has a link stands for as many lost groups as it is a sample of.
     """
     mark = F.xxhash64("vec_id", F.lit(9))
     groups = materialise(placed.groupBy("component").agg(
@@ -192,7 +200,8 @@ def audit(placed: DataFrame, threshold: float, sample: int = AUDIT) -> float:
     for kind in ("n > 1", "n = 1"):
         of = groups.filter(kind)
         totals.append(of.count())
-        chosen = of.orderBy("one.mark", "one.vec_id").limit(sample).select("one.vec_id", F.lit(kind == "n = 1").alias("alone"))
+        size = alone_sample if kind == "n = 1" else sample
+        chosen = of.orderBy("one.mark", "one.vec_id").limit(size).select("one.vec_id", F.lit(kind == "n = 1").alias("alone"))
         picked += placed.join(F.broadcast(chosen), "vec_id").select("vec", "component", "alone").collect()
     component, alone = np.array([r["component"] for r in picked]), np.array([r["alone"] for r in picked], dtype=bool)
     x = unit(np.array([r["vec"] for r in picked], dtype=np.float64))
@@ -214,6 +223,36 @@ def audit(placed: DataFrame, threshold: float, sample: int = AUDIT) -> float:
     return whole / every if every else 1.0
 
 
+def plant(placed: DataFrame, threshold: float, first_id: int, sample: int = PLANTED, seed: int = 3) -> DataFrame:
+    """(vec_id, weight, component, vec, origin): partners of sampled vectors, under ids from ``first_id`` on.
+
+    Each has a cosine drawn between the threshold and halfway to 1, in a random direction.
+    """
+    picked = placed.orderBy(F.xxhash64("vec_id", F.lit(13)), "vec_id").limit(sample).select("vec_id", "vec").collect()
+    rng, rows = np.random.default_rng(seed), []
+    for k, r in enumerate(picked):
+        x = unit(np.array([r["vec"]], dtype=np.float64))[0]
+        off = rng.normal(size=len(x))
+        off -= (off @ x) * x
+        # Vectors of one component have no other direction; their partner is a multiple.
+        off = off / np.linalg.norm(off) if np.linalg.norm(off) > 1e-9 else 0 * off
+        cosine = rng.uniform(threshold, (1 + threshold) / 2) + 1e-9
+        rows.append((first_id + k, 1, first_id + k, (cosine * x + math.sqrt(1 - cosine ** 2) * off).tolist(), r["vec_id"]))
+    return placed.sparkSession.createDataFrame(rows, "vec_id long, weight long, component long, vec array<double>, origin long")
+
+
+def planted_recall(placed: DataFrame, planted: DataFrame, links: DataFrame) -> float:
+    """Share of planted partners that ``links`` (vec_id, id, both ways) tie to their vector's group."""
+    total = planted.count()
+    if not total:
+        return 1.0
+    own = placed.select(F.col("vec_id").alias("origin"), "component")
+    wanted = planted.select("vec_id", "origin").join(own, "origin").select("vec_id", F.col("component").alias("wanted"))
+    ends = links.join(F.broadcast(wanted), "vec_id").select("vec_id", "wanted", "id") \
+        .join(placed.select(F.col("vec_id").alias("id"), "component"), "id").filter("component = wanted")
+    return ends.select("vec_id").distinct().count() / total
+
+
 def _all_bridges(placed: DataFrame, threshold: float) -> DataFrame:
     """(a, b): components with a link between them, by comparing all blocks of vectors.
 
@@ -253,12 +292,13 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "em
 
     Linked: cosine of at least ``threshold``. Vectors that are null, zero, hold
     null or non-finite components, or differ in length from the most common one are
-    linked with nothing. Repeated vectors under different ids are linked like
-    others; rows of one id should be one. An empty table gives no rows; other input
+    linked with nothing. Repeated vectors under different ids are linked like others.
+    Repeated rows count once; different vectors under one id are of one component, and
+    the id's n_links is the sum over them. An empty table gives no rows; other input
     columns are left out.
     """
     ship(df.sparkSession)
-    rows = usable_vectors(df, id_col, vec_col).dropDuplicates(["vec_id"])
+    rows = usable_vectors(df, id_col, vec_col).dropDuplicates()
     dims = rows.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     every = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"))
     if dims is None:
@@ -266,34 +306,53 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "em
                             F.lit(True).alias("kept"))
     dim = dims["dim"]
     rows = materialise(rows.filter(F.size("vec") == dim), "vectors")
-    distinct = materialise(rows.groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight")), "vectors")
-    copies = materialise(rows.join(distinct.filter("weight > 1").select("vec", F.col("vec_id").alias("first")), "vec")
-                         .select("vec_id", "first"), "copies")
+    # Inside, a vector goes by a number of its own: one id may have several.
+    distinct = materialise(rows.groupBy("vec").agg(F.min("vec_id").alias("first"), F.count("*").alias("weight")), "vectors")
+    distinct = materialise(distinct.withColumn("vec_id", F.monotonically_increasing_id()), "vectors")
+    copies = rows.join(distinct.filter("weight > 1").select("vec", F.col("vec_id").alias("number")), "vec").select("vec_id", "number")
+    members = materialise(copies.unionByName(distinct.filter("weight = 1").select(
+        F.col("first").alias("vec_id"), F.col("vec_id").alias("number"))), "members")
     n = distinct.count()
-    placed, graph = distinct.withColumn("component", F.col("vec_id")), None
-    times = 1
+    placed, graph = distinct.select("vec_id", "weight", "vec", F.col("vec_id").alias("component")), None
+    # Ids of the planted are above those of any partition's rows.
+    planted = materialise(plant(placed, threshold, 1 << 62), "planted")
+    times, enough = 1, False
     for r in range(ROUNDS):
-        lists = _start(placed, n, dim, neighbours, seed + r, threshold, times)
+        searched = placed.select("vec_id", "weight", "component", "vec").unionByName(planted.drop("origin"))
+        lists = _start(searched, n, dim, neighbours, seed + r, threshold, times)
         if graph is not None:
-            lists = lists.unionByName(_moved(graph, placed))
+            lists = lists.unionByName(_moved(graph, searched))
         graph = materialise(_merge(lists, neighbours), "graph")
-        graph = materialise(_descend(placed, graph, neighbours), "graph")
-        links = graph.select(F.col("component").alias("a"), F.explode("near").alias("e")).filter(F.col("e.sim") >= threshold)
-        bridges = materialise(links.select("a", F.col("e.component").alias("b")).filter("a <> b").distinct(), "bridges")
+        graph = materialise(_descend(searched, graph, neighbours), "graph")
+        links = graph.select("vec_id", F.col("component").alias("a"), F.explode("near").alias("e")) \
+            .filter(F.col("e.sim") >= threshold).select("vec_id", "a", F.col("e.id").alias("id"), F.col("e.component").alias("b"))
+        real = links.filter((F.col("vec_id") < 1 << 62) & (F.col("id") < 1 << 62))
+        bridges = materialise(real.select("a", "b").filter("a <> b").distinct(), "bridges")
         if bridges.count():
             placed = _joined(placed, bridges)
-        elif audit(placed, threshold) >= target:
+            if r + 1 < ROUNDS:
+                continue
+        both = links.select("vec_id", "id").unionByName(links.select(F.col("id").alias("vec_id"), F.col("vec_id").alias("id")))
+        enough = planted_recall(placed, planted, both) >= target and audit(placed, threshold) >= target
+        if enough:
             break
-        else:
-            times, neighbours = 2 * times, 2 * neighbours
-    else:
-        if audit(placed, threshold) < target:
-            placed = _joined(placed, materialise(_all_bridges(placed, threshold), "bridges"))
+        times, neighbours = 2 * times, 2 * neighbours
+    if not enough:
+        placed = _joined(placed, materialise(_all_bridges(placed, threshold), "bridges"))
     counted = _count_links(placed, threshold)
     found = placed.join(counted, "vec_id", "left").select(
-        F.col("vec_id").alias("first"), "component", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
-    joined = every.join(copies, "vec_id", "left").withColumn("first", F.coalesce("first", "vec_id")).join(found, "first", "left")
-    comp = F.coalesce("component", "vec_id")
+        F.col("vec_id").alias("number"), "component", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    owned = materialise(members.join(found, "number").select("vec_id", "component", "n_links"), "members")
+    # Vectors under one id belong together, whatever lies between them.
+    same = owned.groupBy("vec_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
+    same = owned.join(same.select("vec_id", "a"), "vec_id").select("a", F.col("component").alias("b")).filter("a <> b").distinct()
+    same = materialise(same, "bridges")
+    if not same.isEmpty():
+        owned = _joined(owned, same)
+    least = owned.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    each = owned.groupBy("vec_id").agg(F.min("component").alias("component"), F.sum("n_links").alias("n_links")).join(least, "component")
+    joined = every.join(each, "vec_id", "left")
+    comp = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), comp.alias("component_id"),
                          F.coalesce(F.col("vec_id") == comp, F.lit(True)).alias("kept"))
 

@@ -214,6 +214,65 @@ def test_near_vectors_below_the_target_are_compared_all(spark, monkeypatch):
     check_near_vectors(spark, x)
 
 
+def test_near_vectors_see_rare_links(spark):
+    """Ten lone near pairs among 6,000 vectors: an audit of a result that lost nine is low, and none is lost."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(6_000, 16))
+    x = x[(x / np.linalg.norm(x, axis=1, keepdims=True)).argsort(axis=0)[:, 0]]
+    x[0:20:2] = x[1:20:2] + 0.02 * rng.normal(size=(10, 16))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = np.argwhere(np.triu(u @ u.T >= 0.96, 1))
+    assert linked.tolist() == [[i, i + 1] for i in range(0, 20, 2)]
+    vectors = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    placed = spark.createDataFrame([(i, 1, 0 if i < 2 else i, v) for i, v in vectors],
+                                   "vec_id long, weight long, component long, vec array<double>")
+    assert near_vectors.audit(placed, 0.96) < 0.2
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = near_vectors.near_duplicates(df, threshold=0.96).filter("n_links > 0").collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(i, 1, i - i % 2) for i in range(20)]
+
+
+def test_planted_partners_tell_a_search_that_finds_nothing(spark):
+    rng = np.random.default_rng(13)
+    placed = spark.createDataFrame([(i, 1, i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(80, 12)))],
+                                   "vec_id long, weight long, component long, vec array<double>")
+    planted = near_vectors.plant(placed, 0.9, 1 << 62, sample=40)
+    by = {r["vec_id"]: np.array(r["vec"]) for r in placed.collect()}
+    rows = planted.collect()
+    for r in rows:
+        cosine = by[r["origin"]] @ np.array(r["vec"]) / np.linalg.norm(by[r["origin"]]) / np.linalg.norm(r["vec"])
+        assert 0.9 <= cosine <= 0.951
+    none = spark.createDataFrame([], "vec_id long, id long")
+    half = spark.createDataFrame([(r["vec_id"], r["origin"]) for r in rows[::2]], "vec_id long, id long")
+    assert near_vectors.planted_recall(placed, planted, none) == 0.0
+    assert near_vectors.planted_recall(placed, planted, half) == 0.5
+
+
+def test_near_vectors_with_repeated_ids(spark):
+    """Id 0 has two vectors, one equal to id 1's and one near id 2's; repeated rows change nothing."""
+    rng = np.random.default_rng(14)
+    a, b, c = rng.normal(size=(3, 12))
+    rows = [(0, a), (0, b), (1, b), (2, a + 0.01 * rng.normal(size=12)), (3, c), (3, c), (4, np.zeros(12)), (0, a)]
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in rows], "vec_id long, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in near_vectors.near_duplicates(df).collect())
+    assert got == [(0, 2, 0, True)] * 3 + [(1, 1, 0, False), (2, 1, 0, False), (3, 0, 3, True), (3, 0, 3, True), (4, 0, 4, True)]
+
+
+def test_permutation_search_with_repeated_rows(spark):
+    """Repeated query and candidate rows change nothing; vectors of one id are one candidate and one query."""
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(120, 8))
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = df.filter("vec_id < 3")
+    want = sorted(map(tuple, ann.search(df, asked, k=5).collect()))
+    assert len(want) == 15
+    assert sorted(map(tuple, ann.search(df.union(df.filter("vec_id < 60")), asked.union(asked), k=5).collect())) == want
+    near = spark.createDataFrame([(50, [float(c) for c in x[0] + 1e-3])], df.schema)
+    got = [r["vec_id"] for r in ann.search(df.union(near), df.filter("vec_id = 0"), k=5).orderBy("rank").collect()]
+    assert got[0] == 50 and len(set(got)) == 5
+
+
 def test_permutation_search_recall_at_its_defaults(spark):
     rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()
     ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], dtype=np.float64)
