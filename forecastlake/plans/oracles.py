@@ -544,3 +544,12 @@ ORACLES["run_daily_refetch"] = (
              "make_timestamp(year(\"date\"), 1, 1, CASE WHEN location_name = '1-URGENT' THEN 0 ELSE 6 END, 0, 0)"
              " AS ingestion_timestamp_utc")
     .replace(",\n  'run-' || CAST(year(\"date\") AS VARCHAR) AS run_id", ""))
+
+ORACLES["duplicates_eliminated"] = ORACLES["duplicates"]
+ORACLES["completeness_bitmaps"] = ORACLES["completeness"]
+ORACLES["completeness_rollup"] = (
+    "SELECT location_name, count(*) AS record_count, count(DISTINCT \"date\") AS unique_dates FROM ("
+    + _daily_flag_runs() + ") GROUP BY location_name")
+ORACLES["ingestion_span_rollup"] = (
+    "SELECT min(ingestion_timestamp_utc) AS earliest_ingest, max(ingestion_timestamp_utc) AS latest_ingest, "
+    "count(DISTINCT ingestion_timestamp_utc) AS unique_ingest_times FROM (" + _daily_flag_runs() + ")")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from forecastlake.operators import flatten as fl
 from forecastlake.operators import quality as q
+from forecastlake.operators import rollup as ro
 from forecastlake.operators import state as st
 from forecastlake.operators.parse import ingestion_metadata, metadata_record, parse_responses, split_ok_failed
 from forecastlake.operators.validate import check_rows
@@ -275,6 +276,35 @@ def q_duplicates(spark, sf_dir):
     return q.duplicates(_daily(spark, sf_dir), ["location_name", "date"])
 
 
+def _rolled_lake(spark, sf_dir):
+    """A daily lake of two runs, rolled up run by run; the rollup of what a read shows."""
+    base = scratch_path(spark, "lake-rolled")
+    for run in _two_daily_runs(spark, sf_dir):
+        write_forecasts(run, base, interval="daily", provider=PROVIDER)
+        ro.refresh_rollup(spark, base, interval="daily", provider=PROVIDER)
+    return ro.current_rollup(spark, base, interval="daily", provider=PROVIDER)
+
+
+def q_completeness_rollup(spark, sf_dir):
+    """A1 over a lake of several runs, from its rollup only."""
+    return ro.completeness_from_rollup(_rolled_lake(spark, sf_dir))
+
+
+def q_ingestion_span_rollup(spark, sf_dir):
+    """A4 over a lake of several runs, from its rollup only."""
+    return ro.ingestion_span_from_rollup(_rolled_lake(spark, sf_dir))
+
+
+def q_completeness_bitmaps(spark, sf_dir):
+    """A1 of hourly rows whose times are off the grid: exact all the same."""
+    return ro.completeness_from_rollup(ro.time_rollup(_hourly(spark, sf_dir), "hourly", ["location_name"]))
+
+
+def q_duplicates_eliminated(spark, sf_dir):
+    """A9 by candidate elimination: only rows of suspect groups are grouped by key."""
+    return ro.duplicates_by_elimination(_daily(spark, sf_dir), "daily")
+
+
 def _docs_labels(spark, sf_dir):
     return _t(spark, sf_dir, "documents").join(_t(spark, sf_dir, "labels"), "doc_id", "left")
 
@@ -709,6 +739,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rows_per_location": q_rows_per_location,
     "temp_range": q_temp_range,
     "duplicates": q_duplicates,
+    "duplicates_eliminated": q_duplicates_eliminated,
+    "completeness_rollup": q_completeness_rollup,
+    "completeness_bitmaps": q_completeness_bitmaps,
+    "ingestion_span_rollup": q_ingestion_span_rollup,
     "null_counts": q_null_counts,
     "null_total": q_null_total,
     "sample_rows": q_sample_rows,
