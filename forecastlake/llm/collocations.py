@@ -421,6 +421,23 @@ def phrase_counts(docs: DataFrame, *, least: int = 10, text_col: str = "text", l
     return words, materialise(phrases.filter(F.col("a") >= least), "phrases")
 
 
+def _best(rows: DataFrame, top: int) -> DataFrame:
+    """Each language's ``top`` rows with their rank.
+
+    Hash parts of a language, some tens of ``top`` rows each, keep their own best first,
+    part of parts by part, so that no task ranks all phrases of a language.
+    """
+    fan = 32
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    parts = -(-rows.count() // (fan * max(1, top)))
+    while parts > 1:
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+        rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))) \
+            .filter(F.col("rank") <= top).drop("rank", "part")
+        parts = -(-parts // fan)
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
+
+
 def collocations(docs: DataFrame, *, least: int = 10, top: int = 2000, share: int = 50, **options) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases of two or three words.
 
@@ -458,8 +475,7 @@ def collocations(docs: DataFrame, *, least: int = 10, top: int = 2000, share: in
                           F.when(first, F.col("f1")).otherwise(F.col("f12")).alias("l"),
                           F.when(first, F.col("f23")).otherwise(F.col("f3")).alias("r"),
                           F.least("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = pairs.unionByName(triples).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    best = _best(materialise(pairs.unionByName(triples), "phrase-scores"), top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
                                             "n", "score")
 

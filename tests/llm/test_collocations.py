@@ -96,6 +96,18 @@ def test_a_word_hash_that_collides_is_drawn_anew(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows)
 
 
+def test_ranks_by_parts_are_ranks(spark):
+    """Many hash parts, ties in score and count: the same rows and ranks as one sort."""
+    rng = random.Random(21)
+    rows = [(rng.choice(["en", "en", "fr"]), f"p{i:05d}", rng.randrange(3), rng.randrange(4)) for i in range(3000)]
+    got = co._best(spark.createDataFrame(rows, "lang string, phrase string, score long, a long"), 2).collect()
+    want = []
+    for lang in ("en", "fr"):
+        own = sorted((-s, -a, p) for x, p, s, a in rows if x == lang)[:2]
+        want += [(lang, p, -s, -a, i + 1) for i, (s, a, p) in enumerate(own)]
+    assert sorted((r["lang"], r["phrase"], r["score"], r["a"], r["rank"]) for r in got) == sorted(want)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "lang string, text string")
     assert co.collocations(df).collect() == []
