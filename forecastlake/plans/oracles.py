@@ -553,3 +553,15 @@ ORACLES["completeness_rollup"] = (
 ORACLES["ingestion_span_rollup"] = (
     "SELECT min(ingestion_timestamp_utc) AS earliest_ingest, max(ingestion_timestamp_utc) AS latest_ingest, "
     "count(DISTINCT ingestion_timestamp_utc) AS unique_ingest_times FROM (" + _daily_flag_runs() + ")")
+
+ORACLES["flatten_discovered"] = ORACLES["flatten_dynamic"]
+ORACLES["raw_bodies"] = """
+SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS body_bytes, md5(coalesce(text, '') || chr(10)) AS body_md5
+FROM documents"""
+ORACLES["body_keys"] = f"""
+WITH g AS (SELECT DISTINCT event_type AS t, {DAY} AS d, {CHUNK} AS c FROM events WHERE event_type <> 'error'),
+k AS (SELECT unnest([{{'key': 'latitude', 'kind': 'NUMBER'}}, {{'key': 'longitude', 'kind': 'NUMBER'}}, {{'key': 'elevation', 'kind': 'NUMBER'}},
+  {{'key': 'generationtime_ms', 'kind': 'NUMBER'}}, {{'key': 'utc_offset_seconds', 'kind': 'NUMBER'}}, {{'key': 'timezone', 'kind': 'STRING'}},
+  {{'key': 'hourly', 'kind': 'OBJECT'}}, {{'key': 'hourly_units', 'kind': 'OBJECT'}}, {{'key': 'current', 'kind': 'OBJECT'}}]) AS e)
+SELECT e.key AS key, e.kind AS kind, count(*) AS bodies FROM g, k
+WHERE e.key <> 'timezone' OR t <> 'view' GROUP BY ALL"""

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecastlake.operators import dynamic as dy
 from forecastlake.operators import flatten as fl
 from forecastlake.operators import quality as q
 from forecastlake.operators import rollup as ro
@@ -26,7 +27,7 @@ from forecastlake.sinks.lake import infer_interval, write_forecasts, write_singl
 from forecastlake.sinks.reports import prototype_paths, report_totals, write_report
 from forecastlake.sources import tables as tb
 from forecastlake.sources.lake import lake_path_columns, read_lake
-from forecastlake.sources.responses import attach_locations, read_locations, read_responses, request_manifest
+from forecastlake.sources.responses import attach_locations, read_bodies, read_locations, read_responses, request_manifest
 from forecastlake.sources.state_store import empty_state, read_state, save_state, update_buckets
 from forecastlake.streaming.incremental import run_available_now
 
@@ -80,6 +81,36 @@ def q_flatten_dynamic(spark, sf_dir):
     return fl.flatten_dynamic(ok, "hourly", ["cloud_cover", "cloudcover", "precipitation", "temperature_2m", "weathercode"])
 
 
+def _staged_variants(spark, sf_dir):
+    resp = tb.events_responses(_t(spark, sf_dir, "events"))
+    loc = F.col("location")
+    resp = resp.withColumn("location", F.when(
+        loc["name"] == "view",
+        F.struct(F.lit(None).cast("string").alias("name"), loc["latitude"].alias("latitude"),
+                 loc["longitude"].alias("longitude"))).otherwise(loc))
+    return dy.stage_variants(resp, scratch_path(spark, "variants"))
+
+
+def q_flatten_discovered(spark, sf_dir):
+    """P4 without a declared list: variables and types come from the bodies."""
+    return dy.flatten_discovered(_staged_variants(spark, sf_dir), "hourly")
+
+
+def q_body_keys(spark, sf_dir):
+    """P15, P18 from the variants: top-level keys of all bodies and what they hold."""
+    return dy.top_level_shape(_staged_variants(spark, sf_dir))
+
+
+def q_raw_bodies(spark, sf_dir):
+    """Every document's text landed as a file of its own comes back whole, with its size and path."""
+    folder = scratch_path(spark, "bodies")
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    docs.repartition("doc_id").write.partitionBy("doc_id").text(folder)
+    back = read_bodies(spark, folder, glob="part-*")
+    return back.select(F.regexp_extract("path", "/doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"),
+                       "body_bytes", F.md5(F.col("body").cast("binary")).alias("body_md5"))
+
+
 def q_discover_variables(spark, sf_dir):
     ok = _ok_hourly(spark, sf_dir)
     return fl.discover_variables(ok, "hourly")
@@ -788,5 +819,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "list_bodies": q_list_bodies,
     "ingestion_metadata": q_ingestion_metadata,
     "discover_variables": q_discover_variables,
+    "flatten_discovered": q_flatten_discovered,
+    "body_keys": q_body_keys,
+    "raw_bodies": q_raw_bodies,
     "location_file": q_location_file,
 }

@@ -17,6 +17,49 @@ def read_responses(spark: SparkSession, path: str, *, fmt: str = "json") -> Data
     return reader.json(path) if fmt == "json" else reader.format(fmt).load(path)
 
 
+def read_bodies(spark: SparkSession, path: str, *, glob: str | None = None) -> DataFrame:
+    """Untouched API bodies, one file each (S1): path, body_bytes, modified, body.
+
+    For folders that a fetcher filled with the bodies as it got them. Files are read
+    whole, whatever their names, in folders of any depth; a body that isn't UTF-8 is
+    null (an empty body for ``parse_responses``), its size is not. Spark makes no task
+    for a file of no bytes, so an empty file gives no row.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    text = F.col("content").cast("string")
+    return files.select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"),
+                        F.col("length").alias("body_bytes"), F.col("modificationTime").alias("modified"),
+                        F.try_validate_utf8(text).alias("body"))
+
+
+def _in_utc(instant: str):
+    """The instant's wall clock in UTC, whatever the session's zone."""
+    micros = F.unix_micros(instant)
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            + F.make_dt_interval(secs=(micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")))
+
+
+def bodies_to_responses(bodies: DataFrame, locations: DataFrame, *, interval: str, provider: str,
+                        path_pattern: str = "([^/=]+)/[^/]+$") -> DataFrame:
+    """Envelope rows (RESPONSE) of ``read_bodies``: what the folder tells about each fetch.
+
+    The pattern's first group in the path is the location's name, which is looked up in
+    ``locations``; one that isn't there keeps its name without coordinates. A file is a
+    fetch cycle of its own that landed when the file was last written; attempts, elapsed
+    time and status aren't known.
+    """
+    require_interval(interval)
+    dim = locations.select(F.col("name").alias("_name"), F.struct("name", "latitude", "longitude").alias("_location"))
+    named = bodies.withColumn("_name", F.regexp_extract("path", path_pattern, 1)).join(dim, "_name", "left")
+    unknown = F.struct(F.col("_name").alias("name"), F.lit(None).cast("double").alias("latitude"),
+                       F.lit(None).cast("double").alias("longitude"))
+    known = {"location": F.coalesce("_location", unknown), "provider": F.lit(provider), "interval": F.lit(interval),
+             "body": F.col("body"), "run_id": F.col("path"), "request_url": F.col("path"),
+             "ingestion_timestamp_utc": _in_utc("modified")}
+    return named.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RESPONSE.fields])
+
+
 def locations_df(spark: SparkSession, rows) -> DataFrame:
     """Location dimension from configuration rows.
 
