@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, materialise, ship
+from .common import column, materialise, ship, small_batches
 from .double_array import DoubleArray, build
 from .shingles import _powers, mix
 
@@ -391,8 +391,12 @@ def phrase_counts(docs: DataFrame, *, least: int = 10, text_col: str = "text", l
     table gives empty results. Other columns are left out. Fewer ``short_bits`` (32 at
     most) give more candidates and the same counts.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
+    with small_batches(docs.sparkSession):
+        return _phrase_counts(docs, least, text_col, lang_col, trie_phrases, trie_bytes, short_bits)
+
+
+def _phrase_counts(docs, least, text_col, lang_col, trie_phrases, trie_bytes, short_bits):
     rows = docs.select(F.coalesce(column(lang_col), F.lit("und")).alias("lang"),
                        F.coalesce(column(text_col), F.lit("")).alias("text"))
     for seed in range(16):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import os
 
@@ -28,6 +29,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, records: int = 1_000):
+    """Actions inside send rows to Python in batches of at most ``records`` (long texts: some megabytes, not tens)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= records:
+        yield
+        return
+    spark.conf.set(key, str(records))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def column(name: str):
     """A column by its exact name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
