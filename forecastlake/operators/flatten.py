@@ -103,11 +103,12 @@ def _cell_errors(variables: dict, get, ts: Column, typed: dict) -> Column:
 
 
 def series_counts(parsed: DataFrame, interval: str, *, required: Column | None = None) -> DataFrame:
-    """Each response with n_good, n_bad, first_time and last_time of its series, counted inside its row.
+    """Each response with n_good, n_bad, n_times, first_time and last_time of its series, counted inside its row.
 
     The same rules as ``flatten_series`` and ``check_rows``, by higher-order functions over
     the arrays: no explode, no shuffle. Where ``required`` (the location's name) is null all
-    points are bad. Without a series all counts are 0; times are those of good points.
+    points are bad. Without a series all counts are 0; times (n_times of them aren't null)
+    are those of good points.
     """
     variables = _variables(interval)
     required = F.col("location.name") if required is None else required
@@ -128,6 +129,7 @@ def series_counts(parsed: DataFrame, interval: str, *, required: Column | None =
     return counted.select(
         *parsed.columns, n_good.cast("long").alias("n_good"),
         (F.greatest(F.col("_n"), F.lit(0)) - n_good).cast("long").alias("n_bad"),
+        F.coalesce(size_or_null(F.array_compact(times)), F.lit(0)).cast("long").alias("n_times"),
         F.array_min(times).alias("first_time"), F.array_max(times).alias("last_time"))
 
 

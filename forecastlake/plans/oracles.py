@@ -565,3 +565,10 @@ k AS (SELECT unnest([{{'key': 'latitude', 'kind': 'NUMBER'}}, {{'key': 'longitud
   {{'key': 'hourly', 'kind': 'OBJECT'}}, {{'key': 'hourly_units', 'kind': 'OBJECT'}}, {{'key': 'current', 'kind': 'OBJECT'}}]) AS e)
 SELECT e.key AS key, e.kind AS kind, count(*) AS bodies FROM g, k
 WHERE e.key <> 'timezone' OR t <> 'view' GROUP BY ALL"""
+
+_ENDS = '"date", location_name, temperature_2m_max, temperature_2m_min, precipitation_sum'
+ORACLES["lake_tail"] = (
+    f"WITH lake AS ({_daily_flag_runs()}) SELECT * FROM (SELECT {_ENDS}, 'tail' AS part FROM lake ORDER BY "
+    + ", ".join(f"{c.strip()} DESC NULLS LAST" for c in _ENDS.split(",")) + " LIMIT 25) "
+    f"UNION ALL SELECT * FROM (SELECT {_ENDS}, 'head' AS part FROM lake ORDER BY "
+    + ", ".join(f"{c.strip()} NULLS LAST" for c in _ENDS.split(",")) + " LIMIT 25)")

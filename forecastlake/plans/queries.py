@@ -26,7 +26,7 @@ from forecastlake.session import scratch_path, table_path
 from forecastlake.sinks.lake import infer_interval, write_forecasts, write_single
 from forecastlake.sinks.reports import prototype_paths, report_totals, write_report
 from forecastlake.sources import tables as tb
-from forecastlake.sources.lake import lake_path_columns, read_lake
+from forecastlake.sources.lake import lake_path_columns, read_lake, read_lake_end
 from forecastlake.sources.responses import attach_locations, read_bodies, read_locations, read_responses, request_manifest
 from forecastlake.sources.state_store import empty_state, read_state, save_state, update_buckets
 from forecastlake.streaming.incremental import run_available_now
@@ -525,6 +525,17 @@ def q_single_write_report(spark, sf_dir):
                       F.regexp_extract("path", "/open_meteo/([^/]+)/", 1).alias("interval"))
 
 
+def q_lake_tail(spark, sf_dir):
+    """O4 over a daily lake: the 25 latest and the 25 earliest rows, by a threshold scan of the manifest."""
+    base = scratch_path(spark, "lake-tail")
+    for run in _two_daily_runs(spark, sf_dir):
+        write_forecasts(run, base, interval="daily", provider=PROVIDER)
+    order = ["date", "location_name", "temperature_2m_max", "temperature_2m_min", "precipitation_sum"]
+    ends = [cut(read_lake_end(spark, base, "daily", provider=PROVIDER, n=25, last=last), order, 25)
+            .select(*order, F.lit(name).alias("part")) for last, cut, name in ((True, q.tail, "tail"), (False, q.head, "head"))]
+    return ends[0].unionByName(ends[1])
+
+
 def q_inferred_interval_write(spark, sf_dir):
     """The grouped write of either frame finds its own interval."""
     base = scratch_path(spark, "lake-inferred")
@@ -806,6 +817,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_replace_missing_location": q_daily_replace_missing_location,
     "write_report_escaped_ids": q_write_report_escaped_ids,
     "inferred_interval_write": q_inferred_interval_write,
+    "lake_tail": q_lake_tail,
     "run_cycles": q_run_cycles,
     "run_daily_refetch": q_run_daily_refetch,
     "run_quarantine_report": q_run_quarantine_report,

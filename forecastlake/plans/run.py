@@ -38,7 +38,7 @@ DEFAULT_PROVIDER = "open_meteo"
 CYCLE_KEY = ["provider", "interval", "location", "cycle"]
 #: Columns of a staged response that resolving needs: all but its series.
 ENVELOPE = ["rid", *CYCLE_KEY, "attempt", "attempt_class", "error_class", "ingestion_timestamp_utc", "error",
-            "forecast_end_date", "n_good", "n_bad", "first_time", "last_time"]
+            "forecast_end_date", "n_good", "n_bad", "n_times", "first_time", "last_time"]
 
 
 @dataclass
@@ -115,6 +115,7 @@ def run_manifest(resolved: DataFrame, run_id: str) -> DataFrame:
     return (resolved.filter("n_good > 0")
             .groupBy(F.col("location.name").alias("location_name"), F.to_date("ingestion_timestamp_utc").alias("ingest_date"))
             .agg(F.max("ingestion_timestamp_utc").alias("ingestion_timestamp_utc"), F.sum("n_good").alias("n_rows"),
+                 F.sum("n_times").alias("n_times"),
                  F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
             .withColumn("run_id", F.lit(run_id)))
 

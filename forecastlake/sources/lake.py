@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from forecastlake.schemas import INTERVAL_SCHEMA, require_interval
 from forecastlake.session import empty_frame, path_exists
-from forecastlake.sources.manifest import has_manifest, latest_by_manifest, read_manifest
+from forecastlake.sources.manifest import has_manifest, latest_by_manifest, read_manifest, winning_runs
 
 PARTITION_FIELDS = {
     "provider": T.StringType(),
@@ -78,6 +78,38 @@ def read_lake(spark: SparkSession, base_path: str, interval: str, *,
     return df.select(*cols)
 
 
+def read_lake_end(spark: SparkSession, base_path: str, interval: str, *, provider: str, n: int, last: bool = True) -> DataFrame:
+    """Rows among which the lake's ``n`` latest (or earliest) by time are certain to be.
+
+    A threshold scan over the manifest: taken by their least time, the latest manifest
+    rows hold n rows at or after some time, so no earlier row is among the n latest, and
+    only runs that reach that time are read. Ties at it are all kept: sort and limit the
+    result by any order that begins with the time. Rows without a time come last in
+    either order and aren't returned unless the lake has fewer than n with one.
+    """
+    time_col = INTERVAL_SCHEMA[require_interval(interval)].fields[5].name
+    lake = read_lake(spark, base_path, interval, provider=provider, with_partitions=True)
+    if not has_manifest(spark, base_path, provider, interval):
+        return lake
+    manifest = read_manifest(spark, base_path, interval, provider).filter("n_rows > 0")
+    if interval == "daily":
+        manifest = manifest.join(winning_runs(manifest), ["provider", "location_name", "ingest_date", "run_id"], "left_semi")
+    near, far = ("first_time", "last_time") if last else ("last_time", "first_time")
+    order = F.desc_nulls_last(near) if last else F.asc_nulls_last(near)
+    # n rows at most, each of one row or more: with the nulls of a run left out, enough.
+    bounds = manifest.filter(F.col("n_times") > 0).orderBy(order).select(near, "n_times").limit(n).collect()
+    total, edge = 0, None
+    for r in bounds:
+        total, edge = total + r["n_times"], r[near]
+        if total >= n:
+            break
+    if total < n:
+        return lake
+    reach = (lambda c: F.col(c) >= F.lit(edge)) if last else (lambda c: F.col(c) <= F.lit(edge))
+    runs = manifest.filter(reach(far)).select("ingest_date", "run_id").distinct()
+    return lake.filter(reach(time_col)).join(runs, ["ingest_date", "run_id"], "left_semi").select(*lake.columns)
+
+
 def _providers(spark: SparkSession, base_path: str) -> list[str]:
     """One listing of the lake's top folder, which has a folder for each provider."""
     jvm = spark.sparkContext._jvm

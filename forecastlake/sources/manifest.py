@@ -20,6 +20,7 @@ MANIFEST = T.StructType([
     T.StructField("location_name", T.StringType()),
     T.StructField("ingestion_timestamp_utc", T.TimestampNTZType()),
     T.StructField("n_rows", T.LongType()),
+    T.StructField("n_times", T.LongType()),           # rows with a time
     T.StructField("first_time", T.TimestampNTZType()),
     T.StructField("last_time", T.TimestampNTZType()),
     T.StructField("ingest_date", T.DateType()),
@@ -41,7 +42,7 @@ def manifest_rows(rows: DataFrame, time_col: str) -> DataFrame:
     day = F.to_date("ingestion_timestamp_utc")
     return rows.groupBy("location_name", day.alias("ingest_date"), "run_id").agg(
         F.max("ingestion_timestamp_utc").alias("ingestion_timestamp_utc"), F.count(F.lit(1)).alias("n_rows"),
-        F.min(time_col).alias("first_time"), F.max(time_col).alias("last_time"))
+        F.count(time_col).alias("n_times"), F.min(time_col).alias("first_time"), F.max(time_col).alias("last_time"))
 
 
 def write_manifest(manifest: DataFrame, base_path: str, provider: str, interval: str) -> None:

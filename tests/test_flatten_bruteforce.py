@@ -149,7 +149,7 @@ def test_counts_inside_the_row_match_the_rows(spark):
     for r in bad.collect():
         want.setdefault(r["requested_longitude"], [0, 0, []])[1] += 1
     counted = fl.series_counts(ok, "hourly")
-    assert counted.columns == [*ok.columns, "n_good", "n_bad", "first_time", "last_time"]
+    assert counted.columns == [*ok.columns, "n_good", "n_bad", "n_times", "first_time", "last_time"]
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("from_json(") == 1
     got = {r["location"]["longitude"]: r for r in counted.collect()}
@@ -158,6 +158,7 @@ def test_counts_inside_the_row_match_the_rows(spark):
         g, b, times = want.get(key, [0, 0, []])
         assert (r["n_good"], r["n_bad"]) == (g, b), key
         times = [t for t in times if t is not None]
+        assert r["n_times"] == len(times)
         assert (r["first_time"], r["last_time"]) == (min(times, default=None), max(times, default=None))
     failed = fl.series_counts(parsed.filter("error is not null"), "hourly").collect()
     assert [(r["n_good"], r["n_bad"], r["first_time"]) for r in failed] == [(0, 0, None)] * 2

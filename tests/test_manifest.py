@@ -114,3 +114,25 @@ def test_catalog_reads_use_the_manifest(spark, tmp_dir):
     assert sum("temperature_2m_max" in x for x in _plan(lake).splitlines() if "FileScan" in x) == 1
     assert {(r["location_name"], r["run_id"]) for r in lake.collect()} == {("A", "r2"), ("B", "r1")}
     spark.sql("DROP TABLE manifest_lake")
+
+
+def test_tail_of_200_days_reads_the_last_ones(spark, tmp_dir):
+    """One run a day, each reaching three days ahead: head and tail read a few runs, ties included."""
+    from forecastlake.operators import quality as q
+    from forecastlake.sources.lake import read_lake_end
+
+    rows = [(n, 1.0, 2.0, 1.0, 2.0, DAY + timedelta(days=d + k), float(d), 1.0, 0.0, "open-meteo", DAY + timedelta(days=d), f"r{d:03d}")
+            for d in range(200) for n in "AB" for k in range(3)]
+    rows.append(("C", 1.0, 2.0, 1.0, 2.0, None, 0.0, 1.0, 0.0, "open-meteo", DAY + timedelta(days=300), "late"))
+    write_forecasts(spark.createDataFrame(rows, DAILY), tmp_dir, interval="daily", provider="open_meteo")
+    lake = read_lake(spark, tmp_dir, "daily", provider="open_meteo", with_partitions=True)
+    order = ["date", "location_name", "run_id"]
+    for last, cut in ((True, q.tail), (False, q.head)):
+        for n in (1, 2, 5, 7, 1200, 5000):
+            end = read_lake_end(spark, tmp_dir, "daily", provider="open_meteo", n=n, last=last)
+            assert [tuple(r) for r in cut(end, order, n).collect()] == [tuple(r) for r in cut(lake, order, n).collect()], (last, n)
+        end = read_lake_end(spark, tmp_dir, "daily", provider="open_meteo", n=5, last=last)
+        days = {r["ingest_date"].isoformat() for r in end.select("ingest_date").distinct().collect()}
+        assert len(days) <= 5 and end.count() < 30
+        # Files of other days aren't needed.
+        assert "dynamicpruning" in _plan(end)
