@@ -26,6 +26,80 @@ def test_language_accuracy_on_held_out_rows(spark):
     assert np.mean([r["accepted"] for r in out]) >= 0.98
 
 
+def plain_subwords(text):
+    """Byte n-grams inside marked words, and their buckets, in plain Python."""
+    def mix(x):
+        for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> shift)) * by % 2**64
+        return x ^ (x >> 31)
+
+    out, word = [], []
+    for b in text.lower().encode() + b" ":
+        if 97 <= b <= 122 or b >= 128:
+            word.append(b + 1)
+            continue
+        if word:
+            w = [1, *word, 1]
+            for n in language.SIZES:
+                for i in range(len(w) - n + 1):
+                    g = w[i:i + n]
+                    h = g[0]
+                    for c in g[1:]:
+                        h = (h * 0x100000001B3 + c) % 2**64
+                    out.append(mix((h + n) % 2**64) >> 50)
+        word = []
+    return sorted(out)
+
+
+def test_language_model_matches_plain_recomputation():
+    texts = ["", "a", "The cat", "Ça va, l'été?", "x1y2 z", "日本 ok", "  tabs\tand\nlines "]
+    for text in texts:
+        assert sorted(language.subwords(text).tolist()) == plain_subwords(text)
+    rng = np.random.default_rng(3)
+    rows = [(lang, *language.features(text), len(language.subwords(text)))
+            for lang, words in (("en", ["the", "and", "of"]), ("fr", ["le", "une", "très"]))
+            for text in (" ".join(rng.choice(words, 30)) for _ in range(60))]
+    m = language.fit(rows)
+    for text in ("the une and", "très le", "of"):
+        found = plain_subwords(text)
+        z = [sum(float(m.scores[b, k]) for b in found) / len(found) + float(m.bias[k]) for k in range(2)]
+        e = np.exp((np.array(z) - max(z)) / m.temperature)
+        p = e / e.sum()
+        lang, score, accepted = m.predict(text)
+        k = int(p.argmax())
+        assert lang == m.langs[k] and score == pytest.approx(p[k], abs=1e-4)
+        average = sum(float(m.known.log_p[b, k]) for b in found) / len(found)
+        near = (average - m.known.mean[k]) / np.sqrt(m.known.between[k] + m.known.within[k] / len(found))
+        assert accepted == (p[k] >= m.reject_below and near >= m.least_deviation)
+
+
+def test_language_rejects_what_no_language_explains(spark):
+    """Noise, code and languages left out go nine times in ten; 99 % of right predictions stay."""
+    import random
+
+    rng = random.Random(1)
+    docs = [r for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").collect() if r["text"] and r["lang"]]
+
+    def rows(some):
+        return [(d["lang"], *language.features(d["text"]), len(language.subwords(d["text"]))) for d in some]
+
+    use, apart = [d for d in docs if not held(d["doc_id"])][:2500], [d for d in docs if held(d["doc_id"])][:1200]
+    noise = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") + " " * (rng.random() < 0.2) for _ in range(rng.randrange(40, 600)))
+             for _ in range(50)]
+    noise += ["".join(rng.sample(d["text"][:1500], min(1500, len(d["text"])))) for d in apart[:50] if len(d["text"]) > 200]
+    code = ["for (int i = 0; i < n; ++i) { buf[i] = fgetc(fp); if (buf[i] == EOF) return NULL; }\n",
+            "def __init__(self, x):\n    self.x = np.zeros((3, 4), dtype=np.float32)\n",
+            "SELECT a.id, count(*) FROM t1 a LEFT JOIN t2 b ON a.id = b.id WHERE b.x IS NULL GROUP BY 1;\n"]
+    noise += [" ".join(rng.choices(code, k=4)) for _ in range(30)] + ["日本語の文章です。今日は天気がいいですね。" * 3]
+    m = language.fit(rows(use))
+    assert np.mean([m.predict(x)[2] for x in noise]) <= 0.1
+    right = [a for d in apart for l, _, a in [m.predict(d["text"])] if l == d["lang"]]
+    assert len(right) >= 0.98 * len(apart) and np.mean(right) >= 0.99
+    for out in ("es", "de", "fr"):
+        m = language.fit(rows([d for d in use if d["lang"] != out]))
+        assert np.mean([m.predict(d["text"])[2] for d in apart if d["lang"] == out]) <= 0.1
+
+
 def test_language_edges(spark):
     rows = [(1, "the the and", "en", 1.0), (2, "le la les", "fr", 1.0), (3, None, "en", 1.0), (4, "", None, 1.0), (5, "123 !?", "en", 1.0),
             (6, "é" * 100_000, None, 1.0), (7, "日本", None, 1.0), (None, "the the and", None, 1.0)]
