@@ -27,7 +27,7 @@ def test_language_accuracy_on_held_out_rows(spark):
 
 
 def plain_subwords(text):
-    """Byte n-grams inside marked words, and their buckets, in plain Python."""
+    """Byte n-grams of words with a mark at both ends, but those of both marks, as buckets, in plain Python."""
     def mix(x):
         for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
             x = (x ^ (x >> shift)) * by % 2**64
@@ -43,6 +43,8 @@ def plain_subwords(text):
             for n in language.SIZES:
                 for i in range(len(w) - n + 1):
                     g = w[i:i + n]
+                    if g[0] == g[-1] == 1:
+                        continue
                     h = g[0]
                     for c in g[1:]:
                         h = (h * 0x100000001B3 + c) % 2**64
