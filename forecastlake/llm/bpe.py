@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 from .common import column, ship
 
 CHUNK, OVERLAP = 32_768, 1_024
+#: Fixed value: the pattern whose boundaries the stitching rules hold for. Texts are one piece under any other.
+CHUNKED = frozenset({
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
+})
 #: Characters before a chunk's end whose boundaries may depend on what follows.
 MARGIN = 8
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -76,12 +80,15 @@ def encode(df: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id", t
     ``ids`` are little-endian unsigned 32-bit ids. A null text is empty and has one
     empty piece. Rows are told apart by ``row_id``, so repeated or null ids do no
     harm; an empty table gives no rows. Other input columns are left out. The input
-    must give the same rows again if a task is repeated (a table does).
+    must give the same rows again if a task is repeated (a table does). Texts are cut
+    under the patterns of ``CHUNKED`` only; under any other a text is one piece.
     """
     spark = df.sparkSession
     ship(spark)
     rows = df.select(F.monotonically_increasing_id().alias("row_id"), column(id_col).cast("long").alias("doc_id"),
                      F.coalesce(column(text_col), F.lit("")).alias("text"))
+    if pattern not in CHUNKED:
+        chunk = (1 << 31) - 1        # longer than any string
     short = rows.filter(F.char_length("text") <= chunk)
     long = rows.filter(F.char_length("text") > chunk)
     out = "row_id long, doc_id long, piece int, last boolean, ids binary"
