@@ -3,13 +3,15 @@
 No token spans white space, so a text's ids are its white-space runs' ids one
 after another. Runs repeat, so each worker keeps their ids; the model itself only
 sees words it hasn't met. Anything but printable ASCII and precomposed Latin
-letters, or what may hold a special token, goes through the library's full path.
+letters, or what may hold a special token, goes through the library's full path, and
+so does every text of a file whose normaliser or split isn't the one this rests on.
 """
 
 from __future__ import annotations
 
 import array
 import functools
+import json
 import os
 import re
 
@@ -21,6 +23,9 @@ _SIMPLE = re.compile("[!-~À-įı-ſ]+")
 _LETTERS = "a-zÀ-ÖØ-öø-ſ"
 #: The tokenizer file's own split pattern, narrowed to the characters of ``_SIMPLE``.
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
+#: The normaliser and split of the files that the short path holds for.
+_NORMALIZERS = ["NFC", ("Replace", r"\s+", " "), "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _MARKS = frozenset(".,;:!?")
 _CACHE_LIMIT = 300_000
 
@@ -52,6 +57,22 @@ class _Kept(dict):
         return value
 
 
+def short_path(tokenizer: str) -> bool:
+    """Whether a tokenizer's JSON is of the kind that ids by word are right for."""
+    parts = json.loads(tokenizer)
+    norm, pre, model = parts.get("normalizer") or {}, parts.get("pre_tokenizer") or {}, parts["model"]
+    steps = [(n["type"], n["pattern"].get("Regex"), n["content"]) if n["type"] == "Replace" else n["type"]
+             for n in norm.get("normalizers", [])]
+    split, level = (pre.get("pretokenizers", []) + [{}, {}])[:2]
+    return (steps == _NORMALIZERS and len(pre.get("pretokenizers", [])) == 2
+            and split.get("type") == "Split" and split["pattern"].get("Regex") == _SPLIT
+            and split["behavior"] == "Removed" and split["invert"] is True
+            and level.get("type") == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"]
+            and model["type"] == "BPE" and not model.get("dropout")
+            and not parts.get("truncation") and not parts.get("padding")
+            and all(t["content"].startswith("<|") for t in parts.get("added_tokens", [])))
+
+
 class WordTokenizer:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,11 +80,14 @@ class WordTokenizer:
 
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
+        self.short = short_path(self.tok.to_str())
         self.runs = _Kept(self._run, _CACHE_LIMIT)
         self.words = _Kept(self._word, _CACHE_LIMIT)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as unsigned 32-bit integers."""
+        if not self.short:
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
         if "<|" not in text and "Σ" not in text:     # lower-casing by run or at once is the same
             text = text.lower()
         parts = _SPACE.split(text) if _ODD_SPACE.search(text) else text.split()

@@ -256,3 +256,51 @@ def test_pack_takes_the_number_of_open_windows(spark):
             at += length
         assert at == many[doc]
     assert set(got) == set(many)
+
+
+def test_patterns_that_texts_are_not_cut_under(spark):
+    """Punctuation takes the line ends behind it: white space is no sure boundary, so a text is one piece."""
+    import random
+
+    import public_tokenizers
+
+    from forecastlake.llm import bpe
+
+    pattern = r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    rng = random.Random(4)
+    texts = ["abc!\n\ndef", *("".join(rng.choice(["word", "!", ".\n", "\n\n", " ", "7"]) for _ in range(400)) for _ in range(5))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = bpe.digests(bpe.encode(df, ranks, pattern, chunk=60, overlap=20), ranks, pattern).collect()
+    enc, _ = bpe.encoding(ranks, pattern)
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(enc.encode_ordinary(t)) for i, t in enumerate(texts)}
+    assert public_tokenizers.PATTERN in bpe.CHUNKED and pattern not in bpe.CHUNKED
+
+
+def test_other_tokenizer_files_take_the_full_path(tmp_path):
+    """Files with another normaliser or split: the ids are the library's."""
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from forecastlake.llm.word_tokens import WordTokenizer, short_path
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path) as f:
+        parts = json.load(f)
+    assert WordTokenizer(path).short
+    texts = ["Hello, WORLD it's 42!", "ÄÖ  ß\n", "", "<|endoftext|> x"]
+    for k, change in enumerate((
+            lambda p: p["normalizer"]["normalizers"].pop(),
+            lambda p: p["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex=r"\S+"),
+            lambda p: p.update(normalizer=None),
+            lambda p: p["pre_tokenizer"]["pretokenizers"].pop())):
+        other = json.loads(json.dumps(parts))
+        change(other)
+        assert not short_path(json.dumps(other))
+        file = tmp_path / f"{k}.json"
+        file.write_text(json.dumps(other))
+        tok = WordTokenizer(str(file))
+        for text in texts:
+            assert tok.encode(text).tolist() == Tokenizer.from_file(str(file)).encode(text, add_special_tokens=False).ids
