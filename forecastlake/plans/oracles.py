@@ -572,3 +572,20 @@ ORACLES["lake_tail"] = (
     + ", ".join(f"{c.strip()} DESC NULLS LAST" for c in _ENDS.split(",")) + " LIMIT 25) "
     f"UNION ALL SELECT * FROM (SELECT {_ENDS}, 'head' AS part FROM lake ORDER BY "
     + ", ".join(f"{c.strip()} NULLS LAST" for c in _ENDS.split(",")) + " LIMIT 25)")
+
+_FORECASTS = """f AS (
+  SELECT o_orderpriority AS location_name, CAST(o_orderdate AS TIMESTAMP) AS "date", o_totalprice / CAST(1000 AS DOUBLE) AS temperature_2m_max,
+    CAST(o_orderdate AS TIMESTAMP) - to_days(CAST(o_orderkey % 10 AS INTEGER)) - to_hours(o_custkey % 24) AS ingestion_timestamp_utc,
+    'run-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS run_id FROM orders)"""
+_LATEST = 'QUALIFY row_number() OVER (PARTITION BY location_name, "date" ORDER BY ingestion_timestamp_utc DESC, run_id DESC) = 1'
+ORACLES["latest_forecast"] = f"WITH {_FORECASTS} SELECT * FROM f {_LATEST}"
+ORACLES["forecast_as_of"] = f"WITH {_FORECASTS} SELECT * FROM f WHERE ingestion_timestamp_utc <= TIMESTAMP '1995-01-01' {_LATEST}"
+ORACLES["lead_time_accuracy"] = f"""
+WITH {_FORECASTS}, t AS (SELECT * FROM f {_LATEST}),
+e AS (
+  SELECT CAST(floor((epoch(f."date") - epoch(f.ingestion_timestamp_utc)) / 86400) * 24 AS BIGINT) AS lead_hours,
+    CAST(f.temperature_2m_max AS DECIMAL(18,6)) - CAST(t.temperature_2m_max AS DECIMAL(18,6)) AS e
+  FROM f JOIN t USING (location_name, "date") WHERE f.run_id <> t.run_id)
+SELECT lead_hours, count(*) AS n, CAST(sum(e) AS DOUBLE) / count(*) AS bias, CAST(sum(abs(e)) AS DOUBLE) / count(*) AS mae,
+  sqrt(CAST(sum(CAST(e AS DECIMAL(18,6)) * CAST(e AS DECIMAL(18,6))) AS DOUBLE) / count(*)) AS rmse
+FROM e GROUP BY lead_hours"""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from forecastlake.operators import dynamic as dy
 from forecastlake.operators import flatten as fl
+from forecastlake.operators import forecast as fc
 from forecastlake.operators import quality as q
 from forecastlake.operators import rollup as ro
 from forecastlake.operators import state as st
@@ -398,6 +399,25 @@ def q_ranges_from_responses(spark, sf_dir):
     return q.ranges(good, "hourly")
 
 
+def _forecasts(spark, sf_dir):
+    return tb.orders_forecasts(_t(spark, sf_dir, "orders"))
+
+
+def q_latest_forecast(spark, sf_dir):
+    """The latest forecast of each location and target time."""
+    return fc.latest_forecast(_forecasts(spark, sf_dir), "daily")
+
+
+def q_forecast_as_of(spark, sf_dir):
+    """What the forecasts said at the start of 1995."""
+    return fc.latest_forecast(_forecasts(spark, sf_dir), "daily", as_of=F.lit("1995-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def q_lead_time_accuracy(spark, sf_dir):
+    """How far forecasts were off, by days ahead."""
+    return fc.lead_time_accuracy(_forecasts(spark, sf_dir), "daily", "temperature_2m_max")
+
+
 # ---- layout, sinks and reports ------------------------------------------
 
 def q_partition_paths(spark, sf_dir):
@@ -753,6 +773,9 @@ def q_backoff_schedule(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ranges_from_responses": q_ranges_from_responses,
+    "latest_forecast": q_latest_forecast,
+    "forecast_as_of": q_forecast_as_of,
+    "lead_time_accuracy": q_lead_time_accuracy,
     "flatten_hourly": q_flatten_hourly,
     "flatten_daily": q_flatten_daily,
     "flatten_dynamic": q_flatten_dynamic,

@@ -278,6 +278,21 @@ def lineitem_daily_frame(lineitem: DataFrame, *, by_flag: bool = False) -> DataF
         run.alias("run_id"), "l_orderkey", "l_linenumber")
 
 
+def orders_forecasts(orders: DataFrame) -> DataFrame:
+    """``orders`` as forecasts of one target from many fetches.
+
+    Location = priority, target = order date, fetched up to nine days before it at an
+    hour that the customer gives; each order is a run of its own.
+    """
+    target = F.col("o_orderdate").cast("timestamp_ntz")
+    ahead = F.make_dt_interval(days=(F.col("o_orderkey") % 10).cast("int"), hours=(F.col("o_custkey") % 24).cast("int"))
+    return orders.select(
+        F.col("o_orderpriority").alias("location_name"), target.alias("date"),
+        (F.col("o_totalprice") / F.lit(1000.0)).alias("temperature_2m_max"),
+        (target - ahead).alias("ingestion_timestamp_utc"),
+        F.concat(F.lit("run-"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("run_id"))
+
+
 def events_attempt_log(events: DataFrame) -> DataFrame:
     """``events`` as a fetch-attempt log.
 
