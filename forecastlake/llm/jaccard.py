@@ -14,7 +14,8 @@ n - ceil(t n) + 1 in that order; a shingle that one text alone holds can't be it
    overlap from above.
 4. Members are verified by their exact sets, first along a spanning forest of the
    candidates, then all candidates that still lie in different components. Pairs
-   that links connect anyway aren't compared, so a group of copies costs its size.
+   that links connect anyway aren't compared, so a group of equal sets costs its size;
+   a family of sets that are near but not equal still has its postings paired.
 """
 
 from __future__ import annotations
