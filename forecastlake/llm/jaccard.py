@@ -12,10 +12,11 @@ n - ceil(t n) + 1 in that order; a shingle that one text alone holds can't be it
    For each prefix shingle, pairs of groups that can reach the overlap by size and
    position are kept, then expanded to members, whose binned counts bound the
    overlap from above.
-4. Members are verified by their exact sets, first along a spanning forest of the
-   candidates, then all candidates that still lie in different components. Pairs
-   that links connect anyway aren't compared, so a group of equal sets costs its size;
-   a family of sets that are near but not equal still has its postings paired.
+4. Members are verified by their exact sets, along a spanning forest of the candidates
+   of each block of a shingle's list, then along one of a few members of each component
+   that a list still holds, and at last all candidates that still lie in different
+   components, for pairs of blocks of those lists only. Pairs that links connect
+   anyway aren't compared, so a family of near copies costs its size.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from .shingles import U, mix, sets_of
 
 BLOCK_CHARS, BUCKET_CHARS = 4_000_000, 8_000_000
 BINS, UNIT = 256, 384
+#: Members of a component that stand for it in a shingle's list.
+PICKS = 4
 
 
 def needed(n1, n2, percent: int):
@@ -204,6 +207,35 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
+def _bundles(postings: DataFrame) -> int:
+    return 1 + math.ceil(postings.count() / 4_000)
+
+
+def _edges(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+
+
+def _components_of(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the component of each ``rep``, its own where nothing links it."""
+    return rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
+        .withColumn("component", F.coalesce("component", "rep"))
+
+
+def _picked(listed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of a few members of each component of several members, in lists of several blocks
+    that hold two such components at least."""
+    own = _components_of(listed.filter("blocks > 1").select("token", "rep"), labels)
+    picks = [F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(PICKS)]
+    few = own.groupBy("token", "component").agg(F.count("*").alias("members"), F.array_distinct(F.array(*picks)).alias("reps")) \
+        .filter("members > 1")
+    wanted = few.groupBy("token").agg(F.count("*").alias("components"), F.sum(F.size("reps")).alias("size")).filter("components > 1") \
+        .select("token", F.ceil(F.col("size") / float(UNIT)).cast("int").alias("blocks"))
+    reps = few.join(wanted, "token").select("token", "blocks", F.explode("reps").alias("rep"))
+    rows = listed.drop("block", "blocks").join(reps, ["token", "rep"]) \
+        .withColumn("block", F.pmod(F.xxhash64("rep", F.lit(PICKS)), F.col("blocks")).cast("int"))
+    return materialise(rows.withColumns({"lo": F.col("block"), "hi": F.col("block")}), "picked")
+
+
 def similar_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                    percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each input row.
@@ -233,22 +265,27 @@ def similar_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("lead", "prefix", "bins", "shingles")]), "sets")
     entries = sets.select("rep", "n", "bins", F.xxhash64("n", "prefix").alias("grp"), "lead", F.posexplode("prefix").alias("pos", "token"))
     entries = entries.select("rep", "n", "bins", "grp", "token", (F.col("lead") + F.col("pos")).alias("at"))
-    # A shingle's list is taken in blocks, each pair of blocks a unit of its own.
+    # A shingle's list is taken in blocks.
     lists = entries.groupBy("token").agg(F.ceil(F.count("*") / float(UNIT)).cast("int").alias("blocks"), F.count("*").alias("entries")) \
         .filter("entries > 1").drop("entries")
-    listed = entries.join(lists, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    postings = listed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("token", "rep", "n", "at", "grp", "bins", "block",
-                F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    postings = materialise(postings, "postings")
-    bundles = 1 + math.ceil(postings.count() / 4_000)
-
-    first = materialise(_verify(_pairs(postings, bundles, percent, False), sets, percent), "links")
+    listed = materialise(entries.join(lists, "token")
+                         .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "postings")
+    inside = listed.withColumns({"lo": F.col("block"), "hi": F.col("block")})
+    first = materialise(_verify(_pairs(inside, _bundles(listed), percent, False), sets, percent), "links")
     labels = materialise(connected_components(first), "labels")
-    labelled = postings.join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
-        .withColumn("component", F.coalesce("component", "rep"))
-    second = materialise(_verify(_pairs(labelled, bundles, percent, True), sets, percent), "links")
-    labels = connected_components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).union(second))
+
+    picked = _picked(listed, labels)
+    second = materialise(_verify(_pairs(picked, _bundles(picked), percent, False), sets, percent), "links")
+    labels = materialise(connected_components(_edges(labels).union(second)), "labels")
+
+    open_lists = _components_of(listed.select("token", "rep"), labels).groupBy("token") \
+        .agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("token")
+    # Each pair of blocks of a list that holds several components is a unit of its own.
+    across = listed.join(open_lists, "token").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
+    across = materialise(_components_of(across, labels), "across")
+    rest = materialise(_verify(_pairs(across, _bundles(across), percent, True), sets, percent), "links")
+    labels = connected_components(_edges(labels).union(rest))
 
     of_set = sets.select("k1", "k2", "n", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
