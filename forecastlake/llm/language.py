@@ -28,7 +28,7 @@ BUCKETS, DIM, SIZES = 1 << 14, 16, (2, 3, 4)
 #: Labelled rows that the model is fitted on, at most; taken by the smallest hash of the id.
 SAMPLE_ROWS = 4_000
 #: Share of right predictions that each rule may reject; rows kept apart that a rule needs.
-LOSS, LEAST_APART = 0.002, 20
+LOSS, LEAST_APART = 0.001, 20
 #: Share of wrong labels that the temperature reckons with.
 DOUBT = 0.002
 
