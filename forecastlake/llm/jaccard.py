@@ -271,7 +271,8 @@ def similar_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     listed = materialise(entries.join(lists, "token")
                          .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "postings")
     inside = listed.withColumns({"lo": F.col("block"), "hi": F.col("block")})
-    first = materialise(_verify(_pairs(inside, _bundles(listed), percent, False), sets, percent), "links")
+    bundles = _bundles(listed)
+    first = materialise(_verify(_pairs(inside, bundles, percent, False), sets, percent), "links")
     labels = materialise(connected_components(first), "labels")
 
     picked = _picked(listed, labels)
@@ -283,8 +284,8 @@ def similar_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     # Each pair of blocks of a list that holds several components is a unit of its own.
     across = listed.join(open_lists, "token").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
-    across = materialise(_components_of(across, labels), "across")
-    rest = materialise(_verify(_pairs(across, _bundles(across), percent, True), sets, percent), "links")
+    rest = _pairs(_components_of(across, labels), bundles, percent, True)
+    rest = materialise(_verify(rest, sets, percent), "links")
     labels = connected_components(_edges(labels).union(rest))
 
     of_set = sets.select("k1", "k2", "n", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left") \

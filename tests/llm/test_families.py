@@ -20,17 +20,15 @@ def _family(n, seed, words=60):
 
 
 def _posted(spark, texts, monkeypatch):
-    """(component by id, rows that all posting tables hold)."""
+    """(component by id, rows that are compared in units)."""
     rows = []
-    real = jaccard.materialise
+    real = jaccard._pairs
 
-    def counting(df, name):
-        out = real(df, name)
-        if name in ("postings", "picked", "across"):
-            rows.append(out.count())
-        return out
+    def counting(postings, *args):
+        rows.append(postings.count())
+        return real(postings, *args)
 
-    monkeypatch.setattr(jaccard, "materialise", counting)
+    monkeypatch.setattr(jaccard, "_pairs", counting)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in jaccard.similar_groups(df, words=3, percent=80).collect()}
     monkeypatch.undo()
