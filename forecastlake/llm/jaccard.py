@@ -263,8 +263,10 @@ def similar_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     open_ = cut.filter(F.size("prefix") > 0)
     sets = materialise(open_.groupBy("k1", "k2", "n").agg(
         F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("lead", "prefix", "bins", "shingles")]), "sets")
-    entries = sets.select("rep", "n", "bins", F.xxhash64("n", "prefix").alias("grp"), "lead", F.posexplode("prefix").alias("pos", "token"))
-    entries = entries.select("rep", "n", "bins", "grp", "token", (F.col("lead") + F.col("pos")).alias("at"))
+    # Entries stay narrow; the bins join them by set where they are compared.
+    entries = sets.select("rep", "n", F.xxhash64("n", "prefix").alias("grp"), "lead", F.posexplode("prefix").alias("pos", "token"))
+    entries = entries.select("rep", "n", "grp", "token", (F.col("lead") + F.col("pos")).alias("at"))
+    bins = sets.select("rep", "bins")
     # A shingle's list is taken in blocks.
     lists = entries.groupBy("token").agg(F.ceil(F.count("*") / float(UNIT)).cast("int").alias("blocks"), F.count("*").alias("entries")) \
         .filter("entries > 1").drop("entries")
@@ -272,11 +274,11 @@ def similar_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                          .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "postings")
     inside = listed.withColumns({"lo": F.col("block"), "hi": F.col("block")})
     bundles = _bundles(listed)
-    first = materialise(_verify(_pairs(inside, bundles, percent, False), sets, percent), "links")
+    first = materialise(_verify(_pairs(inside.join(bins, "rep"), bundles, percent, False), sets, percent), "links")
     labels = materialise(connected_components(first), "labels")
 
     picked = _picked(listed, labels)
-    second = materialise(_verify(_pairs(picked, _bundles(picked), percent, False), sets, percent), "links")
+    second = materialise(_verify(_pairs(picked.join(bins, "rep"), _bundles(picked), percent, False), sets, percent), "links")
     labels = materialise(connected_components(_edges(labels).union(second)), "labels")
 
     open_lists = _components_of(listed.select("token", "rep"), labels).groupBy("token") \
@@ -284,7 +286,7 @@ def similar_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     # Each pair of blocks of a list that holds several components is a unit of its own.
     across = listed.join(open_lists, "token").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
-    rest = _pairs(_components_of(across, labels), bundles, percent, True)
+    rest = _pairs(_components_of(across, labels).join(bins, "rep"), bundles, percent, True)
     rest = materialise(_verify(rest, sets, percent), "links")
     labels = connected_components(_edges(labels).union(rest))
 
