@@ -22,10 +22,10 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (PACKAGE_ROOT, known) if x)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write to the shared scratch folder and read back."""
+def materialise(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """Cut the lineage: write to the shared scratch folder (by the session's codec unless given) and read back."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -258,11 +258,11 @@ def similar_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     cut = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _prefixes(words, percent), "doc_id long, n long, k1 long, k2 long, lead long, "
                                    "prefix array<long>, bins binary, shingles array<long>")
-    cut = materialise(cut, "prefixes")
+    cut = materialise(cut, "prefixes", "zstd")
 
     open_ = cut.filter(F.size("prefix") > 0)
     sets = materialise(open_.groupBy("k1", "k2", "n").agg(
-        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("lead", "prefix", "bins", "shingles")]), "sets")
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("lead", "prefix", "bins", "shingles")]), "sets", "zstd")
     # Entries stay narrow; the bins join them by set where they are compared.
     entries = sets.select("rep", "n", F.xxhash64("n", "prefix").alias("grp"), "lead", F.posexplode("prefix").alias("pos", "token"))
     entries = entries.select("rep", "n", "grp", "token", (F.col("lead") + F.col("pos")).alias("at"))
