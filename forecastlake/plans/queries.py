@@ -24,6 +24,7 @@ from forecastlake.operators.validate import check_rows
 from forecastlake.functions.scalars import size_or_null
 from forecastlake.plans.run import run_batch
 from forecastlake.session import scratch_path, table_path
+from forecastlake.sinks.bodies import small_files, write_bodies
 from forecastlake.sinks.lake import infer_interval, write_forecasts, write_single
 from forecastlake.sinks.reports import prototype_paths, report_totals, write_report
 from forecastlake.sources import tables as tb
@@ -104,12 +105,14 @@ def q_body_keys(spark, sf_dir):
 
 def q_raw_bodies(spark, sf_dir):
     """Every document's text landed as a file of its own comes back whole, with its size and path."""
-    folder = scratch_path(spark, "bodies")
-    docs = _t(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("value"))
-    docs.repartition("doc_id").write.partitionBy("doc_id").text(folder)
-    back = read_bodies(spark, folder, glob="part-*")
-    return back.select(F.regexp_extract("path", "/doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"),
-                       "body_bytes", F.md5(F.col("body").cast("binary")).alias("body_md5"))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
+    digests = scratch_path(spark, "body-digests")
+    with small_files(spark):
+        for folder in write_bodies(docs, scratch_path(spark, "bodies"), key="doc_id"):
+            read_bodies(spark, folder, glob="*.txt").select(
+                F.regexp_extract("path", "/doc_id=([0-9]+)[./]", 1).cast("long").alias("doc_id"),
+                "body_bytes", F.md5(F.col("body").cast("binary")).alias("body_md5")).write.mode("append").parquet(digests)
+    return spark.read.schema("doc_id long, body_bytes long, body_md5 string").parquet(digests)
 
 
 def q_discover_variables(spark, sf_dir):
