@@ -16,6 +16,7 @@ to differ for different words and drawn anew where they don't.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import hashlib
 import pickle
@@ -263,13 +264,11 @@ def _counted(held: list, triple: bool):
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _phrases(rows: DataFrame, seed: int, bits: int, bloom: Bloom, words: int, least: int) -> DataFrame:
+def _phrases(rows: DataFrame, seed: int, bits: int, shared, words: int, least: int) -> DataFrame:
     """(lang_key, key[, third]): short hashes of phrases that are counted often enough and whose parts may be frequent.
 
-    ``bloom`` holds frequent words for two words, and what came out for two words for three.
+    The broadcast filter holds frequent words for two words, and what came out for two words for three.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(bloom)
-
     def run(batches):
         held, size = [], 0
         for t in texts_of(batches, seed, bits):
@@ -312,8 +311,33 @@ def _candidates(frequent: DataFrame, twos: DataFrame, threes: DataFrame) -> Data
     return two.withColumn("h3", F.lit(None).cast("long")).select(*out).unionByName(three.select(*out))
 
 
+def _unpack(blobs: dict[int, tuple[int, bytes]]) -> dict[int, DoubleArray]:
+    return {k: pickle.loads(pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True))
+            for k, (size, blob) in blobs.items()}
+
+
+class PackedTries:
+    """Tries on their way through the driver: compressed there, ``DoubleArray`` objects by slice where they are unpickled."""
+
+    def __init__(self, rows):
+        self.blobs = {r["slice"]: (r["size"], bytes(r["trie"])) for r in rows}
+
+    def __reduce__(self):
+        return _unpack, (self.blobs,)
+
+
+@contextlib.contextmanager
+def _shared(spark, value):
+    """A broadcast value that goes when the actions inside have ended."""
+    out = spark.sparkContext.broadcast(value)
+    try:
+        yield out
+    finally:
+        out.destroy()
+
+
 def _tries(candidates: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
-    """Candidates with their slice and number in it, and (slice, size, trie)."""
+    """Candidates with their slice and number in it, and (slice, size, trie): bytes of the trie, and these compressed."""
     order = Window.partitionBy("slice").orderBy(F.col("h3").isNotNull(), "lang", "h1", "h2", "h3")
     numbered = materialise(
         candidates.withColumn("slice", F.pmod("pair", F.lit(slices)).cast("int")).drop("pair")
@@ -328,16 +352,14 @@ def _tries(candidates: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
         sets = [np.stack([lang, h1, h2], axis=1)[~three], np.stack([lang, h1, h2, h3], axis=1)[three]]
         blob = build([s for s in sets if len(s)]).dump()
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "size": pa.array([len(blob)], pa.int64()),
-                         "trie": pa.array([blob], pa.binary())})
+                         "trie": pa.array([pa.compress(blob, codec="zstd", asbytes=True)], pa.binary())})
 
     built = numbered.groupBy("slice").applyInArrow(make, "slice int, size long, trie binary")
     return numbered, materialise(built, "phrase-tries")
 
 
-def _count(rows: DataFrame, seed: int, bits: int, slices: int, tries: dict[int, DoubleArray]) -> DataFrame:
-    """(slice, number, a): places of the candidates of some slices, summed over all shards."""
-    shared = rows.sparkSession.sparkContext.broadcast(tries)
-
+def _count(rows: DataFrame, seed: int, bits: int, slices: int, shared) -> DataFrame:
+    """(slice, number, a): places of the candidates of some slices (broadcast tries), summed over all shards."""
     def run(batches):
         loaded = shared.value
         held = np.zeros(slices, dtype=bool)
@@ -407,18 +429,19 @@ def _phrase_counts(docs, least, text_col, lang_col, trie_phrases, trie_bytes, sh
     frequent = materialise(words.filter(F.col("f") >= least).select(
         "lang", "h", F.crc32("lang").alias("lang_key"), F.shiftrightunsigned("h", 64 - short_bits).alias("short")),
         "phrase-frequent")
-    single = bloom_of(frequent.select("lang_key", F.col("short").alias("key")))
-    twos = materialise(_phrases(rows, seed, short_bits, single, 2, least), "phrase-pairs")
-    threes = materialise(_phrases(rows, seed, short_bits, bloom_of(twos), 3, least), "phrase-triples")
+    with _shared(docs.sparkSession, bloom_of(frequent.select("lang_key", F.col("short").alias("key")))) as single:
+        twos = materialise(_phrases(rows, seed, short_bits, single, 2, least), "phrase-pairs")
+    with _shared(docs.sparkSession, bloom_of(twos)) as pairs:
+        threes = materialise(_phrases(rows, seed, short_bits, pairs, 3, least), "phrase-triples")
     candidates = materialise(_candidates(frequent, twos, threes), "phrase-candidates")
     slices = max(1, -(-candidates.count() // trie_phrases))
     numbered, tries = _tries(candidates, slices)
     sizes = sorted((r["slice"], r["size"]) for r in tries.select("slice", "size").collect())
     counted = None
     for part in _batches(sizes, trie_bytes):
-        # At most trie_bytes of tries, or one trie of about trie_phrases phrases, are collected at once.
-        held = {r["slice"]: pickle.loads(r["trie"]) for r in tries.filter(F.col("slice").isin(part)).collect()}
-        now = materialise(_count(rows, seed, short_bits, slices, held), "phrase-counts")
+        # At most trie_bytes of tries, or one trie of about trie_phrases phrases, are collected at once, compressed.
+        with _shared(docs.sparkSession, PackedTries(tries.filter(F.col("slice").isin(part)).toLocalIterator())) as held:
+            now = materialise(_count(rows, seed, short_bits, slices, held), "phrase-counts")
         counted = now if counted is None else counted.unionByName(now)
     phrases = numbered.drop("slice", "number").withColumn("a", F.lit(0).cast("long")) if counted is None else \
         numbered.join(counted, ["slice", "number"]).drop("slice", "number")
